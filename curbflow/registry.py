@@ -6,16 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.plans import marts
+from curbflow.functions import trip as t
+from curbflow.plans import invariants, marts, rollups
 from curbflow.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _on(build: Callable[[Workspace], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Workspace(spark, sf_dir))
-
-
-for _name in marts.MARTS:
-    QUERIES[_name] = _on(lambda w, n=_name: marts.build(n, w.trips(), w.zones()))
+def _register(**builders: Callable[[Workspace], DataFrame]) -> None:
+    for name, build in builders.items():
+        QUERIES[name] = lambda spark, sf_dir, b=build: b(Workspace(spark, sf_dir))
+
+
+def _mart(name: str) -> Callable[[Workspace], DataFrame]:
+    return lambda w: marts.build(name, w.trips(), w.zones())
+
+
+def _rows(w: Workspace) -> DataFrame:
+    return t.measures(w.trips())
+
+
+_register(**{name: _mart(name) for name in marts.MARTS})
+
+overview, hourly = _mart("mart_overview_daily"), _mart("mart_hourly_pattern")
+pricing, daily = _mart("mart_pricing"), _mart("mart_shared_wav_daily")
+segments, airports = _mart("mart_economics_segment"), _mart("mart_airports")
+histogram = _mart("mart_wait_histogram")
+
+_register(
+    inv_segment_total=lambda w: invariants.segment_total(segments(w), _rows(w)),
+    inv_histogram_total=lambda w: invariants.histogram_total(histogram(w), overview(w)),
+    inv_price_components=lambda w: invariants.price_components(pricing(w)),
+    inv_shared_split=lambda w: invariants.shared_split(daily(w)),
+    inv_airport_share=lambda w: invariants.airport_share(airports(w)),
+    inv_month_totals=lambda w: invariants.month_totals(airports(w), _rows(w)),
+)
+
+_register(
+    reagg_ratio=lambda w: rollups.price_ratios(pricing(w)),
+    reagg_bias_report=lambda w: rollups.bias_report(_rows(w), pricing(w)),
+    reagg_avg_wait=lambda w: rollups.cohort_waits(daily(w)),
+    reagg_quantile=lambda w: rollups.merged_quantiles(rollups.daily_wait_counts(_rows(w))),
+    reagg_quantile_sketch=lambda w: rollups.merged_sketches(rollups.daily_wait_sketches(_rows(w))),
+    market_share_monthly=lambda w: rollups.market_share(overview(w)),
+    demand_profile=lambda w: rollups.demand_profile(hourly(w)),
+    event_day_drop=lambda w: rollups.event_day_change(overview(w)),
+    kpi_summary=lambda w: rollups.kpi_summary(_rows(w)),
+    wait_by_borough=lambda w: rollups.wait_by_borough(_rows(w), w.zones()),
+    worst_wait_slots=lambda w: rollups.worst_wait_slots(_rows(w)),
+    wav_fulfilment=lambda w: rollups.wav_fulfilment(daily(w)),
+    shared_funnel_monthly=lambda w: rollups.shared_funnel(daily(w)),
+    orphan_by_operator=lambda w: rollups.orphans_by_operator(daily(w)),
+    pay_ratio_range=lambda w: rollups.pay_ratio_range(pricing(w)),
+    tip_share=lambda w: rollups.tip_shares(pricing(w)),
+)

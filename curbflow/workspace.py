@@ -7,6 +7,8 @@ pruned columns of a real parquet table instead of re-deriving it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from curbflow.sinks import bronze
 from curbflow.sources import derived, months
 from curbflow.sources import zones as zone_source
 
+_written: set[str] = set()
+
 
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -25,9 +29,10 @@ class Workspace:
 
     def _once(self, name: str, write) -> str:
         path = f"{self.root}/{name}"
-        # a committed Spark write ends with this marker
-        if not exists(self.spark, f"{path}/_SUCCESS"):
+        # only a write that returned is remembered; a half-written one is repeated
+        if path not in _written or not exists(self.spark, path):
             write(path)
+            _written.add(path)
         return path
 
     def trips(self) -> DataFrame:
@@ -54,8 +59,6 @@ class Workspace:
 
     def scratch(self, name: str) -> str:
         """A folder of its own for a query that writes."""
-        import uuid
-
         return f"{self.root}/{name}-{uuid.uuid4().hex[:10]}"
 
     def table(self, name: str) -> DataFrame:

@@ -1,5 +1,5 @@
 """All oracle texts by query name."""
 
-from oracles import marts
+from oracles import marts, reports
 
-SQL: dict[str, str] = {**marts.SQL}
+SQL: dict[str, str] = {**marts.SQL, **reports.SQL}

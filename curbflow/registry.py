@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curbflow.functions import trip as t
-from curbflow.plans import invariants, marts, rollups
+from curbflow.functions.fixed import cents
+from curbflow.operators import experiments, geometry
+from curbflow.plans import baselines, invariants, marts, rollups
+from curbflow.sources import derived
 from curbflow.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +65,95 @@ _register(
     pay_ratio_range=lambda w: rollups.pay_ratio_range(pricing(w)),
     tip_share=lambda w: rollups.tip_shares(pricing(w)),
 )
+
+
+def _deficit(w: Workspace) -> DataFrame:
+    return baselines.deficit_zones(
+        _rows(w), w.zones(), p90_over=t.VERY_LONG_WAIT_SECONDS, min_trips=1, min_months=2
+    )
+
+
+def _features(w: Workspace) -> DataFrame:
+    return derived.features(w.spark, w.sf_dir)
+
+
+_register(
+    tips_baseline=lambda w: baselines.tips(_rows(w)),
+    roundup_simulation=lambda w: baselines.roundup(_rows(w)),
+    tips_by_month=lambda w: baselines.tips_by_month(_rows(w)),
+    wait_by_hour=lambda w: baselines.wait_by_hour(_rows(w)),
+    busy_hour_pay=lambda w: baselines.busy_hour_pay(_rows(w)),
+    pay_floor_gap=lambda w: baselines.pay_floor_gap(_rows(w)),
+    scheduled_share=lambda w: baselines.scheduled_share(_rows(w)),
+    zone_hour_wait=lambda w: baselines.zone_hour_wait(_rows(w)),
+    deficit_window_select=_deficit,
+    bonus_rate_choice=lambda w: baselines.bonus_rates(baselines.bonus_trials(_rows(w)), 60),
+    evening_wait_speed=lambda w: baselines.wait_and_speed(_rows(w)),
+    airport_share=lambda w: baselines.airport_share(_rows(w)),
+    airport_fares=lambda w: baselines.airport_fares(_rows(w)),
+    airport_trip_time=lambda w: baselines.airport_trip_time(_rows(w)),
+    neighbour_spill=lambda w: baselines.neighbour_trips(
+        _rows(w), geometry.adjacency(_features(w)),
+        _deficit(w).selectExpr("pu_location_id AS zone_id"),
+    ),
+)
+
+SALT = 17
+
+
+def _users(w: Workspace) -> DataFrame:
+    return experiments.assign(w.table("customer"), "c_custkey", SALT)
+
+
+def _per_user(w: Workspace) -> DataFrame:
+    return experiments.user_totals(
+        _users(w), w.table("orders"), "c_custkey", "o_custkey", cents("o_totalprice")
+    )
+
+
+def _assigned_orders(w: Workspace) -> DataFrame:
+    orders = w.table("orders").withColumn("arm", experiments.variant(F.col("o_custkey"), SALT))
+    return orders.join(w.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _guard_rules(w: Workspace) -> DataFrame:
+    return w.spark.createDataFrame(
+        [("revenue_per_user", 1), ("orders_per_user", 2), ("active_users_pct", 5)],
+        "metric STRING, max_drop_pct INT",
+    )
+
+
+def _zone_csv(w: Workspace) -> DataFrame:
+    path = w.scratch("zone-csv")
+    geometry.write_zone_csv(_features(w), path)
+    return w.spark.read.schema(
+        "LocationID INT, zone STRING, borough STRING, coordinates STRING"
+    ).csv(path, header=True, escape='"')
+
+
+_register(
+    ab_assign=_users,
+    switchback_assign=lambda w: experiments.switchback(_rows(w)),
+    itt_summary=lambda w: experiments.itt_summary(_per_user(w)),
+    sample_size=lambda w: experiments.sample_size(_rows(w)),
+    balance_check=lambda w: experiments.balance(_assigned_orders(w), {
+        "zone": F.col("c_nationkey"),
+        "weekday": t.day_of_week(F.col("o_orderdate")),
+        "price_50k": F.floor(F.col("o_totalprice") / 50000),
+        "user_type": F.col("c_mktsegment"),
+    }),
+    session_dedupe=lambda w: experiments.sessions(w.table("events")),
+    funnel_steps=lambda w: experiments.funnel(
+        w.table("events"), ["view", "click", "signup", "purchase"]
+    ),
+    exclude_days=lambda w: experiments.exclude_days(_rows(w), experiments.excluded_days(w.spark)),
+    guardrails=lambda w: experiments.guardrails(_per_user(w), _guard_rules(w)),
+)
+
+_register(
+    geo_field_resolve=lambda w: geometry.field_report(_features(w)),
+    geo_swap_coords=lambda w: geometry.swap_coordinates(_features(w)),
+    geo_errors=lambda w: geometry.geometry_errors(_features(w)),
+    geo_explode_polygons=lambda w: geometry.explode_polygons(_features(w)),
+    geo_zone_csv=_zone_csv,
+)

@@ -141,3 +141,57 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(loc == 1, "EWR").when(loc >= 264, "N/A").when(c("n_regionkey") == 0, "Yellow Zone")
         .otherwise("Boro Zone").alias("service_zone"),
     )
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A GeoJSON feature text per customer: grid cells 17 wide, one per zone id.
+
+    Property names vary, one customer in seven has no geometry, one a Point,
+    one a MultiPolygon; several customers repeat the outline of a zone.
+    """
+    c = F.col
+    key = c("c_custkey")
+    cells = table(spark, sf_dir, "customer").select(
+        "c_custkey", (1 + key % 265).alias("id")
+    ).select(
+        "c_custkey", "id",
+        *[
+            ((first + step * (of + k)).cast("double") / 100.0).cast("string").alias(f"{axis}{k}")
+            for axis, first, step, of in (
+                ("x", -7430, 5, (c("id") - 1) % 17),
+                ("y", 4050, 4, F.floor((c("id") - 1) / 17)),
+            )
+            for k in (0, 1)
+        ],
+    )
+
+    def ring(*corners: str) -> Column:
+        points = [F.concat(F.lit("["), c(a), F.lit(","), c(b), F.lit("]"))
+                  for a, b in (p.split() for p in corners)]
+        return F.concat(F.lit("[["), F.concat_ws(",", *points), F.lit("]]"))
+
+    cell = ring("x0 y0", "x1 y0", "x1 y1", "x0 y1", "x0 y0")
+    half = ring("x0 y0", "x1 y0", "x1 y1", "x0 y0")
+
+    def shape(kind: str, coords: Column) -> Column:
+        return F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), coords, F.lit("}"))
+
+    geometry = (
+        F.when(key % 7 == 0, F.lit("null"))
+        .when(key % 7 == 1, shape("MultiPolygon", F.concat(F.lit("["), cell, F.lit(","), half,
+                                                           F.lit("]"))))
+        .when(key % 7 == 2, shape("Point", F.concat(F.lit("["), c("x0"), F.lit(","), c("y0"),
+                                                    F.lit("]"))))
+        .otherwise(shape("Polygon", cell))
+    )
+    id_name = F.when(key % 3 == 0, "LocationID").when(key % 3 == 1, "location_id").otherwise("OBJECTID")
+    zone_name = F.when(key % 2 == 0, "zone").otherwise("Zone_Name")
+    properties = F.to_json(F.create_map(
+        id_name, c("id").cast("string"),
+        zone_name, F.concat(F.lit("Zone "), c("id").cast("string")),
+        F.lit("Borough"), F.concat(F.lit("Row "), F.floor((c("id") - 1) / 17).cast("string")),
+    ))
+    return cells.select(
+        F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'),
+                 geometry, F.lit("}")).alias("feature")
+    )

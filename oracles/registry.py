@@ -1,5 +1,5 @@
 """All oracle texts by query name."""
 
-from oracles import marts, reports
+from oracles import baselines, experiments, marts, reports
 
-SQL: dict[str, str] = {**marts.SQL, **reports.SQL}
+SQL: dict[str, str] = {**marts.SQL, **reports.SQL, **baselines.SQL, **experiments.SQL}

@@ -73,35 +73,36 @@ def duplicate_rows(source: DataFrame, scratch: str) -> DataFrame:
     return rows.join(repeated, "file_month", "left").fillna(0, ["duplicate_rows"])
 
 
+def _long(counts: DataFrame, check: str, column: str, note: str) -> DataFrame:
+    return counts.select(
+        "file_month", "rows", F.lit(check).alias("check_name"),
+        c(column).alias("rows_affected"), F.lit(note).alias("note"),
+    )
+
+
 def source_anomalies(source: DataFrame, scratch: str) -> DataFrame:
     """Empty and repeated rows as rows of the anomaly table."""
-    counts = null_counts(source).select("file_month", "rows", "empty_rows").join(
-        duplicate_rows(source, scratch).drop("rows"), "file_month"
+    long = _long(empty_rows(source), EMPTY, "empty_rows", "excluded").unionByName(
+        _long(duplicate_rows(source, scratch), REPEATED, "duplicate_rows", "flagged")
     )
-    metric = F.explode(F.array(
-        F.struct(F.lit(EMPTY).alias("metric_name"), c("empty_rows").alias("rows_affected"),
-                 F.lit("excluded").alias("action_taken")),
-        F.struct(F.lit(REPEATED), c("duplicate_rows"), F.lit("flagged")),
-    ))
-    return counts.select("file_month", "rows", metric.alias("m")).select(
-        "file_month", "m.metric_name", "m.rows_affected",
-        F.coalesce(ratio(c("m.rows_affected") * 100, "rows", 4), F.lit(0.0)).alias("share_pct"),
-        "m.action_taken",
+    return long.select(
+        "file_month", c("check_name").alias("metric_name"), "rows_affected",
+        F.coalesce(ratio(c("rows_affected") * 100, "rows", 4), F.lit(0.0)).alias("share_pct"),
+        c("note").alias("action_taken"),
     )
 
 
 def gate(source: DataFrame, scratch: str) -> DataFrame:
     """(file_month, check_name, rows_affected, verdict): pass, warn or fail."""
-    counts = null_counts(source)
-    unexpected = [x for x in COLUMNS if x not in MAY_BE_NULL]
-    nulls = counts.select(
-        "file_month", "empty_rows",
-        reduce(lambda a, b: a + b, [c(x) for x in unexpected]).alias("unexpected_nulls"),
-    )
-    checks = nulls.join(duplicate_rows(source, scratch).drop("rows"), "file_month").unpivot(
-        "file_month", ["unexpected_nulls", "empty_rows", "duplicate_rows"],
-        "check_name", "rows_affected",
+    required = [x for x in COLUMNS if x not in MAY_BE_NULL]
+    together = F.aggregate(F.array(*required), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    counts = null_counts(source).select(
+        "file_month", "rows", "empty_rows", together.alias("unexpected_nulls")
     )
+    repeated = duplicate_rows(source, scratch).select("file_month", "duplicate_rows")
+    checks = counts.unpivot(
+        "file_month", ["unexpected_nulls", "empty_rows"], "check_name", "rows_affected"
+    ).unionByName(repeated.unpivot("file_month", ["duplicate_rows"], "check_name", "rows_affected"))
     bad = F.when(c("check_name") == "duplicate_rows", "warn").otherwise("fail")
     return checks.withColumn("verdict", F.when(c("rows_affected") == 0, "pass").otherwise(bad))
 

@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbflow.contract import PARTITION, to_bronze
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import cents
-from curbflow.operators import experiments, geometry
-from curbflow.plans import baselines, invariants, marts, rollups
-from curbflow.sources import derived
+from curbflow.operators import contract_checks, experiments, geometry, profile, quality
+from curbflow.plans import baselines, expressions, invariants, marts, rollups
+from curbflow.sinks import bronze, csv_export, gold, service
+from curbflow.sources import derived, months
+from curbflow.sources import zones as zone_source
+from curbflow.streaming import ingest
 from curbflow.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +161,157 @@ _register(
     geo_explode_polygons=lambda w: geometry.explode_polygons(_features(w)),
     geo_zone_csv=_zone_csv,
 )
+
+
+# ── row rules, joins, union, order ───────────────────────────────────────────
+
+_register(
+    expr_operator=lambda w: expressions.operator(w.trips()),
+    expr_wait=lambda w: expressions.wait(w.trips()),
+    filter_silver=lambda w: expressions.silver(w.trips()),
+    expr_wait_valid=lambda w: expressions.wait_valid(w.trips()),
+    expr_scheduled=lambda w: expressions.scheduled(w.trips()),
+    expr_duration_valid=lambda w: expressions.duration_valid(w.trips()),
+    expr_total_fare=lambda w: expressions.total_fare(w.trips()),
+    expr_time_parts=lambda w: expressions.time_parts(w.trips()),
+    expr_segment=lambda w: expressions.segment(w.trips(), w.zones()),
+    bucket_wait14=lambda w: expressions.wait_buckets(w.trips()),
+    bucket_wait16=lambda w: expressions.wait_minute_buckets(w.trips()),
+    bucket_miles=lambda w: expressions.mile_bins(w.trips()),
+    dst_flags=lambda w: expressions.dst(w.trips()),
+    expr_duration_diff=lambda w: expressions.duration_diff(w.trips()),
+    expr_airport_name=lambda w: expressions.airport_names(w.trips()),
+    cohort_regular=lambda w: expressions.regular_cohort(_rows(w)),
+    join_zone_pickup=lambda w: expressions.by_pickup_zone(_rows(w), w.zones()),
+    join_zone_both=lambda w: expressions.by_both_zones(_rows(w), w.zones()),
+    join_totals=lambda w: expressions.with_totals(_rows(w)),
+    union_directions=lambda w: expressions.directions(_rows(w)),
+    sort_dims_first4=lambda w: airports(w).orderBy(
+        *csv_export.sort_columns(airports(w).columns)
+    ),
+)
+
+# ── contract, profile, quality ───────────────────────────────────────────────
+
+
+def _source(w: Workspace) -> DataFrame:
+    return months.read(w.spark, w.month_files())
+
+
+_register(
+    val_columns=lambda w: contract_checks.month_columns(w.spark, w.month_files()),
+    val_type_drift=lambda w: contract_checks.type_drift(w.spark, w.trips().schema),
+    val_null_profile=lambda w: profile.null_profile(_source(w)),
+    val_empty_rows=lambda w: profile.empty_rows(_source(w)),
+    val_duplicate_rows=lambda w: profile.duplicate_rows(_source(w), w.scratch("hashes")),
+    val_gate=lambda w: profile.gate(_source(w), w.scratch("hashes")),
+    val_month_membership=lambda w: bronze.foreign_rows(_source(w)),
+    qc_partition=lambda w: quality.partition_anomalies(w.trips()),
+    ods_count_checks=lambda w: quality.count_checks(w.trips()).drop("note"),
+    ods_max_checks=lambda w: quality.max_checks(w.trips()),
+    ods_gate=lambda w: quality.verdict(quality.all_checks(w.trips())),
+)
+
+# ── sources and sinks ────────────────────────────────────────────────────────
+
+
+def _mixed_months(w: Workspace) -> str:
+    """Every month as CSV, even months as parquet as well."""
+    def write(path: str) -> None:
+        months.write(w.source(), path, "csv")
+        months.write(w.source().where("file_month % 2 = 0"), path, "parquet")
+
+    return w.once("months-mixed", write)
+
+
+def _converted(w: Workspace) -> DataFrame:
+    folder = w.scratch("months-csv")
+    months.write(w.source(), folder, "csv")
+    months.csv_to_parquet(w.spark, folder)
+    counts = months.read(w.spark, folder).groupBy("file_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("pickup_datetime").alias("first_pickup"),
+        F.max("dropoff_datetime").alias("last_dropoff"),
+    )
+    entries = months.inventory(w.spark, folder).select("month", "format")
+    return counts.join(entries, F.col("file_month") == F.col("month")).drop("month")
+
+
+def _lookup(w: Workspace) -> DataFrame:
+    path = w.scratch("lookup")
+    zone_source.write_lookup(w.zones(), path)
+    used = w.trips().groupBy("PULocationID").agg(F.count(F.lit(1)).alias("trips"))
+    looked_up = zone_source.read_lookup(w.spark, path)
+    return looked_up.join(used, F.col("location_id") == F.col("PULocationID"), "left").select(
+        *looked_up.columns, F.coalesce("trips", F.lit(0)).alias("trips")
+    )
+
+
+def _loaded(w: Workspace) -> DataFrame:
+    """A load over a table that is complete, short or empty, month by month."""
+    table = w.scratch("load")
+    state = F.col("file_month") % 3
+    kept = w.source().where((state == 0) | ((state == 1) & (F.col("PULocationID") > 100)))
+    bronze.write_months(to_bronze(kept), table)
+    return bronze.load(w.spark, _source(w), table)
+
+
+def _published(w: Workspace) -> DataFrame:
+    """A mart published twice: readers get the newer version."""
+    root = w.scratch("gold")
+    gold.publish(overview(w), root, "overview", "trip_date")
+    gold.publish(gold.current(w.spark, root, "overview"), root, "overview", "trip_date")
+    return gold.current(w.spark, root, "overview").withColumn(
+        "version", F.lit(gold.versions(w.spark, root, "overview")[-1])
+    )
+
+
+def _exported(w: Workspace) -> DataFrame:
+    out = w.scratch("export")
+    csv_export.export_all({"mart_wait_histogram": histogram(w)}, out)
+    return w.spark.read.text(f"{out}/mart_wait_histogram.csv")
+
+
+def _logged(w: Workspace) -> DataFrame:
+    """The log of a first load and of a repeated one that finds nothing to do."""
+    table, log = w.scratch("load"), w.scratch("log")
+    for _ in range(2):
+        service.append_log(service.log_entries(bronze.load(w.spark, _source(w), table), 0.0), log)
+    return service.read_log(w.spark, log).drop("loaded_at", "load_duration_sec")
+
+
+def _anomalies(w: Workspace) -> DataFrame:
+    """The anomaly table after a repeated check: own metrics replaced, others kept."""
+    fresh = quality.partition_anomalies(w.trips())
+    stale = fresh.withColumn("rows_affected", F.lit(-1).cast("bigint"))
+    kept = profile.source_anomalies(_source(w), w.scratch("hashes")).withColumnRenamed(
+        "file_month", "partition_id"
+    )
+    return service.replace_rows(stale.unionByName(kept), fresh, ["partition_id", "metric_name"])
+
+
+def _streamed(w: Workspace) -> DataFrame:
+    """Months as they arrive in two deliveries, then a run without new files."""
+    folder, table, state = w.scratch("incoming"), w.scratch("streamed"), w.scratch("offsets")
+    first = F.col("file_month") < 202509
+    for part in (w.source().where(first), w.source().where(~first), None):
+        if part is not None:
+            months.write(part, folder)
+        ingest.ingest(w.spark, folder, table, state)
+    return bronze.read(w.spark, table).groupBy(PARTITION).agg(F.count(F.lit(1)).alias("trips"))
+
+
+_register(
+    src_discover_months=lambda w: months.inventory(w.spark, _mixed_months(w)).select(
+        "month", "format"
+    ),
+    src_parquet_trips=lambda w: expressions.bronze_by_month(_source(w)),
+    src_csv_to_parquet=_converted,
+    src_zone_lookup=_lookup,
+    src_partition_summary=lambda w: bronze.partition_summary(w.trips()),
+    sink_month_partition=_loaded,
+    sink_replace_mart=_published,
+    sink_csv_export=_exported,
+    sink_load_log=_logged,
+    sink_replace_rows=_anomalies,
+    stream_month_ingest=_streamed,
+)

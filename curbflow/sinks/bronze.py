@@ -39,7 +39,12 @@ def month_counts(spark: SparkSession, path: str) -> DataFrame:
     """Rows per stored month; only partition values and footers are read."""
     if not exists(spark, path):
         return spark.createDataFrame([], f"{PARTITION} INT, existing BIGINT")
-    return read(spark, path).groupBy(PARTITION).agg(F.count(F.lit(1)).alias("existing"))
+    return partition_summary(read(spark, path)).withColumnRenamed("rows", "existing")
+
+
+def partition_summary(trips: DataFrame) -> DataFrame:
+    """Rows of every month partition."""
+    return trips.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def load_plan(expected: DataFrame, existing: DataFrame, force: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ class Workspace:
         self.sf_dir = sf_dir
         self.root = folder(spark, digest(sf_dir))
 
-    def _once(self, name: str, write) -> str:
+    def once(self, name: str, write) -> str:
         path = f"{self.root}/{name}"
         # only a write that returned is remembered; a half-written one is repeated
         if path not in _written or not exists(self.spark, path):
@@ -37,13 +37,13 @@ class Workspace:
 
     def trips(self) -> DataFrame:
         """Bronze trips with the partition column."""
-        return bronze.read(self.spark, self._once("bronze", self._write_bronze))
+        return bronze.read(self.spark, self.once("bronze", self._write_bronze))
 
     def _write_bronze(self, path: str) -> None:
         bronze.write_months(derived.trips(self.spark, self.sf_dir), path)
 
     def zones(self) -> DataFrame:
-        path = self._once(
+        path = self.once(
             "zones", lambda p: zone_source.replace(derived.zones(self.spark, self.sf_dir), p)
         )
         return self.spark.read.parquet(path)
@@ -55,7 +55,7 @@ class Workspace:
 
     def month_files(self, fmt: str = "parquet") -> str:
         """Folder with one entry per month."""
-        return self._once(f"months-{fmt}", lambda p: months.write(self.source(), p, fmt))
+        return self.once(f"months-{fmt}", lambda p: months.write(self.source(), p, fmt))
 
     def scratch(self, name: str) -> str:
         """A folder of its own for a query that writes."""

@@ -44,9 +44,10 @@ def load(
 ) -> dict[str, int]:
     """Run everything; returns the version of every mart. May be repeated at will."""
     table = f"{warehouse}/trips"
+    rebuild = False
     if exists(spark, table):
         stored = bronze.read(spark, table).drop(PARTITION).schema
-        force = force or not contract_checks.require_types(stored, migrate)
+        rebuild = not contract_checks.require_types(stored, migrate)
 
     months.csv_to_parquet(spark, files)
     for entry in months.inventory(spark, files).select("entry").collect():
@@ -55,7 +56,7 @@ def load(
 
     # only months that will be written need profiling
     expected = source.groupBy("file_month").agg(F.count(F.lit(1)).alias("expected"))
-    plan = bronze.load_plan(expected, bronze.month_counts(spark, table), force)
+    plan = bronze.load_plan(expected, bronze.month_counts(spark, table), force or rebuild)
     todo = [r.file_month for r in plan.where("status <> 'skipped'").collect()]
     pending = source.where(c("file_month").isin(todo)) if todo else None
     if pending is not None:
@@ -69,7 +70,7 @@ def load(
             print("warning:", warning)
 
     started = time.time()
-    result = bronze.load(spark, source, table, force)
+    result = bronze.load(spark, source, table, force, rebuild)
     service.append_log(
         service.log_entries(result, time.time() - started), f"{warehouse}/etl_load_log"
     )

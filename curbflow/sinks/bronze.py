@@ -11,8 +11,8 @@ from curbflow.session import exists
 c = F.col
 
 
-def write_months(trips: DataFrame, path: str) -> None:
-    """Replace exactly the months that occur in ``trips``.
+def write_months(trips: DataFrame, path: str, *, rebuild: bool = False) -> None:
+    """Replace exactly the months that occur in ``trips``; all of them on ``rebuild``.
 
     Rows are range-partitioned by (month, zone, time): every task writes a
     contiguous, sorted slice, and a month or zone that dominates the data is
@@ -24,7 +24,7 @@ def write_months(trips: DataFrame, path: str) -> None:
         .repartitionByRange(*layout)
         .sortWithinPartitions(*layout)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
         .option("compression", "zstd")
         .partitionBy(PARTITION)
         .parquet(path)
@@ -71,23 +71,29 @@ def foreign_rows(source: DataFrame) -> DataFrame:
     )
 
 
-def load(spark: SparkSession, source: DataFrame, path: str, force: bool = False) -> DataFrame:
+def load(
+    spark: SparkSession, source: DataFrame, path: str, force: bool = False, rebuild: bool = False
+) -> DataFrame:
     """Bring the bronze table in line with the month files; safe to repeat.
 
+    ``force`` reloads complete months too, ``rebuild`` drops whatever is stored.
+
     Returns (file_month, expected, existing, status, rows). Raises before
     writing when a file holds rows of another month, and afterwards when a
     stored month does not have the file's row count. Only the month list,
     one row per month, reaches the driver.
     """
     checked = foreign_rows(source).withColumnRenamed("rows", "expected")
-    plan = load_plan(checked.drop("foreign_rows"), month_counts(spark, path), force)
+    existing = month_counts(spark, path)
+    plan = load_plan(checked.drop("foreign_rows"), existing, force or rebuild)
     steps = plan.join(checked.select("file_month", "foreign_rows"), "file_month").collect()
     strangers = {r.file_month: r.foreign_rows for r in steps if r.foreign_rows}
     if strangers:
         raise ValueError(f"rows of another month in the files of {strangers}")
     todo = [r.file_month for r in steps if r.status != "skipped"]
     if todo:
-        write_months(to_bronze(source.where(c("file_month").isin(todo))), path)
+        pending = to_bronze(source.where(c("file_month").isin(todo)))
+        write_months(pending, path, rebuild=rebuild)
     stored = {r[PARTITION]: r.existing for r in month_counts(spark, path).collect()}
     wrong = {r.file_month: (stored.get(r.file_month, 0), r.expected)
              for r in steps if stored.get(r.file_month, 0) != r.expected}

@@ -17,9 +17,9 @@ from curbflow.functions.grouping import tally
 
 c = F.col
 
-# A multiplicative generator modulo a prime, exact in 64 bits.
+# A quadratic mix modulo a prime, exact in 64 bits.
 PRIME = 2147483647
-MULTIPLIERS = (48271, 69621)
+MIX = (48271, 69621)
 Z_TWO_SIDED_5 = 1.959964
 Z_POWER_80 = 0.841621
 
@@ -29,8 +29,8 @@ Z_POWER_80 = 0.841621
 def variant(user: Column, salt: int, arms: int = 2) -> Column:
     """Stable arm of a numeric user id; other engines can repeat the arithmetic."""
     x = F.pmod(F.pmod(user.cast("bigint"), F.lit(PRIME)) + salt, F.lit(PRIME))
-    for m in MULTIPLIERS:
-        x = F.pmod(x * m + salt, F.lit(PRIME))
+    for m in MIX:
+        x = F.pmod(x * (x + m + salt), F.lit(PRIME))
     return F.pmod(F.shiftright(x, 8), F.lit(arms)).cast("int")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 c = F.col
@@ -23,6 +23,12 @@ DEPTH = {
 }
 
 
+def read_collection(spark: SparkSession, path: str) -> DataFrame:
+    """Features of FeatureCollection files, one JSON text per row."""
+    whole = spark.read.schema("features ARRAY<STRING>").json(path, multiLine=True)
+    return whole.select(F.explode("features").alias("feature"))
+
+
 def parse(features: DataFrame, text: str = "feature") -> DataFrame:
     """Adds ``properties`` and ``geometry`` parsed from the feature text."""
     return features.withColumn("f", F.from_json(text, FEATURE)).select(

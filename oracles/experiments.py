@@ -10,7 +10,7 @@ P = 2147483647
 def arm(user: str, salt: int) -> str:
     x = f"(({user} % {P}) + {salt}) % {P}"
     for m in (48271, 69621):
-        x = f"((({x}) * {m} + {salt}) % {P})"
+        x = f"((({x}) * (({x}) + {m + salt})) % {P})"
     return f"CAST((({x}) // 256) % 2 AS INTEGER)"
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 CENTS = 100
 MILLI = 1000
-_WIDE = "decimal(38,0)"
+_WIDE = "DECIMAL(38,0)"
 
 
 def cents(money: Column | str) -> Column:
@@ -24,20 +24,18 @@ def milli(miles: Column | str) -> Column:
     return F.rint(_col(miles) * 1000.0).cast("bigint")
 
 
-def ratio(num: Column | str, den: Column | str, digits: int, unit: int = 1) -> Column:
-    """``num / (den * unit)`` rounded to ``digits`` as a double; NULL when den is 0.
+def ratio(num: str, den: str, digits: int, *, times: int = 1, unit: int = 1) -> Column:
+    """``num * times / (den * unit)`` rounded to ``digits`` as a double; NULL when den is 0.
 
-    ``num`` and ``den`` are integer sums; ``unit`` is the scale of ``num``
-    (100 for cents over a count, 1000 for thousandths of a mile).
+    ``num`` and ``den`` are SQL over integer sums. ``unit`` is the scale of
+    ``num`` (100 for cents, 1000 for thousandths of a mile, 60 for seconds).
     """
-    top = F.abs(_col(num)).cast(_WIDE) * F.lit(10**digits).cast("decimal(12,0)")
-    low = F.nullif(_col(den).cast(_WIDE), F.lit(0).cast(_WIDE)) * F.lit(unit).cast("decimal(12,0)")
-    whole = _div(top, low)
-    twice = (top - whole.cast(_WIDE) * low) * F.lit(2).cast("decimal(1,0)")
-    up = (twice > low) | ((twice == low) & (whole % 2 == 1))
-    rounded = whole + F.when(up, F.lit(1)).otherwise(F.lit(0))
-    sign = F.when(_col(num) < 0, F.lit(-1)).otherwise(F.lit(1))
-    return (sign * rounded).cast("double") / float(10**digits)
+    top = f"(CAST(abs({num}) AS {_WIDE}) * {10**digits * times})"
+    low = f"(nullif(CAST({den} AS {_WIDE}), 0) * {unit})"
+    whole = f"({top} div {low})"
+    twice = f"(({top} - CAST({whole} AS {_WIDE}) * {low}) * 2)"
+    up = f"CASE WHEN {twice} > {low} OR ({twice} = {low} AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+    return F.expr(f"CAST(sign({num}) * ({whole} + {up}) AS DOUBLE) / {10**digits}D")
 
 
 def dollars(sum_cents: Column | str) -> Column:
@@ -45,13 +43,9 @@ def dollars(sum_cents: Column | str) -> Column:
     return _col(sum_cents).cast("double") / 100.0
 
 
-def miles(sum_milli: Column | str) -> Column:
+def miles(sum_milli: str) -> Column:
     """A sum of thousandths of a mile as miles, rounded to two digits."""
-    return ratio(sum_milli, F.lit(1), 2, unit=MILLI)
-
-
-def _div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a, b)
+    return ratio(sum_milli, "1", 2, unit=MILLI)
 
 
 def _col(x: Column | str) -> Column:

@@ -6,7 +6,6 @@ Every rule is one Column, defined once and shared by marts, checks and reports.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +29,12 @@ WAIT_LABELS = [
     "6-8 мин", "8-10 мин", "10-15 мин", "15-20 мин", "20-25 мин", "25-30 мин", "30+ мин",
 ]
 MINUTE_BUCKETS = 16
-CHARGES = [
-    "base_passenger_fare", "tolls", "bcf", "sales_tax",
-    "congestion_surcharge", "airport_fee", "cbd_congestion_fee",
-]
+# what the passenger is charged, without tips, and the short names used in sums
+CHARGE_NAMES = {
+    "base_passenger_fare": "base", "tolls": "tolls", "bcf": "bcf", "sales_tax": "tax",
+    "congestion_surcharge": "congestion", "airport_fee": "airport_fee",
+    "cbd_congestion_fee": "cbd",
+}
 
 
 def operator_name(licence: Column | None = None) -> Column:
@@ -92,7 +93,7 @@ def silver(trips: DataFrame) -> DataFrame:
 
 def total_fare_cents() -> Column:
     """All charges to the passenger, without tips."""
-    return reduce(lambda a, b: a + b, [cents(x) for x in CHARGES])
+    return reduce(lambda a, b: a + b, [cents(x) for x in CHARGE_NAMES])
 
 
 def month_start(ts: Column) -> Column:
@@ -156,19 +157,6 @@ def flag(name: str) -> Column:
     return F.coalesce(c(name), F.lit(False))
 
 
-def any_feature() -> Column:
-    """Any of the five shared / accessible ride flags."""
-    return reduce(
-        or_,
-        [
-            flag(f) for f in (
-                "shared_request_flag", "shared_match_flag", "access_a_ride_flag",
-                "wav_request_flag", "wav_match_flag",
-            )
-        ],
-    )
-
-
 def measures(trips: DataFrame) -> DataFrame:
     """Silver trips with every derived column the aggregates use.
 
@@ -176,7 +164,7 @@ def measures(trips: DataFrame) -> DataFrame:
     scan. ``wait`` is NULL unless the waiting time is meaningful, so waiting
     aggregates need no further filter.
     """
-    ts = c("pickup_datetime")
+    ts, charges = c("pickup_datetime"), list(CHARGE_NAMES.values())
     staged = silver(trips).withColumn("wait_sec", wait_seconds())
     return staged.select(
         F.to_date(ts).alias("trip_date"),
@@ -191,23 +179,19 @@ def measures(trips: DataFrame) -> DataFrame:
         c("trip_time").alias("secs"),
         milli("trip_miles").alias("milli"),
         mile_bin(c("trip_miles")).alias("mile_bin"),
-        cents("base_passenger_fare").alias("base"),
-        cents("tolls").alias("tolls"),
-        cents("bcf").alias("bcf"),
-        cents("sales_tax").alias("tax"),
-        cents("congestion_surcharge").alias("congestion"),
-        cents("airport_fee").alias("airport_fee"),
-        cents("cbd_congestion_fee").alias("cbd"),
+        *[cents(source).alias(name) for source, name in CHARGE_NAMES.items()],
         cents("tips").alias("tips"),
         cents("driver_pay").alias("pay"),
-        total_fare_cents().alias("total"),
         flag("shared_request_flag").alias("shared_request"),
         flag("shared_match_flag").alias("shared_match"),
         flag("wav_request_flag").alias("wav_request"),
         flag("wav_match_flag").alias("wav_match"),
         flag("access_a_ride_flag").alias("aar"),
-        (~any_feature()).alias("regular"),
-    )
+    ).withColumns({
+        # from the cents above, so each amount is converted once per row
+        "total": F.expr(" + ".join(charges)),
+        "regular": F.expr("NOT (shared_request OR shared_match OR wav_request OR wav_match OR aar)"),
+    })
 
 
 def _c(x: Column | str) -> Column:

@@ -172,15 +172,15 @@ def guardrails(per_user: DataFrame, rules: DataFrame) -> DataFrame:
             per_arm("CAST(facts > 0 AS BIGINT)", arm).alias(f"active{arm}"),
         )
     ])
-    metrics = {"revenue_per_user": ("revenue", 100), "orders_per_user": ("facts", 1),
-               "active_users_pct": ("active", None)}
+    # metric: (total, factor, scale of the total)
+    metrics = {"revenue_per_user": ("revenue", 1, 100), "orders_per_user": ("facts", 1, 1),
+               "active_users_pct": ("active", 100, 1)}
     figures = F.explode(F.array(*[
         F.struct(
             F.lit(name).alias("metric"),
-            *[ratio(c(f"{col}{a}") * (100 if unit is None else 1), f"n{a}", 4, unit=unit or 1)
-              .alias(label) for a, label in ((0, "control"), (1, "test"))],
+            *[ratio(f"{col}{a}", f"n{a}", 4, times=times, unit=unit).alias(label) for a, label in ((0, "control"), (1, "test"))],
         )
-        for name, (col, unit) in metrics.items()
+        for name, (col, times, unit) in metrics.items()
     ])).alias("f")
     floor = c("control") * (1 - c("max_drop_pct") / 100.0)
     return totals.select(figures).select("f.*").join(rules, "metric").select(
@@ -237,8 +237,8 @@ def funnel(events: DataFrame, steps: Sequence[str]) -> DataFrame:
     ])).alias("r")
     return counts.select(rows).select("r.*").select(
         "step_order", "step", "users",
-        ratio(c("users") * 100, "previous", 4).alias("from_previous_pct"),
-        ratio(c("users") * 100, "entered", 4).alias("from_first_pct"),
+        ratio("users", "previous", 4, times=100).alias("from_previous_pct"),
+        ratio("users", "entered", 4, times=100).alias("from_first_pct"),
     )
 
 

@@ -41,7 +41,7 @@ def null_profile(source: DataFrame) -> DataFrame:
     )
     return long.select(
         "file_month", "column_name", "null_count",
-        F.coalesce(ratio(c("null_count") * 100, "rows", 4), F.lit(0.0)).alias("null_pct"),
+        F.coalesce(ratio("null_count", "rows", 4, times=100), F.lit(0.0)).alias("null_pct"),
         (c("column_name").isin(*MAY_BE_NULL) | (c("null_count") == 0)).alias("expected"),
     )
 
@@ -87,7 +87,7 @@ def source_anomalies(source: DataFrame, scratch: str) -> DataFrame:
     )
     return long.select(
         "file_month", c("check_name").alias("metric_name"), "rows_affected",
-        F.coalesce(ratio(c("rows_affected") * 100, "rows", 4), F.lit(0.0)).alias("share_pct"),
+        F.coalesce(ratio("rows_affected", "rows", 4, times=100), F.lit(0.0)).alias("share_pct"),
         c("note").alias("action_taken"),
     )
 

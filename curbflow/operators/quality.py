@@ -207,7 +207,7 @@ def all_checks(trips: DataFrame) -> DataFrame:
     ]
     return _scan(trips).select("total", F.explode(F.array(*rows)).alias("k")).select(
         "k.check_group", "k.check_name", "k.rows_affected",
-        F.coalesce(ratio(c("k.rows_affected") * 100, "total", 6), F.lit(0.0)).alias("share_pct"),
+        F.coalesce(ratio("k.rows_affected", "total", 6, times=100), F.lit(0.0)).alias("share_pct"),
         "k.severity", "k.note",
     )
 
@@ -266,6 +266,6 @@ def partition_anomalies(trips: DataFrame) -> DataFrame:
     ]
     return wide.select("partition_id", "total", F.explode(F.array(*structs)).alias("m")).select(
         "partition_id", "m.metric_name", "m.rows_affected",
-        F.coalesce(ratio(c("m.rows_affected") * 100, "total", 4), F.lit(0.0)).alias("share_pct"),
+        F.coalesce(ratio("m.rows_affected", "total", 4, times=100), F.lit(0.0)).alias("share_pct"),
         "m.action_taken",
     )

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, dollars, ratio
-from curbflow.functions.grouping import ROWS, fold, quantile, tally
-from curbflow.plans.marts import WAIT_QUANTILES, airport_ends
-from curbflow.plans.rollups import waits_with_quantiles
+from curbflow.functions.grouping import ROWS, fold, tally, with_quantiles
+from curbflow.plans.marts import airport_ends
+from curbflow.plans.rollups import rounded_quantiles, waits_with_quantiles
 
 c = F.col
 
@@ -24,9 +24,8 @@ FLOOR_PER_MILLI = 1283
 EVENING_HOURS = (22, 23)
 
 
-def _pct(num: Column | str, den: Column | str, digits: int = 4) -> Column:
-    num = c(num) if isinstance(num, str) else num
-    return ratio(num.cast("decimal(34,0)") * 100, den, digits)
+def _pct(num: str, den: str, digits: int = 4) -> Column:
+    return ratio(num, den, digits, times=100)
 
 
 def _count(cond: str) -> Column:
@@ -37,25 +36,23 @@ def _weighted(cond: str) -> Column:
     return F.sum(F.expr(f"CASE WHEN {cond} THEN {ROWS} ELSE 0L END"))
 
 
-def _cents_median(value: str, freq: str) -> Column:
-    return F.bround(F.round(quantile(value, 0.5, freq), 6), 0) / 100.0
-
-
 def tips(measures: DataFrame) -> DataFrame:
     """Mean tip of all trips, share tipped, and the giving customers' habits."""
     # tips repeat (whole cents), so the distinct values are few
     by_value = measures.groupBy("tips").agg(F.count(F.lit(1)).alias(ROWS))
     given = F.when(c("tips") > 0, c("tips"))
-    sums = by_value.withColumn("given", given).agg(
-        F.sum(ROWS).alias("trips"), F.sum(c("tips") * c(ROWS)).alias("total"),
-        _weighted("tips > 0").alias("tipped"),
-        _weighted(f"tips > 0 AND tips < {LARGE_TIP_CENTS}").alias("small"),
-        _weighted(f"tips >= {LARGE_TIP_CENTS}").alias("large"),
-        _cents_median("given", ROWS).alias("median_tip_of_givers"),
+    sums = with_quantiles(
+        by_value.withColumn("given", given), [], [
+            F.sum(ROWS).alias("trips"), F.sum(c("tips") * c(ROWS)).alias("total"),
+            _weighted("tips > 0").alias("tipped"),
+            _weighted(f"tips > 0 AND tips < {LARGE_TIP_CENTS}").alias("small"),
+            _weighted(f"tips >= {LARGE_TIP_CENTS}").alias("large"),
+        ], "given", {"median": 0.5},
     )
     return sums.select(
         "trips", ratio("total", "trips", 4, unit=CENTS).alias("avg_tip"),
-        _pct("tipped", "trips").alias("tipped_pct"), "median_tip_of_givers",
+        _pct("tipped", "trips").alias("tipped_pct"),
+        (F.bround(F.round("median", 6), 0) / 100.0).alias("median_tip_of_givers"),
         _pct("small", "tipped").alias("under_5_pct"), _pct("large", "tipped").alias("from_5_pct"),
     )
 
@@ -85,8 +82,7 @@ def roundup(measures: DataFrame, conversions_pct: tuple[int, ...] = (15, 30, 100
         _pct("too_small", "eligible").alias("too_small_pct"),
         _pct("shown", "eligible").alias("shown_pct"),
         ratio("extra", "shown", 4, unit=CENTS).alias("avg_extra"),
-        ratio(c("extra").cast("decimal(34,0)") * c("conversion_pct"), "tips", 4)
-        .alias("tips_uplift_pct"),
+        ratio("extra * conversion_pct", "tips", 4).alias("tips_uplift_pct"),
     )
 
 
@@ -103,13 +99,12 @@ def tips_by_month(measures: DataFrame) -> DataFrame:
         F.sum(F.when(usual, c("tips"))).over(everything).alias("base_tips"),
         F.sum(F.when(usual, c("trips"))).over(everything).alias("base_trips"),
     )
-    wide = {x: c(x).cast("decimal(19,0)") for x in ("tips", "trips", "base_tips", "base_trips")}
-    expected = wide["base_tips"] * wide["trips"]
-    gain = wide["tips"] * wide["base_trips"] - expected
+    expected = "CAST(base_tips AS DECIMAL(19,0)) * CAST(trips AS DECIMAL(18,0))"
+    actual = "CAST(tips AS DECIMAL(19,0)) * CAST(base_trips AS DECIMAL(18,0))"
     return based.select(
         "month", "trips", ratio("tips", "trips", 4, unit=CENTS).alias("avg_tip"),
         _pct("tipped", "trips").alias("tipped_pct"),
-        ratio(gain.cast("decimal(36,0)") * 100, expected, 2).alias("lift_pct"),
+        _pct(f"({actual} - {expected})", expected, 2).alias("lift_pct"),
     )
 
 
@@ -128,7 +123,7 @@ def busy_hour_pay(measures: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trips"), F.sum("pay").alias("pay"), F.sum("secs").alias("secs")
     ).select(
         "hour_of_day", "trips",
-        ratio(c("pay").cast("decimal(34,0)") * 36, "secs", 2).alias("pay_per_busy_hour"),
+        ratio("pay", "secs", 2, times=36).alias("pay_per_busy_hour"),
     )
 
 
@@ -209,8 +204,8 @@ def bonus_rates(trials: DataFrame, target_pct: int) -> DataFrame:
     first = F.min_by(F.struct("rate_pct", "offers", "responses", "bonus", "margin"), c("rate_pct"))
     return tried.where(fits).groupBy("pu_location_id", "hour_of_day").agg(first.alias("b")).select(
         "pu_location_id", "hour_of_day", "b.rate_pct", "b.offers", "b.responses",
-        ratio("b.bonus", F.lit(1), 2, unit=10000).alias("bonus_paid"),
-        ratio("b.margin", F.lit(1), 2, unit=10000).alias("margin_earned"),
+        ratio("b.bonus", "1", 2, unit=10000).alias("bonus_paid"),
+        ratio("b.margin", "1", 2, unit=10000).alias("margin_earned"),
     )
 
 
@@ -230,16 +225,17 @@ def bonus_trials(measures: DataFrame, rates: tuple[int, ...] = (2, 5, 8, 11, 14)
 def wait_and_speed(measures: DataFrame) -> DataFrame:
     """Waiting beside road speed by hour: long waits on free roads are not traffic."""
     rows = fold(measures, ["hour_of_day"], {"milli": "milli", "secs": "secs"}, "wait")
-    return rows.groupBy("hour_of_day").agg(
+    return rounded_quantiles(
+        rows, ["hour_of_day"],
         F.sum(ROWS).alias("trips"),
         _weighted("wait IS NOT NULL").alias("trips_with_wait"),
-        F.round(quantile("wait", WAIT_QUANTILES["wait_p90"], ROWS), 1).alias("wait_p90"),
         _weighted(f"wait > {t.VERY_LONG_WAIT_SECONDS}").alias("late"),
         F.sum("milli").alias("milli"), F.sum("secs").alias("secs"),
+        quantiles={"wait_p90": 0.9},
     ).select(
         "hour_of_day", c("hour_of_day").isin(*EVENING_HOURS).alias("evening"), "trips", "wait_p90",
         _pct("late", "trips_with_wait").alias("wait_gt15_pct"),
-        ratio(c("milli").cast("decimal(34,0)") * 18, "secs", 2, unit=5).alias("avg_speed_mph"),
+        ratio("milli", "secs", 2, times=18, unit=5).alias("avg_speed_mph"),
     )
 
 
@@ -288,10 +284,9 @@ def airport_trip_time(measures: DataFrame) -> DataFrame:
         "airport", t.airport_name(c("do_location_id"))
     )
     keys = ["airport", "pu_location_id", "hour_of_day"]
-    return fold(to, keys, {}, "secs").groupBy(*keys).agg(
-        F.sum(ROWS).alias("trips"),
-        F.round(quantile("secs", 0.5, ROWS), 1).alias("trip_sec_p50"),
-        F.round(quantile("secs", 0.9, ROWS), 1).alias("trip_sec_p90"),
+    return rounded_quantiles(
+        fold(to, keys, {}, "secs"), keys, F.sum(ROWS).alias("trips"), value="secs",
+        quantiles={"trip_sec_p50": 0.5, "trip_sec_p90": 0.9},
     )
 
 

@@ -34,7 +34,7 @@ def silver(trips: DataFrame) -> DataFrame:
     return trips.groupBy(PARTITION).agg(
         F.count(F.lit(1)).alias("bronze_trips"),
         F.count_if(t.silver_predicate()).alias("silver_trips"),
-    ).withColumn("silver_pct", ratio(c("silver_trips") * 100, "bronze_trips", 4))
+    ).withColumn("silver_pct", ratio("silver_trips", "bronze_trips", 4, times=100))
 
 
 def wait_valid(trips: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def with_totals(measures: DataFrame) -> DataFrame:
     by_operator = fine.groupBy("month", "operator").agg(F.sum("trips").alias("operator_trips"))
     by_month = by_operator.groupBy("month").agg(F.sum("operator_trips").alias("month_trips"))
     return fine.join(by_operator, ["month", "operator"]).join(by_month, "month").withColumn(
-        "share_pct", ratio(c("trips") * 100, "operator_trips", 4)
+        "share_pct", ratio("trips", "operator_trips", 4, times=100)
     )
 
 

@@ -65,13 +65,12 @@ def shared_split(daily: DataFrame) -> DataFrame:
 
 def airport_share(airports: DataFrame) -> DataFrame:
     """Published percentages follow from the counts beside them."""
-    hundred = c("trips") * 100
     return airports.select(
         "month", "airport", "direction", "operator", "trips",
         (
-            (c("airport_share_all_trips_pct") == ratio(hundred, "all_trips_month", 4))
+            (c("airport_share_all_trips_pct") == ratio("trips", "all_trips_month", 4, times=100))
             & (c("airport_share_operator_trips_pct")
-               == ratio(hundred, "all_trips_month_operator", 4))
+               == ratio("trips", "all_trips_month_operator", 4, times=100))
         ).alias("holds"),
     )
 

@@ -101,7 +101,7 @@ def _waits() -> list[Column]:
     return [F.round("wait_p50", 1).alias("wait_p50"), F.round("wait_p90", 1).alias("wait_p90")]
 
 
-def _mean_money(name: str, total: Column | str) -> Column:
+def _mean_money(name: str, total: str) -> Column:
     return ratio(total, "trips", 2, unit=CENTS).alias(name)
 
 
@@ -115,21 +115,19 @@ def _mean_minutes() -> Column:
 
 def _mph() -> Column:
     # thousandths of a mile * 3600 / (seconds * 1000)
-    return ratio(c("s_milli").cast("decimal(34,0)") * 18, c("sum_time_sec"), 2, unit=5).alias(
-        "avg_speed_mph"
-    )
+    return ratio("s_milli", "sum_time_sec", 2, times=18, unit=5).alias("avg_speed_mph")
 
 
 def _per_mile() -> Column:
     # cents / 100 over thousandths / 1000
-    return ratio(c("s_base").cast("decimal(34,0)") * 10, "s_milli", 2).alias("fare_per_mile")
+    return ratio("s_base", "s_milli", 2, times=10).alias("fare_per_mile")
 
 
 def _sum_miles() -> Column:
     return miles("s_milli").alias("sum_miles")
 
 
-def _share(name: str, num: Column | str, den: Column | str, digits: int = 4) -> Column:
+def _share(name: str, num: str, den: str, digits: int = 4) -> Column:
     return ratio(num, den, digits).alias(name)
 
 
@@ -176,6 +174,9 @@ class Mart:
     spread: str | None = None
     quantiles: Mapping[str, float] = field(default_factory=dict)
     prepare: Finish | None = None
+    # keys of the fold and how its rows turn into rows with ``keys``, if they differ
+    fold_keys: list[str] | None = None
+    split: Callable[[DataFrame], DataFrame] | None = None
 
 
 def aggregate(
@@ -235,22 +236,20 @@ def _pricing(b: DataFrame, _: DataFrame) -> DataFrame:
         "trip_date", "operator", "trips",
         _mean_money("avg_base_fare", "s_base"),
         _mean_money("avg_tax", "s_tax"),
-        _mean_money("avg_congestion", c("s_congestion") + c("s_cbd")),
+        _mean_money("avg_congestion", "s_congestion + s_cbd"),
         _mean_money("avg_airport_fee", "s_airport"),
         _mean_money("avg_toll", "s_tolls"),
         _mean_money("avg_bcf", "s_bcf"),
         _mean_money("avg_tip", "s_tips"),
         _mean_money("avg_driver_pay", "s_pay"),
         _mean_money("avg_total_fare", "s_total"),
-        _mean_money("avg_platform_gross_take", c("s_base") - c("s_pay")),
-        _mean_money(
-            "avg_regulatory_load", c("s_bcf") + c("s_tax") + c("s_congestion") + c("s_cbd")
-        ),
-        _mean_money("avg_pass_through", c("s_tolls") + c("s_airport")),
+        _mean_money("avg_platform_gross_take", "s_base - s_pay"),
+        _mean_money("avg_regulatory_load", "s_bcf + s_tax + s_congestion + s_cbd"),
+        _mean_money("avg_pass_through", "s_tolls + s_airport"),
         _per_mile(),
         _share("tip_rate_on_fare", "s_tips", "s_base"),
         _share("tips_to_charges", "s_tips", "s_total"),
-        _share("tips_share_of_paid", "s_tips", c("s_total") + c("s_tips")),
+        _share("tips_share_of_paid", "s_tips", "s_total + s_tips"),
         _share("driver_pay_ratio", "s_pay", "s_base"),
         *_money_sums("sum_base_fare", "sum_total_fare", "sum_tips", "sum_driver_pay"),
         _sum_miles(),
@@ -321,30 +320,48 @@ def _fare_distance(b: DataFrame, _: DataFrame) -> DataFrame:
     )
 
 
-def airport_ends(m: DataFrame, *, with_all: bool = False) -> DataFrame:
-    """One row per airport end of a trip; airport-to-airport trips give two.
+PU_AIRPORT, DO_AIRPORT = "pu_airport", "do_airport"
 
-    ``with_all`` adds a row per trip under direction 'all', so the totals over
-    all trips come from the same scan.
-    """
-    def end(zone: str, direction: str) -> Column:
-        return F.when(
-            t.is_airport(c(zone)),
-            F.struct(t.airport_name(c(zone)).alias("airport"), F.lit(direction).alias("direction")),
-        )
 
-    ends = [end("pu_location_id", "pickup"), end("do_location_id", "dropoff")]
-    if with_all:
-        ends.append(F.struct(F.lit("").alias("airport"), F.lit("all").alias("direction")))
-    return m.select("*", F.explode(F.array_compact(F.array(*ends))).alias("end")).select(
-        *m.columns, "end.airport", "end.direction"
+def _with_airports(m: DataFrame) -> DataFrame:
+    return m.withColumns({
+        PU_AIRPORT: t.airport_name(c("pu_location_id")),
+        DO_AIRPORT: t.airport_name(c("do_location_id")),
+    })
+
+
+def _split_ends(df: DataFrame, extra: list[Column]) -> DataFrame:
+    """A row per airport end, plus the given (airport, direction) structs."""
+    def end(name: str, direction: str) -> Column:
+        return F.when(c(name).isNotNull(), F.struct(
+            c(name).alias("airport"), F.lit(direction).alias("direction")))
+
+    ends = F.array(end(PU_AIRPORT, "pickup"), end(DO_AIRPORT, "dropoff"), *extra)
+    rest = [x for x in df.columns if x not in (PU_AIRPORT, DO_AIRPORT)]
+    return df.select(*rest, F.explode(F.array_compact(ends)).alias("end")).select(
+        *rest, "end.airport", "end.direction"
     )
 
 
+def airport_ends(m: DataFrame) -> DataFrame:
+    """One row per airport end of a trip; airport-to-airport trips give two."""
+    return _split_ends(_with_airports(m), [])
+
+
 def _airport_rows(m: DataFrame, _: DataFrame) -> DataFrame:
-    rows = airport_ends(m, with_all=True)
-    # totals need no waiting times: one folded row per month and operator
-    return rows.withColumn("wait", F.when(c("direction") != "all", c("wait")))
+    # trips elsewhere only count towards totals: without a wait they fold to one row
+    named = _with_airports(m)
+    touches = c(PU_AIRPORT).isNotNull() | c(DO_AIRPORT).isNotNull()
+    return named.withColumn("wait", F.when(touches, c("wait")))
+
+
+def _airport_directions(folded: DataFrame) -> DataFrame:
+    """Split the folded rows into directions; 'all' carries the totals of a month.
+
+    This happens after the map-side fold, so no trip row is ever multiplied.
+    """
+    everything = F.struct(F.lit("").alias("airport"), F.lit("all").alias("direction"))
+    return _split_ends(folded, [everything])
 
 
 def _airports(b: DataFrame, _: DataFrame) -> DataFrame:
@@ -355,12 +372,12 @@ def _airports(b: DataFrame, _: DataFrame) -> DataFrame:
         total.over(by_month).alias("all_trips_month"),
         total.over(Window.partitionBy("month", "operator")).alias("all_trips_month_operator"),
     ).where(c("direction") != "all")
-    hundred = c("trips") * 100
     return with_totals.select(
         "month", "airport", "direction", "operator", "trips",
         "all_trips_month", "all_trips_month_operator",
-        _share("airport_share_all_trips_pct", hundred, "all_trips_month"),
-        _share("airport_share_operator_trips_pct", hundred, "all_trips_month_operator"),
+        ratio("trips", "all_trips_month", 4, times=100).alias("airport_share_all_trips_pct"),
+        ratio("trips", "all_trips_month_operator", 4, times=100)
+        .alias("airport_share_operator_trips_pct"),
         _mean_money("avg_fare", "s_total"), _mean_miles(), _mean_minutes(),
         "trips_with_wait", *_waits(), *_money_sums("sum_total_fare"), _sum_miles(),
     )
@@ -418,7 +435,8 @@ MARTS: dict[str, Mart] = {
     "mart_airports": Mart(
         ["month", "airport", "direction", "operator"],
         WITH_WAIT | DISTANCE | TIME | TOTAL, _airports, "wait", WAIT_QUANTILES,
-        prepare=_airport_rows,
+        prepare=_airport_rows, fold_keys=["month", "operator", PU_AIRPORT, DO_AIRPORT],
+        split=_airport_directions,
     ),
 }
 
@@ -429,7 +447,11 @@ def build(name: str, trips: DataFrame, zones: DataFrame) -> DataFrame:
     rows = t.measures(trips)
     if mart.prepare:
         rows = mart.prepare(rows, zones)
-    base = aggregate(rows, mart.keys, mart.sums, mart.spread, mart.quantiles)
+    if mart.split:
+        folded = mart.split(fold(rows, mart.fold_keys, mart.sums, mart.spread))
+        base = unfold(folded, mart.keys, list(mart.sums), mart.spread, mart.quantiles)
+    else:
+        base = aggregate(rows, mart.keys, mart.sums, mart.spread, mart.quantiles)
     return mart.finish(base, zones)
 
 

@@ -6,12 +6,14 @@ are added up, so the result does not depend on the order of rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, MILLI, cents, dollars, ratio
-from curbflow.functions.grouping import ROWS, fold, quantile
+from curbflow.functions.grouping import ROWS, fold, with_quantiles
 from curbflow.plans.marts import COHORTS, WAIT_QUANTILES
 
 c = F.col
@@ -29,21 +31,31 @@ def _sum_cents(name: str, alias: str) -> Column:
     return F.sum(cents(name)).alias(alias)
 
 
-def _pct(num: Column | str, den: Column | str, digits: int = 4) -> Column:
-    num = c(num) if isinstance(num, str) else num
-    return ratio(num.cast("decimal(34,0)") * 100, den, digits)
+def _pct(num: str, den: str, digits: int = 4) -> Column:
+    return ratio(num, den, digits, times=100)
+
+
+def rounded_quantiles(
+    folded: DataFrame, keys: list[str], *others: Column,
+    value: str = "wait", quantiles: Mapping[str, float] = WAIT_QUANTILES,
+) -> DataFrame:
+    """Quantiles of folded rows to one digit, beside other aggregates."""
+    return with_quantiles(folded, keys, others, value, quantiles).withColumns(
+        {n: F.round(n, 1) for n in quantiles}
+    )
+
+
+def _late(seconds: int) -> Column:
+    return F.sum(F.expr(f"CASE WHEN wait > {seconds} THEN {ROWS} ELSE 0L END"))
 
 
 def waits_with_quantiles(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Valid waits per group: count, exact p50 / p90, long waits."""
-    folded = fold(rows.where(c("wait").isNotNull()), keys, {}, "wait")
-    return folded.groupBy(*keys).agg(
+    return rounded_quantiles(
+        fold(rows.where(c("wait").isNotNull()), keys, {}, "wait"), keys,
         F.sum(ROWS).alias("trips_with_wait"),
-        *[F.round(quantile("wait", q, ROWS), 1).alias(n) for n, q in WAIT_QUANTILES.items()],
-        F.sum(F.expr(f"CASE WHEN wait > {t.LONG_WAIT_SECONDS} THEN {ROWS} ELSE 0L END"))
-        .alias("wait_gt10"),
-        F.sum(F.expr(f"CASE WHEN wait > {t.VERY_LONG_WAIT_SECONDS} THEN {ROWS} ELSE 0L END"))
-        .alias("wait_gt15"),
+        _late(t.LONG_WAIT_SECONDS).alias("wait_gt10"),
+        _late(t.VERY_LONG_WAIT_SECONDS).alias("wait_gt15"),
     )
 
 
@@ -82,7 +94,7 @@ def bias_report(measures: DataFrame, pricing: DataFrame) -> DataFrame:
     return fares.join(days, "operator").select(
         "operator",
         ratio("ratios", "trips", 2, unit=10000).alias("fare_per_mile_mean_of_ratios"),
-        ratio(c("base") * 10, "milli", 2).alias("fare_per_mile_ratio_of_sums"),
+        ratio("base", "milli", 2, times=10).alias("fare_per_mile_ratio_of_sums"),
         ratio("rates", "days", 4, unit=10000).alias("tip_rate_mean_of_days"),
         ratio("tips", "day_base", 4).alias("tip_rate_ratio_of_sums"),
     ).withColumns({
@@ -93,8 +105,8 @@ def bias_report(measures: DataFrame, pricing: DataFrame) -> DataFrame:
 
 
 def _bias(wrong: str, right: str, scale: int) -> Column:
-    a, b = (F.rint(c(x) * scale).cast("bigint") for x in (wrong, right))
-    return ratio((a - b) * 100, b, 2)
+    a, b = (f"CAST(rint({x} * {scale}) AS BIGINT)" for x in (wrong, right))
+    return _pct(f"{a} - {b}", b, 2)
 
 
 def cohort_waits(daily: DataFrame) -> DataFrame:
@@ -118,10 +130,7 @@ def daily_wait_counts(measures: DataFrame) -> DataFrame:
 def merged_quantiles(daily_counts: DataFrame) -> DataFrame:
     """Monthly quantiles from daily value counts: exact, nothing is averaged."""
     monthly = daily_counts.groupBy(_month(), "operator", "wait").agg(_sum(ROWS))
-    return monthly.groupBy("month", "operator").agg(
-        F.sum(ROWS).alias("trips_with_wait"),
-        *[F.round(quantile("wait", q, ROWS), 1).alias(n) for n, q in WAIT_QUANTILES.items()],
-    )
+    return rounded_quantiles(monthly, ["month", "operator"], F.sum(ROWS).alias("trips_with_wait"))
 
 
 def daily_wait_sketches(measures: DataFrame) -> DataFrame:
@@ -182,22 +191,19 @@ def event_day_change(overview: DataFrame, weeks: int = 4) -> DataFrame:
     return normal.select(
         "trip_date", "day_of_week", "trips",
         ratio("before", "weeks", 2).alias("normal_trips"),
-        ratio((c("trips") * c("weeks") - c("before")) * 100, "before", 2).alias("change_pct"),
+        _pct("trips * weeks - before", "before", 2).alias("change_pct"),
     )
 
 
 def kpi_summary(measures: DataFrame) -> DataFrame:
     folded = fold(measures, [], {"total": "total", "milli": "milli", "secs": "secs"}, "wait")
     n_wait = F.sum(F.when(c("wait").isNotNull(), c(ROWS)).otherwise(F.lit(0)))
-    late = F.sum(F.when(c("wait") > t.LONG_WAIT_SECONDS, c(ROWS)).otherwise(F.lit(0)))
-    sums = folded.agg(
-        F.sum(ROWS).alias("trips"), n_wait.alias("trips_with_wait"), late.alias("late"),
-        *[quantile("wait", q, ROWS).alias(n) for n, q in WAIT_QUANTILES.items()],
-        _sum("total"), _sum("milli"), _sum("secs"),
+    sums = rounded_quantiles(
+        folded, [], F.sum(ROWS).alias("trips"), n_wait.alias("trips_with_wait"),
+        _late(t.LONG_WAIT_SECONDS).alias("late"), _sum("total"), _sum("milli"), _sum("secs"),
     )
     return sums.select(
-        "trips", "trips_with_wait",
-        F.round("wait_p50", 1).alias("wait_p50"), F.round("wait_p90", 1).alias("wait_p90"),
+        "trips", "trips_with_wait", "wait_p50", "wait_p90",
         _pct("late", "trips_with_wait").alias("wait_gt10_pct"),
         ratio("total", "trips", 2, unit=CENTS).alias("avg_fare"),
         ratio("milli", "trips", 3, unit=MILLI).alias("avg_distance_miles"),
@@ -212,10 +218,7 @@ def wait_by_borough(measures: DataFrame, zones: DataFrame) -> DataFrame:
     named = folded.join(dim, c("pu_location_id") == c("location_id"), "left")
     # most zones fold into few boroughs: one row per borough and second again
     by_value = named.groupBy("pu_borough", "wait").agg(_sum(ROWS))
-    return by_value.groupBy("pu_borough").agg(
-        F.sum(ROWS).alias("trips_with_wait"),
-        *[F.round(quantile("wait", q, ROWS), 1).alias(n) for n, q in WAIT_QUANTILES.items()],
-    )
+    return rounded_quantiles(by_value, ["pu_borough"], F.sum(ROWS).alias("trips_with_wait"))
 
 
 def worst_wait_slots(measures: DataFrame) -> DataFrame:
@@ -232,7 +235,7 @@ def wav_fulfilment(daily: DataFrame) -> DataFrame:
     )
     return sums.select(
         "operator", "wav_requests",
-        _pct(c("wav_requests") - c("wav_requested_matches"), "wav_requests").alias("unfulfilled_pct"),
+        _pct("wav_requests - wav_requested_matches", "wav_requests").alias("unfulfilled_pct"),
         _pct("wav_requests", "trips").alias("explicit_demand_pct"),
         _pct("actual_wav_trips", "trips").alias("actual_wav_pct"),
     )
@@ -276,7 +279,7 @@ def tip_shares(pricing: DataFrame) -> DataFrame:
         "month", dollars("tips").alias("sum_tips"),
         ratio("tips", "base", 4).alias("tip_rate_on_fare"),
         ratio("tips", "total", 4).alias("tips_to_charges"),
-        ratio("tips", c("total") + c("tips"), 4).alias("tips_share_of_paid"),
+        ratio("tips", "total + tips", 4).alias("tips_share_of_paid"),
     )
 
 

@@ -131,7 +131,7 @@ def test_no_request_gives_null_rate(spark):
 ])
 def test_ratio_rounds_half_to_even(spark, num, den, digits, unit, want):
     df = spark.createDataFrame([(num, den)], "n BIGINT, d BIGINT")
-    assert one(df.select(fixed.ratio("n", "d", digits, unit).alias("x"))).x == want
+    assert one(df.select(fixed.ratio("n", "d", digits, unit=unit).alias("x"))).x == want
 
 
 def test_waits_do_not_depend_on_the_session_zone(spark):

@@ -1,7 +1,9 @@
 """Headline queries timed on one machine; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose
-data and cores. ``load_bronze`` is the load all other queries read from.
+data and cores. ``load_bronze`` is the load all other queries read from, timed
+once. Every query runs twice: ``queries`` is the second run, ``first_run`` the
+one that also compiles its code.
 """
 
 from __future__ import annotations
@@ -44,15 +46,18 @@ def main() -> None:
     work.zones()
     times["load_bronze"] = time.perf_counter() - started
 
+    first = {}
     for name in names:
-        started = time.perf_counter()
-        run(registry.QUERIES[name](spark, sf_dir))
-        times[name] = time.perf_counter() - started
+        for kept in (first, times):
+            started = time.perf_counter()
+            run(registry.QUERIES[name](spark, sf_dir))
+            kept[name] = time.perf_counter() - started
 
     total = sum(times.values())
     print(json.dumps({
         "metric": "total_seconds", "value": round(total, 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
+        "first_run": {k: round(v, 3) for k, v in first.items()},
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus), "trips": rows,
     }))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.functions.fixed import ratio
-from curbflow.functions.grouping import tally
 
 c = F.col
 
@@ -84,9 +83,9 @@ def _moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def _variance() -> Column:
     """Sample variance from whole-number moments: exact up to the last division."""
-    n = c("n").cast("decimal(10,0)")
+    n = c("n").cast("decimal(13,0)")
     s1 = c("s1").cast("decimal(19,0)")
-    num = (n * c("s2").cast("decimal(27,0)")) - (s1 * s1)
+    num = (n * c("s2").cast("decimal(25,0)")) - (s1 * s1)
     return F.try_divide(num.cast("double"), (c("n") * (c("n") - 1)).cast("double"))
 
 
@@ -128,18 +127,19 @@ def sample_size_of(mean: float, sd: float, effect_pct: float) -> int:
     return ceil(2 * (Z_TWO_SIDED_5 + Z_POWER_80) ** 2 * sd * sd / (delta * delta))
 
 
-def balance(rows: DataFrame, covariates: Mapping[str, Column]) -> DataFrame:
+def balance(rows: DataFrame, covariates: Mapping[str, Column], weight: str = "n") -> DataFrame:
     """Share of every level of every covariate in both arms, and their distance.
 
-    ``rows`` carries ``arm`` (0 / 1). Levels are counted in one pass.
+    ``rows`` carries ``arm`` (0 / 1) and, as ``weight``, how many facts a row
+    stands for: facts are best counted per user and level before a join.
     """
     pairs = F.explode(F.array(*[
         F.struct(F.lit(name).alias("covariate"), level.cast("string").alias("level"))
         for name, level in covariates.items()
     ])).alias("p")
-    counts = rows.select("arm", pairs).groupBy("p.covariate", "p.level").agg(
-        F.sum(F.expr(tally("arm = 0"))).alias("n_control"),
-        F.sum(F.expr(tally("arm = 1"))).alias("n_test"),
+    counts = rows.select("arm", c(weight).alias("w"), pairs).groupBy("p.covariate", "p.level").agg(
+        F.sum(F.expr("CASE WHEN arm = 0 THEN w ELSE 0L END")).alias("n_control"),
+        F.sum(F.expr("CASE WHEN arm = 1 THEN w ELSE 0L END")).alias("n_test"),
     )
     w = Window.partitionBy("covariate")
     shares = counts.select(

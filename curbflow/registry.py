@@ -116,8 +116,14 @@ def _per_user(w: Workspace) -> DataFrame:
 
 
 def _assigned_orders(w: Workspace) -> DataFrame:
-    orders = w.table("orders").withColumn("arm", experiments.variant(F.col("o_custkey"), SALT))
-    return orders.join(w.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    """Orders with their customer and arm, counted per customer and level first."""
+    counts = w.table("orders").groupBy(
+        "o_custkey", t.day_of_week(F.col("o_orderdate")).alias("weekday"),
+        F.floor(F.col("o_totalprice") / 50000).alias("price_50k"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(w.table("customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn(
+        "arm", experiments.variant(F.col("o_custkey"), SALT)
+    )
 
 
 def _guard_rules(w: Workspace) -> DataFrame:
@@ -142,8 +148,8 @@ _register(
     sample_size=lambda w: experiments.sample_size(_rows(w)),
     balance_check=lambda w: experiments.balance(_assigned_orders(w), {
         "zone": F.col("c_nationkey"),
-        "weekday": t.day_of_week(F.col("o_orderdate")),
-        "price_50k": F.floor(F.col("o_totalprice") / 50000),
+        "weekday": F.col("weekday"),
+        "price_50k": F.col("price_50k"),
         "user_type": F.col("c_mktsegment"),
     }),
     session_dedupe=lambda w: experiments.sessions(w.table("events")),

@@ -56,7 +56,8 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Source rows of the chosen entry of every month, with ``file_month``.
 
-    Only the entry names (one per month) reach the driver.
+    Only the entry names (one per month) reach the driver. ``file_month``
+    comes from the file path, so a filter on it skips the other months' files.
     """
     entries = inventory(spark, folder).select("format", "entry").collect()
     return _read_entries(spark, [(r.format, r.entry) for r in entries])
@@ -95,14 +96,13 @@ def write(rows: DataFrame, folder: str, fmt: str = "parquet") -> None:
         writer.option("compression", "zstd").parquet(folder)
 
 
-def csv_to_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    """Convert every month that exists only as CSV; others are left alone.
+def csv_to_parquet(spark: SparkSession, folder: str) -> int:
+    """Convert every month that exists only as CSV; returns how many there were.
 
     All pending months go through one job, whose committer shows either all
-    new files or none. Returns the inventory before the conversion.
+    new files or none.
     """
     pending = inventory(spark, folder).where("format = 'csv'").select("format", "entry").collect()
-    before = inventory(spark, folder).collect()
     if pending:
         write(_read_entries(spark, [(r.format, r.entry) for r in pending]), folder, "parquet")
-    return spark.createDataFrame(before)
+    return len(pending)

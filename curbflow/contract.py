@@ -84,14 +84,3 @@ def to_bronze(source: DataFrame) -> DataFrame:
             for c in COLUMNS
         ]
     )
-
-
-def to_source(bronze: DataFrame) -> DataFrame:
-    """Inverse of :func:`to_bronze`, used to write month files."""
-    return bronze.select(
-        *[
-            F.when(F.col(c), F.lit(FLAG_TRUE)).when(~F.col(c), F.lit("N")).alias(c)
-            if c in FLAGS else F.col(c)
-            for c in COLUMNS
-        ]
-    )

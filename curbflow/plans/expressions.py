@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.contract import FLAGS, PARTITION, month_key, to_bronze
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import cents, dollars, ratio
+from curbflow.functions.grouping import fold, tally, unfold
 from curbflow.operators import quality
 from curbflow.plans.marts import airport_ends, named_zones
 
@@ -164,3 +165,48 @@ def bronze_by_month(source: DataFrame) -> DataFrame:
         F.count("on_scene_datetime").alias("on_scene_known"),
         F.count("originating_base_num").alias("originating_known"),
     )
+
+
+def aggregate_functions(measures: DataFrame) -> DataFrame:
+    """Every kind of aggregate the marts use, on one grain.
+
+    Conditional sums give 0 and conditional means NULL for an empty group; a
+    distinct count of several columns counts them as one struct, so rows with
+    a NULL are not dropped; quantiles come from sorted folded rows.
+    """
+    sums = {
+        "scheduled": tally("wait_sec < 0"),
+        "shared_wait_sec": "CASE WHEN shared_request AND wait IS NOT NULL THEN wait ELSE 0L END",
+        "shared_waits": tally("shared_request AND wait IS NOT NULL"),
+        "shared_late": tally("shared_request AND wait > 600"),
+        "secs": "secs", "milli": "milli",
+    }
+    keys = ["month", "operator"]
+    base = unfold(fold(measures, keys, sums, "wait"), keys, list(sums), "wait", {"wait_p50": 0.5})
+    others = measures.groupBy(*keys).agg(
+        F.max("secs").alias("max_secs"),
+        F.count_distinct(F.struct("pu_location_id", "wait")).alias("zone_waits"),
+    )
+    return base.join(others, keys).select(
+        *keys, "trips", "scheduled", "shared_wait_sec", "max_secs", "zone_waits",
+        F.round("wait_p50", 1).alias("wait_p50"),
+        ratio("secs", "trips", 4).alias("avg_secs"),
+        ratio("shared_late", "shared_waits", 4).alias("share_shared_late"),
+        ratio("milli", "secs", 2, times=18, unit=5).alias("mph"),
+    )
+
+
+def stored_order(trips: DataFrame) -> DataFrame:
+    """Rows of each month that break the (zone, time) order of their stored file.
+
+    A file is the output of one task, so the window never spans more than that.
+    """
+    key = F.struct("PULocationID", "pickup_datetime")
+    placed = trips.select(
+        PARTITION, key.alias("key"), c("_metadata.file_path").alias("file"),
+        c("_metadata.row_index").alias("at"),
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return placed.withColumn("broken", before > c("key")).groupBy(PARTITION).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("broken").alias("out_of_order")
+    )

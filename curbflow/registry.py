@@ -192,6 +192,8 @@ _register(
     join_zone_both=lambda w: expressions.by_both_zones(_rows(w), w.zones()),
     join_totals=lambda w: expressions.with_totals(_rows(w)),
     union_directions=lambda w: expressions.directions(_rows(w)),
+    agg_functions=lambda w: expressions.aggregate_functions(_rows(w)),
+    sort_table_keys=lambda w: expressions.stored_order(w.trips()),
     sort_dims_first4=lambda w: airports(w).orderBy(
         *csv_export.sort_columns(airports(w).columns)
     ),

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = (
-    "file_name STRING, partition_id STRING, rows_loaded BIGINT, load_duration_sec DOUBLE, "
-    "status STRING, message STRING"
-)
-
 
 def append_log(entries: DataFrame, path: str) -> None:
     """Append load results, one row per month file and run, with the time of logging."""

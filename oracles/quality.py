@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.base import hits, on_silver, on_silver_zones, on_trips, rate, usd
+from oracles.base import hits, on_silver, on_silver_zones, on_trips, rate, usd, wait_quantile
 from oracles.marts import AIRPORT_VIEW, BUCKET14, LABEL16, LABELS14, SEGMENT
 from oracles.marts import SQL as MART_SQL
 from oracles.reports import pct
@@ -41,6 +41,7 @@ def gap(col: str) -> str:
     ) + ")"
 
 
+MPH_VALUE = rate("sum(milli) * 36", "sum(secs) * 10", 2)
 REPEATED = "(trip_date = DATE '2025-11-02' AND hour_of_day = 1)"
 
 ODS = [
@@ -207,6 +208,15 @@ SQL = {
     "union_directions": on_silver(AIRPORT_VIEW, """
         SELECT airport, direction, pu IN (1,132,138) AND dz IN (1,132,138) AS both_ends, count(*) AS trips
         FROM airport_trips GROUP BY 1, 2, 3"""),
+    "agg_functions": on_silver(f"""
+        SELECT month, operator, count(*) AS trips, {hits('wait_sec < 0')} AS scheduled,
+          CAST(coalesce(sum(wait) FILTER (WHERE shr), 0) AS BIGINT) AS shared_wait_sec, max(secs) AS max_secs,
+          count(DISTINCT (pu, wait)) AS zone_waits, {wait_quantile(0.5)} AS wait_p50,
+          {rate('sum(secs)', 'count(*)', 4)} AS avg_secs,
+          {rate(hits('shr AND wait > 600'), hits('shr AND wait IS NOT NULL'), 4)} AS share_shared_late, {MPH_VALUE} AS mph
+        FROM silver GROUP BY month, operator"""),
+    "sort_table_keys": on_trips("""
+        SELECT ym AS pickup_month, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM trips GROUP BY ym"""),
     "sort_dims_first4": MART_SQL["mart_airports"],
     "val_columns": on_trips(f"""
         SELECT m.ym AS file_month, column_name, 'ok' AS status, CAST(i AS INTEGER) AS expected_position,

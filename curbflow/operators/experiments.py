@@ -178,7 +178,8 @@ def guardrails(per_user: DataFrame, rules: DataFrame) -> DataFrame:
     figures = F.explode(F.array(*[
         F.struct(
             F.lit(name).alias("metric"),
-            *[ratio(f"{col}{a}", f"n{a}", 4, times=times, unit=unit).alias(label) for a, label in ((0, "control"), (1, "test"))],
+            *[ratio(f"{col}{a}", f"n{a}", 4, times=times, unit=unit).alias(label)
+              for a, label in ((0, "control"), (1, "test"))],
         )
         for name, (col, times, unit) in metrics.items()
     ])).alias("f")

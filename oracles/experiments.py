@@ -19,7 +19,7 @@ PER_USER = """per_user AS (
   SELECT c_custkey, arm, coalesce(value, 0) AS value, coalesce(facts, 0) AS facts
   FROM users LEFT JOIN (SELECT o_custkey, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS value, count(*) AS facts
                         FROM orders GROUP BY 1) o ON c_custkey = o_custkey)"""
-VARIANCE = """CAST(n * s2 - s1 * s1 AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)"""
+VARIANCE = """CAST(n * s2 - s1 * s1 AS DOUBLE) / nullif(CAST(n * (n - 1) AS DOUBLE), 0)"""
 
 CELL = """cell AS (
   SELECT *, CAST((-7430 + 5*col) AS DOUBLE) / 100 AS x0, CAST((-7430 + 5*(col+1)) AS DOUBLE) / 100 AS x1,

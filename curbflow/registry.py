@@ -194,9 +194,7 @@ _register(
     union_directions=lambda w: expressions.directions(_rows(w)),
     agg_functions=lambda w: expressions.aggregate_functions(_rows(w)),
     sort_table_keys=lambda w: expressions.stored_order(w.trips()),
-    sort_dims_first4=lambda w: airports(w).orderBy(
-        *csv_export.sort_columns(airports(w).columns)
-    ),
+    sort_dims_first4=lambda w: csv_export.sorted_by_dimensions(airports(w)),
 )
 
 # ── contract, profile, quality ───────────────────────────────────────────────
@@ -259,7 +257,7 @@ def _loaded(w: Workspace) -> DataFrame:
     table = w.scratch("load")
     state = F.col("file_month") % 3
     kept = w.source().where((state == 0) | ((state == 1) & (F.col("PULocationID") > 100)))
-    bronze.write_months(to_bronze(kept), table)
+    bronze.write_months(to_bronze(kept), table, scattered=True)
     return bronze.load(w.spark, _source(w), table)
 
 

@@ -11,18 +11,22 @@ from curbflow.session import exists
 c = F.col
 
 
-def write_months(trips: DataFrame, path: str, *, rebuild: bool = False) -> None:
+def write_months(
+    trips: DataFrame, path: str, *, rebuild: bool = False, scattered: bool = False
+) -> None:
     """Replace exactly the months that occur in ``trips``; all of them on ``rebuild``.
 
-    Rows are range-partitioned by (month, zone, time): every task writes a
-    contiguous, sorted slice, and a month or zone that dominates the data is
-    split over many tasks.
+    Rows read from month files already lie month by month: each task sorts its
+    split by (zone, time) and writes it, without any shuffle. Rows in no such
+    order are ``scattered``; they are first range-partitioned by (month, zone,
+    time), which keeps files few and splits a month or zone that dominates.
     """
     layout = [PARTITION, "PULocationID", "pickup_datetime"]
+    rows = trips.withColumn(PARTITION, month_key(c("pickup_datetime")))
+    if scattered:
+        rows = rows.repartitionByRange(*layout)
     (
-        trips.withColumn(PARTITION, month_key(c("pickup_datetime")))
-        .repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
+        rows.sortWithinPartitions(*layout)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
         .option("compression", "zstd")
@@ -50,7 +54,7 @@ def partition_summary(trips: DataFrame) -> DataFrame:
 def load_plan(expected: DataFrame, existing: DataFrame, force: bool = False) -> DataFrame:
     """What to do with each month: skip equal counts, load absent, replace the rest.
 
-    ``expected``: (file_month, expected); ``existing``: (pickup_month, existing).
+    ``expected``: (file_month, expected, ...); ``existing``: (pickup_month, existing).
     """
     found = F.coalesce("existing", F.lit(0))
     status = (
@@ -59,7 +63,7 @@ def load_plan(expected: DataFrame, existing: DataFrame, force: bool = False) ->
         .otherwise("replaced")
     )
     return expected.join(existing, c("file_month") == c(PARTITION), "left").select(
-        "file_month", "expected", found.alias("existing"), status.alias("status")
+        *expected.columns, found.alias("existing"), status.alias("status")
     )
 
 
@@ -84,9 +88,7 @@ def load(
     one row per month, reaches the driver.
     """
     checked = foreign_rows(source).withColumnRenamed("rows", "expected")
-    existing = month_counts(spark, path)
-    plan = load_plan(checked.drop("foreign_rows"), existing, force or rebuild)
-    steps = plan.join(checked.select("file_month", "foreign_rows"), "file_month").collect()
+    steps = load_plan(checked, month_counts(spark, path), force or rebuild).collect()
     strangers = {r.file_month: r.foreign_rows for r in steps if r.foreign_rows}
     if strangers:
         raise ValueError(f"rows of another month in the files of {strangers}")

@@ -31,6 +31,10 @@ def sort_columns(columns: list[str]) -> list[str]:
     return dims[:SORT_COLUMNS] or columns[:1]
 
 
+def sorted_by_dimensions(df: DataFrame) -> DataFrame:
+    return df.orderBy(*sort_columns(df.columns))
+
+
 def _text(field: T.StructField) -> Column:
     col = F.col(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
@@ -58,11 +62,10 @@ def export(df: DataFrame, path: str, sep: str = ",") -> int:
     parts, so no task has to hold a whole table.
     """
     rows = df.count()
-    keys = sort_columns(df.columns)
     if rows <= SINGLE_FILE_ROWS:
-        ordered = df.repartition(1).sortWithinPartitions(*keys)
+        ordered = df.repartition(1).sortWithinPartitions(*sort_columns(df.columns))
     else:
-        ordered = df.orderBy(*keys)
+        ordered = sorted_by_dimensions(df)
     lines(ordered, sep).write.mode("overwrite").csv(
         path, header=True, sep=_OFF, quote="", escapeQuotes=False,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,

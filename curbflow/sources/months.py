@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from curbflow.contract import SOURCE_SCHEMA
 
 # Fixed value: naming of the published month files.
-NAME = r"fhvhv_tripdata_(\d{4})-(\d{2})\.(csv|parquet)"
+STEM = "fhvhv_tripdata_"
+NAME = STEM + r"(\d{4})-(\d{2})\.(csv|parquet)"
 ENTRY = rf"^(.*?{NAME})(/|$)"
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 
@@ -78,16 +79,17 @@ def _read_entries(spark: SparkSession, entries: list[tuple[str, str]]) -> DataFr
 
 
 def _with_month(df: DataFrame) -> DataFrame:
-    path = c("_metadata.file_path")
-    month = F.concat(F.regexp_extract(path, ENTRY, 2), F.regexp_extract(path, ENTRY, 3))
-    return df.select("*", month.cast("int").alias("file_month"))
+    # evaluated per row, so by position and not by pattern: YYYY-MM after the stem
+    stamp = F.substring_index(c("_metadata.file_path"), STEM, -1)
+    month = F.concat(stamp.substr(1, 4), stamp.substr(6, 2)).cast("int")
+    return df.select("*", month.alias("file_month"))
 
 
 def write(rows: DataFrame, folder: str, fmt: str = "parquet") -> None:
     """Write source rows as month entries below ``folder`` in a single job."""
     month = c("file_month").cast("string")
     name = F.concat(
-        F.lit("fhvhv_tripdata_"), month.substr(1, 4), F.lit("-"), month.substr(5, 2), F.lit(f".{fmt}")
+        F.lit(STEM), month.substr(1, 4), F.lit("-"), month.substr(5, 2), F.lit(f".{fmt}")
     )
     writer = rows.withColumn("file", name).drop("file_month").write.mode("append").partitionBy("file")
     if fmt == "csv":

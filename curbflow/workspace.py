@@ -40,7 +40,7 @@ class Workspace:
         return bronze.read(self.spark, self.once("bronze", self._write_bronze))
 
     def _write_bronze(self, path: str) -> None:
-        bronze.write_months(derived.trips(self.spark, self.sf_dir), path)
+        bronze.write_months(derived.trips(self.spark, self.sf_dir), path, scattered=True)
 
     def zones(self) -> DataFrame:
         path = self.once(

@@ -28,10 +28,17 @@ def fold(
 
 def unfold(
     folded: DataFrame, keys: Sequence[str], sums: Sequence[str], spread: str,
-    quantiles: Mapping[str, float],
+    quantiles: Mapping[str, float], of_spread: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Group totals from :func:`fold` output; NULL quantiles for empty groups."""
-    totals = [F.sum(ROWS).alias("trips"), *[F.sum(k).alias(k) for k in sums]]
+    """Group totals from :func:`fold` output; NULL quantiles for empty groups.
+
+    ``of_spread`` are sums that follow from the folded value and its count
+    alone, so the fold does not have to carry them.
+    """
+    totals = [
+        F.sum(ROWS).alias("trips"), *[F.sum(k).alias(k) for k in sums],
+        *[F.sum(F.expr(v)).alias(k) for k, v in (of_spread or {}).items()],
+    ]
     return with_quantiles(folded, keys, totals, spread, quantiles)
 
 
@@ -64,6 +71,11 @@ def with_quantiles(
     ])
 
 
+def rows_where(cond: str) -> str:
+    """SQL of the rows a folded row stands for, if ``cond`` holds for it."""
+    return f"CASE WHEN {cond} THEN {ROWS} ELSE 0L END"
+
+
 def tally(cond: str) -> str:
     """SQL of 1 where true, else 0: sums to a count."""
     return f"CASE WHEN {cond} THEN 1L ELSE 0L END"

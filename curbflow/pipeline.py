@@ -55,8 +55,9 @@ def load(
     source = months.read(spark, files)
 
     # only months that will be written need profiling
-    expected = source.groupBy("file_month").agg(F.count(F.lit(1)).alias("expected"))
-    plan = bronze.load_plan(expected, bronze.month_counts(spark, table), force or rebuild)
+    plan = bronze.load_plan(
+        bronze.file_counts(source), bronze.month_counts(spark, table), force or rebuild
+    )
     todo = [r.file_month for r in plan.where("status <> 'skipped'").collect()]
     pending = source.where(c("file_month").isin(todo)) if todo else None
     if pending is not None:

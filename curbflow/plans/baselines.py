@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, dollars, ratio
-from curbflow.functions.grouping import ROWS, fold, tally, with_quantiles
+from curbflow.functions.grouping import ROWS, fold, rows_where, tally, with_quantiles
 from curbflow.plans.marts import airport_ends
 from curbflow.plans.rollups import rounded_quantiles, waits_with_quantiles
 
@@ -33,7 +33,7 @@ def _count(cond: str) -> Column:
 
 
 def _weighted(cond: str) -> Column:
-    return F.sum(F.expr(f"CASE WHEN {cond} THEN {ROWS} ELSE 0L END"))
+    return F.sum(F.expr(rows_where(cond)))
 
 
 def tips(measures: DataFrame) -> DataFrame:

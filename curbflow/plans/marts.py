@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, MILLI, dollars, miles, ratio
-from curbflow.functions.grouping import fold, tally, unfold
+from curbflow.functions.grouping import ROWS, fold, rows_where, tally, unfold
 
 c = F.col
 WAIT_QUANTILES = {"wait_p50": 0.5, "wait_p90": 0.9}
@@ -32,10 +32,11 @@ def _wait_over(seconds: int, cond: str = "true") -> str:
 
 
 SCHEDULED: Sums = {"scheduled_rides": tally("wait_sec < 0")}
-WITH_WAIT: Sums = {"trips_with_wait": tally("wait IS NOT NULL")}
+# these follow from the folded wait and its count
+WITH_WAIT: Sums = {"trips_with_wait": rows_where("wait IS NOT NULL")}
 LATE: Sums = {
-    "trips_wait_gt10": _wait_over(t.LONG_WAIT_SECONDS),
-    "trips_wait_gt15": _wait_over(t.VERY_LONG_WAIT_SECONDS),
+    "trips_wait_gt10": rows_where(f"wait > {t.LONG_WAIT_SECONDS}"),
+    "trips_wait_gt15": rows_where(f"wait > {t.VERY_LONG_WAIT_SECONDS}"),
 }
 DISTANCE: Sums = {"s_milli": "milli"}
 TIME: Sums = {"sum_time_sec": "secs"}
@@ -173,6 +174,8 @@ class Mart:
     finish: Finish
     spread: str | None = None
     quantiles: Mapping[str, float] = field(default_factory=dict)
+    # sums over folded rows, from the spread value and the row count
+    of_spread: Mapping[str, str] = field(default_factory=dict)
     prepare: Finish | None = None
     # keys of the fold and how its rows turn into rows with ``keys``, if they differ
     fold_keys: list[str] | None = None
@@ -185,10 +188,12 @@ def aggregate(
     sums: Mapping[str, str],
     spread: str | None = None,
     quantiles: Mapping[str, float] | None = None,
+    of_spread: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows per group as ``trips``, the sums, and quantiles of ``spread`` if asked."""
     if spread:
-        return unfold(fold(rows, keys, sums, spread), keys, list(sums), spread, quantiles or {})
+        folded = fold(rows, keys, sums, spread)
+        return unfold(folded, keys, list(sums), spread, quantiles or {}, of_spread)
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trips"), *[F.sum(F.expr(v)).alias(k) for k, v in sums.items()]
     )
@@ -386,21 +391,21 @@ def _airports(b: DataFrame, _: DataFrame) -> DataFrame:
 MARTS: dict[str, Mart] = {
     "mart_overview_daily": Mart(
         ["trip_date", "operator"],
-        SCHEDULED | WITH_WAIT | DISTANCE | TIME | TOTAL,
-        _overview, "wait", WAIT_QUANTILES,
+        SCHEDULED | DISTANCE | TIME | TOTAL,
+        _overview, "wait", WAIT_QUANTILES, WITH_WAIT,
     ),
     "mart_hourly_pattern": Mart(
         ["month", "hour_of_day", "day_of_week", "operator"],
-        SCHEDULED | WITH_WAIT | LATE | DISTANCE | TIME | TOTAL
+        SCHEDULED | DISTANCE | TIME | TOTAL
         | {k: FEATURES[k] for k in (
             "shared_requests", "shared_requested_matches", "wav_requests", "wav_requested_matches",
         )},
-        _hourly, "wait", WAIT_QUANTILES,
+        _hourly, "wait", WAIT_QUANTILES, WITH_WAIT | LATE,
     ),
     "mart_pickup_zones": Mart(
         ["trip_date", "pu_location_id", "operator"],
-        SCHEDULED | WITH_WAIT | DISTANCE | TOTAL,
-        _pickup_zones, "wait", WAIT_QUANTILES,
+        SCHEDULED | DISTANCE | TOTAL,
+        _pickup_zones, "wait", WAIT_QUANTILES, WITH_WAIT,
     ),
     "mart_routes": Mart(["month", "pu_location_id", "do_location_id"], {}, _routes),
     "mart_pricing": Mart(
@@ -430,11 +435,12 @@ MARTS: dict[str, Mart] = {
     ),
     "mart_fare_distance": Mart(
         ["month", "operator", "mile_bin"],
-        MONEY | DISTANCE | TIME, _fare_distance, "base", {"fare_p50": 0.5, "fare_p90": 0.9},
+        TOTAL | DISTANCE | TIME, _fare_distance, "base", {"fare_p50": 0.5, "fare_p90": 0.9},
+        {"s_base": f"base * {ROWS}"},
     ),
     "mart_airports": Mart(
         ["month", "airport", "direction", "operator"],
-        WITH_WAIT | DISTANCE | TIME | TOTAL, _airports, "wait", WAIT_QUANTILES,
+        DISTANCE | TIME | TOTAL, _airports, "wait", WAIT_QUANTILES, WITH_WAIT,
         prepare=_airport_rows, fold_keys=["month", "operator", PU_AIRPORT, DO_AIRPORT],
         split=_airport_directions,
     ),
@@ -449,9 +455,13 @@ def build(name: str, trips: DataFrame, zones: DataFrame) -> DataFrame:
         rows = mart.prepare(rows, zones)
     if mart.split:
         folded = mart.split(fold(rows, mart.fold_keys, mart.sums, mart.spread))
-        base = unfold(folded, mart.keys, list(mart.sums), mart.spread, mart.quantiles)
+        base = unfold(
+            folded, mart.keys, list(mart.sums), mart.spread, mart.quantiles, mart.of_spread
+        )
     else:
-        base = aggregate(rows, mart.keys, mart.sums, mart.spread, mart.quantiles)
+        base = aggregate(
+            rows, mart.keys, mart.sums, mart.spread, mart.quantiles, mart.of_spread
+        )
     return mart.finish(base, zones)
 
 
@@ -474,11 +484,12 @@ def shared_bases(trips: DataFrame) -> dict[str, tuple[DataFrame, list[str]]]:
         for n in names:
             sums.update(MARTS[n].sums)
         folded = next((MARTS[n] for n in names if MARTS[n].spread), None)
-        bases["+".join(keys)] = (
-            aggregate(
-                rows, list(keys), sums,
-                folded.spread if folded else None, folded.quantiles if folded else None,
-            ),
-            names,
-        )
+        if folded:
+            rest = {k: v for k, v in sums.items() if k not in folded.of_spread}
+            base = aggregate(
+                rows, list(keys), rest, folded.spread, folded.quantiles, folded.of_spread
+            )
+        else:
+            base = aggregate(rows, list(keys), sums)
+        bases["+".join(keys)] = (base, names)
     return bases

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, MILLI, cents, dollars, ratio
-from curbflow.functions.grouping import ROWS, fold, with_quantiles
+from curbflow.functions.grouping import ROWS, fold, rows_where, with_quantiles
 from curbflow.plans.marts import COHORTS, WAIT_QUANTILES
 
 c = F.col
@@ -46,7 +46,7 @@ def rounded_quantiles(
 
 
 def _late(seconds: int) -> Column:
-    return F.sum(F.expr(f"CASE WHEN wait > {seconds} THEN {ROWS} ELSE 0L END"))
+    return F.sum(F.expr(rows_where(f"wait > {seconds}")))
 
 
 def waits_with_quantiles(rows: DataFrame, keys: list[str]) -> DataFrame:

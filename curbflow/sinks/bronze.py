@@ -51,10 +51,15 @@ def partition_summary(trips: DataFrame) -> DataFrame:
     return trips.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def file_counts(source: DataFrame) -> DataFrame:
+    """Rows per month file, from footers: the month comes from the path."""
+    return source.groupBy("file_month").agg(F.count(F.lit(1)).alias("expected"))
+
+
 def load_plan(expected: DataFrame, existing: DataFrame, force: bool = False) -> DataFrame:
     """What to do with each month: skip equal counts, load absent, replace the rest.
 
-    ``expected``: (file_month, expected, ...); ``existing``: (pickup_month, existing).
+    ``expected``: (file_month, expected); ``existing``: (pickup_month, existing).
     """
     found = F.coalesce("existing", F.lit(0))
     status = (
@@ -87,15 +92,15 @@ def load(
     stored month does not have the file's row count. Only the month list,
     one row per month, reaches the driver.
     """
-    checked = foreign_rows(source).withColumnRenamed("rows", "expected")
-    steps = load_plan(checked, month_counts(spark, path), force or rebuild).collect()
-    strangers = {r.file_month: r.foreign_rows for r in steps if r.foreign_rows}
-    if strangers:
-        raise ValueError(f"rows of another month in the files of {strangers}")
+    steps = load_plan(file_counts(source), month_counts(spark, path), force or rebuild).collect()
     todo = [r.file_month for r in steps if r.status != "skipped"]
     if todo:
-        pending = to_bronze(source.where(c("file_month").isin(todo)))
-        write_months(pending, path, rebuild=rebuild)
+        pending = source.where(c("file_month").isin(todo))
+        strangers = foreign_rows(pending).where("foreign_rows > 0").collect()
+        if strangers:
+            found = {r.file_month: r.foreign_rows for r in strangers}
+            raise ValueError(f"rows of another month in the files of {found}")
+        write_months(to_bronze(pending), path, rebuild=rebuild)
     stored = {r[PARTITION]: r.existing for r in month_counts(spark, path).collect()}
     wrong = {r.file_month: (stored.get(r.file_month, 0), r.expected)
              for r in steps if stored.get(r.file_month, 0) != r.expected}

@@ -18,7 +18,7 @@ from curbflow.sinks import bronze
 from curbflow.sources import derived, months
 from curbflow.sources import zones as zone_source
 
-_written: set[str] = set()
+_written: dict[str, str] = {}
 
 
 class Workspace:
@@ -28,11 +28,14 @@ class Workspace:
         self.root = folder(spark, digest(sf_dir))
 
     def once(self, name: str, write) -> str:
-        path = f"{self.root}/{name}"
-        # only a write that returned is remembered; a half-written one is repeated
-        if path not in _written or not exists(self.spark, path):
+        key = f"{self.root}/{name}"
+        path = _written.get(key)
+        if path is None or not exists(self.spark, path):
+            # a folder of its own, remembered only when the write returned:
+            # what a failed attempt left behind is never read or added to
+            path = self.scratch(name)
             write(path)
-            _written.add(path)
+            _written[key] = path
         return path
 
     def trips(self) -> DataFrame:

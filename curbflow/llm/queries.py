@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import simhash
+from curbflow.llm import quality, simhash
 from curbflow.llm.common import session, table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session(spark), sf_dir, "documents")
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    return quality.judged(docs.select("doc_id", "text"), trusted).select("doc_id", "verdict.*")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(session(spark), sf_dir, "documents"))
     return groups.select(
@@ -19,6 +25,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 

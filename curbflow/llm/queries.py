@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import quality, simhash
+from curbflow.llm import packing, quality, simhash
 from curbflow.llm.common import session, table
 
 
@@ -17,6 +17,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs.select("doc_id", "text"), trusted).select("doc_id", "verdict.*")
 
 
+def _tokenizer(name: str) -> str:
+    """Path of a public tokenizer file, the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """The packing with production parameters, ids as their checksum."""
+    pieces = packing.pack(docs, _tokenizer("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(session(spark), sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(session(spark), sf_dir, "documents"))
     return groups.select(
@@ -26,6 +45,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_harmonic_packing": op4_harmonic_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from unicodedata import is_normalized
 from zlib import crc32
 
 import numpy as np
@@ -50,45 +51,58 @@ CUT = T.StructType(
 PIECE = T.StructType([*CUT.fields[:6], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
 
-class WordEncoder:
-    """Token ids of texts for a tokenizer that lower-cases and drops white space.
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as a letter: itself if printable, else from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+class WordEncoder(dict):
+    """Token ids of texts for a byte-level tokenizer that lower-cases and drops white space.
 
     No token of such a tokenizer spans white space, so words are encoded once and
-    remembered. Texts that hold one of its special strings are encoded whole.
+    remembered. A lower-case word of Latin letters is one piece, which goes to
+    the vocabulary's merges directly; any other word goes through the whole
+    tokenizer, as do texts that hold one of its special strings.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        self.letters = _byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[bytes, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, word: bytes) -> bytes:
-        # a full stop or comma after a letter is a token of its own
-        if word[-1:] in (b".", b",") and word[-2:-1].isalpha():
-            return self._known(word[:-1]) + self._known(word[-1:])
-        return self._plain(word.decode())
-
-    def _known(self, word: bytes) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = self.known[word] = self._word(word)
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        if word.isalpha():
+            ids = self._merged(text)
+        elif word[-1:] in (b".", b",") and word[-2:-1].isalpha():
+            # a full stop or comma after a letter is a token of its own
+            ids = self[word[:-1]] + self._plain(text[-1])
+        elif text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
+            ids = self._merged(word.decode("latin-1").translate(self.letters))
+        else:
+            ids = self._plain(text)
+        self[word] = ids
         return ids
 
+    def _merged(self, piece: str) -> bytes:
+        return np.array([t.id for t in self.merges.tokenize(piece)], "<u4").tobytes()
+
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids, one after another."""
         if any(s in text for s in self.special):
             return self._plain(text)
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        words = text.encode().lower().split()
-        for word in {w for w in words if w not in self.known}:
-            self._known(word)
-        return b"".join(map(self.known.__getitem__, words))
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.encode().lower().split()))
 
 
 @functools.lru_cache(maxsize=2)

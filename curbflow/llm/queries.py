@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import packing, quality, simhash
+from curbflow.llm import packing, pii, quality, simhash
 from curbflow.llm.common import session, table
 
 
@@ -36,6 +36,26 @@ def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(session(spark), sf_dir, "documents"))
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op7_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.all_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "doc_id",
+        *map(number, pii.KINDS),
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(session(spark), sf_dir, "documents"))
     return groups.select(
@@ -46,6 +66,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_harmonic_packing": op4_harmonic_packing,
+    "op7_pii_disclosure": op7_pii_disclosure,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 

@@ -14,6 +14,7 @@ sequences whose length is a power of two.
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized
 from zlib import crc32
@@ -32,7 +33,8 @@ END_ID = 2
 #: Rests up to this length are not cut further.
 SMALL = 64
 #: Distinct words that a Python worker remembers the ids of.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 800_000
+_MARKS = b"!#$%&()*,-./:;<=>?@[]^_`{|}~"
 #: Bytes of ids handed back to Spark at once.
 BATCH_BYTES = 16 << 20
 
@@ -77,24 +79,25 @@ class WordEncoder(dict):
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
+        letters = word.rstrip(_MARKS)
         if word.isalpha():
             ids = self._merged(text)
-        elif word[-1:] in (b".", b",") and word[-2:-1].isalpha():
-            # a full stop or comma after a letter is a token of its own
-            ids = self[word[:-1]] + self._plain(text[-1])
-        elif text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
-            ids = self._merged(word.decode("latin-1").translate(self.letters))
+        elif letters and letters != word and text[-1 - len(word) + len(letters)].isalpha():
+            # marks after a letter are a token run of their own
+            ids = self[letters] + self[word[len(letters) :]]
+        elif max(text) < "\u0250" and is_normalized("NFC", text) and text.isalpha() and text.lower().isalpha():
+            ids = self._merged(text.lower().encode().decode("latin-1").translate(self.letters))
         else:
             ids = self._plain(text)
         self[word] = ids
         return ids
 
     def _merged(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.merges.tokenize(piece)], "<u4").tobytes()
+        return array("I", [t.id for t in self.merges.tokenize(piece)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids, one after another."""

@@ -249,13 +249,15 @@ def _held(rows: DataFrame, pii: str = "pii") -> DataFrame:
     )
 
 
-def _joined(rows: DataFrame, extra: DataFrame, pii: str) -> DataFrame:
-    """Rows with an ``extra`` column: left join on (doc_id, text hash), null ids included."""
-    return rows.join(
-        extra.select(F.col("doc_id").alias("_x_id"), F.col("hash").alias("_x_hash"), F.col("extra").alias("_x_spans")),
-        rows["doc_id"].eqNullSafe(F.col("_x_id")) & (rows[f"{pii}.hash"] == F.col("_x_hash")),
-        "left",
-    )
+_EXTRA = "array<struct<start:bigint,end:bigint,only:boolean>>"
+
+
+def _joined(rows: DataFrame, extra: DataFrame, pii: str) -> tuple[DataFrame, Column]:
+    """Rows with their term spans: a left join on (doc_id, text hash), null ids included."""
+    key, mark, spans = (fresh(rows, x) for x in ("_id", "_hash", "_terms"))
+    right = extra.select(F.col("doc_id").alias(key), F.col("hash").alias(mark), F.col("extra").alias(spans))
+    match = rows["doc_id"].eqNullSafe(F.col(key)) & (rows[f"{pii}.hash"] == F.col(mark))
+    return rows.join(right, match, "left"), F.coalesce(F.col(spans), F.array().cast(_EXTRA))
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
@@ -270,14 +272,14 @@ def all_spans(docs: DataFrame) -> DataFrame:
     rows = stored(found(only).drop("text"), "pii-found")
     held = _held(rows)
     extra = term_spans(held, disclosed(held, only))
+    joined, own = _joined(rows, extra, "pii")
     terms = F.transform(
-        F.coalesce(F.col("_x_spans"), F.array().cast("array<struct<start:bigint,end:bigint,only:boolean>>")),
-        lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")),
+        own, lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end"))
     )
     base = F.transform(
         "pii.spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     )
-    return _joined(rows, extra, "pii").select("doc_id", F.concat(base, terms).alias("spans"))
+    return joined.select("doc_id", F.concat(base, terms).alias("spans"))
 
 
 def _rewritten(text: Column, spans: Column) -> Column:
@@ -310,7 +312,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     rows = stored(found(docs, pii), "pii-rows")
     held = _held(rows, pii)
     extra = term_spans(held, disclosed(held, rows.select("text")))
-    hits = _joined(rows.where(F.size(f"{pii}.spans") > 0), extra, pii)
+    hits, own = _joined(rows.where(F.size(f"{pii}.spans") > 0), extra, pii)
     says = F.create_map(*[F.lit(x) for k in KINDS for x in (k, f"[{k.upper()}]")])
     spans = F.concat(
         F.transform(
@@ -318,7 +320,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
             lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), says[s["kind"]].alias("says")),
         ),
         F.transform(
-            F.coalesce(F.col("_x_spans"), F.array().cast("array<struct<start:bigint,end:bigint,only:boolean>>")),
+            own,
             lambda t: F.struct(
                 t["start"].alias("start"), t["end"].alias("end"),
                 F.when(t["only"], "").otherwise("[TERM]").alias("says"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import packing, pii, quality, simhash
+from curbflow.llm import mixing, packing, pii, quality, simhash
 from curbflow.llm.common import session, table
 
 
@@ -63,11 +63,18 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    names = {k: k for k in ("n_tokens", "topic", "probability", "sampled")}
+    return mixing.calibrated(docs, names).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_harmonic_packing": op4_harmonic_packing,
     "op7_pii_disclosure": op7_pii_disclosure,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_raked_mixing": op9_raked_mixing,
 }
 
 SQL: dict[str, str] = {}

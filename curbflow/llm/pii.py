@@ -14,11 +14,10 @@ before their shuffle, and texts without identifiers are never moved.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbflow.llm.arrays import before, let
 from curbflow.llm.common import fresh, stored
 
 #: Share of an entity's information at which a term counts as disclosing it.
@@ -42,36 +41,6 @@ _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: A term: a run of letters between white space, closing marks aside; no identifier holds one.
 _TERM = r"(?<!\S)\p{L}{%d,}(?=[.,;:!?)\"]*(?:\s|$))" % TERM_MIN
-_BLOCK = 64
-
-
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _total(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
-
-
-def _before(sizes: Column) -> Column:
-    """Exclusive running sums, over blocks so that long arrays stay cheap."""
-    last = F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")
-    in_blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(sizes, b * _BLOCK + 1, _BLOCK))
-
-    def inside(block: Column, sums: Column, b: Column) -> Column:
-        return _let(
-            _total(F.slice(sums, F.lit(1), b)),
-            lambda start: F.transform(block, lambda _, i: start + _total(F.slice(block, F.lit(1), i))),
-        )
-
-    return _let(
-        in_blocks,
-        lambda blocks: _let(
-            F.transform(blocks, _total),
-            lambda sums: F.flatten(F.transform(blocks, lambda block, b: inside(block, sums, b))),
-        ),
-    )
 
 
 def matches(text: Column, pattern: str, needs: str = "") -> Column:
@@ -80,15 +49,15 @@ def matches(text: Column, pattern: str, needs: str = "") -> Column:
     none = F.array().cast("array<struct<value:string,start:bigint,end:bigint,left:string,right:string>>")
 
     def placed(values: Column) -> Column:
-        return _let(
+        return let(
             F.split(text, pattern, -1),
-            lambda pieces: _let(
-                _before(
+            lambda pieces: let(
+                before(
                     F.transform(values, lambda v, i: F.length(pieces[i]).cast("long") + F.length(v))
                 ),
                 lambda starts: F.transform(
                     values,
-                    lambda v, i: _let(
+                    lambda v, i: let(
                         starts[i] + F.length(pieces[i]),
                         lambda s: F.struct(
                             v.alias("value"),
@@ -102,7 +71,7 @@ def matches(text: Column, pattern: str, needs: str = "") -> Column:
             ),
         )
 
-    result = _let(found, lambda values: F.when(F.size(values) > 0, placed(values)).otherwise(none))
+    result = let(found, lambda values: F.when(F.size(values) > 0, placed(values)).otherwise(none))
     return F.when(F.contains(text, F.lit(needs)), result).otherwise(none) if needs else result
 
 

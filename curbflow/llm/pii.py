@@ -166,7 +166,7 @@ def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``held`` has ``spans`` and ``terms`` of all rows, ``docs`` their texts.
     """
-    total = F.broadcast(docs.agg(F.count("*").alias("n")))  # one row
+    total = docs.count()
     entities = (
         held.select(F.explode(F.array_distinct(F.col("spans.entity"))).alias("entity"))
         .groupBy("entity")
@@ -188,7 +188,7 @@ def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("term")
         .agg(F.count("*").alias("n_t"))
     )
-    counted = pairs.join(words, "term").join(entities, "entity").crossJoin(total)
+    counted = pairs.join(words, "term").join(entities, "entity").withColumn("n", F.lit(total))
     information = F.log2(F.col("n") * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
     return counted.where(
         (F.col("n") > F.col("n_c")) & (information >= DISCLOSURE * F.log2(F.col("n") / F.col("n_c")))

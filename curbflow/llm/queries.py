@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import chat, mixing, packing, pii, quality, simhash, warc
+from curbflow.llm import chat, mixing, packing, pii, quality, secrets, simhash, warc
 from curbflow.llm.common import session, stored, table
 
 
@@ -36,6 +36,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs.select("doc_id", "text"), trusted).select("doc_id", "verdict.*")
 
 
+def _number(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def _listed(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scanned(table(session(spark), sf_dir, "documents").select("doc_id", "text"), "spans")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return rows.select(
+        "doc_id",
+        *map(_number, secrets.BASE),
+        F.sha2(_listed(base), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+    )
+
+
 def _tokenizer(name: str) -> str:
     """Path of a public tokenizer file, the same on every machine that has the package."""
     import public_tokenizers
@@ -78,21 +98,12 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _listed(spans: Column) -> Column:
-    """kind:start:end of each span, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
 def op7_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.all_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "term")
-
-    def number(kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-
     return rows.select(
         "doc_id",
-        *map(number, pii.KINDS),
+        *map(_number, pii.KINDS),
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
     )
@@ -114,6 +125,7 @@ def op9_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_quality_rules": op2_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
     "op4_harmonic_packing": op4_harmonic_packing,
     "op5_chat_formatting": op5_chat_formatting,
     "op7_pii_disclosure": op7_pii_disclosure,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import chat, mixing, packing, pii, quality, secrets, simhash, warc
+from curbflow.llm import chat, mixing, packing, pii, quality, secrets, simhash, tokens, vectors, warc
 from curbflow.llm.common import session, stored, table
 
 
@@ -98,6 +98,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session(spark), sf_dir, "documents").select("doc_id", "text")
+    return tokens.counted(docs, _tokenizer("piece_bpe_32k.model")).select("doc_id", "tokens.*")
+
+
 def op7_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.all_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "term")
@@ -122,15 +127,21 @@ def op9_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.calibrated(docs, names).drop("text")
 
 
+def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(session(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_quality_rules": op2_quality_rules,
     "op3_secret_scan": op3_secret_scan,
     "op4_harmonic_packing": op4_harmonic_packing,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_token_counts": op6_token_counts,
     "op7_pii_disclosure": op7_pii_disclosure,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_raked_mixing": op9_raked_mixing,
+    "op10_vector_near_dedup": op10_vector_near_dedup,
 }
 
 SQL: dict[str, str] = {

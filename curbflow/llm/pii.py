@@ -5,8 +5,9 @@ entity is judged by the corpus: with n documents, n_c holding the entity, n_t th
 term and n_ct the term beside the entity, the term's pointwise information
 log2(n * n_ct / (n_c * n_t)) is compared with the information of the entity
 itself, log2(n / n_c). A term that carries at least ``DISCLOSURE`` of it is
-disclosed: removed if it stands nowhere else, else generalised. Rare pairs
-(below ``SUPPORT`` documents) are no evidence. Counts cover all documents.
+disclosed: removed if it stands nowhere else, else generalised. A pair
+is evidence from ``SUPPORT`` different texts on; copies of one text are one. Counts
+cover all documents.
 
 Everything is DataFrame functions; the corpus counts are aggregates that combine
 before their shuffle, and texts without identifiers are never moved.
@@ -22,7 +23,7 @@ from curbflow.llm.common import fresh, stored
 
 #: Share of an entity's information at which a term counts as disclosing it.
 DISCLOSURE = 0.9
-#: Documents in which a term must stand beside the entity.
+#: Different texts in which a term must stand beside the entity.
 SUPPORT = 3
 #: Characters on either side of an identifier in which terms count as beside it.
 WINDOW = 80
@@ -172,15 +173,14 @@ def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
         .groupBy("entity")
         .agg(F.count("*").alias("n_c"))
     )
+    both = F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term")))
     pairs = (
-        held.select(
-            F.explode(
-                F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-            ).alias("p")
-        )
-        .groupBy("p.entity", "p.term")
-        .agg(F.count("*").alias("n_ct"))
-        .where(F.col("n_ct") >= SUPPORT)
+        held.select("hash", F.explode(F.array_distinct(both)).alias("p"))
+        .groupBy("p.entity", "p.term", "hash")
+        .agg(F.count("*").alias("n"))
+        .groupBy("entity", "term")
+        .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts"))
+        .where(F.col("texts") >= SUPPORT)
     )
     words = (
         docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))

@@ -185,11 +185,11 @@ def _link_groups(max_bits: int, limit: int):
                     kept, open_key, size, over = [], key, 0, False
                 kept.append(frame.iloc[s:e])
                 size += e - s
-                if size > limit and kept[0]["width"].iloc[0] > 8:
-                    over = True
-                    for k_ in kept:
-                        yield back(k_)
-                    kept = [frame.iloc[0:0]]
+                over = over or (size > limit and frame["width"].iloc[s] > 8)
+                if over:
+                    for part_ in kept:
+                        yield back(part_)
+                    kept = []
         close()
         yield forest.rows()
 

@@ -48,5 +48,20 @@ def miles(sum_milli: str) -> Column:
     return ratio(sum_milli, "1", 2, unit=MILLI)
 
 
+def plain_number(x: Column | str) -> Column:
+    """Every digit of a number as decimal text, without exponent or trailing zeros.
+
+    Numbers beyond what 38 digits can write, and those that are none, keep
+    their own text.
+    """
+    value = _col(x)
+    text = value.cast("string")
+    size = F.abs(value.cast("double"))
+    large, small = (value.try_cast(f"decimal(38,{n})").cast("string") for n in (9, 37))
+    wide = F.coalesce(F.when(size >= 1, large).otherwise(small), text)
+    text = F.when(text.contains("E"), wide).otherwise(text)
+    return F.when(text.contains(".") & ~text.contains("E"), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+
+
 def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x

@@ -7,6 +7,7 @@ reduces rows with a map-side aggregate before it moves them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,12 +51,24 @@ def week_index(day: Column) -> Column:
     return F.floor(F.datediff(day, F.to_date(F.lit(FIRST_MONDAY))) / 7).cast("int")
 
 
-def switchback(measures: DataFrame) -> DataFrame:
-    """Zone x hour units that alternate on and off by week, with their trips."""
-    units = measures.groupBy(
-        "pu_location_id", "hour_of_day", week_index(c("trip_date")).alias("week_index")
-    ).agg(F.count(F.lit(1)).alias("trips"))
+def switchback(measures: DataFrame, zones: DataFrame) -> DataFrame:
+    """Zone x hour x week units that alternate on and off by week, with their trips.
+
+    Units without trips are units too. Zones come from the lookup, weeks from
+    the first to the last one with trips, so the grid has a known size.
+    """
+    week = week_index(c("trip_date")).alias("week_index")
+    keys = ["pu_location_id", "hour_of_day", "week_index"]
+    trips = measures.groupBy("pu_location_id", "hour_of_day", week).agg(F.count(F.lit(1)).alias("trips"))
+    first, last = trips.agg(F.min("week_index"), F.max("week_index")).first()
+    weeks = F.sequence(F.lit(first), F.lit(last)) if first is not None else F.array().cast("array<int>")
+    grid = (
+        zones.select(c("location_id").cast("int").alias("pu_location_id")).distinct()
+        .select("pu_location_id", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_of_day"))
+        .select("pu_location_id", "hour_of_day", F.explode(weeks).alias("week_index"))
+    )
     on = F.pmod(c("week_index") + c("pu_location_id"), F.lit(2)) == 0
+    units = grid.join(trips, keys, "left").select(*keys, F.coalesce("trips", F.lit(0)).alias("trips"))
     return units.withColumn("arm", F.when(on, "on").otherwise("off"))
 
 
@@ -82,11 +95,15 @@ def _moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def _variance() -> Column:
-    """Sample variance from whole-number moments: exact up to the last division."""
-    n = c("n").cast("decimal(13,0)")
-    s1 = c("s1").cast("decimal(19,0)")
-    num = (n * c("s2").cast("decimal(25,0)")) - (s1 * s1)
-    return F.try_divide(num.cast("double"), (c("n") * (c("n") - 1)).cast("double"))
+    """Sample variance from whole-number moments: exact up to the last division.
+
+    Where the products leave 38 digits, the same formula on doubles takes over.
+    """
+    n, s1, s2 = (c(x).cast("double") for x in ("n", "s1", "s2"))
+    squares = F.try_multiply(c("n").try_cast("decimal(13,0)"), c("s2").try_cast("decimal(25,0)"))
+    square = F.try_multiply(c("s1").try_cast("decimal(19,0)"), c("s1").try_cast("decimal(19,0)"))
+    exact = F.try_divide(F.try_subtract(squares, square).cast("double"), n * (n - 1))
+    return F.coalesce(exact, F.try_divide(s2 - s1 * s1 / n, n - 1))
 
 
 def itt_summary(per_user: DataFrame) -> DataFrame:
@@ -221,22 +238,27 @@ def sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
 
 
 def funnel(events: DataFrame, steps: Sequence[str]) -> DataFrame:
-    """Users who reach each step in order, by the first time of every step."""
-    firsts = events.groupBy("user_id").agg(*[
-        F.min(F.when(c("event_type") == s, c("ts"))).alias(f"t{i}") for i, s in enumerate(steps)
-    ])
-    reached, conds = None, []
-    for i in range(len(steps)):
-        here = c(f"t{i}").isNotNull() if i == 0 else c(f"t{i}") >= c(f"t{i - 1}")
-        reached = here if reached is None else reached & here
-        conds.append(F.count_if(reached).alias(f"n{i}"))
-    counts = firsts.agg(*conds)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("step_order"), F.lit(s).alias("step"), c(f"n{i}").alias("users"),
-                 c(f"n{max(i - 1, 0)}").alias("previous"), c("n0").alias("entered"))
-        for i, s in enumerate(steps)
-    ])).alias("r")
-    return counts.select(rows).select("r.*").select(
+    """Users who do the steps in order: each step at or after the earliest way through the one before.
+
+    A user's times of a step are reduced to distinct ones before they move, and
+    only the earliest that follows is kept, so a busy user stays small.
+    """
+    times = events.where(c("event_type").isin(*steps)).groupBy("user_id", "event_type", "ts").agg(F.lit(1).alias("one"))
+    reached, counts = None, []
+    for i, step in enumerate(steps):
+        here = times.where(c("event_type") == step).select("user_id", "ts")
+        if reached is not None:
+            here = here.join(reached, "user_id").where(c("ts") >= c("reached"))
+        reached = here.groupBy("user_id").agg(F.min("ts").alias("reached"))
+        counts.append(reached.agg(
+            F.lit(i + 1).alias("step_order"), F.lit(step).alias("step"), F.count(F.lit(1)).alias("users")
+        ))
+    rows = reduce(DataFrame.unionByName, counts)
+    w = Window.orderBy("step_order")  # a row per step
+    return rows.select(
+        "step_order", "step", "users",
+        F.coalesce(F.lag("users").over(w), c("users")).alias("previous"), F.first("users").over(w).alias("entered"),
+    ).select(
         "step_order", "step", "users",
         ratio("users", "previous", 4, times=100).alias("from_previous_pct"),
         ratio("users", "entered", 4, times=100).alias("from_first_pct"),

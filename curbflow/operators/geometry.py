@@ -90,11 +90,12 @@ def swap_coordinates(features: DataFrame) -> DataFrame:
 
 
 def geometry_errors(features: DataFrame) -> DataFrame:
-    """Features converted and features without a geometry."""
+    """Features converted, and those without a geometry or with one of an unknown type."""
+    known = F.coalesce(c("geometry.type").isin(*DEPTH), F.lit(False))
     return parse(features).agg(
         F.count(F.lit(1)).alias("features"),
-        F.count_if(c("geometry").isNotNull()).alias("converted"),
-        F.count_if(c("geometry").isNull()).alias("errors"),
+        F.count_if(known).alias("converted"),
+        F.count_if(~known).alias("errors"),
     )
 
 
@@ -125,20 +126,22 @@ def write_zone_csv(features: DataFrame, path: str) -> None:
 
 
 def adjacency(features: DataFrame) -> DataFrame:
-    """(zone_id, neighbour_id) of zones whose outlines share a segment.
+    """(zone_id, neighbour_id) of zones whose outlines, holes included, share a segment.
 
     Segments are reduced to distinct (segment, zone) first, so the join sees
     each zone outline once however many features repeat it.
     """
-    ring = c("rings")[0]
+    ring = c("ring")
+    last = F.size(ring) - 2
     segment = F.transform(
-        F.sequence(F.lit(0), F.size(ring) - 2),
+        F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
         lambda i: F.array_join(F.array_sort(F.array(
             F.array_join(F.get(ring, i), " "), F.array_join(F.get(ring, i + 1), " ")
         )), " - "),
     )
-    sides = polygons(features).select(
-        c("location_id").alias("zone_id"), F.explode(segment).alias("segment")
+    rings = polygons(features).select(c("location_id").alias("zone_id"), F.explode("rings").alias("ring"))
+    sides = rings.select(
+        "zone_id", F.explode(segment).alias("segment")
     ).distinct()
     other = sides.withColumnRenamed("zone_id", "neighbour_id")
     return sides.join(other, "segment").where("zone_id <> neighbour_id").select(

@@ -86,12 +86,14 @@ def load(
 
     gold.publish(zone_source.read_lookup(spark, zone_csv).coalesce(1), warehouse, "zones")
     built = gold.build_all(trips, gold.current(spark, warehouse, "zones"), f"{warehouse}/gold")
-    bronze.partition_summary(trips).orderBy(PARTITION).show(1000)
+    for month in bronze.partition_summary(trips).orderBy(PARTITION).collect():  # a row per month
+        print(month[PARTITION], month.rows)
     return built
 
 
 def export(
-    spark: SparkSession, warehouse: str, out: str, sep: str = ",", with_quality: bool = False
+    spark: SparkSession, warehouse: str, out: str, sep: str = ",", with_quality: bool = False,
+    single: bool = False,
 ) -> DataFrame:
     """Write every mart, and the service tables if asked, as CSV."""
     tables = {n: gold.current(spark, f"{warehouse}/gold", n) for n in marts.MARTS}
@@ -101,7 +103,7 @@ def export(
                 service.read_log(spark, f"{warehouse}/{name}") if name == "etl_load_log"
                 else gold.current(spark, warehouse, name)
             )
-    return csv_export.export_summary(spark, csv_export.export_all(tables, out, sep), out)
+    return csv_export.export_summary(spark, csv_export.export_all(tables, out, sep, single), out)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -117,14 +119,16 @@ def main(argv: list[str] | None = None) -> None:
     exporting.add_argument("--out", required=True)
     exporting.add_argument("--sep", default=",")
     exporting.add_argument("--with-quality", action="store_true")
+    exporting.add_argument("--single-file", action="store_true", help="one file per table")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("curbflow").getOrCreate()
     if args.command == "load":
         load(spark, args.files, args.zones, args.warehouse, force=args.force, migrate=args.migrate)
     else:
-        export(spark, args.warehouse, args.out, args.sep, args.with_quality).show(100, False)
-
+        summary = export(spark, args.warehouse, args.out, args.sep, args.with_quality, args.single_file)
+        for row in summary.collect():  # a row per table
+            print(*row)
 
 
 if __name__ == "__main__":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbflow.functions.fixed import cents, ratio
@@ -63,14 +63,17 @@ def shared_split(daily: DataFrame) -> DataFrame:
     )
 
 
-def airport_share(airports: DataFrame) -> DataFrame:
-    """Published percentages follow from the counts beside them."""
-    return airports.select(
+def airport_share(airports: DataFrame, measures: DataFrame) -> DataFrame:
+    """Published percentages are those of totals counted again from the trips."""
+    totals = measures.groupBy("month", "operator").agg(F.count(F.lit(1)).alias("of_operator")).withColumn(
+        "of_month", F.sum("of_operator").over(Window.partitionBy("month"))
+    )
+    return airports.join(totals, ["month", "operator"], "left").select(
         "month", "airport", "direction", "operator", "trips",
-        (
-            (c("airport_share_all_trips_pct") == ratio("trips", "all_trips_month", 4, times=100))
-            & (c("airport_share_operator_trips_pct")
-               == ratio("trips", "all_trips_month_operator", 4, times=100))
+        F.coalesce(
+            (F.abs(c("airport_share_all_trips_pct") - 100.0 * c("trips") / c("of_month")) <= 0.00005001)
+            & (F.abs(c("airport_share_operator_trips_pct") - 100.0 * c("trips") / c("of_operator")) <= 0.00005001),
+            F.lit(False),
         ).alias("holds"),
     )
 
@@ -81,8 +84,7 @@ def month_totals(airports: DataFrame, measures: DataFrame) -> DataFrame:
         F.min("all_trips_month").alias("least"), F.max("all_trips_month").alias("all_trips_month")
     )
     right = measures.groupBy("month").agg(F.count(F.lit(1)).alias("silver_trips"))
-    return left.join(right, "month").select(
-        "month", "all_trips_month", "silver_trips",
-        ((c("least") == c("all_trips_month")) & (c("all_trips_month") == c("silver_trips")))
-        .alias("holds"),
+    same = (c("least") == c("all_trips_month")) & (c("all_trips_month") == c("silver_trips"))
+    return left.join(right, "month", "full").select(
+        "month", "all_trips_month", "silver_trips", F.coalesce(same, F.lit(False)).alias("holds"),
     )

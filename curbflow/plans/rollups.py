@@ -80,10 +80,10 @@ def bias_report(measures: DataFrame, pricing: DataFrame) -> DataFrame:
 
     Fare per mile is averaged over trips, the tip rate over days.
     """
-    # per-trip ratio in ten-thousandths of a dollar per mile
-    per_trip = F.expr("(base * 100000L) div milli")
+    # per-trip ratio in ten-thousandths of a dollar per mile; none for a distance that rounds to zero
+    per_trip = F.expr("CASE WHEN milli <> 0 THEN (base * 100000L) div milli END")
     fares = measures.groupBy("operator").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum(per_trip).alias("ratios"),
+        F.count(per_trip).alias("trips"), F.sum(per_trip).alias("ratios"),
         F.sum("base").alias("base"), F.sum("milli").alias("milli"),
     )
     days = pricing.groupBy("operator").agg(
@@ -179,19 +179,25 @@ def demand_profile(hourly: DataFrame) -> DataFrame:
 
 
 def event_day_change(overview: DataFrame, weeks: int = 4) -> DataFrame:
-    """Each date against the mean of the same weekday in the preceding weeks."""
-    daily = overview.groupBy("trip_date").agg(_sum("trips")).withColumn(
-        "day_of_week", t.day_of_week(c("trip_date"))
-    )
-    w = Window.partitionBy("day_of_week").orderBy("trip_date").rowsBetween(-weeks, -1)
+    """Each date against the mean of the same weekday in the preceding weeks.
+
+    The weeks are those before the date, by the calendar; dates for which not
+    all of them have trips stay, with the weeks there are and no comparison.
+    """
+    daily = overview.groupBy("trip_date").agg(_sum("trips")).withColumns({
+        "day_of_week": t.day_of_week(c("trip_date")),
+        "day": F.datediff("trip_date", F.to_date(F.lit("2000-01-03"))),
+    })
+    w = Window.partitionBy("day_of_week").orderBy("day").rangeBetween(-7 * weeks, -7)
     normal = daily.select(
         "trip_date", "day_of_week", "trips",
-        F.sum("trips").over(w).alias("before"), F.count("trips").over(w).alias("weeks"),
-    ).where(c("weeks") == weeks)
+        F.sum("trips").over(w).alias("before"), F.count("trips").over(w).cast("int").alias("weeks"),
+    )
+    full = c("weeks") == weeks
     return normal.select(
-        "trip_date", "day_of_week", "trips",
-        ratio("before", "weeks", 2).alias("normal_trips"),
-        _pct("trips * weeks - before", "before", 2).alias("change_pct"),
+        "trip_date", "day_of_week", "trips", "weeks",
+        F.when(full, ratio("before", "weeks", 2)).alias("normal_trips"),
+        F.when(full, _pct("trips * weeks - before", "before", 2)).alias("change_pct"),
     )
 
 

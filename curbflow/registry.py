@@ -47,7 +47,7 @@ _register(
     inv_histogram_total=lambda w: invariants.histogram_total(histogram(w), overview(w)),
     inv_price_components=lambda w: invariants.price_components(pricing(w)),
     inv_shared_split=lambda w: invariants.shared_split(daily(w)),
-    inv_airport_share=lambda w: invariants.airport_share(airports(w)),
+    inv_airport_share=lambda w: invariants.airport_share(airports(w), _rows(w)),
     inv_month_totals=lambda w: invariants.month_totals(airports(w), _rows(w)),
 )
 
@@ -143,7 +143,7 @@ def _zone_csv(w: Workspace) -> DataFrame:
 
 _register(
     ab_assign=_users,
-    switchback_assign=lambda w: experiments.switchback(_rows(w)),
+    switchback_assign=lambda w: experiments.switchback(_rows(w), w.zones()),
     itt_summary=lambda w: experiments.itt_summary(_per_user(w)),
     sample_size=lambda w: experiments.sample_size(_rows(w)),
     balance_check=lambda w: experiments.balance(_assigned_orders(w), {

@@ -36,7 +36,7 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return f"{named.rstrip('/')}/curbflow-{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     own = _own_roots.get(spark.sparkContext.applicationId)
     if own is None:

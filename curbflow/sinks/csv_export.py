@@ -1,8 +1,8 @@
 """CSV files for spreadsheets: UTF-8 with a byte order mark, strings quoted.
 
 Lines are built as text, because numbers stay bare while strings, dates and
-the header are quoted. The header is the name of the only column, so every
-part file carries it.
+the header are quoted. Parts are globally sorted; mark and header are the first
+line of the first, so that the parts in order are one CSV file.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbflow.functions.fixed import plain_number
+
 BOM = "\ufeff"
 NULL = "\\N"
 # Dimensions by which an export is sorted, in this order of preference.
@@ -20,9 +22,6 @@ DIMENSIONS = [
     "operator", "check_group", "column_name", "file_name", "location_id",
 ]
 SORT_COLUMNS = 4
-# a table this small is one sorted file; beyond it, sorted parts
-SINGLE_FILE_ROWS = 2_000_000
-_OFF = "\u0001"  # never occurs in the lines
 
 
 def sort_columns(columns: list[str]) -> list[str]:
@@ -38,8 +37,7 @@ def sorted_by_dimensions(df: DataFrame) -> DataFrame:
 def _text(field: T.StructField) -> Column:
     col = F.col(field.name)
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        # decimal notation, without exponent or trailing zeros
-        text = F.regexp_replace(col.cast("decimal(38,6)").cast("string"), r"\.?0+$", "")
+        text = plain_number(col)
     elif isinstance(field.dataType, (T.IntegralType, T.BooleanType)):
         text = col.cast("string")
     else:
@@ -48,37 +46,41 @@ def _text(field: T.StructField) -> Column:
     return F.coalesce(text, F.lit(NULL))
 
 
+def header(columns: list[str], sep: str = ",") -> str:
+    return BOM + sep.join(f'"{n}"' for n in columns)
+
+
 def lines(df: DataFrame, sep: str = ",") -> DataFrame:
-    """One text line per row, under a column named like the header line."""
-    header = BOM + sep.join(f'"{n}"' for n in df.columns)
-    return df.select(F.concat_ws(sep, *[_text(f) for f in df.schema.fields]).alias(header))
+    """``value``: the header line, then one text line per row sorted by the table's dimensions."""
+    keys = sort_columns(df.columns)
+    text = F.concat_ws(sep, *[_text(f) for f in df.schema.fields])
+    rows = df.select(
+        text.alias("value"), F.lit(1).alias("place"), *[F.col(k).alias(f"by{i}") for i, k in enumerate(keys)]
+    )
+    top = df.sparkSession.createDataFrame([(header(df.columns, sep), 0)], "value STRING, place INT")
+    top = top.select("*", *[F.lit(None).cast(rows.schema[f"by{i}"].dataType).alias(f"by{i}") for i in range(len(keys))])
+    return rows.unionByName(top).orderBy("place", *[f"by{i}" for i in range(len(keys))]).select("value")
 
 
-def export(df: DataFrame, path: str, sep: str = ",") -> int:
+def export(df: DataFrame, path: str, sep: str = ",", single: bool = False) -> int:
     """Write one table sorted by its dimensions; returns the rows written.
 
-    Gold tables are bounded by their dimensions, and small ones become a
-    single file. The size is checked first: anything larger keeps its sorted
-    parts, so no task has to hold a whole table.
+    ``single`` asks for one file, written by one task; what is written does not
+    depend on the size.
     """
-    rows = df.count()
-    if rows <= SINGLE_FILE_ROWS:
-        ordered = df.repartition(1).sortWithinPartitions(*sort_columns(df.columns))
-    else:
-        ordered = sorted_by_dimensions(df)
-    lines(ordered, sep).write.mode("overwrite").csv(
-        path, header=True, sep=_OFF, quote="", escapeQuotes=False,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
-    return rows
+    text = lines(df, sep)
+    (text.coalesce(1) if single else text).write.mode("overwrite").text(path)
+    return df.count()
 
 
-def export_all(tables: dict[str, DataFrame], out: str, sep: str = ",") -> list[tuple[str, int | None, str]]:
+def export_all(
+    tables: dict[str, DataFrame], out: str, sep: str = ",", single: bool = False
+) -> list[tuple[str, int | None, str]]:
     """Export several tables; a failing one is reported and the rest go on."""
     report = []
     for name, df in tables.items():
         try:
-            report.append((name, export(df, f"{out}/{name}.csv", sep), "ok"))
+            report.append((name, export(df, f"{out}/{name}.csv", sep, single), "ok"))
         except Exception as exc:  # noqa: BLE001
             report.append((name, None, str(exc).splitlines()[0]))
     return report

@@ -33,27 +33,34 @@ STEPS = ("view", "click", "signup", "purchase")
 
 
 def _funnel() -> str:
-    firsts = ", ".join(f"min(ts) FILTER (WHERE event_type = '{s}') AS t{i}" for i, s in enumerate(STEPS))
-    conds, counts = [], []
-    for i in range(len(STEPS)):
-        conds.append("t0 IS NOT NULL" if i == 0 else f"t{i} >= t{i - 1}")
-        counts.append(f"count(*) FILTER (WHERE {' AND '.join(conds)}) AS n{i}")
+    """Each step found by an as-of join: the next event of its kind from the time reached."""
+    first = f"r0 AS (SELECT user_id, min(ts) AS ts FROM events WHERE event_type = '{STEPS[0]}' GROUP BY user_id)"
+    later = [
+        f"r{i} AS (SELECT r.user_id, e.ts FROM r{i - 1} r ASOF JOIN (SELECT user_id, ts FROM events "
+        f"WHERE event_type = '{s}') e ON r.user_id = e.user_id AND r.ts <= e.ts)"
+        for i, s in enumerate(STEPS) if i
+    ]
+    sizes = ", ".join(f"(SELECT count(*) FROM r{i}) AS n{i}" for i in range(len(STEPS)))
     rows = " UNION ALL ".join(
         f"SELECT CAST({i + 1} AS INTEGER) AS step_order, '{s}' AS step, n{i} AS users, "
         f"{rate(f'100 * n{i}', f'n{max(i - 1, 0)}', 4)} AS from_previous_pct, "
         f"{rate(f'100 * n{i}', 'n0', 4)} AS from_first_pct FROM c"
         for i, s in enumerate(STEPS)
     )
-    return over(f"f AS (SELECT user_id, {firsts} FROM events GROUP BY user_id)",
-                f"c AS (SELECT {', '.join(counts)} FROM f)", rows)
+    return over(first, *later, f"c AS (SELECT {sizes})", rows)
 
 
 SQL = {
     "ab_assign": over(USERS, "SELECT c_custkey, arm FROM users"),
     "switchback_assign": on_silver("""
-        SELECT pu AS pu_location_id, hour_of_day, CAST(week AS INTEGER) AS week_index, count(*) AS trips,
-          CASE WHEN (week + pu) % 2 = 0 THEN 'on' ELSE 'off' END AS arm
-        FROM (SELECT *, date_diff('day', DATE '2024-12-30', trip_date) // 7 AS week FROM silver) GROUP BY pu, hour_of_day, week"""),
+        k AS (SELECT pu, hour_of_day, CAST(date_diff('day', DATE '2024-12-30', trip_date) // 7 AS INTEGER) AS week,
+              count(*) AS trips FROM silver GROUP BY ALL)""", """
+        SELECT CAST(z.pu AS INTEGER) AS pu_location_id, CAST(h.hour_of_day AS INTEGER) AS hour_of_day,
+          CAST(w.week AS INTEGER) AS week_index, coalesce(k.trips, 0) AS trips,
+          CASE WHEN (w.week + z.pu) % 2 = 0 THEN 'on' ELSE 'off' END AS arm
+        FROM range(1, 266) z(pu) CROSS JOIN range(24) h(hour_of_day)
+        CROSS JOIN (SELECT unnest(range(min(week), max(week) + 1)) AS week FROM k) w
+        LEFT JOIN k ON k.pu = z.pu AND k.hour_of_day = h.hour_of_day AND k.week = w.week"""),
     "itt_summary": over(USERS, PER_USER, f"""
         m AS (SELECT arm, count(*) AS n, sum(CAST(value AS HUGEINT)) AS s1, sum(CAST(value AS HUGEINT) * value) AS s2 FROM per_user GROUP BY arm),
         v AS (SELECT arm, n, {rate('s1', 'n * 100', 4)} AS mean, {VARIANCE} / 10000 AS variance FROM m)""", """

@@ -7,6 +7,7 @@ from oracles.marts import AIRPORT_VIEW, BUCKET14, LABEL16, LABELS14, SEGMENT
 from oracles.marts import SQL as MART_SQL
 from oracles.reports import pct
 
+# Columns and types of the trip contract.
 CONTRACT = [
     ("hvfhs_license_num", "string"), ("dispatching_base_num", "string"),
     ("originating_base_num", "string"), ("request_datetime", "timestamp_ntz"),
@@ -44,6 +45,7 @@ def gap(col: str) -> str:
 MPH_VALUE = rate("sum(milli) * 36", "sum(secs) * 10", 2)
 REPEATED = "(trip_date = DATE '2025-11-02' AND hour_of_day = 1)"
 
+# Groups, names and severities of the check table.
 ODS = [
     ("zones", "PULocationID вне 1-265", "pu NOT BETWEEN 1 AND 265", "error"),
     ("zones", "DOLocationID вне 1-265", "dz NOT BETWEEN 1 AND 265", "error"),

@@ -42,17 +42,18 @@ SQL = {
         FROM silver GROUP BY trip_date, operator"""),
     "inv_airport_share": on_silver(AIRPORT_VIEW, """
         SELECT month, airport, direction, operator, count(*) AS trips, true AS holds
-        FROM airport_trips GROUP BY ALL"""),
+        FROM airport_trips GROUP BY month, airport, direction, operator"""),
     "inv_month_totals": on_silver("""
-        SELECT month, count(*) AS all_trips_month, count(*) AS silver_trips, true AS holds FROM silver
-        GROUP BY month HAVING count(*) FILTER (WHERE pu IN (1,132,138) OR dz IN (1,132,138)) > 0"""),
+        SELECT month, CASE WHEN count(*) FILTER (WHERE pu IN (1,132,138) OR dz IN (1,132,138)) > 0 THEN count(*) END AS all_trips_month, count(*) AS silver_trips,
+          count(*) FILTER (WHERE pu IN (1,132,138) OR dz IN (1,132,138)) > 0 AS holds
+        FROM silver GROUP BY month"""),
     "reagg_ratio": on_silver(f"""
         SELECT month, operator, count(*) AS trips, {rate('sum(tips)', 'sum(base)', 4)} AS tip_rate_on_fare,
           {rate('sum(pay)', 'sum(base)', 4)} AS driver_pay_ratio,
           {rate('sum(total)', 'count(*) * 100', 2)} AS avg_total_fare
         FROM silver GROUP BY month, operator"""),
     "reagg_bias_report": on_silver(PRICING, f"""
-        f AS (SELECT operator, {rate('sum((base * 100000) // milli)', 'count(*) * 10000', 2)} AS a,
+        f AS (SELECT operator, {rate('sum((base * 100000) // milli) FILTER (milli <> 0)', 'count(*) FILTER (milli <> 0) * 10000', 2)} AS a,
              {rate('sum(base) * 10', 'sum(milli)', 2)} AS b FROM silver GROUP BY operator)""", f"""
         d AS (SELECT operator, {rate('sum(CAST(round(tip_rate * 10000) AS BIGINT))', 'count(*) * 10000', 4)} AS a,
              {rate('sum(tips)', 'sum(base)', 4)} AS b FROM pricing GROUP BY operator)""", f"""
@@ -79,13 +80,14 @@ SQL = {
           trips = min(trips) OVER (PARTITION BY profile) AS is_minimum
         FROM (SELECT 'hour' AS profile, hour_of_day AS slot, count(*) AS trips FROM silver GROUP BY 2
               UNION ALL SELECT 'weekday', day_of_week, count(*) FROM silver GROUP BY 2)"""),
-    "event_day_drop": on_silver(f"""
-        SELECT trip_date, day_of_week, trips, {rate('b', 'k', 2)} AS normal_trips,
-          {rate('100 * (trips * k - b)', 'b', 2)} AS change_pct
-        FROM (SELECT *, sum(trips) OVER w AS b, count(*) OVER w AS k
-              FROM (SELECT trip_date, day_of_week, count(*) AS trips FROM silver GROUP BY 1, 2)
-              WINDOW w AS (PARTITION BY day_of_week ORDER BY trip_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING))
-        WHERE k = 4"""),
+    "event_day_drop": on_silver("""
+        d AS (SELECT trip_date, day_of_week, count(*) AS trips FROM silver GROUP BY 1, 2)""", """
+        p AS (SELECT a.trip_date, a.day_of_week, a.trips, CAST(count(b.trips) AS INTEGER) AS weeks, sum(b.trips) AS b
+              FROM d a LEFT JOIN d b ON date_diff('day', b.trip_date, a.trip_date) IN (7, 14, 21, 28)
+              GROUP BY a.trip_date, a.day_of_week, a.trips)""", f"""
+        SELECT trip_date, day_of_week, trips, weeks, CASE WHEN weeks = 4 THEN {rate('b', 'weeks', 2)} END AS normal_trips,
+          CASE WHEN weeks = 4 THEN {rate('100 * (trips * weeks - b)', 'b', 2)} END AS change_pct
+        FROM p"""),
     "kpi_summary": on_silver(f"""
         SELECT count(*) AS trips, count(wait) AS trips_with_wait, {P50}, {P90},
           {pct(hits('wait > 600'), 'count(wait)')} AS wait_gt10_pct,

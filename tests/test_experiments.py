@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import statistics
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,15 +78,13 @@ def test_session_pause_boundary(spark):
 def test_funnel_matches_brute_force(spark):
     rows = random_events(5, 1 / 3)
     steps = ["view", "click", "signup", "purchase"]
-    first = defaultdict(dict)
-    for user, ts, kind in rows:
-        first[user][kind] = min(ts, first[user].get(kind, ts))
+    rows += [(777, START + dt.timedelta(minutes=m), k) for m, k in enumerate(["click", "view", "click", "view", "signup"])]
+    at = defaultdict(int)
     reached = Counter()
-    for f in first.values():
-        for i, s in enumerate(steps):
-            if s not in f or (i and f[s] < f[steps[i - 1]]):
-                break
-            reached[s] += 1
+    for user, _, kind in sorted(rows, key=lambda r: (r[0], r[1], steps.index(r[2]) if r[2] in steps else 9)):
+        if at[user] < len(steps) and kind == steps[at[user]]:
+            reached[kind] += 1
+            at[user] += 1
     got = {r.step: r.users for r in x.funnel(events(spark, rows), steps).collect()}
     assert got == {s: reached[s] for s in steps}
 
@@ -101,6 +100,14 @@ def test_itt_keeps_users_without_facts(spark):
     assert r[1].standard_error == round((450 / 2 + statistics.variance([50.5, 0]) / 2) ** 0.5, 4)
 
 
+def test_variance_beyond_64_bits(spark):
+    n = 10**12
+    row = spark.createDataFrame([(n, Decimal(500 * n), Decimal(300_000 * n))], "n BIGINT, s1 DECIMAL(28,0), s2 DECIMAL(38,0)")
+    assert row.select(x._variance()).first()[0] == pytest.approx(50_000.0)
+    row = spark.createDataFrame([(n, Decimal(10**9 * n), Decimal(2 * 10**18 * n))], "n BIGINT, s1 DECIMAL(28,0), s2 DECIMAL(38,0)")
+    assert row.select(x._variance()).first()[0] == pytest.approx(1e18, rel=1e-6)
+
+
 def test_sample_size_grows_with_spread():
     assert x.sample_size_of(10, 5, 5) == 1570
     assert x.sample_size_of(10, 10, 5) > x.sample_size_of(10, 5, 5)
@@ -109,7 +116,10 @@ def test_sample_size_grows_with_spread():
 def test_switchback_alternates(spark):
     days = [dt.date(2025, 6, 2) + dt.timedelta(weeks=i) for i in range(4)]
     m = spark.createDataFrame([(7, 4, d) for d in days], "pu_location_id INT, hour_of_day INT, trip_date DATE")
-    arms = [r.arm for r in x.switchback(m).orderBy("week_index").collect()]
+    lookup = spark.createDataFrame([(7,), (8,)], "location_id INT")
+    units = x.switchback(m, lookup)
+    assert units.count() == 2 * 24 * 4 and units.where("trips = 0").count() == 2 * 24 * 4 - 4
+    arms = [r.arm for r in units.where("pu_location_id = 7 AND hour_of_day = 4").orderBy("week_index").collect()]
     assert arms in (["on", "off", "on", "off"], ["off", "on", "off", "on"])
 
 

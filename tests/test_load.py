@@ -10,6 +10,7 @@ from rows import at, source, trip, zones
 
 from curbflow import pipeline
 from curbflow.contract import month_key, to_bronze
+from curbflow.functions.fixed import plain_number
 from curbflow.operators import profile, quality
 from curbflow.plans import marts
 from curbflow.sinks import bronze, csv_export, gold
@@ -126,26 +127,31 @@ def test_export_bytes(spark, folder):
     df = spark.createDataFrame(
         [("b", 2, 20406237.58, None), ('a "x", y', 1, 250.0, 0.0001)],
         "operator STRING, trips BIGINT, fare DOUBLE, p50 DOUBLE")
-    assert csv_export.export(df, f"{folder}/t.csv") == 2
+    assert csv_export.export(df, f"{folder}/t.csv", single=True) == 2
     parts = [f for f in os.listdir(f"{folder}/t.csv") if f.startswith("part-")]
     assert len(parts) == 1
     data = open(f"{folder}/t.csv/{parts[0]}", "rb").read()
     assert data == (b'\xef\xbb\xbf"operator","trips","fare","p50"\n'
                     b'"a ""x"", y",1,250,0.0001\n"b",2,20406237.58,\\N\n')
-    csv_export.export(df, f"{folder}/s.csv", sep=";")
+    csv_export.export(df, f"{folder}/s.csv", sep=";", single=True)
     part = next(f for f in os.listdir(f"{folder}/s.csv") if f.startswith("part-"))
     assert open(f"{folder}/s.csv/{part}", encoding="utf-8-sig").readline() == '"operator";"trips";"fare";"p50"\n'
 
 
-def test_large_export_keeps_sorted_parts(spark, folder, monkeypatch):
-    monkeypatch.setattr(csv_export, "SINGLE_FILE_ROWS", 10)
+def test_numbers_keep_every_digit(spark):
+    values = [0.0, 1.5, -2.0, 1e-7, 1.23456789012345e-9, 12345678.125, 1e25, 1e300, float("nan"), float("-inf"), None, 250.0, 1 / 3]
+    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
+    got = [r[0] for r in df.select(plain_number("x")).collect()]
+    assert got == ["0", "1.5", "-2", "0.0000001", "0.00000000123456789012345", "12345678.125", "1" + "0" * 25, "1.0E300",
+                   "NaN", "-Infinity", None, "250", "0.3333333333333333"]
+
+
+def test_export_parts_are_one_sorted_file(spark, folder):
     df = spark.range(1000).select(F.col("id").alias("location_id")).repartition(4)
     csv_export.export(df, f"{folder}/t.csv")
-    values = []
-    for f in sorted(os.listdir(f"{folder}/t.csv")):
-        if f.startswith("part-"):
-            values += [int(x) for x in open(f"{folder}/t.csv/{f}", encoding="utf-8-sig").read().split()[1:]]
-    assert values == list(range(1000))
+    parts = sorted(f for f in os.listdir(f"{folder}/t.csv") if f.startswith("part-"))
+    text = "".join(open(f"{folder}/t.csv/{f}", encoding="utf-8").read() for f in parts)
+    assert text == '\ufeff"location_id"\n' + "".join(f"{i}\n" for i in range(1000))
 
 
 def test_export_sort_columns():
@@ -193,7 +199,7 @@ def test_pipeline(spark, folder):
     assert gold.current(spark, house, "etl_anomalies").count() == 2 * 11
     assert gold.current(spark, house, "etl_column_profile").count() == 2 * 25
     assert gold.current(spark, house, "ods_checks").count() == 54
-    summary = pipeline.export(spark, house, f"{folder}/out", with_quality=True).collect()
+    summary = pipeline.export(spark, house, f"{folder}/out", with_quality=True, single=True).collect()
     assert len(summary) == len(marts.MARTS) + 5
     assert all(r.status == "ok" and r.files == 1 and r.bytes > 0 for r in summary)
 

@@ -84,3 +84,35 @@ def to_bronze(source: DataFrame) -> DataFrame:
             for c in COLUMNS
         ]
     )
+
+
+class ContractError(RuntimeError):
+    """Columns or types do not follow the contract."""
+
+
+def compare_columns(actual: list[str]) -> list[tuple[str, str, int | None, int | None]]:
+    """(column, status, expected position, actual position); status is
+    ok, moved (present, other position), missing or extra."""
+    want = {name: i for i, name in enumerate(COLUMNS)}
+    have = {name: i for i, name in enumerate(actual)}
+    out = []
+    for name in [*COLUMNS, *(n for n in actual if n not in want)]:
+        expected, found = want.get(name), have.get(name)
+        if found is None:
+            status = "missing"
+        elif expected is None:
+            status = "extra"
+        else:
+            status = "ok" if expected == found else "moved"
+        out.append((name, status, expected, found))
+    return out
+
+
+def require_columns(actual: list[str], name: str = "") -> bool:
+    """Raise on missing or extra columns; report whether the order matches."""
+    rows = compare_columns(actual)
+    wrong = {s: sorted(r[0] for r in rows if r[1] == s) for s in ("missing", "extra")}
+    if any(wrong.values()):
+        detail = "; ".join(f"{s}: {', '.join(c)}" for s, c in wrong.items() if c)
+        raise ContractError(f"{name}: {detail}")
+    return all(r[1] == "ok" for r in rows)

@@ -2,58 +2,49 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbflow.contract import COLUMNS, TRIP_SCHEMA
+from curbflow.contract import TRIP_SCHEMA, ContractError, compare_columns, require_columns
 from curbflow.sources import months
 
 
-class ContractError(RuntimeError):
-    """Columns or types do not follow the contract."""
-
-
-def compare_columns(actual: list[str]) -> list[tuple[str, str, int | None, int | None]]:
-    """(column, status, expected position, actual position); status is
-    ok, moved (present, other position), missing or extra."""
-    want = {name: i for i, name in enumerate(COLUMNS)}
-    have = {name: i for i, name in enumerate(actual)}
-    out = []
-    for name in [*COLUMNS, *(n for n in actual if n not in want)]:
-        expected, found = want.get(name), have.get(name)
-        if found is None:
-            status = "missing"
-        elif expected is None:
-            status = "extra"
-        else:
-            status = "ok" if expected == found else "moved"
-        out.append((name, status, expected, found))
-    return out
-
-
-def require_columns(actual: list[str], name: str = "") -> bool:
-    """Raise on missing or extra columns; report whether the order matches."""
-    rows = compare_columns(actual)
-    wrong = {s: sorted(r[0] for r in rows if r[1] == s) for s in ("missing", "extra")}
-    if any(wrong.values()):
-        detail = "; ".join(f"{s}: {', '.join(c)}" for s, c in wrong.items() if c)
-        raise ContractError(f"{name}: {detail}")
-    return all(r[1] == "ok" for r in rows)
+def part_columns(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
+    """Column names of every part file, from its footer; several files at a time."""
+    with ThreadPool(16) as pool:
+        return list(zip(files, pool.map(lambda f: spark.read.parquet(f).columns, files)))
 
 
 def month_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """Column comparison of every month entry, from one file footer each."""
-    rows = []
-    for r in months.inventory(spark, folder).where("format = 'parquet'").collect():
-        actual = spark.read.parquet(r.entry).columns
-        rows += [(r.month, *x) for x in compare_columns(actual)]
+    """Column comparison of every month entry, over the footers of all its parts.
+
+    A row for each state that a column has in some part, so a month whose parts
+    agree has one row per column.
+    """
+    chosen = {r.entry: r.month for r in months.inventory(spark, folder).where("format = 'parquet'").collect()}
+    parts = months.parts(spark, folder).where(F.col("entry").isin(*chosen)).collect() if chosen else []
+    entry_of = {r.path: r.entry for r in parts}
+    rows = {
+        (chosen[entry_of[path]], *state)
+        for path, columns in part_columns(spark, sorted(entry_of))
+        for state in compare_columns(columns)
+    }
     return spark.createDataFrame(
-        rows,
+        sorted(rows, key=str),
         "file_month INT, column_name STRING, status STRING, "
         "expected_position INT, actual_position INT",
     )
 
 
+def require_parts(spark: SparkSession, files: list[str]) -> None:
+    """Raise unless every parquet part file has exactly the contract's columns."""
+    for path, columns in part_columns(spark, sorted(f for f in files if f.endswith(".parquet"))):
+        require_columns(columns, path)
+
+
 def type_drift(
     spark: SparkSession, actual: T.StructType, expected: T.StructType = TRIP_SCHEMA
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.contract import COLUMNS, MAY_BE_NULL
+from curbflow.contract import COLUMNS, MAY_BE_NULL, month_key
 from curbflow.functions.fixed import ratio
 
 c = F.col
@@ -25,20 +25,32 @@ class GateError(RuntimeError):
 
 
 def null_counts(source: DataFrame) -> DataFrame:
-    """Wide: per file the row count, NULLs of each column, and all-NULL rows."""
+    """Wide: per file the row count, NULLs of each column, all-NULL rows, rows of another month."""
     empty = reduce(and_, [c(x).isNull() for x in COLUMNS])
+    foreign = ~month_key(c("pickup_datetime")).eqNullSafe(c("file_month"))
     return source.groupBy("file_month").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(empty).alias("empty_rows"),
+        F.count_if(foreign).alias("foreign_rows"),
         *[F.count_if(c(x).isNull()).alias(x) for x in COLUMNS],
     )
 
 
-def null_profile(source: DataFrame) -> DataFrame:
+def assessed(source: DataFrame, scratch: str) -> DataFrame:
+    """All counts of every month, from one pass and one duplicate job, stored under ``scratch``.
+
+    Profile, anomalies and verdict below read this table; a row per month.
+    """
+    spark = source.sparkSession
+    null_counts(source).write.mode("overwrite").parquet(f"{scratch}/counts")
+    repeated_rows(source, f"{scratch}/hashes").write.mode("overwrite").parquet(f"{scratch}/repeated")
+    counts, repeated = (spark.read.parquet(f"{scratch}/{x}") for x in ("counts", "repeated"))
+    return counts.join(repeated, "file_month", "left").fillna(0, ["duplicate_rows"])
+
+
+def null_profile(counts: DataFrame) -> DataFrame:
     """Long: (file_month, column_name, null_count, null_pct, expected)."""
-    long = null_counts(source).unpivot(
-        ["file_month", "rows"], COLUMNS, "column_name", "null_count"
-    )
+    long = counts.unpivot(["file_month", "rows"], COLUMNS, "column_name", "null_count")
     return long.select(
         "file_month", "column_name", "null_count",
         F.coalesce(ratio("null_count", "rows", 4, times=100), F.lit(0.0)).alias("null_pct"),
@@ -46,12 +58,12 @@ def null_profile(source: DataFrame) -> DataFrame:
     )
 
 
-def empty_rows(source: DataFrame) -> DataFrame:
-    return null_counts(source).select("file_month", "rows", "empty_rows")
+def empty_rows(counts: DataFrame) -> DataFrame:
+    return counts.select("file_month", "rows", "empty_rows")
 
 
-def duplicate_rows(source: DataFrame, scratch: str) -> DataFrame:
-    """Rows that repeat an earlier row of their file in all columns, exactly.
+def repeated_rows(source: DataFrame, scratch: str) -> DataFrame:
+    """Rows that repeat an earlier row of their file in all columns, exactly; files without any are absent.
 
     Shuffling whole rows is avoided: a first pass moves only a row hash and
     keeps the hashes that occur twice. They are written to ``scratch``, so
@@ -65,12 +77,14 @@ def duplicate_rows(source: DataFrame, scratch: str) -> DataFrame:
         .select("file_month", "row_hash").write.mode("overwrite").parquet(scratch)
     )
     suspects = hashed.join(spark.read.parquet(scratch), ["file_month", "row_hash"], "left_semi")
-    repeated = (
+    return (
         suspects.groupBy("file_month", *COLUMNS).count()
         .groupBy("file_month").agg(F.sum(c("count") - 1).alias("duplicate_rows"))
     )
-    rows = source.groupBy("file_month").agg(F.count(F.lit(1)).alias("rows"))
-    return rows.join(repeated, "file_month", "left").fillna(0, ["duplicate_rows"])
+
+
+def duplicate_rows(counts: DataFrame) -> DataFrame:
+    return counts.select("file_month", "rows", "duplicate_rows")
 
 
 def _long(counts: DataFrame, check: str, column: str, note: str) -> DataFrame:
@@ -80,10 +94,10 @@ def _long(counts: DataFrame, check: str, column: str, note: str) -> DataFrame:
     )
 
 
-def source_anomalies(source: DataFrame, scratch: str) -> DataFrame:
+def source_anomalies(counts: DataFrame) -> DataFrame:
     """Empty and repeated rows as rows of the anomaly table."""
-    long = _long(empty_rows(source), EMPTY, "empty_rows", "excluded").unionByName(
-        _long(duplicate_rows(source, scratch), REPEATED, "duplicate_rows", "flagged")
+    long = _long(counts, EMPTY, "empty_rows", "excluded").unionByName(
+        _long(counts, REPEATED, "duplicate_rows", "flagged")
     )
     return long.select(
         "file_month", c("check_name").alias("metric_name"), "rows_affected",
@@ -92,24 +106,20 @@ def source_anomalies(source: DataFrame, scratch: str) -> DataFrame:
     )
 
 
-def gate(source: DataFrame, scratch: str) -> DataFrame:
+def gate(counts: DataFrame) -> DataFrame:
     """(file_month, check_name, rows_affected, verdict): pass, warn or fail."""
     required = [x for x in COLUMNS if x not in MAY_BE_NULL]
     together = F.aggregate(F.array(*required), F.lit(0).cast("bigint"), lambda a, b: a + b)
-    counts = null_counts(source).select(
-        "file_month", "rows", "empty_rows", together.alias("unexpected_nulls")
-    )
-    repeated = duplicate_rows(source, scratch).select("file_month", "duplicate_rows")
-    checks = counts.unpivot(
-        "file_month", ["unexpected_nulls", "empty_rows"], "check_name", "rows_affected"
-    ).unionByName(repeated.unpivot("file_month", ["duplicate_rows"], "check_name", "rows_affected"))
+    checks = counts.select(
+        "file_month", together.alias("unexpected_nulls"), "empty_rows", "duplicate_rows"
+    ).unpivot("file_month", ["unexpected_nulls", "empty_rows", "duplicate_rows"], "check_name", "rows_affected")
     bad = F.when(c("check_name") == "duplicate_rows", "warn").otherwise("fail")
     return checks.withColumn("verdict", F.when(c("rows_affected") == 0, "pass").otherwise(bad))
 
 
-def require(source: DataFrame, scratch: str) -> list[str]:
+def require(counts: DataFrame) -> list[str]:
     """Raise when a file fails the gate; return the warnings. A few rows per month."""
-    rows = gate(source, scratch).where("verdict <> 'pass'").collect()
+    rows = gate(counts).where("verdict <> 'pass'").collect()
     text = [f"{r.file_month}: {r.check_name} {r.rows_affected}" for r in rows]
     if any(r.verdict == "fail" for r in rows):
         raise GateError("; ".join(text))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from curbflow.contract import PARTITION
 from curbflow.operators import contract_checks, profile, quality
 from curbflow.plans import marts
-from curbflow.session import exists, folder
+from curbflow.session import exists
 from curbflow.sinks import bronze, csv_export, gold, service
 from curbflow.sources import months
 from curbflow.sources import zones as zone_source
@@ -50,8 +51,6 @@ def load(
         rebuild = not contract_checks.require_types(stored, migrate)
 
     months.csv_to_parquet(spark, files)
-    for entry in months.inventory(spark, files).select("entry").collect():
-        contract_checks.require_columns(spark.read.parquet(entry.entry).columns, entry.entry)
     source = months.read(spark, files)
 
     # only months that will be written need profiling
@@ -59,19 +58,17 @@ def load(
         bronze.file_counts(source), bronze.month_counts(spark, table), force or rebuild
     )
     todo = [r.file_month for r in plan.where("status <> 'skipped'").collect()]
-    pending = source.where(c("file_month").isin(todo)) if todo else None
-    if pending is not None:
-        scratch = folder(spark, "hashes")
+    counts = None
+    if todo:
+        pending = source.where(c("file_month").isin(todo))
+        counts = profile.assessed(pending, f"{warehouse}/_checks/{uuid.uuid4().hex[:10]}")
         _replace(spark, warehouse, "etl_column_profile",
-                 _stamped(profile.null_profile(pending)), ["file_month", "column_name"])
-        found = profile.source_anomalies(pending, scratch).withColumnRenamed(
-            "file_month", "partition_id")
+                 _stamped(profile.null_profile(counts)), ["file_month", "column_name"])
+        found = profile.source_anomalies(counts).withColumnRenamed("file_month", "partition_id")
         _replace(spark, warehouse, "etl_anomalies", _stamped(found), ["partition_id", "metric_name"])
-        for warning in profile.require(pending, scratch):
-            print("warning:", warning)
 
     started = time.time()
-    result = bronze.load(spark, source, table, force, rebuild)
+    result = bronze.load(spark, source, table, force, rebuild, counts)
     service.append_log(
         service.log_entries(result, time.time() - started), f"{warehouse}/etl_load_log"
     )

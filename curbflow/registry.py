@@ -204,13 +204,17 @@ def _source(w: Workspace) -> DataFrame:
     return months.read(w.spark, w.month_files())
 
 
+def _counts(w: Workspace) -> DataFrame:
+    return profile.assessed(_source(w), w.scratch("checks"))
+
+
 _register(
     val_columns=lambda w: contract_checks.month_columns(w.spark, w.month_files()),
     val_type_drift=lambda w: contract_checks.type_drift(w.spark, w.trips().schema),
-    val_null_profile=lambda w: profile.null_profile(_source(w)),
-    val_empty_rows=lambda w: profile.empty_rows(_source(w)),
-    val_duplicate_rows=lambda w: profile.duplicate_rows(_source(w), w.scratch("hashes")),
-    val_gate=lambda w: profile.gate(_source(w), w.scratch("hashes")),
+    val_null_profile=lambda w: profile.null_profile(_counts(w)),
+    val_empty_rows=lambda w: profile.empty_rows(_counts(w)),
+    val_duplicate_rows=lambda w: profile.duplicate_rows(_counts(w)),
+    val_gate=lambda w: profile.gate(_counts(w)),
     val_month_membership=lambda w: bronze.foreign_rows(_source(w)),
     qc_partition=lambda w: quality.partition_anomalies(w.trips()),
     ods_count_checks=lambda w: quality.count_checks(w.trips()).drop("note"),
@@ -289,7 +293,7 @@ def _anomalies(w: Workspace) -> DataFrame:
     """The anomaly table after a repeated check: own metrics replaced, others kept."""
     fresh = quality.partition_anomalies(w.trips())
     stale = fresh.withColumn("rows_affected", F.lit(-1).cast("bigint"))
-    kept = profile.source_anomalies(_source(w), w.scratch("hashes")).withColumnRenamed(
+    kept = profile.source_anomalies(_counts(w)).withColumnRenamed(
         "file_month", "partition_id"
     )
     return service.replace_rows(stale.unionByName(kept), fresh, ["partition_id", "metric_name"])

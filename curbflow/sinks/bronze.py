@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.contract import PARTITION, month_key, to_bronze
-from curbflow.session import exists
+from curbflow.operators import contract_checks, profile
+from curbflow.session import exists, folder
+from curbflow.sources import months
 
 c = F.col
 
@@ -80,26 +84,42 @@ def foreign_rows(source: DataFrame) -> DataFrame:
     )
 
 
+def validate(spark: SparkSession, pending: DataFrame, todo: list[int], counts: DataFrame | None = None) -> list[str]:
+    """Refuse months that break the contract; returns the warnings of the gate.
+
+    Every part file must have the contract's columns, no row may belong to
+    another month and none may miss a required value. ``counts`` are those of
+    ``profile.assessed`` if the caller has them.
+    """
+    wanted = {f"{months.STEM}{m // 100}-{m % 100:02d}" for m in todo}
+    contract_checks.require_parts(spark, [f for f in pending.inputFiles() if any(w in f for w in wanted)])
+    if counts is None:
+        counts = profile.assessed(pending, folder(spark, "checks", uuid.uuid4().hex[:10]))
+    strangers = {r.file_month: r.foreign_rows for r in counts.where("foreign_rows > 0").collect()}
+    if strangers:
+        raise ValueError(f"rows of another month in the files of {strangers}")
+    return profile.require(counts)
+
+
 def load(
-    spark: SparkSession, source: DataFrame, path: str, force: bool = False, rebuild: bool = False
+    spark: SparkSession, source: DataFrame, path: str, force: bool = False, rebuild: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Bring the bronze table in line with the month files; safe to repeat.
 
     ``force`` reloads complete months too, ``rebuild`` drops whatever is stored.
 
-    Returns (file_month, expected, existing, status, rows). Raises before
-    writing when a file holds rows of another month, and afterwards when a
-    stored month does not have the file's row count. Only the month list,
-    one row per month, reaches the driver.
+    Returns (file_month, expected, existing, status, rows). Batch and stream
+    both come through here, so nothing is written that ``validate`` refuses.
+    Raises afterwards when a stored month does not have the file's row count.
+    Only the month list, one row per month, reaches the driver.
     """
     steps = load_plan(file_counts(source), month_counts(spark, path), force or rebuild).collect()
     todo = [r.file_month for r in steps if r.status != "skipped"]
     if todo:
         pending = source.where(c("file_month").isin(todo))
-        strangers = foreign_rows(pending).where("foreign_rows > 0").collect()
-        if strangers:
-            found = {r.file_month: r.foreign_rows for r in strangers}
-            raise ValueError(f"rows of another month in the files of {found}")
+        for warning in validate(spark, pending, todo, counts):
+            print("warning:", warning)
         write_months(to_bronze(pending), path, rebuild=rebuild)
     stored = {r[PARTITION]: r.existing for r in month_counts(spark, path).collect()}
     wrong = {r.file_month: (stored.get(r.file_month, 0), r.expected)

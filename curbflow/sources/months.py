@@ -1,21 +1,31 @@
 """Month files: what lies in a folder, reading it, and turning CSV into parquet.
 
 A month is one ``fhvhv_tripdata_YYYY-MM.(csv|parquet)`` entry, either a single
-file or a folder of part files. All months are read in one scan.
+file or a folder of part files. All months are read in one scan. Folders are
+written aside and moved into place month by month; a mark tells a finished
+parquet folder from what a broken run of something else left beside a CSV.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from curbflow.contract import SOURCE_SCHEMA
+from curbflow.contract import SOURCE_SCHEMA, ContractError, require_columns
+from curbflow.session import exists
 
 # Fixed value: naming of the published month files.
 STEM = "fhvhv_tripdata_"
 NAME = STEM + r"(\d{4})-(\d{2})\.(csv|parquet)"
 ENTRY = rf"^(.*?{NAME})(/|$)"
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+# a name that readers and listings pass over
+MARK = "_COMPLETE"
 
 c = F.col
 
@@ -28,8 +38,8 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per (month, format): entry path, part files, bytes."""
+def parts(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per data file of a month: month, format, entry, path, bytes."""
     return (
         listing(spark, folder)
         .where(c("path").rlike(ENTRY))
@@ -38,19 +48,40 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
             .cast("int").alias("month"),
             F.regexp_extract("path", ENTRY, 4).alias("format"),
             F.regexp_extract("path", ENTRY, 1).alias("entry"),
-            "length",
+            "path", "length",
         )
+    )
+
+
+def candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per (month, format): entry path, part files, bytes, whether it is a folder."""
+    return (
+        parts(spark, folder)
         .groupBy("month", "format", "entry")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+             F.max(c("path") != c("entry")).alias("is_folder"))
     )
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """One entry per month, parquet before CSV."""
-    rank = F.when(c("format") == "parquet", 0).otherwise(1)
-    best = F.min(F.struct(rank.alias("rank"), "entry", "format", "files", "bytes"))
-    return candidates(spark, folder).groupBy("month").agg(best.alias("best")).select(
-        "month", "best.format", "best.entry", "best.files", "best.bytes"
+    """One entry per month, parquet before CSV.
+
+    Beside a CSV, a parquet folder counts only with the mark of a finished
+    write. A few rows per month reach the driver.
+    """
+    best: dict[int, tuple] = {}
+    found = candidates(spark, folder).collect()
+    with_csv = {r.month for r in found if r.format == "csv"}
+    for r in found:
+        broken = (
+            r.format == "parquet" and r.is_folder and r.month in with_csv
+            and not exists(spark, f"{r.entry}/{MARK}")
+        )
+        rank = (r.format != "parquet", r.entry)
+        if not broken and (r.month not in best or rank < best[r.month][0]):
+            best[r.month] = (rank, (r.month, r.format, r.entry, r.files, r.bytes))
+    return spark.createDataFrame(
+        [row for _, row in best.values()], "month INT, format STRING, entry STRING, files BIGINT, bytes BIGINT"
     )
 
 
@@ -71,11 +102,24 @@ def _read_entries(spark: SparkSession, entries: list[tuple[str, str]]) -> DataFr
     csv = sorted(e for f, e in entries if f == "csv")
     if parquet:
         parts.append(_with_month(reader.parquet(*parquet)))
-    if csv:
-        parts.append(_with_month(reader.options(**CSV_OPTIONS).csv(csv)))
+    for names, same in _by_header(spark, csv).items():
+        # every file's own header is held against the names, and a bad line stops the read
+        schema = T.StructType([SOURCE_SCHEMA[n] for n in names])
+        strict = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false", mode="FAILFAST")
+        parts.append(_with_month(strict.csv(same)).select(*SOURCE_SCHEMA.fieldNames(), "file_month"))
     if not parts:
         raise FileNotFoundError("no month files found")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_header(spark: SparkSession, entries: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV entries by the order of their columns; raises if one does not have the contract's."""
+    out = defaultdict(list)
+    for entry in entries:
+        names = spark.read.option("header", "true").csv(entry).columns
+        require_columns(names, entry)
+        out[tuple(names)].append(entry)
+    return out
 
 
 def _with_month(df: DataFrame) -> DataFrame:
@@ -86,25 +130,62 @@ def _with_month(df: DataFrame) -> DataFrame:
 
 
 def write(rows: DataFrame, folder: str, fmt: str = "parquet") -> None:
-    """Write source rows as month entries below ``folder`` in a single job."""
+    """Write source rows as month entries below ``folder`` in a single job.
+
+    A month that is there already gets further part files.
+    """
+    _publish(rows.sparkSession, _aside(rows, folder, fmt), folder)
+
+
+def _aside(rows: DataFrame, folder: str, fmt: str) -> str:
+    """Month entries in a folder of their own below ``folder`` that readers pass over."""
+    path = f"{folder}/_incoming-{uuid.uuid4().hex[:10]}"
     month = c("file_month").cast("string")
     name = F.concat(
         F.lit(STEM), month.substr(1, 4), F.lit("-"), month.substr(5, 2), F.lit(f".{fmt}")
     )
-    writer = rows.withColumn("file", name).drop("file_month").write.mode("append").partitionBy("file")
+    writer = rows.withColumn("file", name).drop("file_month").write.partitionBy("file")
     if fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(folder)
+        writer.options(**CSV_OPTIONS).csv(path)
     else:
-        writer.option("compression", "zstd").parquet(folder)
+        writer.option("compression", "zstd").parquet(path)
+    return path
+
+
+def _publish(spark: SparkSession, aside: str, folder: str, replace: bool = False) -> None:
+    """Mark the finished months and move each into place by one rename."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(aside).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for month in fs.listStatus(path(aside)):
+        if not month.isDirectory():
+            continue
+        done, target = month.getPath(), path(folder, month.getPath().getName())
+        fs.create(path(done, MARK)).close()
+        if replace and fs.exists(target):
+            fs.delete(target, True)
+        moves = [(done, target)] if not fs.exists(target) else [
+            (part.getPath(), path(target, part.getPath().getName()))
+            for part in fs.listStatus(done) if not part.getPath().getName().startswith("_")
+        ]
+        for old, new in moves:
+            if not fs.rename(old, new):
+                raise OSError(f"{old.toString()} could not be moved to {new.toString()}")
+    fs.delete(path(aside), True)
 
 
 def csv_to_parquet(spark: SparkSession, folder: str) -> int:
     """Convert every month that exists only as CSV; returns how many there were.
 
-    All pending months go through one job, whose committer shows either all
-    new files or none.
+    All pending months go through one job into a folder aside. Only when every
+    month there has as many rows as its CSV are they moved into place.
     """
     pending = inventory(spark, folder).where("format = 'csv'").select("format", "entry").collect()
     if pending:
-        write(_read_entries(spark, [(r.format, r.entry) for r in pending]), folder, "parquet")
+        rows = _read_entries(spark, [(r.format, r.entry) for r in pending])
+        aside = _aside(rows, folder, "parquet")
+        written = _with_month(spark.read.schema(SOURCE_SCHEMA).parquet(f"{aside}/*"))
+        count = lambda df: {r.file_month: r["count"] for r in df.groupBy("file_month").count().collect()}
+        if count(rows) != count(written):
+            raise ContractError(f"{folder}: converted months do not have the rows of their CSV files")
+        _publish(spark, aside, folder, replace=True)
     return len(pending)

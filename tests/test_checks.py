@@ -43,24 +43,24 @@ def test_types(spark):
 def test_null_profile_and_gate(spark):
     rows = [trip(), trip(originating_base_num=None), trip(tips=None), dict.fromkeys(PLAIN)]
     src = files(spark, rows)
-    nulls = {r.column_name: r for r in profile.null_profile(src).collect()}
+    nulls = {r.column_name: r for r in profile.null_profile(profile.assessed(src, scratch())).collect()}
     assert (nulls["tips"].null_count, nulls["tips"].expected) == (2, False)
     assert (nulls["originating_base_num"].null_count, nulls["originating_base_num"].expected) == (2, True)
     assert nulls["tips"].null_pct == 50.0
-    verdicts = {r.check_name: (r.rows_affected, r.verdict) for r in profile.gate(src, scratch()).collect()}
+    verdicts = {r.check_name: (r.rows_affected, r.verdict) for r in profile.gate(profile.assessed(src, scratch())).collect()}
     assert verdicts == {"unexpected_nulls": (24, "fail"), "empty_rows": (1, "fail"),
                         "duplicate_rows": (0, "pass")}
     with pytest.raises(profile.GateError):
-        profile.require(src, scratch())
+        profile.require(profile.assessed(src, scratch()))
 
 
 def test_duplicates_with_nulls_are_exact_and_only_warn(spark):
     twin = trip(originating_base_num=None)
     rows = [twin, twin, twin, trip(), trip(tips=1.0)]
     src = files(spark, rows)
-    r = profile.duplicate_rows(src, scratch()).collect()[0]
+    r = profile.duplicate_rows(profile.assessed(src, scratch())).collect()[0]
     assert (r.rows, r.duplicate_rows) == (5, 2)
-    assert profile.require(src, scratch()) == ["202506: duplicate_rows 2"]
+    assert profile.require(profile.assessed(src, scratch())) == ["202506: duplicate_rows 2"]
 
 
 def test_one_row_repeated_in_a_third_of_the_file(spark):
@@ -68,7 +68,7 @@ def test_one_row_repeated_in_a_third_of_the_file(spark):
         *[F.lit(PLAIN[c]).cast(SOURCE_SCHEMA[c].dataType).alias(c) if c != "trip_time"
           else F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10).alias(c) for c in COLUMNS]
     ).withColumn("file_month", F.lit(202506))
-    assert profile.duplicate_rows(many, scratch()).collect()[0].duplicate_rows == 9_999
+    assert profile.duplicate_rows(profile.assessed(many, scratch())).collect()[0].duplicate_rows == 9_999
 
 
 

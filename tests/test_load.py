@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from rows import at, source, trip, zones
 
 from curbflow import pipeline
-from curbflow.contract import month_key, to_bronze
+from curbflow.contract import ContractError, month_key, to_bronze
 from curbflow.functions.fixed import plain_number
-from curbflow.operators import profile, quality
+from curbflow.operators import contract_checks, profile, quality
 from curbflow.plans import marts
 from curbflow.sinks import bronze, csv_export, gold
 from curbflow.sources import months
@@ -214,3 +214,82 @@ def test_pipeline_stops_at_bad_data(spark, folder):
     with pytest.raises(quality.QualityError):
         pipeline.load(spark, f"{folder}/errors", f"{folder}/zones.csv", f"{folder}/h2")
     assert not os.path.exists(f"{folder}/h2/gold")
+
+
+def csv_month(folder, rows, change=lambda lines: lines, month="2025-06", part="a"):
+    """A month as CSV written by hand, its lines (header first) changed."""
+    names = rows.drop("file_month").columns
+    body = [
+        {n: "" if r[n] is None else str(r[n]) for n in names} for r in rows.collect()
+    ]
+    lines = change([dict(zip(names, names)), *body])
+    os.makedirs(f"{folder}/fhvhv_tripdata_{month}.csv", exist_ok=True)
+    with open(f"{folder}/fhvhv_tripdata_{month}.csv/part-{part}.csv", "w") as f:
+        f.writelines(",".join(x.values()) + "\n" for x in lines)
+
+
+def moved(lines):
+    """The same columns in another order."""
+    return [dict(sorted(x.items())) for x in lines]
+
+
+def test_csv_columns_are_read_by_name(spark, folder):
+    rows = month_rows(spark, [trip(tips=1.0, tolls=2.0), trip(tips=3.0)])
+    csv_month(folder, rows, moved)
+    assert months.csv_to_parquet(spark, folder) == 1
+    want = sorted(map(str, rows.collect()))
+    assert sorted(map(str, months.read(spark, folder).select(*rows.columns).collect())) == want
+
+
+@pytest.mark.parametrize("change", [
+    lambda lines: [{k: v for k, v in x.items() if k != "tips"} for x in lines],
+    lambda lines: [x | {"surprise": "surprise"} for x in lines],
+])
+def test_csv_with_other_columns_is_refused(spark, folder, change):
+    csv_month(folder, month_rows(spark, [trip()]), change)
+    with pytest.raises(ContractError):
+        months.csv_to_parquet(spark, folder)
+    assert not [f for f in os.listdir(folder) if f.endswith(".parquet")]
+
+
+def test_csv_parts_must_agree_and_bad_values_stop(spark, folder):
+    rows = month_rows(spark, [trip()])
+    csv_month(f"{folder}/a", rows)
+    csv_month(f"{folder}/a", rows, moved, part="b")
+    with pytest.raises(Exception, match="(?i)header"):
+        months.csv_to_parquet(spark, f"{folder}/a")
+    csv_month(f"{folder}/b", rows, lambda lines: [lines[0], lines[1] | {"tips": "many"}])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        months.csv_to_parquet(spark, f"{folder}/b")
+    for f in ("a", "b"):
+        assert {r.format for r in months.inventory(spark, f"{folder}/{f}").collect()} == {"csv"}
+
+
+def test_half_written_month_is_converted_again(spark, folder):
+    rows = month_rows(spark, [trip(), trip(tips=5.0), trip(tips=6.0)])
+    csv_month(folder, rows)
+    rows.drop("file_month").limit(1).write.parquet(f"{folder}/file=fhvhv_tripdata_2025-06.parquet")
+    assert months.read(spark, folder).count() == 3
+    assert months.csv_to_parquet(spark, folder) == 1 and months.csv_to_parquet(spark, folder) == 0
+    assert months.read(spark, folder).count() == 3
+    assert {r.format for r in months.inventory(spark, folder).collect()} == {"parquet"}
+
+
+def test_every_part_follows_the_contract(spark, folder):
+    rows = month_rows(spark, [trip(), trip(tips=5.0)])
+    months.write(rows, f"{folder}/in")
+    entry = months.inventory(spark, f"{folder}/in").first().entry
+    odd = rows.drop("file_month", "cbd_congestion_fee").withColumn("surprise", F.lit(1))
+    odd.coalesce(1).write.mode("append").parquet(entry)
+    states = contract_checks.month_columns(spark, f"{folder}/in").groupBy("status").count().collect()
+    assert {r.status for r in states} >= {"ok", "missing", "extra"}
+    with pytest.raises(ContractError):
+        bronze.load(spark, months.read(spark, f"{folder}/in"), f"{folder}/trips")
+    assert not os.path.exists(f"{folder}/trips")
+
+
+def test_stream_refuses_what_the_batch_refuses(spark, folder):
+    months.write(month_rows(spark, [trip(), trip(tips=None)]), f"{folder}/in")
+    with pytest.raises(Exception, match="unexpected_nulls"):
+        ingest.ingest(spark, f"{folder}/in", f"{folder}/trips", f"{folder}/state")
+    assert not os.path.exists(f"{folder}/trips")

@@ -108,6 +108,11 @@ LINKS = T.StructType(
 )
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits; of unsigned numbers, as a signed one's bits are counted without its sign."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 class _Forest:
     """Smallest linked fingerprint of each one seen; keeps a task's links few."""
 
@@ -136,7 +141,7 @@ def _compare(values: np.ndarray, forest: _Forest, max_bits: int, tile: int = 102
     for i in range(0, len(values), tile):
         left = values[i : i + tile, None]
         for j in range(i, len(values), tile):
-            near = np.bitwise_count(left ^ values[None, j : j + tile]) <= max_bits
+            near = _distance(left, values[None, j : j + tile]) <= max_bits
             x, y = np.nonzero(np.triu(near, 1) if i == j else near)
             for a, b in zip(values[x + i].tolist(), values[y + j].tolist()):
                 forest.link(a, b)
@@ -173,7 +178,7 @@ def _link_groups(max_bits: int, limit: int):
             # whole keys of two inside the batch, at once
             two = np.flatnonzero((ends - starts == 2) & (starts > 0) & (ends < len(frame)))
             a, b = fps[starts[two]], fps[starts[two] + 1]
-            near = np.bitwise_count(a ^ b) <= max_bits
+            near = _distance(a, b) <= max_bits
             for x, y in zip(a[near].tolist(), b[near].tolist()):
                 forest.link(x, y)
             edge = (starts == 0) | (ends == len(frame))

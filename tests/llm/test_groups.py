@@ -62,6 +62,21 @@ def test_hot_keys_are_refined_not_cut(spark, limit):
     assert groups([got.get(v, v) for v in signed]) == groups(root.tolist())
 
 
+def test_top_bit_counts_like_any_other(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    near = base ^ np.array([(1 << 63) | sum(1 << int(b) for b in rng.choice(63, i % 4, replace=False)) for i in range(60)], np.uint64)
+    far = base[:20] ^ np.uint64(0xFFFF << 48)  # as a signed number one bit apart
+    signed = np.concatenate([base, near, far]).view(np.int64).tolist()
+    # bits over both sizes of key: two fingerprints, and more
+    for more in ([], [v ^ 1 for v in signed]):
+        every = np.array(signed + more, np.int64)
+        root = brute.closure(len(every), np.bitwise_count((every[:, None] ^ every[None, :]).view(np.uint64)) <= 3)
+        df = spark.createDataFrame([(v,) for v in every.tolist()], "fp long")
+        got = {r.node: r.root for r in components.components(simhash.links(df)).collect()}
+        assert sorted(map(sorted, _groups([got.get(v, v) for v in every.tolist()]))) == sorted(map(sorted, _groups(root.tolist())))
+
+
 def _groups(labels):
     out = {}
     for i, x in enumerate(labels):

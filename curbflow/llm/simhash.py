@@ -272,31 +272,50 @@ def near_duplicates(
         docs.select(F.col("doc_id"), fingerprint(F.col("text"), words_in_shingle).alias("fp")),
         "simhash-fp",
     )
-    return _with_components(prints, max_bits, limit)
+    named = _rooted(prints, max_bits, limit).select("fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def _with_components(prints: DataFrame, max_bits: int, limit: int) -> DataFrame:
+def _rooted(prints: DataFrame, max_bits: int, limit: int) -> DataFrame:
+    """``(fp, root, component_id)`` of every distinct fingerprint."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     groups = components(links(nodes, max_bits, limit)).select(F.col("node").alias("fp"), "root")
     rooted = nodes.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rooted.select("fp", "root").join(least, "root")
 
 
-def keep_first(docs: DataFrame, words_in_shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with one of each group: that with the smallest doc_id (null only if alone).
+def keep_first(
+    docs: DataFrame,
+    words_in_shingle: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """The documents with one row of each group: that with the smallest doc_id, nulls last.
 
-    Of rows that share that doc_id the one with the smallest row hash stays.
-    All columns are kept as they are.
+    Rows that share a doc_id are told apart by their text, so a doc_id or a null
+    that stands in several groups keeps a row in each it is the smallest of. Of
+    different texts under one doc_id in one group, that with the smallest hash
+    stays; of repeated rows, that with the smallest row hash. All columns are kept
+    as they are. An empty table gives no rows.
     """
-    groups = near_duplicates(docs, words_in_shingle, max_bits)
+    session(docs.sparkSession)
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    prints = stored(
+        docs.select(F.col("doc_id"), mark.alias("mark"), fingerprint(F.col("text"), words_in_shingle).alias("fp")),
+        "simhash-fp",
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    # the smallest row of each fingerprint first, then of each group: no group is gathered
+    firsts = prints.groupBy("fp").agg(F.min(order).alias("row"))
     keeper = (
-        groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_keep_id"))
-        .distinct()
+        firsts.join(_rooted(prints, max_bits, limit).select("fp", "root"), "fp")
+        .groupBy("root")
+        .agg(F.min("row").alias("row"))
+        .select(F.col("row.doc_id").alias("_keep_id"), F.col("row.mark").alias("_keep_mark"))
     )
     rank = fresh(docs, "_rank")
-    kept = docs.join(keeper, docs["doc_id"].eqNullSafe(keeper["_keep_id"]), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    same = docs["doc_id"].eqNullSafe(keeper["_keep_id"]) & (mark == keeper["_keep_mark"])
+    one = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64(*docs.columns))
+    kept = docs.join(keeper, same, "left_semi")
     return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).drop(rank)

@@ -45,6 +45,11 @@ def test_simhash_odd_rows(spark, odd, none):
     kept = simhash.keep_first(odd)
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots))
+    # ids that stand in several groups, as nulls do, keep a row in each
+    words = [" ".join(f"{w}{i}" for i in range(30)) for w in ("red", "blue", "green", "grey")]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1]), (7, words[2]), (7, words[3]), (7, words[3]), (9, words[3]), (8, words[0])]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id or 0), r.text) for r in kept.collect()) == sorted([(8, words[0]), (0, words[1]), (7, words[2]), (7, words[3])])
     assert simhash.near_duplicates(none).isEmpty() and simhash.keep_first(none).isEmpty()
 
 

@@ -14,6 +14,7 @@ sequences whose length is a power of two.
 from __future__ import annotations
 
 import functools
+import re
 from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized
@@ -34,6 +35,8 @@ END_ID = 2
 SMALL = 64
 #: Distinct words that a Python worker remembers the ids of.
 WORDS_KEPT = 800_000
+#: A capital that may join a combining mark: it must not be lower-cased before normalising.
+_MARKED_CAPITAL = re.compile("[A-Z][\u0300-\U0010ffff]*?[\u0300-\u036f]")
 _MARKS = b"!#$%&()*,-./:;<=>?@[]^_`{|}~"
 #: Bytes of ids handed back to Spark at once.
 BATCH_BYTES = 16 << 20
@@ -60,13 +63,19 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(others)}
 
 
+def _stays_letter(char: str) -> bool:
+    """A letter that normalising and lower-casing leave without a combining mark, as dotted I is not."""
+    return char.lower().isalpha() and is_normalized("NFC", char)
+
+
 class WordEncoder(dict):
     """Token ids of texts for a byte-level tokenizer that lower-cases and drops white space.
 
     No token of such a tokenizer spans white space, so words are encoded once and
     remembered. A lower-case word of Latin letters is one piece, which goes to
     the vocabulary's merges directly; any other word goes through the whole
-    tokenizer, as do texts that hold one of its special strings.
+    tokenizer, as do texts that hold one of its special strings or a capital that
+    a combining mark follows.
     """
 
     def __init__(self, path: str) -> None:
@@ -86,7 +95,7 @@ class WordEncoder(dict):
         letters = word.rstrip(_MARKS)
         if word.isalpha():
             ids = self._merged(text)
-        elif letters and letters != word and text[-1 - len(word) + len(letters)].isalpha():
+        elif letters and letters != word and _stays_letter(text[-1 - len(word) + len(letters)]):
             # marks after a letter are a token run of their own
             ids = self[letters] + self[word[len(letters) :]]
         elif max(text) < "\u0250" and is_normalized("NFC", text) and text.isalpha() and text.lower().isalpha():
@@ -101,7 +110,7 @@ class WordEncoder(dict):
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids, one after another."""
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or not text.isascii() and _MARKED_CAPITAL.search(text):
             return self._plain(text)
         if len(self) > WORDS_KEPT:
             self.clear()

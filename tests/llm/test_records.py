@@ -118,6 +118,7 @@ def test_words_encode_as_whole_texts():
     hard = [
         "Ünïcödé ÀÉÎ straße ΣΑΣ 'S don't we're 123abc foo.bar, étude <|endoftext|> x", "ſtrange İstanbul nbsp wide　x",
         "ﬁ ª º µ ß. ß, é. it's. 's 'll, o' a.b.c ... x., y,. (z).", "日本語 テスト. 한국어, ẞ Ǆ ǆ ĳ ŉ é é.", "a\x00b \x1c \x85 c",
+        "aİ. Bİ)| \u0958. \u0930\u093c,", "J\u030c!? H\u0331 xT\u0327\u0308. Y\u05b0\u030a W\u030a", "A中B文C\u0301 plain",
     ]
     for text in hard:
         whole = np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -8,14 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbflow.contract import TRIP_SCHEMA, ContractError, compare_columns, require_columns
+from curbflow.contract import SOURCE_SCHEMA, TRIP_SCHEMA, ContractError, compare_columns, require_columns
 from curbflow.sources import months
 
 
-def part_columns(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
-    """Column names of every part file, from its footer; several files at a time."""
+def part_schemas(spark: SparkSession, files: list[str]) -> list[tuple[str, T.StructType]]:
+    """Schema of every part file, from its footer; several files at a time."""
     with ThreadPool(16) as pool:
-        return list(zip(files, pool.map(lambda f: spark.read.parquet(f).columns, files)))
+        return list(zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files)))
+
+
+def _month_schemas(spark: SparkSession, folder: str) -> list[tuple[int, T.StructType]]:
+    """(month, schema) of every part of every parquet month entry."""
+    chosen = {r.entry: r.month for r in months.inventory(spark, folder).where("format = 'parquet'").collect()}
+    parts = months.parts(spark, folder).where(F.col("entry").isin(*chosen)).collect() if chosen else []
+    month_of = {r.path: chosen[r.entry] for r in parts}
+    return [(month_of[path], schema) for path, schema in part_schemas(spark, sorted(month_of))]
 
 
 def month_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,13 +32,10 @@ def month_columns(spark: SparkSession, folder: str) -> DataFrame:
     A row for each state that a column has in some part, so a month whose parts
     agree has one row per column.
     """
-    chosen = {r.entry: r.month for r in months.inventory(spark, folder).where("format = 'parquet'").collect()}
-    parts = months.parts(spark, folder).where(F.col("entry").isin(*chosen)).collect() if chosen else []
-    entry_of = {r.path: r.entry for r in parts}
     rows = {
-        (chosen[entry_of[path]], *state)
-        for path, columns in part_columns(spark, sorted(entry_of))
-        for state in compare_columns(columns)
+        (month, *state)
+        for month, schema in _month_schemas(spark, folder)
+        for state in compare_columns(schema.fieldNames())
     }
     return spark.createDataFrame(
         sorted(rows, key=str),
@@ -39,27 +44,43 @@ def month_columns(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def month_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Type comparison of every month entry with the source contract, over the footers of all its parts."""
+    rows = {
+        (month, *state)
+        for month, schema in _month_schemas(spark, folder)
+        for state in _type_states(schema, SOURCE_SCHEMA)
+    }
+    return spark.createDataFrame(sorted(rows, key=str), f"file_month INT, {_TYPE_STATE}")
+
+
 def require_parts(spark: SparkSession, files: list[str]) -> None:
     """Raise unless every parquet part file has exactly the contract's columns."""
-    for path, columns in part_columns(spark, sorted(f for f in files if f.endswith(".parquet"))):
-        require_columns(columns, path)
+    for path, schema in part_schemas(spark, sorted(f for f in files if f.endswith(".parquet"))):
+        require_columns(schema.fieldNames(), path)
 
 
-def type_drift(
-    spark: SparkSession, actual: T.StructType, expected: T.StructType = TRIP_SCHEMA
-) -> DataFrame:
-    """Columns of a stored table whose type differs, are absent, or are unknown."""
+_TYPE_STATE = "column_name STRING, expected_type STRING, actual_type STRING, status STRING"
+
+
+def _type_states(
+    actual: T.StructType, expected: T.StructType
+) -> list[tuple[str, str | None, str | None, str]]:
     want = {f.name: f.dataType.simpleString() for f in expected.fields}
     have = {f.name: f.dataType.simpleString() for f in actual.fields}
-    rows = [
+    return [
         (n, want.get(n), have.get(n),
          "ok" if want.get(n) == have.get(n) else
          "missing" if n not in have else "extra" if n not in want else "type")
         for n in [*want, *(n for n in have if n not in want)]
     ]
-    return spark.createDataFrame(
-        rows, "column_name STRING, expected_type STRING, actual_type STRING, status STRING"
-    )
+
+
+def type_drift(
+    spark: SparkSession, actual: T.StructType, expected: T.StructType = TRIP_SCHEMA
+) -> DataFrame:
+    """Columns of a stored table whose type differs, are absent, or are unknown."""
+    return spark.createDataFrame(_type_states(actual, expected), _TYPE_STATE)
 
 
 def require_types(actual: T.StructType, migrate: bool = False) -> bool:

@@ -56,7 +56,10 @@ _register(
     reagg_bias_report=lambda w: rollups.bias_report(_rows(w), pricing(w)),
     reagg_avg_wait=lambda w: rollups.cohort_waits(daily(w)),
     reagg_quantile=lambda w: rollups.merged_quantiles(rollups.daily_wait_counts(_rows(w))),
-    reagg_quantile_sketch=lambda w: rollups.merged_sketches(rollups.daily_wait_sketches(_rows(w))),
+    reagg_quantile_sketch=lambda w: rollups.sketch_ranks(
+        rollups.merged_sketches(rollups.daily_wait_sketches(_rows(w))),
+        rollups.daily_wait_counts(_rows(w)),
+    ),
     market_share_monthly=lambda w: rollups.market_share(overview(w)),
     demand_profile=lambda w: rollups.demand_profile(hourly(w)),
     event_day_drop=lambda w: rollups.event_day_change(overview(w)),
@@ -204,13 +207,25 @@ def _source(w: Workspace) -> DataFrame:
     return months.read(w.spark, w.month_files())
 
 
+def _drifted_months(w: Workspace) -> str:
+    """Months as agreed, with tips as text and no tolls, or with short trip times and a further column."""
+    def write(path: str) -> None:
+        state, rows = F.col("file_month") % 3, w.source()
+        months.write(rows.where(state == 0), path)
+        months.write(rows.where(state == 1).withColumn("tips", F.col("tips").cast("string")).drop("tolls"), path)
+        shorter = rows.where(state == 2).withColumn("trip_time", F.col("trip_time").cast("int"))
+        months.write(shorter.withColumn("note", F.lit("")), path)
+
+    return w.once("months-drifted", write)
+
+
 def _counts(w: Workspace) -> DataFrame:
     return profile.assessed(_source(w), w.scratch("checks"))
 
 
 _register(
     val_columns=lambda w: contract_checks.month_columns(w.spark, w.month_files()),
-    val_type_drift=lambda w: contract_checks.type_drift(w.spark, w.trips().schema),
+    val_type_drift=lambda w: contract_checks.month_types(w.spark, _drifted_months(w)),
     val_null_profile=lambda w: profile.null_profile(_counts(w)),
     val_empty_rows=lambda w: profile.empty_rows(_counts(w)),
     val_duplicate_rows=lambda w: profile.duplicate_rows(_counts(w)),

@@ -223,9 +223,15 @@ SQL = {
     "val_columns": on_trips(f"""
         SELECT m.ym AS file_month, column_name, 'ok' AS status, CAST(i AS INTEGER) AS expected_position,
           CAST(i AS INTEGER) AS actual_position FROM (SELECT DISTINCT ym FROM trips) m CROSS JOIN {COLUMN_LIST}"""),
-    "val_type_drift": f"""
-        SELECT column_name, t AS expected_type, t AS actual_type, 'ok' AS status FROM {COLUMN_LIST}
-        UNION ALL SELECT 'pickup_month', NULL, 'int', 'extra'""",
+    "val_type_drift": on_trips("f AS (SELECT DISTINCT ym, ym % 3 AS state FROM trips)", f"""
+        SELECT ym AS file_month, column_name, want AS expected_type,
+          CASE WHEN missing THEN NULL WHEN text THEN 'string' WHEN short THEN 'int' ELSE want END AS actual_type,
+          CASE WHEN missing THEN 'missing' WHEN text OR short THEN 'type' ELSE 'ok' END AS status
+        FROM (SELECT ym, column_name, CASE WHEN column_name LIKE '%\\_flag' ESCAPE '\\' THEN 'string' ELSE t END AS want,
+                state = 1 AND column_name = 'tolls' AS missing, state = 1 AND column_name = 'tips' AS text,
+                state = 2 AND column_name = 'trip_time' AS short
+              FROM f CROSS JOIN {COLUMN_LIST})
+        UNION ALL SELECT ym, 'note', NULL, 'string', 'extra' FROM f WHERE state = 2"""),
     "val_null_profile": on_trips(f"n AS (SELECT ym, count(*) AS total, {NULLS} FROM trips GROUP BY ym)", f"""
         SELECT ym AS file_month, column_name, c AS null_count, {pct('c', 'total')} AS null_pct, true AS expected
         FROM (SELECT ym, total, column_name, CASE column_name WHEN 'originating_base_num' THEN n_originating

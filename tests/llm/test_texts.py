@@ -222,6 +222,16 @@ def test_terms_that_reveal_an_entity_go(spark):
     assert clean[10] == text[10] and clean[100] == "more mail to [EMAIL] by the firm"
 
 
+def test_a_term_of_one_text_can_reveal_its_entity(spark):
+    rows = [(0, "the firm zorblax wrote to boss@zorb.example and more")]
+    rows += [(1 + i, f"the firm wrote to you and more things come on day {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert clean[0] == "the firm  wrote to [EMAIL] and more"
+    few = {r.doc_id: r.text for r in pii.sanitised(docs.where("doc_id < 100")).collect()}
+    assert few[0] == "the firm zorblax wrote to [EMAIL] and more"  # one text among few says too little
+
+
 def test_pii_plan_has_no_python(spark, odd):
     plan = pii.sanitised(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan

@@ -11,6 +11,12 @@ all documents as if ``PRIOR`` texts had been seen before: an entity of a single
 text can be disclosed, with more caution than one of many. Copies of one text are
 one piece of evidence. Counts cover all documents.
 
+Terms are runs of letters and figures, and pairs of neighbours in scripts without
+spaces; identifiers are blanked out before terms are looked for. A document that
+holds an entity loses the terms that reveal it wherever they stand in its text.
+Documents without the entity keep them: no identifier is left in the output that
+they could lead to.
+
 Everything is DataFrame functions; the corpus counts are aggregates that combine
 before their shuffle, and texts without identifiers are never moved.
 """
@@ -29,7 +35,6 @@ DISCLOSURE = 0.9
 PRIOR = 1.0
 #: Characters on either side of an identifier in which terms count as beside it.
 WINDOW = 80
-TERM_MIN = 3
 
 # A run of characters is tried once, from its start or where the last match ended.
 _PATTERNS = {
@@ -42,14 +47,16 @@ KINDS = list(_PATTERNS)
 #: What a text must hold for a pattern to be tried.
 _NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-#: A term: a run of letters between white space, closing marks aside; no identifier holds one.
-_TERM = r"(?<!\S)\p{L}{%d,}(?=[.,;:!?)\"]*(?:\s|$))" % TERM_MIN
+#: Scripts without spaces, and what else a word is made of; a single letter beside an apostrophe or dash names nobody.
+_LOOSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_LETTER = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_LOOSE}]]"
+_TERM = rf"[{_LOOSE}]++|{_LETTER}{{2,}}+"
 
 
 def matches(text: Column, pattern: str, needs: str = "") -> Column:
-    """Array of ``(value, start, end, left, right)``: leftmost matches, code points, text on either side."""
+    """Array of ``(value, start, end)``: leftmost matches, in code points."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<value:string,start:bigint,end:bigint,left:string,right:string>>")
+    none = F.array().cast("array<struct<value:string,start:bigint,end:bigint>>")
 
     def placed(values: Column) -> Column:
         return let(
@@ -66,8 +73,6 @@ def matches(text: Column, pattern: str, needs: str = "") -> Column:
                             v.alias("value"),
                             s.alias("start"),
                             (s + F.length(v)).alias("end"),
-                            F.substring(pieces[i], -WINDOW - 1, WINDOW + 1).alias("left"),
-                            F.substring(pieces[i + 1], 1, WINDOW + 1).alias("right"),
                         ),
                     ),
                 ),
@@ -111,50 +116,86 @@ def _spans_of(kind: str, text: Column) -> Column:
             m["start"].alias("start"),
             m["end"].alias("end"),
             _entity(kind, m["value"]).alias("entity"),
-            m["left"].alias("left"),
-            m["right"].alias("right"),
         ),
     )
 
 
 def base_spans(text: Column) -> Column:
-    """Array of ``(kind, start, end, entity, left, right)``, by kind as listed, then start."""
+    """Array of ``(kind, start, end, entity)``, by kind as listed, then start."""
     return F.concat(*[_spans_of(kind, text) for kind in KINDS])
 
 
-def _terms(window: Column, at: Column, cut_left: bool, entity: Column) -> Column:
-    """Terms of a window that starts at ``at``; one that the window's edge may cut is left out."""
-    full = F.length(window) > WINDOW
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces for every span, so that places stay."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def whole(m: Column) -> Column:
-        edge = m["start"] == 0 if cut_left else m["end"] == F.length(window)
-        return ~(full & edge)
+    def step(state: Column, s: Column) -> Column:
+        at, out = state["at"], state["out"]
+        gap = F.substring(text, (at + 1).cast("int"), F.greatest(s["start"] - at, F.lit(0)).cast("int"))
+        hole = F.repeat(F.lit(" "), (s["end"] - F.greatest(at, s["start"])).cast("int"))
+        return F.struct(F.greatest(at, s["end"]).alias("at"), F.concat(out, gap, hole).alias("out"))
 
-    return F.transform(
-        F.filter(matches(window, _TERM), whole),
-        lambda m: F.struct(
-            entity.alias("entity"),
-            F.lower(m["value"]).alias("term"),
-            (at + m["start"]).alias("start"),
-            (at + m["end"]).alias("end"),
-        ),
+    places = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return F.aggregate(
+        F.array_sort(places),
+        start,
+        step,
+        lambda state: F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text))),
     )
 
 
-def beside(spans: Column) -> Column:
-    """Array of ``(entity, term, start, end)``: terms beside each span."""
+def _pairs(run: Column) -> Column:
+    """Places of the pairs of neighbours in a run, or of its one character."""
+    return F.sequence(F.lit(0), F.greatest(F.length(run) - 2, F.lit(0)))
+
+
+def terms(text: Column) -> Column:
+    """Array of the terms of a text, in lower case."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
+    loose = F.flatten(
+        F.transform(
+            runs,
+            lambda v: F.when(
+                v.rlike(f"^[{_LOOSE}]"), F.transform(_pairs(v), lambda i: F.substring(v, i + 1, F.lit(2)))
+            ).otherwise(F.array(v)),
+        )
+    )
+    return F.array_distinct(F.when(text.rlike(f"[{_LOOSE}]"), loose).otherwise(runs))
+
+
+def placed_terms(text: Column) -> Column:
+    """Array of ``(term, start, end)``: every term of a text, with its place."""
+
+    def place(value: Column, start: Column) -> Column:
+        return F.struct(F.lower(value).alias("term"), start.alias("start"), (start + F.length(value)).alias("end"))
+
+    def places(m: Column) -> Column:
+        value, start = m["value"], m["start"]
+        pairs = F.transform(_pairs(value), lambda i: place(F.substring(value, i + 1, F.lit(2)), start + i))
+        return F.when(value.rlike(f"^[{_LOOSE}]"), pairs).otherwise(F.array(place(value, start)))
+
+    return F.flatten(F.transform(matches(text, _TERM), places))
+
+
+def beside(text: Column, spans: Column) -> Column:
+    """Array of distinct ``(entity, term)``: terms of a blanked text within ``WINDOW`` of each span, none cut by its edge."""
 
     def around(s: Column) -> Column:
-        return F.concat(
-            _terms(s["left"], s["start"] - F.length(s["left"]), True, s["entity"]),
-            _terms(s["right"], s["end"], False, s["entity"]),
+        near = F.least(s["start"], F.lit(WINDOW + 1))
+        left = F.substring(text, (s["start"] - near + 1).cast("int"), near.cast("int"))
+        right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(WINDOW + 1))
+        left = F.when(F.length(left) > WINDOW, F.regexp_replace(left, f"^{_LETTER}++", "")).otherwise(left)
+        right = F.when(F.length(right) > WINDOW, F.regexp_replace(right, f"{_LETTER}++$", "")).otherwise(right)
+        return F.transform(
+            terms(F.concat(left, F.lit(" "), right)),
+            lambda t: F.struct(s["entity"].alias("entity"), t.alias("term")),
         )
 
-    return F.flatten(F.transform(spans, around))
+    return F.array_distinct(F.flatten(F.transform(spans, around)))
 
 
 def found(docs: DataFrame, name: str = "pii") -> DataFrame:
-    """``docs`` with a struct ``name``: the row's text hash, its base spans and the terms beside them."""
+    """``docs`` with a struct ``name``: the row's text hash and its base spans."""
     text = F.coalesce(F.col("text"), F.lit(""))
     spans, rows = fresh(docs, "_spans"), docs
     rows = rows.withColumn(spans, base_spans(text))
@@ -164,28 +205,28 @@ def found(docs: DataFrame, name: str = "pii") -> DataFrame:
     )
 
 
-def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
+def disclosed(held: DataFrame, others: DataFrame) -> DataFrame:
     """``(entity, term, only)``: terms that disclose an entity; ``only`` if they stand nowhere else.
 
-    ``held`` has ``spans`` and ``terms`` of all rows, ``docs`` their texts.
+    ``held`` has ``spans``, ``beside`` and the blanked text of rows with
+    identifiers, ``others`` the texts of all other rows.
     """
+    docs = held.select("text").unionByName(others.select("text"))
     total = docs.count()
     entities = (
         held.select(F.explode(F.array_distinct(F.col("spans.entity"))).alias("entity"))
         .groupBy("entity")
         .agg(F.count("*").alias("n_c"))
     )
-    both = F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term")))
     pairs = (
-        held.select("hash", F.explode(F.array_distinct(both)).alias("p"))
+        held.select("hash", F.explode("beside").alias("p"))
         .groupBy("p.entity", "p.term", "hash")
         .agg(F.count("*").alias("n"))
         .groupBy("entity", "term")
         .agg(F.sum("n").alias("n_ct"), F.count("*").alias("texts"))
     )
     words = (
-        docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-        .where(F.length("term") >= TERM_MIN)
+        docs.select(F.explode(terms(F.coalesce(F.col("text"), F.lit("")))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n_t"))
     )
@@ -199,11 +240,16 @@ def disclosed(held: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def term_spans(held: DataFrame, reveals: DataFrame) -> DataFrame:
-    """``(doc_id, hash, extra)``: spans ``(start, end, only)`` of disclosing terms, by place."""
+    """``(doc_id, hash, extra)``: spans ``(start, end, only)`` by place, of the terms that reveal a row's own entities."""
+    words = held.select("doc_id", "hash", F.explode(placed_terms(F.col("text"))).alias("t"))
+    own = held.select(
+        F.col("doc_id").alias("_of"), F.col("hash").alias("_by"), F.explode("spans.entity").alias("_entity")
+    ).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("hash") == F.col("_by"))
     return (
-        held.select("doc_id", "hash", F.explode("terms").alias("t"))
-        .select("doc_id", "hash", "t.*")
-        .join(reveals, ["entity", "term"])
+        words.select("doc_id", "hash", "t.*")
+        .join(reveals, "term")
+        .join(own, same & (F.col("entity") == F.col("_entity")), "left_semi")
         .groupBy("doc_id", "hash", "start", "end")
         .agg(F.max("only").alias("only"))
         .groupBy("doc_id", "hash")
@@ -212,15 +258,19 @@ def term_spans(held: DataFrame, reveals: DataFrame) -> DataFrame:
 
 
 def _held(rows: DataFrame, pii: str = "pii") -> DataFrame:
-    hits = rows.where(F.size(f"{pii}.spans") > 0)
+    hits = rows.where(F.size(f"{pii}.spans") > 0).select("doc_id", f"{pii}.hash", f"{pii}.spans", "text")
     return stored(
-        hits.select("doc_id", f"{pii}.hash", f"{pii}.spans").withColumn("terms", beside(F.col("spans"))).select(
-            "doc_id", "hash", "terms", F.transform("spans", lambda s: s.dropFields("left", "right")).alias("spans")
+        hits.withColumn("text", blanked(F.col("text"), F.col("spans"))).withColumn(
+            "beside", beside(F.col("text"), F.col("spans"))
         ),
         "pii-held",
     )
 
 
+def _others(rows: DataFrame, pii: str = "pii") -> DataFrame:
+    return rows.where(F.size(f"{pii}.spans") == 0).select("text")
+
+
 _EXTRA = "array<struct<start:bigint,end:bigint,only:boolean>>"
 
 
@@ -237,13 +287,13 @@ def all_spans(docs: DataFrame) -> DataFrame:
 
     A null text is empty and has no spans; repeated rows come back as often as
     they stand there with the same spans; a null doc_id is kept. Ties cannot
-    occur: spans of one kind do not overlap. An empty table gives no rows and
+    occur: no two spans of one kind have the same place. An empty table gives no rows and
     other columns are not read.
     """
     only = docs.select("doc_id", "text")
-    rows = stored(found(only).drop("text"), "pii-found")
+    rows = stored(found(only), "pii-found")
     held = _held(rows)
-    extra = term_spans(held, disclosed(held, only))
+    extra = term_spans(held, disclosed(held, _others(rows)))
     joined, own = _joined(rows, extra, "pii")
     terms = F.transform(
         own, lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end"))
@@ -283,7 +333,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     pii = fresh(docs, "_pii")
     rows = stored(found(docs, pii), "pii-rows")
     held = _held(rows, pii)
-    extra = term_spans(held, disclosed(held, rows.select("text")))
+    extra = term_spans(held, disclosed(held, _others(rows, pii)))
     hits, own = _joined(rows.where(F.size(f"{pii}.spans") > 0), extra, pii)
     says = F.create_map(*[F.lit(x) for k in KINDS for x in (k, f"[{k.upper()}]")])
     spans = F.concat(

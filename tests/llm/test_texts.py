@@ -232,6 +232,33 @@ def test_a_term_of_one_text_can_reveal_its_entity(spark):
     assert few[0] == "the firm zorblax wrote to [EMAIL] and more"  # one text among few says too little
 
 
+def test_revealing_terms_go_from_the_whole_text(spark):
+    gap = " and more things come" * 10
+    rows = [(0, f"(zorblax) x@a.example y@b.example{gap}, O'Qua-Bo's agent7 Zorblax's \"zorblax\" zorblax-like. x@a.example by Qua")]
+    rows += [(1, f"田中太郎 z@c.example{gap} 田中太郎"), (2, f"qua{gap}"), (3, f"Li w@d.example{gap} li")]
+    rows += [(10 + i, f"the like things come and more by {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    # qua stands in another text too, so one text beside x@a.example says too little
+    assert clean[0] == f"() [EMAIL] [EMAIL]{gap}, O'Qua-'s  's \"\" -like. [EMAIL] by Qua"
+    assert clean[1] == f" [EMAIL]{gap} " and clean[2] == f"qua{gap}" and clean[3] == f" [EMAIL]{gap} "
+    many = spark.createDataFrame(
+        [(i, f"the like zorblax{gap} by boss@zorb.example{gap} zorblax number{i}") for i in range(4)]
+        + [(4 + i, f"the zorblax like: boss@zorb.example{gap} zorblax number{i}") for i in range(20)]
+        + [(30, f"only zorblax{gap}")] + rows[30:400],
+        "doc_id long, text string",
+    )
+    clean = {r.doc_id: r.text for r in pii.sanitised(many).collect()}
+    assert clean[0] == f"the like [TERM]{gap} by [EMAIL]{gap} [TERM] number0"
+    assert clean[30] == f"only zorblax{gap}"  # the identifier is nowhere in the output
+
+
+def test_blanked_keeps_places(spark):
+    docs = spark.createDataFrame([(1, "é😀 +4111111111111111 a@1.2.3.4 é")], "doc_id long, text string")
+    text = docs.select("text", pii.base_spans(F.col("text")).alias("s")).select(pii.blanked(F.col("text"), F.col("s"))).first()[0]
+    assert text == "é😀 +" + " " * 27 + "é"
+
+
 def test_pii_plan_has_no_python(spark, odd):
     plan = pii.sanitised(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan

@@ -6,9 +6,11 @@ shard builds a flat graph: neighbours by similarity, robustly pruned, reverse
 edges added, every node reachable from the medoid. The adjacency lists of a node
 in all its shards are united. Search runs in each shard over the united lists:
 greedy from the medoid, and on through every node found in range, until none is
-left. Links are pairs whose cosine in double precision reaches the threshold. A
-sample of queries is compared with all nodes; if too many links were missed,
-everything is done again with more overlap.
+left. Links are pairs whose cosine in double precision reaches the threshold.
+Blocks of queries are compared with all nodes until enough of them have links; if
+too many links were missed, everything is done again with more overlap. Where
+links are too rare for that, the most overlap is taken and a warning given; a
+recall below the promised one at the most overlap is an error.
 
 A shard above ``SHARD_MOST`` nodes is dealt into blocks, each with a graph of its
 own, and every block of queries searches every block of nodes: tasks stay
@@ -17,7 +19,9 @@ bounded and nothing is left out.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,9 +41,15 @@ MAX_CENTROIDS = 4096
 #: Graph: neighbours considered, neighbours kept, slack of the pruning rule.
 NEAR, DEGREE, ALPHA = 48, 16, 1.2
 BEAM = 24
-#: Queries compared with all nodes, and the share of their links that must be found.
-AUDIT_QUERIES = 100
-AUDIT_RECALL = 0.97
+#: Shards a node joins at first and at most.
+OVERLAP, MOST_OVERLAP = 2, 8
+#: Queries with links that an audit asks for, queries of its first and largest block.
+AUDIT_LINKED = 100
+AUDIT_BLOCK, AUDIT_MOST = 128, 4096
+#: Share of the nodes an audit compares with all at most, and a number it may always reach.
+AUDIT_SHARE, AUDIT_LEAST = 0.02, 5000
+#: Share of their links that must be found, and below which the result is refused at the most overlap.
+AUDIT_RECALL, LEAST_RECALL = 0.97, 0.9
 
 NODE = "node long, vector array<double>"
 
@@ -196,16 +206,27 @@ def _searched(least: float):
     return run
 
 
-def links(nodes: DataFrame, least: float = MIN_COSINE, overlap: int = 2) -> DataFrame:
+def links(nodes: DataFrame, least: float = MIN_COSINE, overlap: int = OVERLAP) -> DataFrame:
     """Pairs ``(a, b)``, a < b, of ``nodes (node, vector)`` at cosine ``least`` or more that search finds."""
     total = nodes.count()
     if not total:
         return nodes.sparkSession.createDataFrame([], "a long, b long")
+    true, audited = _true_links(nodes, total, least)
+    if not audited:
+        overlap = max(overlap, MOST_OVERLAP)
+        warnings.warn(f"fewer than {AUDIT_LINKED} queries with links: recall is not audited, overlap {overlap}")
     while True:
         pairs = _round(nodes, _centroids(nodes, total), least, overlap)
-        if overlap >= 8 or _recall(nodes, pairs, least) >= AUDIT_RECALL:
+        recall = _recall(true, pairs)
+        if recall >= AUDIT_RECALL:
             return pairs
+        if overlap >= MOST_OVERLAP:
+            break
         overlap *= 2
+    if audited and recall < LEAST_RECALL:
+        raise RuntimeError(f"recall {recall:.3f} of links at overlap {overlap}, {LEAST_RECALL} promised")
+    warnings.warn(f"recall {recall:.3f} of links at overlap {overlap}")
+    return pairs
 
 
 def _round(nodes: DataFrame, centers: np.ndarray, least: float, overlap: int) -> DataFrame:
@@ -243,23 +264,49 @@ def _round(nodes: DataFrame, centers: np.ndarray, least: float, overlap: int) ->
     return stored(found.distinct(), "vector-links")
 
 
-def _recall(nodes: DataFrame, pairs: DataFrame, least: float) -> float:
-    """Share of the links of ``AUDIT_QUERIES`` nodes, found by comparing with all, that ``pairs`` has."""
-    some = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(AUDIT_QUERIES).collect()
-    ids, q = np.array([r["node"] for r in some]), np.array([r["vector"] for r in some])
+def _true_links(nodes: DataFrame, total: int, least: float) -> tuple[DataFrame, bool]:
+    """Links ``(query, a, b)`` of the audit's queries by comparing with all nodes, and whether they are enough.
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    They are if ``AUDIT_LINKED`` queries have links, or if every node was a query.
+    """
+    last = min(1.0, max(AUDIT_SHARE, AUDIT_LEAST / total))
+    place = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
+    at, size, linked, parts = 0.0, AUDIT_BLOCK, 0, []
+    while at < last and linked < AUDIT_LINKED:
+        to = min(last, at + size / total)
+        some = nodes.where((place >= at) & (place < to)).collect()  # about AUDIT_MOST rows at most
+        at, size = to, min(2 * size, AUDIT_MOST)
+        if some:
+            ids, q = np.array([r["node"] for r in some]), np.array([r["vector"] for r in some])
+            part = stored(nodes.mapInPandas(_compared(ids, q, least), "query long, a long, b long"), "vector-audit")
+            linked += part.select("query").distinct().count()
+            parts.append(part)
+    empty = nodes.sparkSession.createDataFrame([], "query long, a long, b long")
+    return reduce(DataFrame.union, parts, empty), linked >= AUDIT_LINKED or at >= 1.0
+
+
+def _compared(ids: np.ndarray, q: np.ndarray, least: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            if len(frame):
-                node = frame["node"].to_numpy()
-                at, by = np.nonzero(np.stack(frame["vector"].to_list()) @ q.T >= least)
-                a, b = node[at], ids[by]
-                a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
-                yield pd.DataFrame({"a": a, "b": b})
-
-    true = nodes.mapInPandas(compare, "a long, b long").distinct()
-    got = true.join(pairs.withColumn("found", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("found")).first()
-    return got[1] / got[0] if got[0] else 1.0
+            if not len(frame):
+                continue
+            node, x = frame["node"].to_numpy(), np.stack(frame["vector"].to_list())
+            for k in range(0, len(ids), AUDIT_BLOCK):
+                at, by = np.nonzero(x @ q[k : k + AUDIT_BLOCK].T >= least)
+                a, b = node[at], ids[k + by]
+                at = a != b
+                a, b = a[at], b[at]
+                yield pd.DataFrame({"query": b, "a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
+def _recall(true: DataFrame, pairs: DataFrame) -> float:
+    """Share of the ``true`` links that ``pairs`` has, over all links or as the mean of the queries if that is less."""
+    found = true.join(pairs.withColumn("found", F.lit(1)), ["a", "b"], "left")
+    each = found.groupBy("query").agg(F.count("*").alias("n"), F.count("found").alias("got"))
+    got = each.agg(F.sum("got") / F.sum("n"), F.avg(F.col("got") / F.col("n"))).first()
+    return 1.0 if got[0] is None else min(got)
 
 
 def near_duplicates(rows: DataFrame, least: float = MIN_COSINE) -> DataFrame:

@@ -146,6 +146,44 @@ def test_vector_query_recall(spark):
     assert sum(got.values()) >= 0.9 * sum(true.values())
 
 
+def _sparse(spark, n=3000, every=60, dim=64):
+    """Nodes of which few have one near neighbour, and the pairs."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, dim))
+    for i in range(0, n, every):
+        x[i + 1] = x[i] + rng.normal(size=dim) * 0.2
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], vectors.NODE), {(i, i + 1) for i in range(0, n, every)}
+
+
+def test_sparse_links_are_audited_until_enough(spark, monkeypatch):
+    nodes, want = _sparse(spark)
+    true, audited = vectors._true_links(nodes, 3000, 0.95)
+    assert audited and {(r.a, r.b) for r in true.collect()} <= want and true.count() >= vectors.AUDIT_LINKED
+    none = spark.createDataFrame([], "a long, b long")
+    asked = []
+
+    def blind(nodes, centers, least, overlap):
+        asked.append(overlap)
+        return none
+
+    monkeypatch.setattr(vectors, "_round", blind)
+    with pytest.raises(RuntimeError, match="recall 0.000"):  # audited at the most overlap, too
+        vectors.links(nodes)
+    assert asked == [2, 4, 8]
+    monkeypatch.setattr(vectors, "AUDIT_LEAST", 10)
+    with pytest.warns(UserWarning, match="not audited"):
+        vectors.links(nodes)
+    assert asked[3:] == [8]
+
+
+def test_planted_pairs_are_found(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD_ROWS", 100)
+    nodes, want = _sparse(spark)
+    got = {(r.a, r.b) for r in vectors.links(nodes).collect()}
+    assert len(want & got) >= 0.9 * len(want) and got <= want
+
+
 # the pipeline
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import chat, mixing, packing, pii, quality, secrets, simhash, tokens, vectors, warc
+from curbflow.llm import audit, chat, mixing, packing, pii, quality, repair, secrets, simhash, sql, tokens, vectors, warc
 from curbflow.llm.common import session, stored, table
 
 
@@ -131,6 +131,35 @@ def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(session(spark), sf_dir, "embeddings"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session(spark), sf_dir, "documents")
+    return audit.interactions(audit.failures(docs, table(spark, sf_dir, "labels")))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged conversations and their repair, every conversation of the table once."""
+    turns = table(session(spark), sf_dir, "conversations")
+    rows = repair.ordered(repair.damaged(turns))
+    found = stored(repair.reports(rows), "reports")
+    line = F.struct("place", "part", F.concat_ws(":", "role", "text").alias("line"))
+    texts = repair.repaired(rows, found).groupBy(F.col("conv_id").alias("_text")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n").alias("lines")
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    report = found.select(F.col("conv_id").alias("_report"), *counts, "audit")
+    return (
+        turns.select("conv_id").distinct()
+        .join(report, F.col("conv_id").eqNullSafe(F.col("_report")), "left")
+        .join(texts, F.col("conv_id").eqNullSafe(F.col("_text")), "left")
+        .select(
+            "conv_id",
+            *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.sha2(F.coalesce("lines", F.lit("")), 256).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_archive": op1_warc_archive,
     "op2_quality_rules": op2_quality_rules,
@@ -142,6 +171,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_raked_mixing": op9_raked_mixing,
     "op10_vector_near_dedup": op10_vector_near_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 SQL: dict[str, str] = {
@@ -173,4 +204,4 @@ SQL: dict[str, str] = {
                sum(n + length('<s>[INST][/INST]</s>'))::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
-}
+} | sql.SQL

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm import audit, chat, mixing, packing, pii, quality, repair, secrets, simhash, sql, tokens, vectors, warc
+from curbflow.llm import audit, chat, mixing, packing, pii, quality, repair, repeats, secrets, simhash, sql, tokens, vectors, warc
 from curbflow.llm.common import session, stored, table
 
 
@@ -131,6 +131,12 @@ def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(table(session(spark), sf_dir, "embeddings"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(session(spark), sf_dir, "documents").select("doc_id", "text")
+    left = repeats.deduplicated(docs, "left")
+    return left.select("doc_id", "left.n_words", "left.n_removed", F.sha2("left.text", 256).alias("kept_sha256"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(session(spark), sf_dir, "documents")
     return audit.interactions(audit.failures(docs, table(spark, sf_dir, "labels")))
@@ -171,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_raked_mixing": op9_raked_mixing,
     "op10_vector_near_dedup": op10_vector_near_dedup,
+    "op11_substring_dedup": op11_substring_dedup,
     "op12_filter_audit": op12_filter_audit,
     "op13_structure_repair": op13_structure_repair,
 }

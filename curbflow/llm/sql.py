@@ -140,4 +140,4 @@ OP13 = r"""
     LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
-SQL = {"op12_filter_audit": OP12, "op13_structure_repair": OP13}
+SQL = {"op11_substring_dedup": OP11, "op12_filter_audit": OP12, "op13_structure_repair": OP13}

@@ -187,7 +187,7 @@ def _repeated(ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, piece: np.nda
     return near[~itself]
 
 
-def _segments(slots: int):
+def _segments(slots: int, size: int):
     def shipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batch = _Batch()
 
@@ -200,17 +200,17 @@ def _segments(slots: int):
                         batch.add((*key, start), words)
                         kept = max(0, len(words) - WINDOW + 1)
                         start, tail = start + kept, words[kept:]
-                        if batch.words >= BATCH:
+                        if batch.words >= size:
                             yield from batch.taken(slots)
             yield from batch.taken(slots)
 
-        out, size = [], 0
+        out, held = [], 0
         for row in rows():
             out.append(row)
-            size += len(row["meta"]) + len(row["words"] or b"")
-            if size > 1 << 25:
+            held += len(row["meta"]) + len(row["words"] or b"")
+            if held > 1 << 25:
                 yield pd.DataFrame(out)
-                out, size = [], 0
+                out, held = [], 0
         if out:
             yield pd.DataFrame(out)
 
@@ -283,11 +283,11 @@ def _groups(most: int):
     return found
 
 
-def repeated_windows(docs: DataFrame, text: str = "text", most: int = MOST) -> DataFrame:
+def repeated_windows(docs: DataFrame, text: str = "text", most: int = MOST, batch: int = BATCH) -> DataFrame:
     """Runs of windows that stand earlier: ``numbered, id, digest, start, n`` with ``n`` windows from word ``start``.
 
     ``docs`` needs ``doc_id`` and a text; see :func:`deduplicated` for how rows are told apart.
-    ``most`` bounds the suffixes that a group holds in memory. The number of groups grows with the
+    ``most`` bounds the suffixes that a group holds in memory, ``batch`` the words that a task does. The number of groups grows with the
     input; a group beyond the bound is found by an aggregate on whole windows, so none is left out.
     """
     number, digest = _identity(docs, text)
@@ -297,7 +297,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", most: int = MOST) -> D
     )
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     slots = max(64, size // (WORD_BYTES * GROUP))
-    shipped = rows.mapInPandas(_segments(slots), _SHIPPED).repartition("slot").sortWithinPartitions("slot")
+    shipped = rows.mapInPandas(_segments(slots, batch), _SHIPPED).repartition("slot").sortWithinPartitions("slot")
     found = stored(shipped.mapInPandas(_groups(most), f"{_SPAN}, words binary"), "windows")
     spans, single = found.where("words IS NULL").drop("words"), found.where("words IS NOT NULL")
     if not single.take(1):
@@ -328,7 +328,9 @@ def _kept(texts: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.DataFram
     return pd.DataFrame(out, columns=["n_words", "n_removed", "text"])
 
 
-def deduplicated(docs: DataFrame, name: str = "deduplicated", text: str = "text", most: int = MOST) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, name: str = "deduplicated", text: str = "text", most: int = MOST, batch: int = BATCH
+) -> DataFrame:
     """All rows and columns of ``docs``, with a struct ``name`` of ``n_words, n_removed, text``: what is left of each text.
 
     Words are cut at ASCII white space and compared unchanged. A word goes if a window of ``WINDOW`` words
@@ -343,7 +345,7 @@ def deduplicated(docs: DataFrame, name: str = "deduplicated", text: str = "text"
     """
     if name.lower() in (c.lower() for c in docs.columns):
         raise ValueError(f"column {name} is there already")
-    spans = repeated_windows(docs, text, most).groupBy("numbered", "id", "digest").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    spans = repeated_windows(docs, text, most, batch).groupBy("numbered", "id", "digest").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     found = spans.select(
         F.when(F.col("numbered"), F.col("id")).alias("id"), "digest", F.col("spans.start").alias("starts"), F.col("spans.n").alias("counts")
     )

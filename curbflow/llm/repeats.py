@@ -18,6 +18,8 @@ many documents reaches its group at most once a batch.
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,29 +34,59 @@ from curbflow.llm.pieces import word_lists
 
 #: Words of a window, the least length of a repeat, and of an anchor.
 WINDOW, PHRASE = 20, 5
-#: Words of a batch of texts, suffixes a group aims at, suffixes it may hold.
-BATCH, GROUP, MOST = 1 << 20, 1 << 19, 1 << 22
+#: Bytes of a batch of texts, suffixes a group aims at, suffixes it may hold.
+BATCH, GROUP, MOST = 1 << 22, 1 << 19, 1 << 22
 #: Bytes of a word with its gap, to choose the number of groups.
 WORD_BYTES = 6
 
 _SHIPPED = "slot long, windows long, segments long, meta binary, words binary"
 _SPAN = "numbered boolean, id long, digest long, start long, n long"
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes over which powers of _A are at hand.
+_REACH = 1 << 18
 
 
-class _Vocabulary(dict):
-    """Numbers words as they are met, and keeps a hash of each."""
-
-    def __init__(self) -> None:
-        self.hashes: list[int] = []
+class _Numbers(dict):
+    """Numbers words as they are met."""
 
     def __missing__(self, word: bytes) -> int:
         self[word] = at = len(self)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
         return at
 
-    def numbered(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint32, len(words))
+
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _A modulo 2^64, and of its inverse."""
+    inverse = np.uint64(pow(int(_A), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(_REACH, x)]), dtype=np.uint64) for x in (_A, inverse))
+
+
+def _tokens(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start and end, cut at ASCII white space."""
+    raw = np.frombuffer(data, np.uint8)
+    word = np.concatenate([[False], (raw != 0x20) & ((raw < 0x09) | (raw > 0x0D)), [False]])
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    return edges[::2], edges[1::2]
+
+
+def _hashes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of every word, by sums of bytes times powers."""
+    raw, out = np.frombuffer(data, np.uint8), np.zeros(len(starts), np.uint64)
+    power, inverse = _powers()
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _REACH, side="right")))
+        first, last = int(starts[at]), int(ends[to - 1])
+        if last - first > _REACH:  # one very long word
+            out[at] = xxhash.xxh64_intdigest(data[first:last])
+        else:
+            sums = np.zeros(last - first + 1, np.uint64)
+            np.cumsum((raw[first:last].astype(np.uint64) + np.uint64(1)) * power[: last - first], out=sums[1:])
+            a, b = starts[at:to] - first, ends[at:to] - first
+            out[at:to] = _pair((sums[b] - sums[a]) * inverse[a], (b - a).astype(np.uint64))
+        at = to
+    return out
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -99,55 +131,50 @@ def _runs(at: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(at)))
 
 
-#: The document and start of each segment: whether it has an id, the id, its text's digest, the first word's place.
-_KEY = ("numbered", "id", "digest", "start")
-
-
 class _Batch:
-    """Pieces of texts, in document order once taken."""
+    """Pieces of texts with their key: whether the document has an id, the id, its text's digest, the first word's number."""
 
     def __init__(self) -> None:
-        self.vocabulary, self.pieces, self.words = _Vocabulary(), [], 0
+        self.pieces, self.size = [], 0
 
-    def add(self, key: tuple, words: list[bytes]) -> None:
-        if len(words) >= WINDOW:
-            self.pieces.append((key, self.vocabulary.numbered(words)))
-            self.words += len(words)
+    def add(self, key: tuple, data: bytes) -> None:
+        self.pieces.append((key, data))
+        self.size += len(data)
 
     def taken(self, slots: int) -> Iterator[dict]:
         """The batch's rows: segments by slot, and what repeats within the batch as segments without words."""
-        pieces, vocabulary = sorted(self.pieces, key=lambda p: p[0]), self.vocabulary
+        pieces = sorted(self.pieces, key=lambda p: p[0])  # in document order
         self.__init__()
-        if not pieces:
-            return
-        ids = np.concatenate([p[1] for p in pieces])
-        lengths = np.array([len(p[1]) for p in pieces])
-        ends = np.cumsum(lengths)
+        sizes = np.array([len(p[1]) + 1 for p in pieces], np.int64)
         keys = [np.array(column, np.int64) for column in zip(*(p[0] for p in pieces))]
-        whole, phrase = _chained(np.array(vocabulary.hashes, np.uint64)[ids], WINDOW, PHRASE)
+        data = b" ".join(p[1] for p in pieces)
+        del pieces
+        starts, ends = _tokens(data)
+        owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
+        count = np.bincount(owner, minlength=len(sizes))
+        begins = np.cumsum(count) - count
+        if len(starts) < WINDOW:
+            return
+        whole, phrase = _chained(_hashes(data, starts, ends), WINDOW, PHRASE)
         anchor = _least(phrase, WINDOW - PHRASE + 1)
-        at = np.flatnonzero(np.repeat(ends, lengths)[: len(whole)] >= np.arange(WINDOW, len(whole) + WINDOW))
-        repeats = at[_repeated(ids, at, whole[at], np.searchsorted(ends, at, side="right"), keys, ends - lengths)]
+        at = np.flatnonzero(owner[: len(whole)] == owner[WINDOW - 1 :])
+        repeats = at[_repeated(data, starts, ends, at, whole[at], owner[at], keys, begins)]
         shipped = np.setdiff1d(at, repeats, assume_unique=True)
         for places, local in ((shipped, False), (np.sort(repeats), True)):
-            first, n = _runs(places, *(() if local else (anchor[places],)))
+            first, n = _runs(places, *((owner[places],) if local else (owner[places], anchor[places])))
             start = places[first]
-            piece = np.searchsorted(ends, start, side="right")
-            mixed = _pair(anchor[start], np.full(len(start), _B))
-            slot = (mixed % np.uint64(slots)).astype(np.int64)
+            piece = owner[start]
+            slot = (_pair(anchor[start], np.full(len(start), _B)) % np.uint64(slots)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
-            names = list(vocabulary)
             bounds = np.append(_changes(slot[order]), len(order))
+            low, high = starts[start], ends[start + n + WINDOW - 2]
+            meta = np.stack([*(k[piece] for k in keys[:3]), keys[3][piece] + start - begins[piece], n]).astype(np.int64)
             for a, b in zip(bounds, bounds[1:]):
                 own = order[a:b]
-                begins, sizes, p = start[own], n[own], piece[own]
-                meta = [keys[k][p] for k in range(3)] + [keys[3][p] + begins - (ends - lengths)[p], sizes]
-                words = None if local else _packed(
-                    b"\n".join(b" ".join([names[i] for i in ids[s : s + c + WINDOW - 1].tolist()]) for s, c in zip(begins, sizes))
-                )
+                words = None if local else _packed(b" ".join([data[i:j] for i, j in zip(low[own].tolist(), high[own].tolist())]))
                 yield {
-                    "slot": int(slot[own[0]]), "windows": int(sizes.sum()), "segments": len(own),
-                    "meta": _packed(np.stack(meta).astype(np.int64).tobytes()), "words": words,
+                    "slot": int(slot[own[0]]), "windows": int(n[own].sum()), "segments": len(own),
+                    "meta": _packed(meta[:, own].tobytes()), "words": words,
                 }
 
 
@@ -164,29 +191,82 @@ def _unpacked(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _repeated(ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, piece: np.ndarray, keys: list[np.ndarray], begins: np.ndarray) -> np.ndarray:
-    """Indices of the suffixes ``at`` whose window stands earlier: the deep nodes of their subtree without each first.
+def _ranks(data: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Ranks of the windows at words ``at`` (sorted): equal for equal windows only, ordered as their first words' numbers are.
 
-    ``piece`` is the key's row of each suffix and ``begins`` the place of that row's first word.
-    Suffixes whose window's hash is alone hang above the depth asked for, so only the others are sorted.
+    Prefix doubling: ranks of two neighbouring stretches make the rank of both.
+    """
+    change = np.zeros(len(starts) + 1, np.int32)
+    change[at] += 1
+    change[at + WINDOW] -= 1
+    covered = np.cumsum(change) > 0
+    place = np.flatnonzero(covered)
+    words = [data[i:j] for i, j in zip(starts[place].tolist(), ends[place].tolist())]
+    rank = np.zeros(len(covered), np.uint64)
+    rank[place] = np.fromiter(map(_Numbers().__getitem__, words), np.uint64, len(words))
+    done, got, n = 0, None, 1
+    powers = []
+    while True:
+        powers.append((n, rank))
+        if 2 * n > WINDOW:
+            break
+        place = place[covered[np.minimum(place + n, len(starts))] & (place + n < len(starts))]
+        both = (rank[place] << np.uint64(32)) | rank[place + n]
+        rank = np.zeros(len(covered), np.uint64)
+        rank[place] = np.unique(both, return_inverse=True)[1]
+        n *= 2
+    for n, rank in reversed(powers):
+        if WINDOW & n:
+            part = rank[at + done]
+            got = part if got is None else np.unique((got << np.uint64(32)) | part, return_inverse=True)[1].astype(np.uint64)
+            done += n
+    return got
+
+
+def _repeated(
+    data: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, hashes: np.ndarray,
+    owner: np.ndarray, keys: list[np.ndarray], begins: np.ndarray,
+) -> np.ndarray:
+    """Indices of the suffixes ``at`` whose window stands earlier: all of each deep node but its first.
+
+    Suffixes whose window's hash is alone hang from above the depth asked for, as leaves; the others are sorted
+    by their words, exactly. ``owner`` has each suffix's row in ``keys``, ``begins`` the first word of that row.
     """
     by = np.argsort(hashes, kind="stable")
     twin = hashes[by][1:] == hashes[by][:-1]
-    near = by[np.concatenate([[False], twin]) | np.concatenate([twin, [False]])] if len(by) else by
+    near = np.sort(by[np.concatenate([[False], twin]) | np.concatenate([twin, [False]])]) if len(by) else by
     if not len(near):
         return near
-    rows = ids[at[near][:, None] + np.arange(WINDOW)]
-    owner = piece[near]
-    place = [keys[k][owner] for k in range(3)] + [keys[3][owner] + at[near] - begins[owner]]
-    order = np.lexsort([*reversed(place), *(rows[:, k] for k in reversed(range(WINDOW)))])
-    rows, near, place = rows[order], near[order], [p[order] for p in place]
-    common = np.cumprod(rows[1:] == rows[:-1], axis=1, dtype=np.int8).sum(axis=1)  # words shared with the one before
-    first = np.concatenate([[True], common < WINDOW])
+    node = _ranks(data, starts, ends, at[near])
+    own = owner[near]
+    place = [keys[k][own] for k in range(3)] + [keys[3][own] + at[near] - begins[own]]
+    order = np.lexsort([*reversed(place), node])
+    near, node, place = near[order], node[order], [p[order] for p in place]
+    first = np.concatenate([[True], node[1:] != node[:-1]])
     leader = np.flatnonzero(first)[np.cumsum(first) - 1]
     itself = np.logical_and.reduce([p == p[leader] for p in place])  # rows that repeat a document
     return near[~itself]
 
 
+def _slices(text: bytes, size: int) -> Iterator[tuple[int, bytes]]:
+    """A text in slices of about ``size`` bytes with their first word's number; each window lies in one slice."""
+    at, first = 0, 0
+    while at < len(text):
+        to, step = at, size
+        while True:  # up to a gap, and on if the slice has no window that is its own
+            gap = _GAP.search(text, to + step)
+            to, step = gap.start() if gap else len(text), 2 * step
+            data = text[at:to] if at or to < len(text) else text
+            starts = _tokens(data)[0] if to < len(text) else ()
+            if to == len(text) or len(starts) >= WINDOW:
+                break
+        yield first, data
+        if to == len(text):
+            return
+        kept = len(starts) - WINDOW + 1
+        at, first = at + int(starts[kept]), first + kept
+
+
 def _segments(slots: int, size: int):
     def shipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batch = _Batch()
@@ -194,13 +274,9 @@ def _segments(slots: int, size: int):
         def rows() -> Iterator[dict]:
             for frame in batches:
                 for *key, text in zip(frame["numbered"], frame["id"], frame["digest"], frame["text"]):
-                    start, tail = 0, []
-                    for words in word_lists(text):
-                        words = tail + words
-                        batch.add((*key, start), words)
-                        kept = max(0, len(words) - WINDOW + 1)
-                        start, tail = start + kept, words[kept:]
-                        if batch.words >= size:
+                    for start, data in _slices(text, size):
+                        batch.add((*key, start), data)
+                        if batch.size >= size:
                             yield from batch.taken(slots)
             yield from batch.taken(slots)
 
@@ -224,21 +300,18 @@ def _spans(meta: np.ndarray) -> dict:
 
 def _subtree(blobs: list[tuple[np.ndarray, bytes]]) -> np.ndarray:
     """Spans of repeated windows of one group: rows of document key, start and number of windows."""
-    vocabulary, ids = _Vocabulary(), []
-    for _, words in blobs:
-        ids.append(vocabulary.numbered(_unpacked(words).split()))
-    ids = np.concatenate(ids)
+    data = b" ".join(_unpacked(words) for _, words in blobs)
     meta = np.concatenate([m for m, _ in blobs], axis=1)
+    starts, ends = _tokens(data)
     n = meta[4]
     begins = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
-    piece = np.repeat(np.arange(len(n)), n)
+    owner = np.repeat(np.arange(len(n)), n)
     at = np.arange(n.sum()) + np.repeat(begins - (np.cumsum(n) - n), n)
-    (whole,) = _chained(np.array(vocabulary.hashes, np.uint64)[ids], WINDOW)
-    repeats = np.sort(_repeated(ids, at, whole[at], piece, [meta[k] for k in range(4)], begins))
-    first, length = _runs(at[repeats], piece[repeats])
-    owner = piece[repeats[first]] if len(first) else np.zeros(0, np.int64)
-    start = meta[3][owner] + at[repeats[first]] - begins[owner] if len(first) else owner
-    return np.stack([meta[0][owner], meta[1][owner], meta[2][owner], start, length])
+    (whole,) = _chained(_hashes(data, starts, ends), WINDOW)
+    repeats = np.sort(_repeated(data, starts, ends, at, whole[at], owner, list(meta[:4]), begins))
+    first, length = _runs(at[repeats], owner[repeats])
+    own = owner[repeats[first]]
+    return np.stack([*(meta[k][own] for k in range(3)), meta[3][own] + at[repeats[first]] - begins[own], length])
 
 
 def _groups(most: int):
@@ -287,7 +360,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", most: int = MOST, batc
     """Runs of windows that stand earlier: ``numbered, id, digest, start, n`` with ``n`` windows from word ``start``.
 
     ``docs`` needs ``doc_id`` and a text; see :func:`deduplicated` for how rows are told apart.
-    ``most`` bounds the suffixes that a group holds in memory, ``batch`` the words that a task does. The number of groups grows with the
+    ``most`` bounds the suffixes that a group holds in memory, ``batch`` the bytes of text that a task does. The number of groups grows with the
     input; a group beyond the bound is found by an aggregate on whole windows, so none is left out.
     """
     number, digest = _identity(docs, text)

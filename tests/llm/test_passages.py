@@ -51,7 +51,7 @@ def planted(n=60):
     return rows + [rows[3], (99, rows[5][1]), (None, rows[7][1]), (None, None), (7, ""), (8, "few words")]
 
 
-@pytest.mark.parametrize("most, batch", [(repeats.MOST, repeats.BATCH), (repeats.MOST, 150), (5, 150), (5, repeats.BATCH)])
+@pytest.mark.parametrize("most, batch", [(repeats.MOST, repeats.BATCH), (repeats.MOST, 700), (5, 700), (5, repeats.BATCH)])
 def test_repeats_by_every_way(spark, most, batch):
     rows = planted()
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, id int, digest int").repartition(5)

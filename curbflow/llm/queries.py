@@ -122,9 +122,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    names = {k: k for k in ("n_tokens", "topic", "probability", "sampled")}
-    return mixing.calibrated(docs, names).drop("text")
+    """Texts are read once: what weighs and draws a document is stored without its text."""
+    docs = table(session(spark), sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    rows = stored(mixing.weighed(docs, "n_words", "topic", "draw").drop("text"), "mixing-weights")
+    return mixing.decided(rows, "n_words", "topic", "draw", "probability", "sampled").drop("draw")
 
 
 def op10_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -267,22 +267,86 @@ def test_pii_plan_has_no_python(spark, odd):
 # mixing
 
 
-def test_raking_meets_all_marginals():
-    rng = np.random.default_rng(3)
-    cells = rng.integers(1, 100, (4, 3, 2)).astype(float)
-    targets = [np.array(x) for x in ([0.4, 0.3, 0.2, 0.1], [0.5, 0.25, 0.25], [0.7, 0.3])]
-    w = mixing.rake(cells, targets)
-    for axis, t in enumerate(targets):
-        assert np.allclose(w.sum(tuple(a for a in range(3) if a != axis)), t, atol=1e-8)
+def raked(cells, targets, rounds=400):
+    """Cells {(source, lang, topic): weight} scaled to the targets per dimension, plainly."""
+    total = sum(cells.values())
+    w = {c: n / total for c, n in cells.items() if n}
+    for _ in range(rounds):
+        for axis, target in enumerate(targets):
+            now = {}
+            for c, x in w.items():
+                now[c[axis]] = now.get(c[axis], 0) + x
+            w = {c: x * target[c[axis]] / now[c[axis]] for c, x in w.items()}
+    return w
+
+
+def probabilities(rows, named=()):
+    """Brute force of a whole table's probabilities from its words, for tempered targets."""
+    cells = {}
+    for r in rows:
+        c = (r.source, r.lang, r.topic)
+        cells[c] = cells.get(c, 0) + r.n_words
+    power = {c: n**mixing.TEMPER for c, n in cells.items() if n}
+    targets = []
+    for axis in range(3):
+        own = {}
+        for c, x in power.items():
+            own[c[axis]] = own.get(c[axis], 0) + x / sum(power.values())
+        targets.append(own)
+    w, total = raked(cells, targets), sum(cells.values())
+    ratio = {c: x / (cells[c] / total) for c, x in w.items()}
+    return {c: x / max(ratio.values()) for c, x in ratio.items()}, targets
+
+
+def register(text):
+    text = text or ""
+    n, marks = max(1, len(text)), "#*$%&|<>{}[]=_/\\"
+    if not brute.words(text):
+        return "empty"
+    if sum(c in "0123456789" for c in text) > 0.02 * n:
+        return "figures"
+    if sum(c in marks for c in text) > 0.05 * n:
+        return "marks"
+    return "list" if n < 60 * (text.count("\n") + 1) else "short" if n < 2000 else "long"
+
+
+def test_mixing_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {d: t for d, t in texts(spark, sf).items()}
+    rows = queries.op9_raked_mixing(spark, sf).collect()
+    assert {r.doc_id: (r.n_words, r.topic) for r in rows} == {d: (len(brute.words(t)), register(t)) for d, t in docs.items()}
+    want, _ = probabilities(rows)
+    assert all(abs(r.probability - want[r.source, r.lang, r.topic]) < 1e-6 for r in rows)
+    decided = spark.read.parquet(f"{sf}/documents.parquet").selectExpr(
+        "doc_id", "pmod(xxhash64(doc_id, coalesce(text, ''), 17), 9007199254740992) / 9007199254740992d AS draw"
+    )
+    draws = dict(map(tuple, decided.collect()))
+    assert all(r.sampled == (draws[r.doc_id] < r.probability) for r in rows)
+    assert 0 < sum(r.sampled for r in rows) < len(rows)
+
+
+@pytest.mark.parametrize("few", [mixing.FEW, 10])
+def test_mixing_rakes_every_of_many_sources(spark, few):
+    rows = [(i, " ".join(["w"] * (5 + i * i % 37 + 300 * (i % 200 == 0))), ["en", "de", None][i % 3], f"s{i % 200}" if i % 200 else None) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    names = {k: k for k in mixing.NAMES}
+    got = mixing.calibrated(docs, names, few=few).collect()
+    want, targets = probabilities(got)
+    assert len(targets[0]) == 200
+    assert all(abs(r.probability - want[r.source, r.lang, r.topic]) < 1e-6 for r in got)
+    total = sum(r.n_words * r.probability for r in got)
+    for axis, d in enumerate(("source", "lang", "topic")):
+        for name, share in targets[axis].items():
+            assert abs(sum(r.n_words * r.probability for r in got if r[d] == name) / total - share) < 1e-6
 
 
 def test_mixing_probabilities_meet_named_targets(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    names = {k: k for k in ("n_tokens", "topic", "probability", "sampled")}
+    names = {k: k for k in mixing.NAMES}
     targets = {"lang": {"en": 0.4, "de": 0.3, "fr": 0.2, "es": 0.1}}
     rows = mixing.calibrated(docs, names, targets).toPandas()
-    weight = (rows.n_tokens * rows.probability).groupby(rows.lang).sum()
+    weight = (rows.n_words * rows.probability).groupby(rows.lang).sum()
     assert (weight / weight.sum()).round(6).to_dict() == targets["lang"]
     assert rows.probability.max() == 1.0
     drawn = rows.sampled.mean()
@@ -291,16 +355,29 @@ def test_mixing_probabilities_meet_named_targets(spark):
     assert again == rows.sampled.sum()
 
 
-def test_mixing_query_keeps_every_row(spark, small):
-    rows = queries.op9_raked_mixing(spark, small).toPandas()
-    docs = {k: len(brute.words(t)) for k, t in texts(spark, small).items()}
-    assert dict(zip(rows.doc_id, rows.n_tokens)) == docs
+@pytest.mark.parametrize("few", [mixing.FEW, 0])
+def test_mixing_refuses_targets_that_cannot_be_met(spark, few):
+    docs = spark.createDataFrame([(1, "a b", "en", "x"), (2, "c d", "de", "y")], "doc_id long, text string, lang string, source string")
+    names = {k: k for k in mixing.NAMES}
+    with pytest.raises(ValueError, match="marginals"):
+        mixing.rake(
+            spark.createDataFrame([("=x", "=en", "=list", 0.5), ("=y", "=de", "=list", 0.5)], "source string, lang string, topic string, share double"),
+            {
+                "source": spark.createDataFrame([("=x", 0.9, 1.0), ("=y", 0.1, 1.0)], "source string, share double, factor double"),
+                "lang": spark.createDataFrame([("=en", 0.5, 1.0), ("=de", 0.5, 1.0)], "lang string, share double, factor double"),
+                "topic": spark.createDataFrame([("=list", 1.0, 1.0)], "topic string, share double, factor double"),
+            },
+            rounds=3, few=few,
+        )
+    with pytest.raises(ValueError, match="already"):
+        mixing.calibrated(docs, names | {"topic": "LANG"})
 
 
 def test_mixing_odd_rows(spark, odd, none):
-    names = {"n_tokens": "n", "topic": "kind", "probability": "p", "sampled": "s"}
+    names = {"n_words": "n", "topic": "kind", "probability": "p", "sampled": "s"}
     rows = mixing.calibrated(odd, names).toPandas()
     assert len(rows) == odd.count() and rows.p.between(0, 1).all()
+    assert set(rows[rows.text.isna() | (rows.text == " \t\n\x0b")].kind) == {"empty"}
     assert mixing.sample(odd).columns == odd.columns
     assert mixing.sample(none).isEmpty()
     silent = spark.createDataFrame([(1, None, None, None)], "doc_id long, text string, source string, lang string")

@@ -35,7 +35,7 @@ from curbflow.llm.pieces import word_lists
 #: Words of a window, the least length of a repeat, and of an anchor.
 WINDOW, PHRASE = 20, 5
 #: Bytes of a batch of texts, suffixes a group aims at, suffixes it may hold.
-BATCH, GROUP, MOST = 1 << 22, 1 << 19, 1 << 22
+BATCH, GROUP, MOST = 1 << 22, 1 << 18, 1 << 21
 #: Bytes of a word with its gap, to choose the number of groups.
 WORD_BYTES = 6
 
@@ -284,7 +284,7 @@ def _segments(slots: int, size: int):
         for row in rows():
             out.append(row)
             held += len(row["meta"]) + len(row["words"] or b"")
-            if held > 1 << 25:
+            if held > 1 << 23:
                 yield pd.DataFrame(out)
                 out, held = [], 0
         if out:

@@ -1,27 +1,31 @@
 """Near-duplicate vectors through a robust-pruned flat graph.
 
 Equal vectors are one node. Centroids fitted on a bounded sample cut the nodes
-into shards, each node joining its nearest ones, so that shards overlap. Every
-shard builds a flat graph: neighbours by similarity, robustly pruned, reverse
-edges added, every node reachable from the medoid. The adjacency lists of a node
-in all its shards are united. Search runs in each shard over the united lists:
-greedy from the medoid, and on through every node found in range, until none is
-left. Links are pairs whose cosine in double precision reaches the threshold.
-Blocks of queries are compared with all nodes until enough of them have links; if
-too many links were missed, everything is done again with more overlap. Where
-links are too rare for that, the most overlap is taken and a warning given; a
-recall below the promised one at the most overlap is an error.
-
-A shard above ``SHARD_MOST`` nodes is dealt into blocks, each with a graph of its
-own, and every block of queries searches every block of nodes: tasks stay
-bounded and nothing is left out.
+into shards, each node joining its nearest ones, so that shards overlap; shards that are
+still too large are cut again by centroids of their own. Every shard builds a flat graph:
+neighbours by similarity, robustly pruned, reverse edges added, every node reachable from
+the medoid. The adjacency lists of a node in all its shards are united. Search runs in each
+shard over the united lists: greedy from the medoid, and on through every node found in
+range, until none is left. Links are pairs whose cosine in double precision reaches the threshold.
+
+Pairs never leave the task that finds them. A node carries the list of its shards, and a pair is
+counted in the least shard that both share; what is returned are the links of each node as a number,
+and edges of a spanning forest of each shard's links. A group of near copies so gives as many rows as
+it has nodes.
+
+Recall is measured in every run: all nodes on the audit's fraction of ids are compared with all
+nodes, in blocks dealt over tasks, and their links counted. If too many were missed, everything is
+done again with more overlap; a recall below the promised one at the most overlap is an error.
+
+A shard of nodes too alike for centroids to cut is dealt into blocks, each with a graph of its
+own, and every pair of blocks is searched both ways: tasks stay bounded and nothing is left out.
 """
 
 from __future__ import annotations
 
-import warnings
+import logging
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,26 +36,40 @@ from curbflow.llm.common import session, stored
 from curbflow.llm.components import components
 
 MIN_COSINE = 0.95
-#: Nodes a shard aims at, and above which it is dealt into blocks.
-SHARD_ROWS = 2000
-SHARD_MOST = 6000
-#: Nodes the centroids are fitted on, at most, and centroids, at most.
-SAMPLE_ROWS = 20_000
-MAX_CENTROIDS = 4096
+#: Nodes a shard aims at, and above which it is cut again or dealt into blocks.
+SHARD_ROWS, SHARD_MOST = 2000, 6000
+#: Nodes that centroids are fitted on at most, and centroids at most, of the table and of each shard that is cut.
+SAMPLE_ROWS, MAX_CENTROIDS = 20_000, 4096
+#: A shard is cut again only while that leaves at most this share of it in one part.
+CUT_SHARE = 0.8
+#: Nodes of a cut shard that meet its centroids in one task.
+CUT_ROWS = 50_000
 #: Graph: neighbours considered, neighbours kept, slack of the pruning rule.
 NEAR, DEGREE, ALPHA = 48, 16, 1.2
 BEAM = 24
 #: Shards a node joins at first and at most.
 OVERLAP, MOST_OVERLAP = 2, 8
-#: Queries with links that an audit asks for, queries of its first and largest block.
+#: Ids that this divides are the audit's queries; queries and nodes of one of its tasks.
+AUDIT_EVERY, AUDIT_QUERIES, AUDIT_NODES = 50, 4096, 20_000
+#: Queries with links below which a measured recall says little, and the most overlap is taken.
 AUDIT_LINKED = 100
-AUDIT_BLOCK, AUDIT_MOST = 128, 4096
-#: Share of the nodes an audit compares with all at most, and a number it may always reach.
-AUDIT_SHARE, AUDIT_LEAST = 0.02, 5000
 #: Share of their links that must be found, and below which the result is refused at the most overlap.
 AUDIT_RECALL, LEAST_RECALL = 0.97, 0.9
 
-NODE = "node long, vector array<double>"
+NODE = "node long, vector array<double>, copies long, audited boolean"
+_LOG = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class Links:
+    """What search found: ``counts (node, others)``, forest ``edges (a, b)``, and the audit's figures."""
+
+    counts: DataFrame
+    edges: DataFrame
+    recall: float
+    queries: int
+    linked: int
+    overlap: int
 
 
 def unit(vector) -> np.ndarray | None:
@@ -68,16 +86,13 @@ def unit(vector) -> np.ndarray | None:
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in batches:
-        done = [(n, u) for n, u in zip(frame["node"], map(unit, frame["embedding"])) if u is not None]
-        if done:
-            yield pd.DataFrame({"node": [n for n, _ in done], "vector": [u for _, u in done]})
+        vectors = [unit(v) for v in frame["embedding"]]
+        good = [v is not None for v in vectors]
+        yield frame[good].drop(columns="embedding").assign(vector=[v for v in vectors if v is not None])
 
 
-def _centroids(nodes: DataFrame, count: int) -> np.ndarray:
-    """Spherical k-means on the sample with the smallest hashes."""
-    k = min(max(1, -(-count // SHARD_ROWS)), MAX_CENTROIDS)
-    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_ROWS).select("vector").collect()
-    sample = np.array([r[0] for r in rows])
+def _fitted(sample: np.ndarray, k: int) -> np.ndarray:
+    """Spherical k-means."""
     centers = sample[:: max(1, len(sample) // k)][:k].copy()
     for _ in range(10):
         label = (sample @ centers.T).argmax(1)
@@ -88,22 +103,81 @@ def _centroids(nodes: DataFrame, count: int) -> np.ndarray:
     return centers
 
 
+def _centroids(nodes: DataFrame, count: int) -> np.ndarray:
+    """Centroids of the nodes with the smallest hashes."""
+    rows = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_ROWS).select("vector").collect()
+    return _fitted(np.array([r[0] for r in rows]), min(max(1, -(-count // SHARD_ROWS)), MAX_CENTROIDS))
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray, overlap: int) -> np.ndarray:
+    m = min(overlap, len(centers))
+    return np.argpartition(-(x @ centers.T), m - 1, axis=1)[:, :m]
+
+
 def _assigned(centers: np.ndarray, overlap: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            if not len(frame):
-                continue
-            x = np.stack(frame["vector"].to_list())
-            m = min(overlap, len(centers))
-            near = np.argpartition(-(x @ centers.T), m - 1, axis=1)[:, :m]
-            at = np.repeat(np.arange(len(x)), m)
-            yield pd.DataFrame(
-                {"shard": near.ravel(), "node": frame["node"].to_numpy()[at], "vector": [x[i] for i in at]}
-            )
+            if len(frame):
+                near = _nearest(np.stack(frame["vector"].to_list()), centers, overlap)
+                yield frame.iloc[np.repeat(np.arange(len(frame)), near.shape[1])].assign(shard=near.ravel())
 
     return run
 
 
+def _sizes(members: DataFrame) -> DataFrame:
+    return members.groupBy("shard").agg(F.count("*").alias("n"))
+
+
+def _cut(members: DataFrame, rows: int, most: int, overlap: int) -> DataFrame:
+    """Members of shards above ``most`` nodes given to centroids of their own shard, until none can be cut.
+
+    Centroids of a shard are fitted on a sample of its own, and meet its nodes in parts of bounded
+    size. Numbers of new shards extend those of the old; a shard whose nodes are too alike stays as it is.
+    """
+    schema = f"shard long, {NODE}"
+    members = members.withColumn("whole", F.lit(False))
+    while True:
+        sizes = stored(_sizes(members.where("not whole")).where(F.col("n") > most), "vector-sizes")
+        if sizes.isEmpty():
+            return members.drop("whole")
+        named = sizes.withColumnRenamed("shard", "_shard")
+        large = members.join(named, (F.col("shard") == F.col("_shard")) & ~F.col("whole"))
+        part = F.pmod(F.xxhash64("node", F.lit(3)), F.ceil(F.col("n") / CUT_ROWS)).cast("int")
+        large = large.select("shard", "n", part.alias("part"), "node", "vector", "copies", "audited")
+        drawn = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * SAMPLE_ROWS / 2 / F.col("n")
+
+        def fitted(frame: pd.DataFrame) -> pd.DataFrame:
+            sample = np.stack(frame.sort_values("node")["vector"].to_list())
+            centers = _fitted(sample, min(MAX_CENTROIDS, -(-int(frame["n"].iloc[0]) // rows), len(sample)))
+            return pd.DataFrame({"shard": frame["shard"].iloc[0], "i": range(len(centers)), "center": list(centers)})
+
+        centers = stored(
+            large.where(drawn).select("shard", "n", "node", "vector").groupBy("shard").applyInPandas(fitted, "shard long, i int, center array<double>"),
+            "vector-centers",
+        )
+        parts = large.select(F.col("shard").alias("_shard"), F.col("part").alias("of")).distinct()
+        dealt = centers.join(parts, F.col("shard") == F.col("_shard")).drop("_shard")
+
+        def assigned(frame: pd.DataFrame, of: pd.DataFrame) -> pd.DataFrame:
+            of = of.sort_values("i")
+            if not len(of) or not len(frame):
+                return frame.drop(columns=["n", "part"])
+            near = _nearest(np.stack(frame["vector"].to_list()), np.stack(of["center"].to_list()), overlap)
+            out = frame.iloc[np.repeat(np.arange(len(frame)), near.shape[1])].drop(columns=["n", "part"])
+            return out.assign(shard=(out["shard"].to_numpy() + 1) * MAX_CENTROIDS + near.ravel())
+
+        new = stored(
+            large.groupBy("shard", "part").cogroup(dealt.groupBy("shard", "of")).applyInPandas(assigned, schema), "vector-cut"
+        )
+        # a shard that stays nearly whole is done
+        old = named.select((F.col("_shard") + 1).alias("_old"), F.col("n").alias("before"))
+        grown = _sizes(new).join(old, F.expr(f"shard div {MAX_CENTROIDS}") == F.col("_old"))
+        stays = grown.select(F.col("shard").alias("_new"), (F.col("n") > CUT_SHARE * F.col("before")).alias("stays"))
+        parted = new.join(stays, F.col("shard") == F.col("_new"), "left").withColumn("whole", F.coalesce("stays", F.lit(True))).drop("_new", "stays")
+        rest = members.join(named, (F.col("shard") == F.col("_shard")) & ~F.col("whole"), "left_anti")
+        members = stored(rest.unionByName(parted), "vector-shards")
+
+
 def _pruned(x: np.ndarray) -> list[list[int]]:
     """Robustly pruned neighbours of every vector, reverse edges included."""
     n = len(x)
@@ -185,166 +259,226 @@ def _search(x: np.ndarray, edges: list[np.ndarray], q: np.ndarray, start: int, l
         seen = np.concatenate([seen, new])
 
 
+def _hits(base: pd.DataFrame, queries: pd.DataFrame, least: float) -> np.ndarray:
+    """Whether search from each query finds each base node, the query itself left out."""
+    x, ids = np.stack(base["vector"].to_list()), base["node"].to_numpy()
+    edges = []
+    for near in base["near"]:
+        at = np.searchsorted(ids, near)
+        at[at == len(ids)] = 0
+        edges.append(at[ids[at] == near])  # united lists name nodes of other shards too
+    start, hit = _medoid(x), np.zeros((len(queries), len(base)), bool)
+    for k, (node, q) in enumerate(zip(queries["node"], queries["vector"])):
+        found = _search(x, edges, q, start, least)
+        hit[k, found[ids[found] != node]] = True
+    return hit
+
+
+def _lists(frame: pd.DataFrame) -> np.ndarray:
+    """Shards of every node in rising order, filled up with -1."""
+    out = np.full((len(frame), max(map(len, frame["shards"]))), -1, np.int64)
+    for k, shards in enumerate(frame["shards"]):
+        out[k, : len(shards)] = np.sort(shards)
+    return out
+
+
+def _owned(own: np.ndarray, others: np.ndarray, shard: int) -> np.ndarray:
+    """Which of ``others`` share no smaller shard with a node."""
+    smaller = own[(own >= 0) & (own < shard)]
+    return ~np.isin(others, smaller).any(axis=1)
+
+
+def _forest(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links between two lists of nodes (the same list twice, or two)."""
+    same = left is right
+    new = [np.ones(len(left), bool), np.ones(len(right), bool)]
+    if same:
+        new[1] = new[0]
+    edges: list[tuple[int, int]] = []
+    for root in range(len(left)):
+        if not new[0][root]:
+            continue
+        new[0][root] = False
+        stack = [(0, root)]
+        while stack:
+            side, i = stack.pop()
+            to = 0 if same else 1 - side
+            row = hit[i] if side == 0 else hit[:, i]
+            names, ours = ((right, left) if side == 0 else (left, right))
+            found = np.flatnonzero(row & new[to])
+            new[to][found] = False
+            edges += [(int(ours[i]), int(names[j])) for j in found]
+            stack += [(to, int(j)) for j in found]
+    return edges
+
+
 def _searched(least: float):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        """Links of one block of a shard, or between two: counts ``(a, null, others)`` and edges ``(a, b, null)``."""
         frame = frame.sort_values("node")
-        base, queries = frame[frame["is_base"]], frame[frame["is_query"]]
-        x, ids = np.stack(base["vector"].to_list()), base["node"].to_numpy()
-        edges = []
-        for near in base["near"]:
-            at = np.searchsorted(ids, near)
-            at[at == len(ids)] = 0
-            edges.append(at[ids[at] == near])  # united lists name nodes of other shards too
-        start, out = _medoid(x), []
-        for node, q in zip(queries["node"], queries["vector"]):
-            found = ids[_search(x, edges, q, start, least)]
-            found = found[found != node]
-            out.append(np.stack([np.minimum(found, node), np.maximum(found, node)], 1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        shard, i, j = (int(frame[k].iloc[0]) for k in ("shard", "i", "j"))
+        one = frame[frame["block"] == i]
+        two = one if i == j else frame[frame["block"] == j]
+        if not len(one) or not len(two):
+            return pd.DataFrame({"a": [], "b": [], "others": []}, dtype="Int64")
+        hit = _hits(two, one, least)  # rows: one, columns: two
+        hit |= hit.T if i == j else _hits(one, two, least).T
+        lists = (_lists(one), _lists(two))
+        copies = (one["copies"].to_numpy(), two["copies"].to_numpy())
+        ids = (one["node"].to_numpy(), two["node"].to_numpy())
+        sums = [np.zeros(len(one), np.int64), np.zeros(len(two), np.int64)]
+        for k in range(len(one)):
+            found = np.flatnonzero(hit[k])
+            found = found[_owned(lists[0][k], lists[1][found], shard)]
+            sums[0][k] += copies[1][found].sum()
+            if i != j:
+                sums[1][found] += copies[0][k]
+        sides = (0,) if i == j else (0, 1)
+        counts = np.array([(n, c) for side in sides for n, c in zip(ids[side], sums[side]) if c], np.int64).reshape(-1, 2)
+        edges = np.array(_forest(hit, ids[0], ids[0] if i == j else ids[1]), np.int64).reshape(-1, 2)
+        # numbers beside nulls stay whole numbers only if no float comes between
+        return pd.DataFrame({
+            "a": np.concatenate([counts[:, 0], edges[:, 0]]),
+            "b": pd.array([None] * len(counts) + edges[:, 1].tolist(), "Int64"),
+            "others": pd.array(counts[:, 1].tolist() + [None] * len(edges), "Int64"),
+        })
 
     return run
 
 
-def links(nodes: DataFrame, least: float = MIN_COSINE, overlap: int = OVERLAP) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of ``nodes (node, vector)`` at cosine ``least`` or more that search finds."""
+def _round(nodes: DataFrame, centers: np.ndarray, least: float, overlap: int, rows: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """``counts (node, others)`` and ``edges (a, b)`` that search finds with each node in ``overlap`` shards."""
+    first = stored(nodes.mapInPandas(_assigned(centers, overlap), f"{NODE}, shard long"), "vector-shards")
+    members = _cut(first.select("shard", "node", "vector", "copies", "audited"), rows, most, overlap)
+    blocks = _sizes(members).select(F.col("shard").alias("_shard"), F.ceil(F.col("n") / most).cast("int").alias("blocks"))
+    dealt = stored(
+        members.join(blocks, F.col("shard") == F.col("_shard")).drop("_shard")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")),
+        "vector-blocks",
+    )
+    graph = stored(dealt.groupBy("shard", "block").applyInPandas(_build, "node long, near array<long>"), "vector-graph")
+    united = graph.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    shards = dealt.groupBy("node").agg(F.sort_array(F.collect_list("shard")).alias("shards"))  # overlap^levels of them
+    full = dealt.join(united.join(shards, "node"), "node")
+    # a block meets itself and every other once
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j")))
+    paired = full.select("shard", F.inline(every), "block", "node", "vector", "copies", "near", "shards")
+    found = stored(paired.groupBy("shard", "i", "j").applyInPandas(_searched(least), "a long, b long, others long"), "vector-links")
+    counts = found.where("others IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("others"))
+    return counts, found.where("b IS NOT NULL").select("a", "b")
+
+
+def true_counts(nodes: DataFrame, least: float = MIN_COSINE) -> DataFrame:
+    """``(node, others)`` of every audited node, by comparing them with all nodes in blocks over tasks."""
+    asked, total = nodes.where("audited").count(), nodes.count()
+    blocks, parts = -(-asked // AUDIT_QUERIES), -(-total // AUDIT_NODES)
+    if not blocks:
+        return nodes.sparkSession.createDataFrame([], "node long, others long")
+
+    def place(seed: int, n: int):
+        return F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(n)).cast("int")
+
+    def all_of(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    queries = nodes.where("audited").select(place(1, blocks).alias("by"), all_of(parts).alias("of"), F.lit(True).alias("asks"), "node", "vector", "copies")
+    base = nodes.select(all_of(blocks).alias("by"), place(2, parts).alias("of"), F.lit(False).alias("asks"), "node", "vector", "copies")
+
+    def compared(frame: pd.DataFrame) -> pd.DataFrame:
+        q, x = frame[frame["asks"]], frame[~frame["asks"]]
+        if not len(q) or not len(x):
+            return pd.DataFrame({"node": [], "others": []}).astype("int64")
+        all_x, copies, ids = np.stack(x["vector"].to_list()), x["copies"].to_numpy(), x["node"].to_numpy()
+        out, asked = np.zeros(len(q), np.int64), np.stack(q["vector"].to_list())
+        for at in range(0, len(q), 256):
+            near = asked[at : at + 256] @ all_x.T >= least
+            near &= q["node"].to_numpy()[at : at + 256, None] != ids
+            out[at : at + 256] = near @ copies
+        return pd.DataFrame({"node": q["node"].to_numpy(), "others": out})
+
+    counted = queries.unionByName(base).groupBy("by", "of").applyInPandas(compared, "node long, others long")
+    return stored(counted.groupBy("node").agg(F.sum("others").alias("others")), "vector-audit")
+
+
+def _recall(true: DataFrame, counts: DataFrame) -> tuple[float, int, int]:
+    """Share of the audit's links that were found, over all links or as the mean of the queries if that is less."""
+    got = counts.select("node", F.col("others").alias("got"))
+    each = true.join(got, "node", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    r = each.agg(
+        F.count("*").alias("queries"), F.count(F.when(F.col("others") > 0, 1)).alias("linked"),
+        F.expr("try_divide(sum(got), sum(others))").alias("all"),
+        F.avg(F.expr("try_divide(got, others)")).alias("mean"),
+    ).first()
+    return (1.0 if r["all"] is None else min(r["all"], r["mean"])), r["queries"], r["linked"]
+
+
+def links(
+    nodes: DataFrame, least: float = MIN_COSINE, overlap: int = OVERLAP, rows: int | None = None, most: int | None = None
+) -> Links:
+    """Links at cosine ``least`` or more of ``nodes (node, vector, copies, audited)``, as numbers and as a forest.
+
+    ``rows`` and ``most`` are the nodes that a shard aims at and may have. Recall is measured on all audited
+    nodes and logged. With fewer than ``AUDIT_LINKED`` of them linked it says little, so the most overlap is taken.
+    """
+    rows, most = rows or SHARD_ROWS, most or SHARD_MOST
     total = nodes.count()
+    spark = nodes.sparkSession
     if not total:
-        return nodes.sparkSession.createDataFrame([], "a long, b long")
-    true, audited = _true_links(nodes, total, least)
-    if not audited:
+        return Links(spark.createDataFrame([], "node long, others long"), spark.createDataFrame([], "a long, b long"), 1.0, 0, 0, overlap)
+    true = true_counts(nodes, least)
+    if true.where("others > 0").count() < AUDIT_LINKED:
         overlap = max(overlap, MOST_OVERLAP)
-        warnings.warn(f"fewer than {AUDIT_LINKED} queries with links: recall is not audited, overlap {overlap}")
     while True:
-        pairs = _round(nodes, _centroids(nodes, total), least, overlap)
-        recall = _recall(true, pairs)
-        if recall >= AUDIT_RECALL:
-            return pairs
-        if overlap >= MOST_OVERLAP:
+        counts, edges = _round(nodes, _centroids(nodes, total), least, overlap, rows, most)
+        recall, queries, linked = _recall(true, counts)
+        _LOG.info("recall %.4f of the links of %d of %d queries, overlap %d", recall, linked, queries, overlap)
+        if recall >= AUDIT_RECALL or overlap >= MOST_OVERLAP:
             break
-        overlap *= 2
-    if audited and recall < LEAST_RECALL:
+        overlap = min(2 * overlap, MOST_OVERLAP)
+    if recall < LEAST_RECALL:
         raise RuntimeError(f"recall {recall:.3f} of links at overlap {overlap}, {LEAST_RECALL} promised")
-    warnings.warn(f"recall {recall:.3f} of links at overlap {overlap}")
-    return pairs
-
-
-def _round(nodes: DataFrame, centers: np.ndarray, least: float, overlap: int) -> DataFrame:
-    members = stored(
-        nodes.mapInPandas(_assigned(centers, overlap), f"shard long, {NODE}"), "vector-shards"
-    )
-    sizes = members.groupBy("shard").agg(F.count("*").alias("n"))  # a row per centroid
-    blocks = F.ceil(F.col("n") / SHARD_MOST).cast("int")
-    dealt = members.join(F.broadcast(sizes.select("shard", blocks.alias("blocks"))), "shard").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    )
-    graph = stored(
-        dealt.groupBy("shard", "block").applyInPandas(_build, "node long, near array<long>"), "vector-graph"
-    )
-    united = graph.groupBy("node").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"))
-    full = dealt.join(united, "node")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    # one block: a row serves as node and query; more: every pair of blocks gets its rows
-    one = full.where("blocks = 1").select(
-        "shard", F.lit(0).alias("of"), F.lit(0).alias("by"), "node", "vector", "near",
-        F.lit(True).alias("is_base"), F.lit(True).alias("is_query"),
-    )
-    many = full.where("blocks > 1")
-    base = many.select(
-        "shard", F.col("block").alias("of"), F.explode(every).alias("by"), "node", "vector", "near",
-        F.lit(True).alias("is_base"), F.lit(False).alias("is_query"),
-    )
-    query = many.select(
-        "shard", F.explode(every).alias("of"), F.col("block").alias("by"), "node", "vector",
-        F.array().cast("array<bigint>").alias("near"), F.lit(False).alias("is_base"), F.lit(True).alias("is_query"),
-    )
-    found = (
-        one.union(base).union(query).groupBy("shard", "of", "by").applyInPandas(_searched(least), "a long, b long")
-    )
-    return stored(found.distinct(), "vector-links")
+    return Links(counts, edges, recall, queries, linked, overlap)
 
 
-def _true_links(nodes: DataFrame, total: int, least: float) -> tuple[DataFrame, bool]:
-    """Links ``(query, a, b)`` of the audit's queries by comparing with all nodes, and whether they are enough.
-
-    They are if ``AUDIT_LINKED`` queries have links, or if every node was a query.
-    """
-    last = min(1.0, max(AUDIT_SHARE, AUDIT_LEAST / total))
-    place = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
-    at, size, linked, parts = 0.0, AUDIT_BLOCK, 0, []
-    while at < last and linked < AUDIT_LINKED:
-        to = min(last, at + size / total)
-        some = nodes.where((place >= at) & (place < to)).collect()  # about AUDIT_MOST rows at most
-        at, size = to, min(2 * size, AUDIT_MOST)
-        if some:
-            ids, q = np.array([r["node"] for r in some]), np.array([r["vector"] for r in some])
-            part = stored(nodes.mapInPandas(_compared(ids, q, least), "query long, a long, b long"), "vector-audit")
-            linked += part.select("query").distinct().count()
-            parts.append(part)
-    empty = nodes.sparkSession.createDataFrame([], "query long, a long, b long")
-    return reduce(DataFrame.union, parts, empty), linked >= AUDIT_LINKED or at >= 1.0
-
-
-def _compared(ids: np.ndarray, q: np.ndarray, least: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            if not len(frame):
-                continue
-            node, x = frame["node"].to_numpy(), np.stack(frame["vector"].to_list())
-            for k in range(0, len(ids), AUDIT_BLOCK):
-                at, by = np.nonzero(x @ q[k : k + AUDIT_BLOCK].T >= least)
-                a, b = node[at], ids[k + by]
-                at = a != b
-                a, b = a[at], b[at]
-                yield pd.DataFrame({"query": b, "a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return run
-
-
-def _recall(true: DataFrame, pairs: DataFrame) -> float:
-    """Share of the ``true`` links that ``pairs`` has, over all links or as the mean of the queries if that is less."""
-    found = true.join(pairs.withColumn("found", F.lit(1)), ["a", "b"], "left")
-    each = found.groupBy("query").agg(F.count("*").alias("n"), F.count("found").alias("got"))
-    got = each.agg(F.sum("got") / F.sum("n"), F.avg(F.col("got") / F.col("n"))).first()
-    return 1.0 if got[0] is None else min(got)
-
-
-def near_duplicates(rows: DataFrame, least: float = MIN_COSINE) -> DataFrame:
+def near_duplicates(rows: DataFrame, least: float = MIN_COSINE, shard_rows: int | None = None, shard_most: int | None = None) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``rows (vec_id, embedding)``.
 
     ``n_links`` counts other rows linked directly, ``component_id`` is the
     smallest vec_id reachable, ``kept`` says whether it is the row's own. Vectors
     that are null, zero, empty or hold a null or non-finite component link with
     nothing. Rows with equal vectors link with one another, repeated rows
-    included; vectors of different length do not mix in one table. An empty
-    table gives no rows; labels and other columns are not read.
+    included; vectors of different length have no cosine and link only with their like.
+    An empty table gives no rows; labels and other columns are not read.
     """
     session(rows.sparkSession)
-    rows = rows.select("vec_id", "embedding")
-    size = F.size("embedding")
-    bad = F.col("embedding").isNull() | (size == 0) | F.exists(
+    rows = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    bad = F.col("embedding").isNull() | (F.size("embedding") == 0) | F.exists(
         "embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     ) | F.forall("embedding", lambda x: x == 0)
     # equal vectors are one node, numbered by the hash of its vector; collisions are told apart by the vector
     classes = stored(
-        rows.where(~bad).groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+        rows.where(~bad).groupBy("embedding").agg(
+            F.min("vec_id").alias("first"), F.count("*").alias("copies"),
+            F.coalesce(F.max(F.col("vec_id") % AUDIT_EVERY == 0), F.lit(False)).alias("audited"),
+        )
         .withColumn("node", F.xxhash64("embedding"))
         .withColumn("twin", F.row_number().over(Window.partitionBy("node").orderBy("embedding")))
         .withColumn("node", F.when(F.col("twin") == 1, F.col("node")).otherwise(F.xxhash64("node", "twin")))
         .drop("twin"),
         "vector-classes",
     )
-    nodes = stored(classes.select("node", "embedding").mapInPandas(_units, NODE), "vector-nodes")
-    pairs = links(nodes, least)
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = (
-        both.join(classes.select(F.col("node").alias("b"), "copies"), "b")
-        .groupBy(F.col("a").alias("node"))
-        .agg(F.sum("copies").alias("others"))
-    )
-    roots = components(pairs)
+    counts = edges = None
+    for length in sorted(r[0] for r in classes.select(F.size("embedding")).distinct().collect()):
+        own = classes.where(F.size("embedding") == length).select("node", "embedding", "copies", "audited")
+        nodes = stored(own.mapInPandas(_units, "node long, copies long, audited boolean, vector array<double>").select("node", "vector", "copies", "audited"), "vector-nodes")
+        found = links(nodes, least, rows=shard_rows, most=shard_most)
+        counts = found.counts if counts is None else counts.union(found.counts)
+        edges = found.edges if edges is None else edges.union(found.edges)
+    if counts is None:
+        counts, edges = classes.select("node", F.col("copies").alias("others")), classes.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    roots = components(edges)
     known = (
-        classes.join(linked, "node", "left").join(roots, "node", "left")
+        classes.join(counts, "node", "left").join(roots, "node", "left")
         .select(
             "embedding", "first", F.coalesce("root", "node").alias("root"),
             (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

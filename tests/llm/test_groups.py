@@ -109,19 +109,34 @@ def planted(seed=1, groups=40, size=12, dim=32):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("most", [6000, 60])
-def test_vectors_match_brute_force(spark, monkeypatch, most):
-    monkeypatch.setattr(vectors, "SHARD_ROWS", 100)
-    monkeypatch.setattr(vectors, "SHARD_MOST", most)
-    rows = planted()
-    want = vector_brute(rows)
-    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+@pytest.mark.parametrize("rows, most", [(100, 6000), (100, 60), (25, 60)])
+def test_vectors_match_brute_force(spark, rows, most):
+    """One level of shards, blocks of shards that stay whole, and shards cut again."""
+    vecs = planted()
+    want = vector_brute(vecs)
+    df = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df, shard_rows=rows, shard_most=most).collect()}
     assert got.keys() == want.keys()
     assert all(got[k][0] <= want[k][0] for k in want)
     assert sum(n for n, _ in got.values()) >= 0.98 * sum(n for n, _ in want.values())
     assert sum(got[k][1] == want[k][1] for k in want) >= 0.98 * len(want)
 
 
+def test_dense_group_gives_no_pairs(spark):
+    """Near copies: each links with all others, and what tasks return grows with the nodes alone."""
+    rng = np.random.default_rng(3)
+    c = rng.normal(size=16)
+    x = [(c + rng.normal(size=16) * 0.01).tolist() for _ in range(700)] + rng.normal(size=(300, 16)).tolist()
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    nodes = spark.createDataFrame([(i, vectors.unit(v).tolist(), 1, i % 50 == 0) for i, v in enumerate(x)], vectors.NODE)
+    found = vectors.links(nodes, rows=100, most=200)
+    assert found.edges.count() < 60 * len(x) and found.counts.count() <= len(x)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df, shard_rows=100, shard_most=200).collect()}
+    want = vector_brute(list(enumerate(x)))
+    assert all(got[i][0] >= 0.99 * want[i][0] for i in range(700)) and all(got[i] <= want[i] for i in want)
+    assert {got[i][1] for i in range(700)} == {0}
+
+
 def test_vector_odd_rows(spark):
     one = [0.1, 0.2, 0.3]
     rows = [(5, one), (2, one), (9, [0.2, 0.4, 0.6]), (1, None), (3, []), (4, [0.0, 0.0, 0.0]), (6, [1.0, None, 0.0]),
@@ -133,17 +148,25 @@ def test_vector_odd_rows(spark):
     assert vectors.near_duplicates(df.where("false")).isEmpty()
     floats = df.select("vec_id", df.embedding.cast("array<float>").alias("embedding"))
     assert vectors.near_duplicates(floats).count() == len(rows)
-
-
-def test_vector_query_recall(spark):
-    sf = "/root/testdata/sf0.1"
-    e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
-    x = np.stack(e.embedding).astype(float)
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    true = dict(zip(e.vec_id, (x @ x.T >= 0.95).sum(1) - 1))
-    got = {r.vec_id: r.n_links for r in queries.op10_vector_near_dedup(spark, sf).collect()}
-    assert all(got[k] <= n for k, n in true.items())
-    assert sum(got.values()) >= 0.9 * sum(true.values())
+    mixed = spark.createDataFrame([(1, one), (2, one[:2]), (3, one[:2]), (4, [*one, 0.0])], "vec_id long, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links) for r in vectors.near_duplicates(mixed).collect()) == [(1, 0), (2, 1), (3, 1), (4, 0)]
+
+
+def test_vector_query_recall(spark, tmp_path):
+    """The query over a table with planted links, as its tables hold few."""
+    rng = np.random.default_rng(11)
+    given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").toPandas()
+    x = np.stack(given.embedding).astype(float)
+    near = [v + rng.normal(size=len(v)) * 0.15 * np.linalg.norm(v) / np.sqrt(len(v)) for v in x[:200] for _ in range(1 + rng.integers(3))]
+    every = np.concatenate([x, near])
+    rows = [(int(i), v.tolist(), 0) for i, v in enumerate(every)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    every = every.astype(np.float32).astype(float)
+    every /= np.linalg.norm(every, axis=1)[:, None]
+    true = (every @ every.T >= 0.95).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in queries.op10_vector_near_dedup(spark, str(tmp_path)).collect()}
+    assert true.sum() > 400 and all(got[k] <= n for k, n in enumerate(true))
+    assert sum(got.values()) >= 0.9 * true.sum()
 
 
 def _sparse(spark, n=3000, every=60, dim=64):
@@ -153,35 +176,38 @@ def _sparse(spark, n=3000, every=60, dim=64):
     for i in range(0, n, every):
         x[i + 1] = x[i] + rng.normal(size=dim) * 0.2
     x /= np.linalg.norm(x, axis=1)[:, None]
-    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], vectors.NODE), {(i, i + 1) for i in range(0, n, every)}
+    rows = [(i, v.tolist(), 1, i % 20 == 0) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, vectors.NODE), {(i, i + 1) for i in range(0, n, every)}
 
 
-def test_sparse_links_are_audited_until_enough(spark, monkeypatch):
+def test_audit_counts_every_query(spark, monkeypatch):
     nodes, want = _sparse(spark)
-    true, audited = vectors._true_links(nodes, 3000, 0.95)
-    assert audited and {(r.a, r.b) for r in true.collect()} <= want and true.count() >= vectors.AUDIT_LINKED
-    none = spark.createDataFrame([], "a long, b long")
+    true = {r.node: r.others for r in vectors.true_counts(nodes).collect()}
+    assert len(true) == 150 and {k for k, n in true.items() if n} == {a for a, _ in want}
+    none = spark.createDataFrame([], "node long, others long"), spark.createDataFrame([], "a long, b long")
     asked = []
 
-    def blind(nodes, centers, least, overlap):
+    def blind(nodes, centers, least, overlap, rows, most):
         asked.append(overlap)
         return none
 
     monkeypatch.setattr(vectors, "_round", blind)
-    with pytest.raises(RuntimeError, match="recall 0.000"):  # audited at the most overlap, too
+    with pytest.raises(RuntimeError, match="recall 0.000"):  # too few links to trust a recall: the most overlap at once
         vectors.links(nodes)
-    assert asked == [2, 4, 8]
-    monkeypatch.setattr(vectors, "AUDIT_LEAST", 10)
-    with pytest.warns(UserWarning, match="not audited"):
+    assert asked == [8]
+    monkeypatch.setattr(vectors, "AUDIT_LINKED", 20)
+    with pytest.raises(RuntimeError, match="recall 0.000"):  # audited at the most overlap, too
         vectors.links(nodes)
-    assert asked[3:] == [8]
+    assert asked[1:] == [2, 4, 8]
 
 
-def test_planted_pairs_are_found(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "SHARD_ROWS", 100)
+def test_planted_pairs_are_found(spark):
     nodes, want = _sparse(spark)
-    got = {(r.a, r.b) for r in vectors.links(nodes).collect()}
+    found = vectors.links(nodes, rows=100)
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in found.edges.collect()}
     assert len(want & got) >= 0.9 * len(want) and got <= want
+    assert found.recall >= 0.9 and found.queries == 150 and found.linked == 50
+    assert {r.node for r in found.counts.collect()} == {n for pair in got for n in pair}
 
 
 # the pipeline

@@ -3,7 +3,8 @@
 Words and word pairs are hashed into a fixed number of buckets. Two multinomials
 over the buckets are fitted, one to trusted documents and one to the whole
 corpus; a document's score is the mean of log p(trusted) - log p(corpus) over
-its n-grams, so that length does not matter. Documents below a fixed threshold
+its n-grams, so that length does not matter. The trusted side is smoothed towards the
+corpus, so an n-gram without evidence scores about zero. Documents below a fixed threshold
 are rejected. The corpus is counted in full; the trusted side is fitted on a
 bounded sample of labelled rows (``target_rows``, smallest hashes first).
 """
@@ -24,10 +25,12 @@ from curbflow.llm.common import fresh, session
 BUCKETS = 1 << 16
 #: Labelled documents that the trusted multinomial is fitted on, at most.
 TARGET_ROWS = 20_000
-#: Added to every bucket of both multinomials.
+#: Added to every bucket of the corpus.
 SMOOTHING = 1.0
+#: n-grams that the corpus lends the trusted side, by its shares: little trusted text says little against a document.
+PRIOR = 1e6
 #: Mean log ratio per n-gram below which a document is rejected.
-THRESHOLD = -0.2
+THRESHOLD = -0.05
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 SYMBOLS = "#*$%&|<>"
@@ -124,8 +127,8 @@ def log_ratio(docs: DataFrame, trusted: DataFrame | None, buckets: int, target_r
     raw[counts["bucket"]], target[counts["bucket"]] = counts["raw"], counts["target"]
     if not target.sum():
         return None
-    share = lambda x: np.log((x + SMOOTHING) / (x.sum() + SMOOTHING * buckets))
-    return share(target) - share(raw)
+    share = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * buckets)
+    return np.log((target + PRIOR * share) / (target.sum() + PRIOR)) - np.log(share)
 
 
 def judged(
@@ -142,8 +145,10 @@ def judged(
     the score is null and only the counting rules reject. A null or empty text
     has no words, fails the counting rules and has no score. Repeated rows are
     judged alike and each counts in the corpus. An empty table gives no rows;
-    other columns pass through (``verdict`` must not be among them).
+    other columns pass through; a column named as ``verdict`` raises.
     """
+    if verdict.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"column {verdict} is there already")
     spark = session(docs.sparkSession)
     ratio = log_ratio(docs, trusted, buckets, target_rows)
     held = spark.sparkContext.broadcast(ratio)
@@ -166,7 +171,11 @@ def judged(
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame | None) -> DataFrame:
-    """The documents that all rules keep, with their columns as they were."""
+    """The documents that all rules keep, with their columns as they were.
+
+    Null and empty texts fail the counting rules and go; repeated rows stay or go together; a score at the
+    threshold stays. An empty table gives no rows.
+    """
     verdict = fresh(docs, "_verdict")
     return judged(docs, trusted, verdict).where(F.col(f"{verdict}.kept")).drop(verdict)
 

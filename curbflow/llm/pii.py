@@ -2,13 +2,13 @@
 
 Identifiers (the protected entities) are found by patterns. A term beside an
 entity is judged by the corpus: with n documents, n_c holding the entity, n_t the
-term and n_ct the term beside the entity, the term's pointwise information
-log2(n * n_ct / (n_c * n_t)) is compared with the information of the entity
-itself, log2(n / n_c). A term that carries at least ``DISCLOSURE`` of it is
-disclosed: removed if it stands nowhere else, else generalised. How often the
+term and n_ct the term beside the entity, what is left to know of the entity beside
+the term is -log2(n_ct / n_t) bits of its log2(n / n_c). A term that leaves at most
+``RESIDUAL`` bits, and tells at least ``GAIN``, is disclosed: removed if it stands nowhere
+else, else generalised. The bounds are the same for every n. How often the
 entity stands beside the term, n_ct / n_t, is shrunk towards the entity's share of
 all documents as if ``PRIOR`` texts had been seen before: an entity of a single
-text can be disclosed, with more caution than one of many. Copies of one text are
+text can be disclosed, by terms of that text alone. Copies of one text are
 one piece of evidence. Counts cover all documents.
 
 Terms are runs of letters and figures, and pairs of neighbours in scripts without
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from curbflow.llm.arrays import before, let
 from curbflow.llm.common import fresh, stored
 
-#: Share of an entity's information at which a term counts as disclosing it.
-DISCLOSURE = 0.9
+#: Bits that a disclosing term leaves of an entity at most, and that it tells at least.
+RESIDUAL, GAIN = 1.0, 1.0
 #: Texts that the entity's share of all documents weighs as, against those with the term beside it.
 PRIOR = 1.0
 #: Characters on either side of an identifier in which terms count as beside it.
@@ -233,10 +233,7 @@ def disclosed(held: DataFrame, others: DataFrame) -> DataFrame:
     counted = pairs.join(words, "term").join(entities, "entity").withColumn("n", F.lit(total))
     share = F.col("n_c") / F.col("n")
     beside = (F.col("texts") * F.col("n_ct") / F.col("n_t") + PRIOR * share) / (F.col("texts") + PRIOR)
-    information = F.log2(beside / share)
-    return counted.where(
-        (F.col("n") > F.col("n_c")) & (information >= DISCLOSURE * F.log2(F.col("n") / F.col("n_c")))
-    ).select("entity", "term", (F.col("n_t") <= F.col("n_ct")).alias("only"))
+    return counted.where((beside >= 2.0**-RESIDUAL) & (beside >= share * 2.0**GAIN)).select("entity", "term", (F.col("n_t") <= F.col("n_ct")).alias("only"))
 
 
 def term_spans(held: DataFrame, reveals: DataFrame) -> DataFrame:
@@ -328,7 +325,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with identifiers replaced by their kind and disclosing terms generalised or removed.
 
     Texts without identifiers stay as they are, a null text stays null. A column
-    ``n_chars`` follows the new text. All other columns pass through.
+    ``n_chars`` follows the new text. All other columns pass through. Rows that repeat id and text are
+    rewritten alike; rows without an id are told apart by their text. An empty table gives no rows.
     """
     pii = fresh(docs, "_pii")
     rows = stored(found(docs, pii), "pii-rows")

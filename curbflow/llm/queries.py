@@ -9,24 +9,38 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm import audit, chat, mixing, packing, pii, quality, repair, repeats, secrets, simhash, sql, tokens, vectors, warc
-from curbflow.llm.common import session, stored, table
+from curbflow.llm.common import scratch, session, stored, table
 
 
 def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written to the archive, then read back: every column comes from stored headers and payloads."""
-    records = warc.rebuild(warc.archive_pages(table(spark, sf_dir, "pages")))
+    """Pages to an archive, the archive to WARC files: every column comes from the records read back."""
+    path = scratch(spark, "warc-files")
+    warc.write_files(warc.rebuild(warc.archive_pages(table(spark, sf_dir, "pages"))), path, compression="gzip")
+    read = warc.read_files(spark, path)
 
     def page(line: str) -> Column:
         return F.expr(f"try_cast(regexp_extract({line}, 'urn:page:(-?[0-9]+)', 1) as bigint)")
 
-    return records.select(
-        warc.field(F.col("header"), "WARC-Record-ID").alias("id"),
-        "payload_bytes",
-        F.substring_index(warc.field(F.col("header"), "WARC-Payload-Digest"), ":", -1).alias("payload_digest"),
-        warc.field(F.col("header"), "WARC-Type").alias("record_type"),
-        warc.field(F.col("header"), "WARC-Refers-To").alias("refers"),
-    ).select(
-        page("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers").alias("refers_to")
+    header = F.col("header")
+    claimed = F.substring_index(warc.field(header, "WARC-Payload-Digest"), ":", -1)
+    wrong = F.raise_error(F.lit("a record does not hold what its header says")).cast("string")
+    records = stored(
+        read.select(
+            F.when(claimed == F.col("digest"), claimed).otherwise(wrong).alias("payload_digest"),
+            F.when(F.col("holds"), F.octet_length("payload").cast("long")).alias("size"),
+            warc.field(header, "WARC-Record-ID").alias("id"),
+            warc.field(header, "WARC-Type").alias("record_type"),
+            warc.field(header, "WARC-Refers-To").alias("refers"),
+        ),
+        "warc-records",
+    )
+    sizes = records.where("size IS NOT NULL").groupBy("payload_digest").agg(F.max("size").alias("kept_size"))
+    return records.join(sizes, "payload_digest", "left").select(
+        page("id").alias("page_id"),
+        F.coalesce("size", "kept_size").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        page("refers").alias("refers_to"),
     )
 
 

@@ -1,6 +1,7 @@
 """Archive, packing and chat formatting: exact round trips."""
 
 import gzip
+import hashlib
 import json
 import zlib
 from collections import defaultdict
@@ -10,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from compare import differences, duck
+from pyspark.sql import functions as F
 
 from curbflow.llm import chat, packing, queries, warc
 from curbflow.llm.common import scratch
@@ -37,8 +39,9 @@ def test_archive_rebuilds_every_record(spark):
     got = sorted((r.record_id, r.holds) for r in records)
     assert got == [("1", True), ("1", True), ("2", False), ("3", True), ("4", True), ("5", True), ("6", True), ("7", True), ("null", False)]
     path = scratch(spark, "warc-files")
-    warc.write_files(warc.rebuild(archive).repartition(3), path)
-    back = warc.read_files(spark, f"{path}/part-*")
+    warc.write_files(warc.rebuild(archive), path, file_bytes=1000)
+    back = warc.read_files(spark, f"{path}/part-*").withColumn("record_id", F.monotonically_increasing_id().cast("string"))
+    assert len({r.file for r in back.collect()}) > 1 and all(b"\r\nWARC-Date: " in r.header for r in back.collect())
     assert {bytes(r.header) for r in back.collect()} == {bytes(r.header) for r in records}
     again = warc.store(back.select("record_id", "header", "digest", "holds"), back.where("holds").select("digest", "payload"), scratch(spark, "warc"))
     assert sorted(bytes(r.record) for r in warc.rebuild(again).collect()) == sorted(bytes(r.record) for r in records)
@@ -58,6 +61,51 @@ def test_archive_reads_gzip_and_refuses_damage(spark, tmp_path):
         warc.read_files(spark, f"file://{tmp_path}").collect()
 
 
+def test_records_inside_payloads_and_split_files(spark, tmp_path):
+    """Payloads that hold records, bytes that are no text, and files cut into many splits."""
+    rng = np.random.default_rng(2)
+    inner = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+
+    def record(body):
+        return b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n" % len(body) + body + b"\r\n\r\n"
+
+    plain = [bytes(rng.integers(0, 256, rng.integers(0, 3000), dtype=np.uint8)) for _ in range(400)] + [b"\r\n\r\n", b"x\r\n\r\nWARC"]
+    nested = [b"see\r\n\r\n" + inner + b"end", b"last"]
+    (tmp_path / "plain.warc").write_bytes(b"".join(map(record, plain)))
+    (tmp_path / "nested.warc").write_bytes(b"".join(map(record, nested)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4001")
+    try:
+        got = warc.read_files(spark, f"file://{tmp_path}").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert sorted(bytes(r.payload) for r in got) == sorted(plain + nested)
+    assert all(hashlib.sha256(r.payload).hexdigest() == r.digest for r in got)
+
+
+def test_archive_cannot_lie(spark):
+    pages = spark.createDataFrame([(1, "u", "a" * 200), (2, "u", "a" * 200), (3, "u", "b")], "page_id long, url string, html string")
+    archive = warc.archive_pages(pages)
+    false = warc.Archive(archive.headers, archive.payloads.withColumn("payload", F.lit("false").cast("binary")))
+    with pytest.raises(Exception, match="does not have its digest"):
+        warc.rebuild(false).select("record").collect()
+    less = warc.Archive(archive.headers, archive.payloads.where(F.octet_length("payload") == 1))
+    with pytest.raises(Exception, match="payload is missing"):
+        warc.rebuild(less).select("record").collect()
+    # a revisit of what another archive holds stays, without a payload
+    foreign = spark.createDataFrame([("9", bytearray(b"h"), "base32digest", False)], archive.headers.schema)
+    rows = warc.rebuild(warc.Archive(archive.headers.union(foreign), archive.payloads)).collect()
+    assert len(rows) == 4 and [bytes(r.record) for r in rows if r.record_id == "9"] == [b"h\r\n\r\n"]
+
+
+def test_archive_of_extra_columns_and_long_payloads(spark):
+    long = "é" * 3_000_000
+    rows = [(1, "u", long, "d", True), (2, "u", long, "e", False)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string, holds boolean")
+    records = warc.rebuild(warc.archive_pages(pages)).collect()
+    assert sorted((r.record_id, r.holds, r.payload_bytes) for r in records) == [("1", True, 6_000_000), ("2", False, 6_000_000)]
+
+
 def test_empty_archive(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.rebuild(warc.archive_pages(pages)).isEmpty()

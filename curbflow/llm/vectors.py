@@ -5,8 +5,8 @@ into shards, each node joining its nearest ones, so that shards overlap; shards
 still too large are cut again by centroids of their own. Every shard builds a flat graph:
 neighbours by similarity, robustly pruned, reverse edges added, every node reachable from
 the medoid. The adjacency lists of a node in all its shards are united. Search runs in each
-shard over the united lists: greedy from the medoid, and on through every node found in
-range, until none is left. Links are pairs whose cosine in double precision reaches the threshold.
+shard over the united lists: greedy from the medoid and the query's own list, and on through
+every node found in range, until none is left. Links are pairs whose cosine in double precision reaches the threshold.
 
 Pairs never leave the task that finds them. A node carries the list of its shards, and a pair is
 counted in the least shard that both share; what is returned are the links of each node as a number,
@@ -51,7 +51,7 @@ BEAM = 24
 OVERLAP, MOST_OVERLAP = 2, 8
 #: Ids that this divides are the audit's queries; queries and nodes of one of its tasks.
 AUDIT_EVERY, AUDIT_QUERIES, AUDIT_NODES = 50, 4096, 20_000
-#: Queries with links below which a measured recall says little, and the most overlap is taken.
+#: Queries with links below which a measured recall says little, and overlap starts twice as large.
 AUDIT_LINKED = 100
 #: Share of their links that must be found, and below which the result is refused at the most overlap.
 AUDIT_RECALL, LEAST_RECALL = 0.97, 0.9
@@ -110,7 +110,7 @@ def _centroids(nodes: DataFrame, count: int) -> np.ndarray:
 
 
 def _nearest(x: np.ndarray, centers: np.ndarray, overlap: int) -> np.ndarray:
-    m = min(overlap, len(centers))
+    m = max(1, min(overlap, len(centers) - 1))  # all shards of each would be one shard many times
     return np.argpartition(-(x @ centers.T), m - 1, axis=1)[:, :m]
 
 
@@ -239,12 +239,12 @@ def _build(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": ids, "near": [ids[e].tolist() for e in edges]})
 
 
-def _search(x: np.ndarray, edges: list[np.ndarray], q: np.ndarray, start: int, least: float) -> np.ndarray:
-    """Nodes found in range of ``q``: best first, on through every node in range."""
+def _search(x: np.ndarray, edges: list[np.ndarray], q: np.ndarray, start: np.ndarray, least: float) -> np.ndarray:
+    """Nodes found in range of ``q``: from ``start`` best first, on through every node in range."""
     n = len(x)
     sims = np.full(n, -3.0)  # not seen yet
     done = np.zeros(n, bool)
-    seen = np.array([start])
+    seen = start
     sims[start] = x[start] @ q
     while True:
         value = sims[seen]
@@ -262,14 +262,16 @@ def _search(x: np.ndarray, edges: list[np.ndarray], q: np.ndarray, start: int, l
 def _hits(base: pd.DataFrame, queries: pd.DataFrame, least: float) -> np.ndarray:
     """Whether search from each query finds each base node, the query itself left out."""
     x, ids = np.stack(base["vector"].to_list()), base["node"].to_numpy()
-    edges = []
-    for near in base["near"]:
+
+    def here(near: np.ndarray) -> np.ndarray:
         at = np.searchsorted(ids, near)
         at[at == len(ids)] = 0
-        edges.append(at[ids[at] == near])  # united lists name nodes of other shards too
-    start, hit = _medoid(x), np.zeros((len(queries), len(base)), bool)
-    for k, (node, q) in enumerate(zip(queries["node"], queries["vector"])):
-        found = _search(x, edges, q, start, least)
+        return at[ids[at] == near]  # united lists name nodes of other shards too
+
+    edges = [here(near) for near in base["near"]]
+    medoid, hit = _medoid(x), np.zeros((len(queries), len(base)), bool)
+    for k, (node, q, near) in enumerate(zip(queries["node"], queries["vector"], queries["near"])):
+        found = _search(x, edges, q, np.union1d([medoid], here(near)), least)
         hit[k, found[ids[found] != node]] = True
     return hit
 
@@ -349,7 +351,7 @@ def _searched(least: float):
 def _round(nodes: DataFrame, centers: np.ndarray, least: float, overlap: int, rows: int, most: int) -> tuple[DataFrame, DataFrame]:
     """``counts (node, others)`` and ``edges (a, b)`` that search finds with each node in ``overlap`` shards."""
     first = stored(nodes.mapInPandas(_assigned(centers, overlap), f"{NODE}, shard long"), "vector-shards")
-    members = _cut(first.select("shard", "node", "vector", "copies", "audited"), rows, most, overlap)
+    members = _cut(first.select("shard", "node", "vector", "copies", "audited"), rows, most, OVERLAP)
     blocks = _sizes(members).select(F.col("shard").alias("_shard"), F.ceil(F.col("n") / most).cast("int").alias("blocks"))
     dealt = stored(
         members.join(blocks, F.col("shard") == F.col("_shard")).drop("_shard")
@@ -418,7 +420,7 @@ def links(
     """Links at cosine ``least`` or more of ``nodes (node, vector, copies, audited)``, as numbers and as a forest.
 
     ``rows`` and ``most`` are the nodes that a shard aims at and may have. Recall is measured on all audited
-    nodes and logged. With fewer than ``AUDIT_LINKED`` of them linked it says little, so the most overlap is taken.
+    nodes and logged. With fewer than ``AUDIT_LINKED`` of them linked it says little, so overlap starts twice as large.
     """
     rows, most = rows or SHARD_ROWS, most or SHARD_MOST
     total = nodes.count()
@@ -427,7 +429,7 @@ def links(
         return Links(spark.createDataFrame([], "node long, others long"), spark.createDataFrame([], "a long, b long"), 1.0, 0, 0, overlap)
     true = true_counts(nodes, least)
     if true.where("others > 0").count() < AUDIT_LINKED:
-        overlap = max(overlap, MOST_OVERLAP)
+        overlap = min(2 * overlap, MOST_OVERLAP)
     while True:
         counts, edges = _round(nodes, _centroids(nodes, total), least, overlap, rows, most)
         recall, queries, linked = _recall(true, counts)

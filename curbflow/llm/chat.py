@@ -1,7 +1,8 @@
 """Chat formatting: records of different layouts to canonical turns, turns to one marked text.
 
-A record's layout is known by its nested field paths alone: their hash selects a
-declarative mapping, whatever the values. Canonical turns are rows, so a long
+A record's layout is known by its nested field paths alone: those of them that any layout
+names are hashed, and the hash selects a declarative mapping, whatever the values. Fields no
+layout names change nothing. Records that no layout fits are a table of their own. Canonical turns are rows, so a long
 conversation is built from rows formatted in parallel. Each turn becomes
 
     <s>[INST]role[/INST]text</s>
@@ -25,7 +26,8 @@ OPEN, HEAD, MID, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 #: An opening character that a control string follows, and one whose mark is to go.
 _CONTROL = r"(<(?=\\*/?s>)|\[(?=\\*/?INST\]))"
 _MARKED = r"(<)\\(?=\\*/?s>)|(\[)\\(?=\\*/?INST\])"
-_TYPE = r"(: )?\b(STRING|BIGINT|BOOLEAN|DOUBLE|FLOAT|VOID|DATE|TIMESTAMP(_NTZ)?|DECIMAL\([0-9]+,[0-9]+\))(?=[,>]|$)"
+#: Characters of a text that a JSON record holds; longer ones stand beside their record.
+LONG = 1 << 23
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,6 @@ class Layout:
     """
 
     name: str
-    paths: str
     turns: str = ""
     role: str = ""
     text: str = ""
@@ -47,25 +48,37 @@ class Layout:
     roles: dict[str, str] = field(default_factory=dict)
 
     @property
-    def fingerprint(self) -> str:
-        return hashlib.sha256(self.paths.encode()).hexdigest()
+    def shapes(self) -> list[list[str]]:
+        """The sets of paths that make the layout; a list of turns may be empty."""
+        if self.parts:
+            return [[*self.parts]]
+        if not self.turns:
+            return [[self.role, self.text, self.order]]
+        first = [f"{self.turns}[0].{path.removeprefix('$.')}" for path in (self.role, self.text)]
+        return [[self.turns, *first], [self.turns]]
+
+    @property
+    def fingerprints(self) -> list[str]:
+        return [hashlib.sha256(",".join(sorted(s)).encode()).hexdigest() for s in self.shapes]
 
 
 _NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant"}
 LAYOUTS = [
-    Layout("turn rows", "OBJECT<content, id, role, turn>", role="$.role", text="$.content", order="$.turn"),
-    Layout("messages", "OBJECT<id, messages: ARRAY<OBJECT<content, role>>>", "$.messages", "$.role", "$.content"),
-    Layout("conversations", "OBJECT<conversations: ARRAY<OBJECT<from, value>>, id>", "$.conversations", "$.from", "$.value", roles=_NAMES),
-    Layout("prompt", "OBJECT<id, prompt, response>", parts={"$.prompt": "user", "$.response": "assistant"}),
-    Layout("system prompt", "OBJECT<id, prompt, response, system>", parts={"$.system": "system", "$.prompt": "user", "$.response": "assistant"}),
-    Layout("instruction", "OBJECT<id, instruction, output>", parts={"$.instruction": "user", "$.output": "assistant"}),
-    Layout("instruction with input", "OBJECT<id, input, instruction, output>", parts={"$.instruction": "user", "$.input": "user", "$.output": "assistant"}),
-]
+    Layout("turn rows", role="$.role", text="$.content", order="$.turn"),
+    Layout("messages", "$.messages", "$.role", "$.content"),
+    Layout("conversations", "$.conversations", "$.from", "$.value", roles=_NAMES),
+    Layout("prompt", parts={"$.prompt": "user", "$.response": "assistant"}),
+    Layout("system prompt", parts={"$.system": "system", "$.prompt": "user", "$.response": "assistant"}),
+    Layout("instruction", parts={"$.instruction": "user", "$.output": "assistant"}),
+    Layout("instruction with input", parts={"$.instruction": "user", "$.input": "user", "$.output": "assistant"}),
+]
 
 
-def field_paths(record: Column) -> Column:
-    """Nested field names of a variant, in order, without their types."""
-    return F.regexp_replace(F.schema_of_variant(record), _TYPE, "")
+def fingerprint(record: Column, layouts: list[Layout] = LAYOUTS) -> Column:
+    """Hash of the nested field paths of a variant that any layout names, in order."""
+    paths = sorted({p for layout in layouts for shape in layout.shapes for p in shape})
+    present = [F.when(F.try_variant_get(record, p, "variant").isNotNull(), F.lit(p)) for p in paths]
+    return F.sha2(F.concat_ws(",", *present), 256)
 
 
 def _turn(order: Column, role: Column, text: Column) -> Column:
@@ -73,7 +86,7 @@ def _turn(order: Column, role: Column, text: Column) -> Column:
     return F.struct(order.alias("turn"), F.coalesce(role, empty).alias("role"), F.coalesce(text, empty).alias("text"))
 
 
-def _turns(record: Column, layout: Layout) -> Column:
+def _turns(record: Column, layout: Layout, beside: Column) -> Column:
     def get(path: str, kind: str, of: Column = record) -> Column:
         return F.try_variant_get(of, path, kind)
 
@@ -85,7 +98,8 @@ def _turns(record: Column, layout: Layout) -> Column:
             ]
         )
     if not layout.turns:
-        return F.array(_turn(get(layout.order, "long"), get(layout.role, "string"), get(layout.text, "string")))
+        text = F.coalesce(beside, get(layout.text, "string"))
+        return F.array(_turn(get(layout.order, "long"), get(layout.role, "string"), text))
 
     def one(item: Column, i: Column) -> Column:
         role = get(layout.role, "string", item)
@@ -96,26 +110,41 @@ def _turns(record: Column, layout: Layout) -> Column:
     return F.transform(get(layout.turns, "array<variant>"), one)
 
 
+def _known(records: DataFrame, layouts: list[Layout]) -> DataFrame:
+    """Records with their variant ``v``, ``layout`` or null, and text kept ``beside``."""
+    beside = F.col("long_text") if "long_text" in records.columns else F.lit(None).cast("string")
+    rows = records.select("record", beside.alias("beside"), F.try_parse_json("record").alias("v"))
+    rows = rows.withColumn("print", fingerprint(F.col("v"), layouts))
+    name = F.lit(None).cast("string")
+    for layout in layouts:
+        lists = F.try_variant_get("v", layout.turns, "array<variant>").isNotNull() if layout.turns else F.lit(True)
+        name = F.when(F.col("print").isin(*layout.fingerprints) & lists, layout.name).otherwise(name)
+    return rows.withColumn("layout", F.when(F.col("v").isNotNull(), name))
+
+
 def canonical(records: DataFrame, layouts: list[Layout] = LAYOUTS) -> DataFrame:
     """``(conv_id, layout, turn, role, text)`` rows of ``records (record)``, JSON text each.
 
-    A record that is no JSON or whose paths no layout has gives one row with a
-    null layout and the record as its text, so that nothing is lost unseen. A
+    A column ``long_text``, if there is one, has the text of a one-turn record that is too long for JSON. Records that
+    are no JSON, or whose paths no layout has, are in :func:`rejected` alone. An empty list of turns gives
+    no rows; what a layout does not name is not read; texts that are numbers are their digits. A
     null or missing text or role is empty. Repeated records give their turns
     again; no records give no rows.
     """
-    rows = records.select("record", F.try_parse_json("record").alias("v"))
-    rows = rows.withColumn("print", F.sha2(field_paths(F.col("v")), 256))
-    name, turns = F.lit(None).cast("string"), F.array(_turn(F.lit(0).cast("long"), F.lit(""), F.col("record")))
+    turns = F.lit(None)
     for layout in layouts:
-        here = F.col("print") == layout.fingerprint
-        name = F.when(here, layout.name).otherwise(name)
-        turns = F.when(here, _turns(F.col("v"), layout)).otherwise(turns)
-    return rows.select(
-        F.try_variant_get("v", "$.id", "long").alias("conv_id"), name.alias("layout"), F.explode(turns).alias("t")
+        turns = F.when(F.col("layout") == layout.name, _turns(F.col("v"), layout, F.col("beside"))).otherwise(turns)
+    return _known(records, layouts).where("layout IS NOT NULL").select(
+        F.try_variant_get("v", "$.id", "long").alias("conv_id"), "layout", F.explode(turns).alias("t")
     ).select("conv_id", "layout", "t.*")
 
 
+def rejected(records: DataFrame, layouts: list[Layout] = LAYOUTS) -> DataFrame:
+    """``(record, reason)`` of the records that are no JSON, too long for it, or of no layout; null records too."""
+    reason = F.when(F.col("v").isNull(), "no JSON, or too long").otherwise("no layout")
+    return _known(records, layouts).where("layout IS NULL").select("record", reason.alias("reason"))
+
+
 def escaped(text: Column) -> Column:
     return F.regexp_replace(text, _CONTROL, r"$1\\")
 
@@ -192,11 +221,16 @@ def loss_text(text: Column, loss: Column) -> Column:
 
 
 def turn_records(conversations: DataFrame) -> DataFrame:
-    """JSON records of a table with a row per turn; a null text or role is empty."""
+    """``(record, long_text)`` of a table with a row per turn: JSON records, very long texts beside them.
+
+    A null text or role is empty.
+    """
+    text = F.coalesce("text", F.lit(""))
+    long = F.length(text) > LONG
     fields = F.struct(
         F.col("conv_id").alias("id"),
         F.col("turn").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("content"),
+        F.when(long, "").otherwise(text).alias("content"),
     )
-    return conversations.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"))
+    return conversations.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"), F.when(long, text).alias("long_text"))

@@ -93,7 +93,7 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     messages = [{"role": role, "content": says} for role in ("user", "assistant")]
     added = spark.createDataFrame([(json.dumps({"id": -7, "messages": messages}),)], "record string")
-    records = chat.turn_records(table(spark, sf_dir, "conversations")).union(added)
+    records = chat.turn_records(table(spark, sf_dir, "conversations")).unionByName(added, allowMissingColumns=True)
     output = stored(chat.formatted(chat.canonical(records)), "chat")
     turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     read = output.select(

@@ -198,9 +198,41 @@ def test_layouts_become_the_same_turns(spark):
         assert [(r.conv_id, r.turn, r.role, r.text) for r in rows] == [(1, 0, "user", "hi"), (1, 1, "assistant", "ho")]
     more = [{"id": 2, "prompt": "hi", "response": None, "system": "be"}, {"id": 3, "odd": [1]}]
     texts = [json.dumps(x) for x in more] + ["no json", None]
-    rows = chat.canonical(spark.createDataFrame([(x,) for x in texts], "record string")).collect()
-    assert [(r.layout, r.role, r.text) for r in rows][:3] == [("system prompt", "system", "be"), ("system prompt", "user", "hi"), ("system prompt", "assistant", "")]
-    assert [r.layout for r in rows][3:] == [None] * 3 and rows[3].text == texts[1]
+    records = spark.createDataFrame([(x,) for x in texts], "record string")
+    rows = chat.canonical(records).collect()
+    assert [(r.layout, r.role, r.text) for r in rows] == [("system prompt", "system", "be"), ("system prompt", "user", "hi"), ("system prompt", "assistant", "")]
+    no = "no JSON, or too long"
+    assert [(r.record, r.reason) for r in chat.rejected(records).collect()] == [(texts[1], "no layout"), (texts[2], no), (None, no)]
+
+
+def test_layouts_bear_more_fields_empty_lists_and_numbers(spark):
+    turn = lambda role, text: {"role": role, "content": text}
+    records = [
+        {"id": 1, "messages": []},
+        {"id": 2, "meta": {"a": [1]}, "messages": [{**turn("user", 5), "at": 1}, turn("assistant", "ho")]},
+        {"messages": "none", "id": 3},
+        {"id": 4, "messages": [turn("user", "x")], "prompt": "two layouts"},
+        {"id": 5, "messages": [turn("user", "x")] * 2},
+        {"id": 5, "messages": [turn("user", "x")] * 2},
+    ]
+    df = spark.createDataFrame([(json.dumps(x),) for x in records], "record string")
+    got = [(r.conv_id, r.turn, r.role, r.text) for r in chat.canonical(df).collect()]
+    assert got == [(2, 0, "user", "5"), (2, 1, "assistant", "ho")] + [(5, 0, "user", "x"), (5, 1, "user", "x")] * 2
+    assert [json.loads(r.record)["id"] for r in chat.rejected(df).collect()] == [3, 4]
+
+
+def test_very_long_texts_keep_their_conversation(spark, monkeypatch):
+    import curbflow.llm.chat as module
+
+    rows = spark.range(2).selectExpr("cast(7 as long) AS conv_id", "id AS turn", "'assistant' AS role", "repeat('x', 20000000) AS text").where("turn = 0")
+    got = chat.canonical(chat.turn_records(rows)).selectExpr("conv_id", "layout", "length(text) AS n").collect()
+    assert [tuple(r) for r in got] == [(7, "turn rows", 20_000_000)]
+    # the same for short texts, whole formatting included
+    monkeypatch.setattr(module, "LONG", 3)
+    short = spark.createDataFrame([(1, 0, "user", "abcd<s>"), (1, 1, "assistant", "abc"), (1, 2, "assistant", "[INST] abcd")], "conv_id long, turn long, role string, text string")
+    out = chat.formatted(chat.canonical(chat.turn_records(short)))
+    read = out.select(chat.turns_of(out.formatted).alias("t"), chat.loss_text(out.formatted, out.loss).alias("l")).first()
+    assert [x.text for x in read.t] == ["abcd<s>", "abc", "[INST] abcd"] and read.l == "abc[INST] abcd"
 
 
 def test_control_strings_survive(spark):

@@ -15,7 +15,7 @@ from curbflow.llm.common import scratch, session, stored, table
 def op1_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages to an archive, the archive to WARC files: every column comes from the records read back."""
     path = scratch(spark, "warc-files")
-    warc.write_files(warc.rebuild(warc.archive_pages(table(spark, sf_dir, "pages"))), path, compression="gzip")
+    warc.write_files(warc.archive_pages(table(spark, sf_dir, "pages")), path, compression="gzip")
     read = warc.read_files(spark, path)
 
     def page(line: str) -> Column:

@@ -140,16 +140,18 @@ def field(header: Column, name: str) -> Column:
     return F.trim(F.regexp_extract(header.cast("string"), rf"(?im)^{re.escape(name)}:([^\r\n]*)", 1))
 
 
-def write_files(records: DataFrame, path: str, file_bytes: int = FILE_BYTES, compression: str = "none") -> None:
-    """WARC files of ``records (record_id, header, record, payload_bytes)``, each of about ``file_bytes``.
+def write_files(archive: Archive, path: str, file_bytes: int = FILE_BYTES, compression: str = "none") -> None:
+    """WARC files of an archive's records, each of about ``file_bytes`` before ``compression``.
 
-    ``compression`` is that of whole files; only plain ones are read in splits. No records give no files.
+    Records move only to meet their payload; a file ends after as many records as its bytes hold on average.
+    Compression is that of whole files; only plain ones are read in splits. No records give no files.
     """
-    held = F.when(F.col("holds"), F.col("payload_bytes")).otherwise(0)
-    size = records.agg(F.sum(held + F.octet_length("header") + len(RECORD_END))).first()[0] or 0
+    length = F.regexp_extract(F.col("header").cast("string"), r"(?i)\r\ncontent-length: *([0-9]+)", 1).cast("long")
+    sums = archive.headers.agg(F.sum(length + F.octet_length("header") + len(RECORD_END)).alias("size"), F.count("*").alias("n")).first()
+    each = max(1, sums["n"] * file_bytes // max(1, sums["size"] or 0))
     body = F.expr(f"substring(record, 1, octet_length(record) - {len(RECORD_END)})").cast("string")
-    parts = records.repartition(max(1, -(-size // file_bytes)), "record_id")
-    parts.select(body.alias("value")).write.option("lineSep", RECORD_END).option("compression", compression).text(path)
+    writer = rebuild(archive).select(body.alias("value")).write.option("maxRecordsPerFile", each)
+    writer.option("lineSep", RECORD_END).option("compression", compression).text(path)
 
 
 _RECORD = "file string, header binary, payload binary, digest string, holds boolean"
@@ -205,15 +207,15 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     # the last record of a file still has its end
     ended = F.expr("substring(value, -4, 4)") == F.lit(RECORD_END).cast("binary")
     fits = F.coalesce((rest == 0) | ((rest == len(RECORD_END)) & ended), F.lit(False))
-    odd = rows.where(~fits).select("file").distinct()
-    plain = rows.join(odd, "file", "left_anti")
+    # files whose payloads hold beginnings of records, or that are damaged
+    again = [r["file"] for r in rows.where(~fits).select("file").distinct().collect()]
+    plain = rows.where(~F.col("file").isin(again)) if again else rows
     holds = field(F.col("header"), "WARC-Type") != "revisit"
     payload = F.expr("substring(value, cast(octet_length(header) + 1 as int), cast(size as int))")
     known = F.substring_index(field(F.col("header"), "WARC-Payload-Digest"), ":", -1)
     read = plain.select("file", "header", payload.alias("payload"), holds.alias("holds")).select(
         "file", "header", "payload", F.when(F.col("holds"), F.sha2("payload", 256)).otherwise(known).alias("digest"), "holds"
     )
-    again = [r["file"] for r in odd.collect()]  # files whose payloads hold records, or damaged ones
     if not again:
         return read
     files = spark.read.format("binaryFile").load(again).select("path", "content")

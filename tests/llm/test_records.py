@@ -39,7 +39,7 @@ def test_archive_rebuilds_every_record(spark):
     got = sorted((r.record_id, r.holds) for r in records)
     assert got == [("1", True), ("1", True), ("2", False), ("3", True), ("4", True), ("5", True), ("6", True), ("7", True), ("null", False)]
     path = scratch(spark, "warc-files")
-    warc.write_files(warc.rebuild(archive), path, file_bytes=1000)
+    warc.write_files(archive, path, file_bytes=1000)
     back = warc.read_files(spark, f"{path}/part-*").withColumn("record_id", F.monotonically_increasing_id().cast("string"))
     assert len({r.file for r in back.collect()}) > 1 and all(b"\r\nWARC-Date: " in r.header for r in back.collect())
     assert {bytes(r.header) for r in back.collect()} == {bytes(r.header) for r in records}

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbflow.contract import SOURCE_SCHEMA, TRIP_SCHEMA, ContractError, compare_columns, require_columns
-from curbflow.sources import months
+from curbflow.sources import footers, months
+
 
+def month_schemas(spark: SparkSession, folder: str) -> list[tuple[int, list[tuple[str, str]], str]]:
+    """Distinct (month, columns with types) of the parquet parts of a folder, with one of their paths.
 
-def part_schemas(spark: SparkSession, files: list[str]) -> list[tuple[str, T.StructType]]:
-    """Schema of every part file, from its footer; several files at a time."""
-    with ThreadPool(16) as pool:
-        return list(zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files)))
+    The footers of all parts are read by a distributed job; only distinct states reach the driver.
+    """
+    return file_schemas(months.chosen_parts(spark, folder).where("format = 'parquet'").select("path", "month"))
 
 
-def _month_schemas(spark: SparkSession, folder: str) -> list[tuple[int, T.StructType]]:
-    """(month, schema) of every part of every parquet month entry."""
-    chosen = {r.entry: r.month for r in months.inventory(spark, folder).where("format = 'parquet'").collect()}
-    parts = months.parts(spark, folder).where(F.col("entry").isin(*chosen)).collect() if chosen else []
-    month_of = {r.path: chosen[r.entry] for r in parts}
-    return [(month_of[path], schema) for path, schema in part_schemas(spark, sorted(month_of))]
+def file_schemas(files: DataFrame) -> list[tuple[int, list[tuple[str, str]], str]]:
+    """Distinct (month, columns with types) of ``files (path, month)``, with one of their paths."""
+    fields = F.array_sort(F.collect_list(F.struct("position", "column_name", "type")))
+    each = footers.footers(files).where("row_group = 0").groupBy("path").agg(fields.alias("fields"))
+    states = each.join(files, "path").groupBy("month", "fields").agg(F.min("path").alias("path")).collect()
+    return [(r.month, [(f.column_name, f.type) for f in r.fields], r.path) for r in states]
 
 
 def month_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,8 +34,8 @@ def month_columns(spark: SparkSession, folder: str) -> DataFrame:
     """
     rows = {
         (month, *state)
-        for month, schema in _month_schemas(spark, folder)
-        for state in compare_columns(schema.fieldNames())
+        for month, fields, _ in month_schemas(spark, folder)
+        for state in compare_columns([name for name, _ in fields])
     }
     return spark.createDataFrame(
         sorted(rows, key=str),
@@ -46,18 +46,19 @@ def month_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 def month_types(spark: SparkSession, folder: str) -> DataFrame:
     """Type comparison of every month entry with the source contract, over the footers of all its parts."""
+    want = {f.name: f.dataType.simpleString() for f in SOURCE_SCHEMA.fields}
     rows = {
         (month, *state)
-        for month, schema in _month_schemas(spark, folder)
-        for state in _type_states(schema, SOURCE_SCHEMA)
+        for month, fields, _ in month_schemas(spark, folder)
+        for state in _states(dict(fields), want)
     }
     return spark.createDataFrame(sorted(rows, key=str), f"file_month INT, {_TYPE_STATE}")
 
 
-def require_parts(spark: SparkSession, files: list[str]) -> None:
-    """Raise unless every parquet part file has exactly the contract's columns."""
-    for path, schema in part_schemas(spark, sorted(f for f in files if f.endswith(".parquet"))):
-        require_columns(schema.fieldNames(), path)
+def require_parts(files: DataFrame) -> None:
+    """Raise unless every parquet file of ``files (path, month)`` has exactly the contract's columns."""
+    for _, fields, path in file_schemas(files):
+        require_columns([name for name, _ in fields], path)
 
 
 _TYPE_STATE = "column_name STRING, expected_type STRING, actual_type STRING, status STRING"
@@ -67,7 +68,10 @@ def _type_states(
     actual: T.StructType, expected: T.StructType
 ) -> list[tuple[str, str | None, str | None, str]]:
     want = {f.name: f.dataType.simpleString() for f in expected.fields}
-    have = {f.name: f.dataType.simpleString() for f in actual.fields}
+    return _states({f.name: f.dataType.simpleString() for f in actual.fields}, want)
+
+
+def _states(have: dict[str, str], want: dict[str, str]) -> list[tuple[str, str | None, str | None, str]]:
     return [
         (n, want.get(n), have.get(n),
          "ok" if want.get(n) == have.get(n) else

@@ -10,7 +10,6 @@ driver.
 from __future__ import annotations
 
 import argparse
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,7 @@ from pyspark.sql import functions as F
 from curbflow.contract import PARTITION
 from curbflow.operators import contract_checks, profile, quality
 from curbflow.plans import marts
-from curbflow.session import exists
-from curbflow.sinks import bronze, csv_export, gold, service
+from curbflow.sinks import bronze, csv_export, gold, service, snapshots
 from curbflow.sources import months
 from curbflow.sources import zones as zone_source
 
@@ -46,7 +44,7 @@ def load(
     """Run everything; returns the version of every mart. May be repeated at will."""
     table = f"{warehouse}/trips"
     rebuild = False
-    if exists(spark, table):
+    if snapshots.current(spark, table):
         stored = bronze.read(spark, table).drop(PARTITION).schema
         rebuild = not contract_checks.require_types(stored, migrate)
 
@@ -55,23 +53,21 @@ def load(
 
     # only months that will be written need profiling
     plan = bronze.load_plan(
-        bronze.file_counts(source), bronze.month_counts(spark, table), force or rebuild
+        bronze.folder_counts(spark, files), bronze.month_counts(spark, table), force or rebuild
     )
     todo = [r.file_month for r in plan.where("status <> 'skipped'").collect()]
     counts = None
     if todo:
         pending = source.where(c("file_month").isin(todo))
-        counts = profile.assessed(pending, f"{warehouse}/_checks/{uuid.uuid4().hex[:10]}")
+        checks = f"{warehouse}/_checks/{uuid.uuid4().hex[:10]}"
+        counts = profile.assessed(pending, checks, files).where(c("file_month").isin(todo))
         _replace(spark, warehouse, "etl_column_profile",
                  _stamped(profile.null_profile(counts)), ["file_month", "column_name"])
         found = profile.source_anomalies(counts).withColumnRenamed("file_month", "partition_id")
         _replace(spark, warehouse, "etl_anomalies", _stamped(found), ["partition_id", "metric_name"])
 
-    started = time.time()
-    result = bronze.load(spark, source, table, force, rebuild, counts)
-    service.append_log(
-        service.log_entries(result, time.time() - started), f"{warehouse}/etl_load_log"
-    )
+    result = bronze.load(spark, source, table, force, rebuild, counts, files)
+    service.append_log(service.log_entries(result), f"{warehouse}/etl_load_log")
     trips = bronze.read(spark, table)
     if todo:
         changed = trips.where(c(PARTITION).isin(todo))
@@ -82,9 +78,9 @@ def load(
     quality.require(gold.current(spark, warehouse, "ods_checks"))
 
     gold.publish(zone_source.read_lookup(spark, zone_csv).coalesce(1), warehouse, "zones")
-    built = gold.build_all(trips, gold.current(spark, warehouse, "zones"), f"{warehouse}/gold")
-    for month in bronze.partition_summary(trips).orderBy(PARTITION).collect():  # a row per month
-        print(month[PARTITION], month.rows)
+    built = gold.refresh(spark, table, gold.current(spark, warehouse, "zones"), f"{warehouse}/gold")
+    for month in bronze.month_counts(spark, table).orderBy(PARTITION).collect():  # a row per month
+        print(month[PARTITION], month.existing)
     return built
 
 

@@ -220,15 +220,23 @@ def _drifted_months(w: Workspace) -> str:
 
 
 def _counts(w: Workspace) -> DataFrame:
-    return profile.assessed(_source(w), w.scratch("checks"))
+    return profile.assessed(_source(w), w.scratch("checks"), w.month_files())
+
+
+def _footers(w: Workspace) -> DataFrame:
+    return profile.folder_counts(_source(w), w.month_files())
+
+
+def _duplicates(w: Workspace) -> DataFrame:
+    return profile.with_duplicates(_footers(w), _source(w), w.scratch("hashes"))
 
 
 _register(
     val_columns=lambda w: contract_checks.month_columns(w.spark, w.month_files()),
     val_type_drift=lambda w: contract_checks.month_types(w.spark, _drifted_months(w)),
-    val_null_profile=lambda w: profile.null_profile(_counts(w)),
-    val_empty_rows=lambda w: profile.empty_rows(_counts(w)),
-    val_duplicate_rows=lambda w: profile.duplicate_rows(_counts(w)),
+    val_null_profile=lambda w: profile.null_profile(_footers(w)),
+    val_empty_rows=lambda w: profile.empty_rows(_footers(w)),
+    val_duplicate_rows=lambda w: profile.duplicate_rows(_duplicates(w)),
     val_gate=lambda w: profile.gate(_counts(w)),
     val_month_membership=lambda w: bronze.foreign_rows(_source(w)),
     qc_partition=lambda w: quality.partition_anomalies(w.trips()),
@@ -277,7 +285,7 @@ def _loaded(w: Workspace) -> DataFrame:
     state = F.col("file_month") % 3
     kept = w.source().where((state == 0) | ((state == 1) & (F.col("PULocationID") > 100)))
     bronze.write_months(to_bronze(kept), table, scattered=True)
-    return bronze.load(w.spark, _source(w), table)
+    return bronze.load(w.spark, _source(w), table, folder=w.month_files()).drop("seconds")
 
 
 def _published(w: Workspace) -> DataFrame:
@@ -300,7 +308,7 @@ def _logged(w: Workspace) -> DataFrame:
     """The log of a first load and of a repeated one that finds nothing to do."""
     table, log = w.scratch("load"), w.scratch("log")
     for _ in range(2):
-        service.append_log(service.log_entries(bronze.load(w.spark, _source(w), table), 0.0), log)
+        service.append_log(service.log_entries(bronze.load(w.spark, _source(w), table, folder=w.month_files())), log)
     return service.read_log(w.spark, log).drop("loaded_at", "load_duration_sec")
 
 
@@ -332,7 +340,7 @@ _register(
     src_parquet_trips=lambda w: expressions.bronze_by_month(_source(w)),
     src_csv_to_parquet=_converted,
     src_zone_lookup=_lookup,
-    src_partition_summary=lambda w: bronze.partition_summary(w.trips()),
+    src_partition_summary=lambda w: bronze.month_counts(w.spark, w.bronze()).withColumnRenamed("existing", "rows"),
     sink_month_partition=_loaded,
     sink_replace_mart=_published,
     sink_csv_export=_exported,

@@ -1,7 +1,8 @@
-"""The bronze table: parquet by pickup month, sorted by pickup zone and time."""
+"""The bronze table: a snapshot of parquet by pickup month, sorted by pickup zone and time."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from curbflow.contract import PARTITION, month_key, to_bronze
 from curbflow.operators import contract_checks, profile
-from curbflow.session import exists, folder
-from curbflow.sources import months
+from curbflow.session import folder as work_folder
+from curbflow.sinks import snapshots
+from curbflow.sources import footers, months
 
 c = F.col
 
@@ -20,34 +22,30 @@ def write_months(
 ) -> None:
     """Replace exactly the months that occur in ``trips``; all of them on ``rebuild``.
 
-    Rows read from month files already lie month by month: each task sorts its
+    All months become visible in one commit, or none; a month that another load replaced meanwhile
+    stops this one. Rows read from month files already lie month by month: each task sorts its
     split by (zone, time) and writes it, without any shuffle. Rows in no such
     order are ``scattered``; they are first range-partitioned by (month, zone,
     time), which keeps files few and splits a month or zone that dominates.
     """
+    spark, base = trips.sparkSession, snapshots.current(trips.sparkSession, path)
     layout = [PARTITION, "PULocationID", "pickup_datetime"]
     rows = trips.withColumn(PARTITION, month_key(c("pickup_datetime")))
     if scattered:
         rows = rows.repartitionByRange(*layout)
-    (
-        rows.sortWithinPartitions(*layout)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if rebuild else "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+    parts = snapshots.stage(rows.sortWithinPartitions(*layout), path, PARTITION)
+    snapshots.commit(spark, path, base, parts, trips.schema, PARTITION, everything=rebuild)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return snapshots.read(spark, path, version)
 
 
 def month_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per stored month; only partition values and footers are read."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], f"{PARTITION} INT, existing BIGINT")
-    return partition_summary(read(spark, path)).withColumnRenamed("rows", "existing")
+    """Rows per stored month, as the manifest has them; no file is opened."""
+    now = snapshots.current(spark, path)
+    rows = [(int(k), n) for k, n in now.rows.items()] if now else []
+    return spark.createDataFrame(rows, f"{PARTITION} INT, existing BIGINT")
 
 
 def partition_summary(trips: DataFrame) -> DataFrame:
@@ -56,10 +54,22 @@ def partition_summary(trips: DataFrame) -> DataFrame:
 
 
 def file_counts(source: DataFrame) -> DataFrame:
-    """Rows per month file, from footers: the month comes from the path."""
+    """Rows per month of any rows with ``file_month``."""
     return source.groupBy("file_month").agg(F.count(F.lit(1)).alias("expected"))
 
 
+def folder_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per month of a folder of month files: from footers, and by reading where the month is CSV."""
+    chosen = months.chosen_parts(spark, folder)
+    parquet = chosen.where("format = 'parquet'").select("path", F.col("month").alias("file_month"))
+    found = footers.footers(parquet).join(parquet, "path")
+    counts = footers.row_counts(found, "file_month").withColumnRenamed("rows", "expected")
+    others = [r.month for r in chosen.where("format = 'csv'").select("month").distinct().collect()]
+    if others:
+        counts = counts.union(file_counts(months.read(spark, folder).where(c("file_month").isin(others))))
+    return counts
+
+
 def load_plan(expected: DataFrame, existing: DataFrame, force: bool = False) -> DataFrame:
     """What to do with each month: skip equal counts, load absent, replace the rest.
 
@@ -84,17 +94,24 @@ def foreign_rows(source: DataFrame) -> DataFrame:
     )
 
 
-def validate(spark: SparkSession, pending: DataFrame, todo: list[int], counts: DataFrame | None = None) -> list[str]:
+def validate(
+    spark: SparkSession, pending: DataFrame, todo: list[int], counts: DataFrame | None = None, folder: str | None = None
+) -> list[str]:
     """Refuse months that break the contract; returns the warnings of the gate.
 
     Every part file must have the contract's columns, no row may belong to
     another month and none may miss a required value. ``counts`` are those of
-    ``profile.assessed`` if the caller has them.
+    ``profile.assessed`` if the caller has them; ``folder`` is where the month files are, if they are files.
     """
-    wanted = {f"{months.STEM}{m // 100}-{m % 100:02d}" for m in todo}
-    contract_checks.require_parts(spark, [f for f in pending.inputFiles() if any(w in f for w in wanted)])
+    if folder:
+        files = months.chosen_parts(spark, folder).where(c("format") == "parquet").select("path", "month")
+    else:  # the rows' own files, if they come from month files
+        paths = spark.createDataFrame([(f,) for f in pending.inputFiles()], "path STRING")
+        files = paths.where(c("path").rlike(months.ENTRY) & c("path").endswith(".parquet")).select("path", months.month_of("path").alias("month"))
+    contract_checks.require_parts(files.where(c("month").isin(todo)))
     if counts is None:
-        counts = profile.assessed(pending, folder(spark, "checks", uuid.uuid4().hex[:10]))
+        counts = profile.assessed(pending, work_folder(spark, "checks", uuid.uuid4().hex[:10]), folder)
+        counts = counts.where(c("file_month").isin(todo))
     strangers = {r.file_month: r.foreign_rows for r in counts.where("foreign_rows > 0").collect()}
     if strangers:
         raise ValueError(f"rows of another month in the files of {strangers}")
@@ -103,30 +120,38 @@ def validate(spark: SparkSession, pending: DataFrame, todo: list[int], counts: D
 
 def load(
     spark: SparkSession, source: DataFrame, path: str, force: bool = False, rebuild: bool = False,
-    counts: DataFrame | None = None,
+    counts: DataFrame | None = None, folder: str | None = None, only: list[int] | None = None,
 ) -> DataFrame:
     """Bring the bronze table in line with the month files; safe to repeat.
 
-    ``force`` reloads complete months too, ``rebuild`` drops whatever is stored.
+    ``force`` reloads complete months too, ``rebuild`` drops whatever is stored. ``folder`` is where ``source``
+    was read from: counts and contract then come from the footers of its files. ``only`` names the months to look at.
 
-    Returns (file_month, expected, existing, status, rows). Batch and stream
+    Returns (file_month, expected, existing, status, rows, seconds); ``seconds`` from the start of the load
+    until the month's last file was closed. Batch and stream
     both come through here, so nothing is written that ``validate`` refuses.
     Raises afterwards when a stored month does not have the file's row count.
     Only the month list, one row per month, reaches the driver.
     """
-    steps = load_plan(file_counts(source), month_counts(spark, path), force or rebuild).collect()
+    started = time.time()
+    expected = folder_counts(spark, folder) if folder else file_counts(source)
+    if only:
+        expected = expected.where(c("file_month").isin(only))
+    steps = load_plan(expected, month_counts(spark, path), force or rebuild).collect()
     todo = [r.file_month for r in steps if r.status != "skipped"]
     if todo:
         pending = source.where(c("file_month").isin(todo))
-        for warning in validate(spark, pending, todo, counts):
+        for warning in validate(spark, pending, todo, counts, folder):
             print("warning:", warning)
         write_months(to_bronze(pending), path, rebuild=rebuild)
-    stored = {r[PARTITION]: r.existing for r in month_counts(spark, path).collect()}
-    wrong = {r.file_month: (stored.get(r.file_month, 0), r.expected)
-             for r in steps if stored.get(r.file_month, 0) != r.expected}
+    now = snapshots.current(spark, path)
+    stored = {int(k): p for k, p in now.parts.items()} if now else {}
+    wrong = {r.file_month: (stored[r.file_month].rows if r.file_month in stored else 0, r.expected)
+             for r in steps if r.file_month not in stored or stored[r.file_month].rows != r.expected}
     if wrong:
         raise RuntimeError(f"stored and expected rows differ: {wrong}")
     return spark.createDataFrame(
-        [(r.file_month, r.expected, r.existing, r.status, stored[r.file_month]) for r in steps],
-        "file_month INT, expected BIGINT, existing BIGINT, status STRING, rows BIGINT",
+        [(r.file_month, r.expected, r.existing, r.status, stored[r.file_month].rows,
+          0.0 if r.status == "skipped" else max(0.0, stored[r.file_month].closed - started)) for r in steps],
+        "file_month INT, expected BIGINT, existing BIGINT, status STRING, rows BIGINT, seconds DOUBLE",
     )

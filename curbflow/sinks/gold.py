@@ -1,78 +1,143 @@
-"""Publishing gold tables so that readers never see a half-built one.
+"""Publishing gold tables so that readers never see a half-built one, and rebuilding only what changed.
 
-Every build of a table is a new version folder. Spark commits a folder by
-writing its ``_SUCCESS`` marker last; readers take the newest committed
-version, so a failed or running build stays invisible.
+Every table is a snapshot (see ``snapshots``): a build is written aside and committed whole, and of two
+builds that start from the same version one is refused. Marts are stored by the month of their first key. Each
+mart's manifest keeps a ledger, the bronze folder of every month it was built from; months whose folder is
+another one now are the only ones computed again.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from curbflow.contract import PARTITION, month_key
 from curbflow.plans import marts
+from curbflow.sinks import bronze, snapshots
 
 MARKER = "_SUCCESS"
+#: Folder column of tables that are stored by month.
+MONTH = "gold_month"
 
 
-def _fs(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _older(spark: SparkSession, root: str, name: str) -> tuple[list[int], list[int]]:
+    """Numbers of the folders of the layout without manifests: all of them, and the finished ones."""
+    labels = snapshots._names(spark, f"{root}/{name}")
+    taken = sorted(int(n[1:]) for n in labels if re.fullmatch("v[0-9]+", n))
+    return taken, [v for v in taken if MARKER in snapshots._names(spark, f"{root}/{name}/v{v}")]
 
 
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     """Committed versions of a table, oldest first."""
-    folder, fs = _fs(spark, f"{root}/{name}")
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        label = status.getPath().getName()
-        marker, _ = _fs(spark, f"{root}/{name}/{label}/{MARKER}")
-        if label.startswith("v") and fs.exists(marker):
-            found.append(int(label[1:]))
-    return sorted(found)
-
-
-def publish(df: DataFrame, root: str, name: str, sort_key: str | None = None) -> int:
-    """Write ``df`` as the next version of ``name``; returns the version."""
-    spark = df.sparkSession
-    folder, fs = _fs(spark, f"{root}/{name}")
-    taken = [int(s.getPath().getName()[1:]) for s in fs.listStatus(folder)] if fs.exists(folder) else []
-    version = max(taken, default=0) + 1
-    ordered = df.sortWithinPartitions(sort_key) if sort_key else df
-    ordered.write.mode("overwrite").option("compression", "zstd").parquet(
-        f"{root}/{name}/v{version}"
-    )
-    return version
+    return sorted(set(_older(spark, root, name)[1]) | set(snapshots.versions(spark, f"{root}/{name}")))
+
+
+def publish(
+    df: DataFrame, root: str, name: str, sort_key: str | None = None, by_month: str | None = None,
+    months: list[int] | None = None, note: dict | None = None,
+) -> int:
+    """Write ``df`` as the next version of ``name``; returns the version.
+
+    ``by_month`` is the date column whose month places a row; ``months`` are then the only ones replaced, and
+    those of them without rows go. A version that someone else committed meanwhile stops this one, unless it
+    changed other months.
+    """
+    spark, path = df.sparkSession, f"{root}/{name}"
+    base = snapshots.current(spark, path)
+    rows = df.withColumn(MONTH, month_key(F.col(by_month))) if by_month else df
+    # rows of a month that is not replaced would be lost by the commit, so they are none
+    rows = rows.where(F.col(MONTH).isin(months)) if by_month and months is not None else rows
+    order = [*([MONTH] if by_month else []), *([sort_key] if sort_key else [])]
+    parts = snapshots.stage(rows.sortWithinPartitions(*order) if order else rows, path, MONTH if by_month else None)
+    partial = by_month is not None and months is not None and base is not None
+    done = snapshots.commit(
+        spark, path, base, parts, df.schema, MONTH if by_month else None, everything=not partial,
+        removed={str(m) for m in months} if partial else None, note=note,
+        least=max(_older(spark, root, name)[0], default=0) + 1,
+    )
+    return done.version
 
 
 def current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    done = versions(spark, root, name)
+    if snapshots.versions(spark, f"{root}/{name}"):
+        return snapshots.read(spark, f"{root}/{name}", keep_by=False)
+    done = _older(spark, root, name)[1]
     if not done:
         raise FileNotFoundError(f"no committed version of {name} below {root}")
     return spark.read.parquet(f"{root}/{name}/v{done[-1]}")
 
 
-def build_all(trips: DataFrame, zones: DataFrame, root: str) -> dict[str, int]:
-    """Rebuild all marts. Marts of one grain share a stored aggregate.
+def build_all(
+    trips: DataFrame, zones: DataFrame, root: str, months: list[int] | None = None, note: dict | None = None
+) -> dict[str, int]:
+    """Rebuild all marts, or only ``months`` of them. Marts of one grain share a stored aggregate.
 
     The shared aggregate is itself published and read back, so a lost
     executor never costs more than the mart being written.
     """
     spark = trips.sparkSession
+    if months is not None and PARTITION in trips.columns:
+        trips = trips.where(F.col(PARTITION).isin(months))
     built: dict[str, int] = {}
+
+    def put(df: DataFrame, name: str) -> None:
+        key = mart_sort_key(name)
+        built[name] = publish(df, root, name, key, by_month=key, months=months, note=note)
+
     for grain, (base, names) in marts.shared_bases(trips).items():
         publish(base, root, f"_base_{grain}")
         stored = current(spark, root, f"_base_{grain}")
         for name in names:
-            mart = marts.MARTS[name]
-            built[name] = publish(mart.finish(stored, zones), root, name, mart_sort_key(name))
+            put(marts.MARTS[name].finish(stored, zones), name)
+        snapshots.expire(spark, f"{root}/_base_{grain}")
     for name in marts.MARTS:
         if name not in built:
-            built[name] = publish(marts.build(name, trips, zones), root, name, mart_sort_key(name))
+            put(marts.build(name, trips, zones), name)
     return built
 
 
+def ledger(spark: SparkSession, table: str) -> dict[str, str]:
+    """The folder of every month of a bronze table."""
+    now = snapshots.current(spark, table)
+    return {month: part.folder for month, part in now.parts.items()} if now else {}
+
+
+def changed_months(spark: SparkSession, table: str, root: str, zones: str) -> list[int] | None:
+    """Months of the bronze table that some mart was not built from, or that it was and are gone; None for all.
+
+    ``zones`` names the zone lookup's content: with another one, names and segments of every month are old.
+    """
+    now = ledger(spark, table)
+    stale: set[str] = set()
+    for name in marts.MARTS:
+        mart = snapshots.current(spark, f"{root}/{name}")
+        if mart is None or mart.note.get("zones") != zones:
+            return None
+        then = mart.note.get("months", {})
+        stale |= {m for m in now.keys() | then.keys() if now.get(m) != then.get(m)}
+    return sorted(map(int, stale))
+
+
+def refresh(spark: SparkSession, table: str, zones: DataFrame, root: str) -> dict[str, int]:
+    """Bring all marts in line with the bronze table; only months that changed are computed.
+
+    Every mart gets a new version, also where no month changed: it names the same folders then.
+    """
+    text = [str(r) for r in sorted(zones.collect())]  # the lookup: a few hundred rows
+    name = hashlib.sha256("\n".join(text).encode()).hexdigest()
+    months = changed_months(spark, table, root, name)
+    return build_all(bronze.read(spark, table), zones, root, months, {"months": ledger(spark, table), "zones": name})
+
+
+def expire(spark: SparkSession, root: str, keep: int = 1, grace_seconds: float = 86_400) -> None:
+    """Remove all but the newest versions of every mart."""
+    for name in marts.MARTS:
+        snapshots.expire(spark, f"{root}/{name}", keep, grace_seconds)
+
+
 def mart_sort_key(name: str) -> str:
     """Stored rows are sorted by the first key of their mart."""
     return marts.MARTS[name].keys[0]

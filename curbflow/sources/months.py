@@ -12,7 +12,7 @@ import uuid
 from collections import defaultdict
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,14 +38,18 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def month_of(path: str) -> Column:
+    """Month of a path as an integer."""
+    return F.concat(F.regexp_extract(path, ENTRY, 2), F.regexp_extract(path, ENTRY, 3)).cast("int")
+
+
 def parts(spark: SparkSession, folder: str) -> DataFrame:
     """One row per data file of a month: month, format, entry, path, bytes."""
     return (
         listing(spark, folder)
         .where(c("path").rlike(ENTRY))
         .select(
-            F.concat(F.regexp_extract("path", ENTRY, 2), F.regexp_extract("path", ENTRY, 3))
-            .cast("int").alias("month"),
+            month_of("path").alias("month"),
             F.regexp_extract("path", ENTRY, 4).alias("format"),
             F.regexp_extract("path", ENTRY, 1).alias("entry"),
             "path", "length",
@@ -85,6 +89,12 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def chosen_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The data files of every month's chosen entry: month, format, entry, path, length."""
+    chosen = inventory(spark, folder).select("entry")
+    return parts(spark, folder).join(chosen, "entry", "left_semi")
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Source rows of the chosen entry of every month, with ``file_month``.
 

@@ -1,6 +1,6 @@
 """Picking up new month files as a stream of file names.
 
-The stream only tells which months have new files. Each of them is then
+The stream only tells which months have new files, parquet or CSV. Each of them is then
 loaded from *all* its files by the idempotent bronze load, so a month that
 arrives in several batches, or a batch that runs twice, ends up complete.
 """
@@ -20,7 +20,7 @@ def new_files(spark: SparkSession, folder: str) -> DataFrame:
     """Stream of paths below ``folder``; file contents are not read."""
     return (
         spark.readStream.format("binaryFile").schema(FILES)
-        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{csv,parquet}")
         .load(folder).select("path")
     )
 
@@ -38,7 +38,7 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str) -> int
         if touched:
             session = batch.sparkSession
             source = months.read(session, folder).where(F.col("file_month").isin(touched))
-            bronze.load(session, source, table)
+            bronze.load(session, source, table, folder=folder, only=touched)
         ran.append(batch_id)
 
     query = (

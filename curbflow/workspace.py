@@ -40,7 +40,11 @@ class Workspace:
 
     def trips(self) -> DataFrame:
         """Bronze trips with the partition column."""
-        return bronze.read(self.spark, self.once("bronze", self._write_bronze))
+        return bronze.read(self.spark, self.bronze())
+
+    def bronze(self) -> str:
+        """Folder of the bronze table."""
+        return self.once("bronze", self._write_bronze)
 
     def _write_bronze(self, path: str) -> None:
         bronze.write_months(derived.trips(self.spark, self.sf_dir), path, scattered=True)

@@ -196,17 +196,49 @@ def aggregate_functions(measures: DataFrame) -> DataFrame:
     )
 
 
+def zone_trips(trips: DataFrame) -> DataFrame:
+    """Trips and miles per month and pickup zone."""
+    return trips.groupBy(PARTITION, c("PULocationID").alias("pu_location_id")).agg(
+        F.count(F.lit(1)).alias("trips"), F.max("pickup_datetime").alias("last_pickup")
+    )
+
+
+def _stretches(batches):
+    """Runs of neighbouring rows of a file as one task reads them: their ends, rows, and pairs out of order."""
+    import numpy as np
+    import pandas as pd
+
+    for frame in batches:
+        if not len(frame):
+            continue
+        file, at = frame["file"].to_numpy(), frame["at"].to_numpy()
+        zone, time = frame["zone"].to_numpy(), frame["time"].to_numpy()
+        new = np.concatenate([[True], (file[1:] != file[:-1]) | (at[1:] != at[:-1] + 1)])
+        down = np.concatenate([[False], (zone[1:] < zone[:-1]) | ((zone[1:] == zone[:-1]) & (time[1:] < time[:-1]))]) & ~new
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(frame)) - 1
+        yield pd.DataFrame({
+            "month": frame["month"].to_numpy()[first], "file": file[first], "at": at[first], "rows": last - first + 1,
+            "first_zone": zone[first], "first_time": time[first], "last_zone": zone[last], "last_time": time[last],
+            "broken": np.add.reduceat(down.astype(np.int64), first),
+        })
+
+
 def stored_order(trips: DataFrame) -> DataFrame:
     """Rows of each month that break the (zone, time) order of their stored file.
 
-    A file is the output of one task, so the window never spans more than that.
+    Rows are compared with their neighbours in the task that reads them and stay there; only the ends of each
+    stretch of a file are brought together.
     """
-    key = F.struct("PULocationID", "pickup_datetime")
     placed = trips.select(
-        PARTITION, key.alias("key"), c("_metadata.file_path").alias("file"),
-        c("_metadata.row_index").alias("at"),
-    )
-    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
-    return placed.withColumn("broken", before > c("key")).groupBy(PARTITION).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if("broken").alias("out_of_order")
+        c(PARTITION).alias("month"), c("_metadata.file_path").alias("file"), c("_metadata.row_index").alias("at"),
+        F.coalesce(c("PULocationID"), F.lit(-1)).alias("zone"),
+        F.coalesce(F.unix_micros(c("pickup_datetime").cast("timestamp")), F.lit(0)).alias("time"),
+    )
+    ends = "first_zone INT, first_time BIGINT, last_zone INT, last_time BIGINT"
+    runs = placed.mapInPandas(_stretches, f"month INT, file STRING, at BIGINT, rows BIGINT, {ends}, broken BIGINT")
+    last = F.lag(F.struct("last_zone", "last_time")).over(Window.partitionBy("file").orderBy("at"))
+    seam = F.coalesce((last > F.struct(c("first_zone").alias("last_zone"), c("first_time").alias("last_time"))).cast("bigint"), F.lit(0))
+    return runs.withColumn("broken", c("broken") + seam).groupBy(c("month").alias(PARTITION)).agg(
+        F.sum("rows").alias("rows"), F.sum("broken").alias("out_of_order")
     )

@@ -197,6 +197,7 @@ _register(
     union_directions=lambda w: expressions.directions(_rows(w)),
     agg_functions=lambda w: expressions.aggregate_functions(_rows(w)),
     sort_table_keys=lambda w: expressions.stored_order(w.trips()),
+    read_zone_range=lambda w: expressions.zone_trips(bronze.read_zones(w.spark, w.bronze(), 120, 140)),
     sort_dims_first4=lambda w: csv_export.sorted_by_dimensions(airports(w)),
 )
 

@@ -17,8 +17,12 @@ from curbflow.sources import footers, months
 c = F.col
 
 
+#: Rows of a bronze file at most.
+FILE_ROWS = 4_000_000
+
+
 def write_months(
-    trips: DataFrame, path: str, *, rebuild: bool = False, scattered: bool = False
+    trips: DataFrame, path: str, *, rebuild: bool = False, scattered: bool = False, file_rows: int = FILE_ROWS
 ) -> None:
     """Replace exactly the months that occur in ``trips``; all of them on ``rebuild``.
 
@@ -26,14 +30,15 @@ def write_months(
     stops this one. Rows read from month files already lie month by month: each task sorts its
     split by (zone, time) and writes it, without any shuffle. Rows in no such
     order are ``scattered``; they are first range-partitioned by (month, zone,
-    time), which keeps files few and splits a month or zone that dominates.
+    time), at quantiles of a sample, which keeps files few and splits a month or zone that dominates. No
+    file gets more than ``file_rows``, and each file's range of zones and times is kept beside it.
     """
     spark, base = trips.sparkSession, snapshots.current(trips.sparkSession, path)
     layout = [PARTITION, "PULocationID", "pickup_datetime"]
     rows = trips.withColumn(PARTITION, month_key(c("pickup_datetime")))
     if scattered:
         rows = rows.repartitionByRange(*layout)
-    parts = snapshots.stage(rows.sortWithinPartitions(*layout), path, PARTITION)
+    parts = snapshots.stage(rows.sortWithinPartitions(*layout), path, PARTITION, layout[1:], file_rows)
     snapshots.commit(spark, path, base, parts, trips.schema, PARTITION, everything=rebuild)
 
 
@@ -41,6 +46,17 @@ def read(spark: SparkSession, path: str, version: int | None = None) -> DataFram
     return snapshots.read(spark, path, version)
 
 
+def read_zones(spark: SparkSession, path: str, low: int, high: int) -> DataFrame:
+    """Trips picked up in zones ``low`` to ``high``; files of other zones are not even opened.
+
+    The ranges of all files decide; only the names of files that may hold such trips reach the driver.
+    """
+    of = snapshots.ranges_of(spark, path)
+    may = F.coalesce((c("low_PULocationID") <= high) & (c("high_PULocationID") >= low), F.lit(True))
+    files = [r.file for r in of.where(may).select("file").collect()]
+    return snapshots.read(spark, path, files=files).where(c("PULocationID").between(low, high))
+
+
 def month_counts(spark: SparkSession, path: str) -> DataFrame:
     """Rows per stored month, as the manifest has them; no file is opened."""
     now = snapshots.current(spark, path)

@@ -219,6 +219,9 @@ SQL = {
         FROM silver GROUP BY month, operator"""),
     "sort_table_keys": on_trips("""
         SELECT ym AS pickup_month, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM trips GROUP BY ym"""),
+    "read_zone_range": on_trips("""
+        SELECT ym AS pickup_month, pu AS pu_location_id, count(*) AS trips, max(ts) AS last_pickup
+        FROM trips WHERE pu BETWEEN 120 AND 140 GROUP BY ym, pu"""),
     "sort_dims_first4": MART_SQL["mart_airports"],
     "val_columns": on_trips(f"""
         SELECT m.ym AS file_month, column_name, 'ok' AS status, CAST(i AS INTEGER) AS expected_position,

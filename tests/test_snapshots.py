@@ -192,3 +192,44 @@ def test_stream_picks_up_csv_months(spark, folder):
     months.write(source(spark, days("2025-06-02", "2025-06-03")).withColumn("file_month", F.lit(202506)), files)
     ingest.ingest(spark, files, table, state)
     assert per_month(spark, table) == {202505: 1, 202506: 2}
+
+
+def test_bounded_files_and_zone_filters_that_skip_files(spark, folder):
+    """One zone holds a third of all trips; every file stays within its bound and names its zones."""
+    rows = [trip(PULocationID=77 if i % 3 == 0 else 1 + i % 200, tips=float(i)) for i in range(3000)]
+    table = f"{folder}/trips"
+    bronze.write_months(trips(spark, rows).repartition(5), table, scattered=True, file_rows=100)
+    files = snapshots.ranges_of(spark, table).collect()
+    assert max(f.rows for f in files) <= 100 and sum(f.rows for f in files) == 3000
+    stored = bronze.read(spark, table).select("PULocationID", "_metadata.file_path").collect()
+    for f in files:
+        own = [r.PULocationID for r in stored if r.file_path.endswith(f.file)]
+        assert (f.low_PULocationID, f.high_PULocationID, f.rows) == (min(own), max(own), len(own))
+    got = bronze.read_zones(spark, table, 10, 20)
+    want = [r["tips"] for r in rows if 10 <= r["PULocationID"] <= 20]
+    assert sorted(r.tips for r in got.collect()) == sorted(want)
+    assert len(got.inputFiles()) < len(files) / 3
+    assert bronze.read_zones(spark, table, 900, 901).count() == 0
+    # a later load of another month keeps the ranges of both
+    bronze.write_months(trips(spark, days("2025-08-08", PULocationID=15)), table)
+    assert bronze.read_zones(spark, table, 15, 15).count() == 1 + sum(r["PULocationID"] == 15 for r in rows)
+
+
+def test_order_is_checked_where_it_lies(spark, folder):
+    from curbflow.plans import expressions
+
+    rows = [trip(PULocationID=1 + i * 37 % 200, tips=float(i)) for i in range(400)]
+    bronze.write_months(trips(spark, rows), f"{folder}/sorted")
+    good = expressions.stored_order(bronze.read(spark, f"{folder}/sorted"))
+    assert [tuple(r) for r in good.collect()] == [(202506, 400, 0)]
+    text = good._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in text
+    zone = [r["PULocationID"] for r in rows]
+    df = trips(spark, rows).coalesce(1).withColumn("pickup_month", F.lit(202506))
+    snapshots.commit(spark, f"{folder}/raw", None, snapshots.stage(df, f"{folder}/raw", "pickup_month"), df.drop("pickup_month").schema, "pickup_month")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for n in ("10000", "7"):  # seams between batches are compared, too
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        found = expressions.stored_order(bronze.read(spark, f"{folder}/raw")).first()
+        assert (found.rows, found.out_of_order) == (400, sum(a > b for a, b in zip(zone, zone[1:])))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)

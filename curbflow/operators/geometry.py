@@ -125,25 +125,73 @@ def write_zone_csv(features: DataFrame, path: str) -> None:
     ).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def adjacency(features: DataFrame) -> DataFrame:
-    """(zone_id, neighbour_id) of zones whose outlines, holes included, share a segment.
+#: Coordinates are compared as whole numbers of this part of a degree (a tenth of a millimetre).
+UNIT = 9
 
-    Segments are reduced to distinct (segment, zone) first, so the join sees
-    each zone outline once however many features repeat it.
-    """
+
+def _segments(features: DataFrame) -> DataFrame:
+    """(zone_id, x1, y1, x2, y2) of all outline segments, holes included, each once, ends in order; whole numbers."""
     ring = c("ring")
     last = F.size(ring) - 2
-    segment = F.transform(
+    ends = F.transform(
         F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.array_join(F.array_sort(F.array(
-            F.array_join(F.get(ring, i), " "), F.array_join(F.get(ring, i + 1), " ")
-        )), " - "),
+        lambda i: F.array_sort(F.array(_point(F.get(ring, i)), _point(F.get(ring, i + 1)))),
     )
     rings = polygons(features).select(c("location_id").alias("zone_id"), F.explode("rings").alias("ring"))
-    sides = rings.select(
-        "zone_id", F.explode(segment).alias("segment")
-    ).distinct()
-    other = sides.withColumnRenamed("zone_id", "neighbour_id")
-    return sides.join(other, "segment").where("zone_id <> neighbour_id").select(
-        "zone_id", "neighbour_id"
+    sides = rings.select("zone_id", F.explode(ends).alias("s")).select(
+        "zone_id", c("s")[0]["x"].alias("x1"), c("s")[0]["y"].alias("y1"), c("s")[1]["x"].alias("x2"), c("s")[1]["y"].alias("y2")
+    )
+    return sides.where("x1 <> x2 OR y1 <> y2").distinct()
+
+
+def _point(p: Column) -> Column:
+    def whole(i: int) -> Column:
+        return F.round(F.get(p, F.lit(i)).cast(f"decimal(38,{UNIT + 6})") * 10**UNIT, 0).cast("bigint")
+
+    return F.struct(whole(0).alias("x"), whole(1).alias("y"))
+
+
+def _cells(level: Column) -> Column:
+    """Cells of a grid of 2^level wide squares that the box of a segment touches: four at most at its own level."""
+    def span(a: str, b: str) -> Column:
+        return F.sequence(F.call_function("shiftright", F.least(a, b), level), F.call_function("shiftright", F.greatest(a, b), level))
+
+    return F.flatten(F.transform(span("x1", "x2"), lambda x: F.transform(span("y1", "y2"), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+
+
+def contacts(features: DataFrame) -> DataFrame:
+    """(zone_id, neighbour_id) with zone_id the lesser: zones whose outlines run along each other for some length.
+
+    Vertices need not be shared: a side may be cut at other points, or begin elsewhere. Every segment lies in
+    a grid as coarse as it is long, so it has four cells there at most. It looks for others in its own grid and in
+    those of longer segments; pairs of a cell are on one line if their cross products vanish, exactly.
+    """
+    sides = _segments(features)
+    # bits of the longer extent: a box of 2^level covers the segment
+    level = F.ceil(F.log2(F.greatest(F.abs(c("x2") - c("x1")), F.abs(c("y2") - c("y1"))).cast("double") + 1)).cast("int")
+    sides = sides.withColumn("level", level)
+    levels = F.array(*[F.lit(r[0]) for r in sides.select("level").distinct().collect()] or [F.lit(None).cast("int")])  # 40 at most
+    named = ["zone_id", "x1", "y1", "x2", "y2"]
+    home = sides.select(*[c(x).alias(f"h_{x}") for x in named], c("level").alias("at"), F.explode(_cells(c("level"))).alias("cell"))
+    probe = sides.select(*named, "level", F.explode(F.filter(levels, lambda k: k >= c("level"))).alias("at"))
+    probe = probe.select(*named, "at", F.explode(_cells(c("at"))).alias("cell"))
+    met = probe.join(home, ["at", "cell"]).where("zone_id <> h_zone_id")
+
+    def cross(ax: str, ay: str, bx: str, by: str) -> Column:
+        wide = lambda x: F.expr(x).cast("decimal(18,0)")
+        return wide(ax) * wide(by) - wide(ay) * wide(bx)
+
+    one_line = (cross("x2 - x1", "y2 - y1", "h_x1 - x1", "h_y1 - y1") == 0) & (cross("x2 - x1", "y2 - y1", "h_x2 - x1", "h_y2 - y1") == 0)
+    # ends are in order, so along the line the overlap is between the greater beginning and the lesser end
+    along = F.greatest(F.struct("x1", "y1"), F.struct(c("h_x1").alias("x1"), c("h_y1").alias("y1"))) < F.least(
+        F.struct(c("x2").alias("x1"), c("y2").alias("y1")), F.struct(c("h_x2").alias("x1"), c("h_y2").alias("y1"))
+    )
+    return met.where(one_line & along).select(
+        F.least("zone_id", "h_zone_id").alias("zone_id"), F.greatest("zone_id", "h_zone_id").alias("neighbour_id")
     ).distinct()
+
+
+def adjacency(features: DataFrame) -> DataFrame:
+    """(zone_id, neighbour_id), both ways, of zones whose outlines touch along a line."""
+    pairs = contacts(features)
+    return pairs.union(pairs.select(c("neighbour_id"), c("zone_id")))

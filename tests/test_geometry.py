@@ -80,3 +80,29 @@ def test_adjacency_by_shared_segment(spark):
     rows = features(spark, *[zone(1, SQUARE)] * 20, zone(2, EAST), zone(3, FAR))
     pairs = {tuple(r) for r in geometry.adjacency(rows).collect()}
     assert pairs == {(1, 2), (2, 1)}
+
+
+def test_contact_without_shared_vertices(spark):
+    """Split sides, shifted starts, slanted sides, points only, and a gap of a tenth of a millimetre."""
+    def zone(i, *rings):
+        return feature({"LocationID": str(i), "zone": "z", "borough": "b"}, "Polygon", [[list(p) for p in r] for r in rings])
+
+    one = [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]
+    split = [(4, 1), (8, 1), (8, 6), (4, 6), (4, 3), (4, 2), (4, 1)]  # along the right side of one, cut twice
+    shifted = [(8, 6), (8, 1), (9, 1), (9, 6), (8, 6)]  # the same side as split's, begun elsewhere
+    corner = [(4, -3), (7, -3), (7, 0), (4, 0), (4, -3)]  # touches one in a point
+    slant = [(20, 0), (23, 9), (20, 9), (20, 0)]
+    along = [(21, 3), (22, 6), (26, 3), (21, 3)]  # on the slanted side, between its ends
+    hole = [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]
+    inside = [(1, 1), (2, 1), (2, 1.5), (1, 1.5), (1, 1)]
+    off = [(-1, 0), (-0.000000001, 0), (-0.000000001, 4), (-1, 4), (-1, 0)]
+    long = [(-1, 100), (1000, 100), (1000, 200), (-1, 200), (-1, 100)]
+    short = [(500.25, 99), (500.5, 99), (500.5, 100), (500.25, 100), (500.25, 99)]
+    rows = features(spark, zone(1, one, hole), zone(2, split), zone(3, shifted), zone(4, corner), zone(5, slant), zone(6, along),
+                    zone(7, inside), zone(8, off), zone(9, long), zone(10, short), zone(11, [(5, 5), (5, 5)]))
+    pairs = {tuple(r) for r in geometry.contacts(rows).collect()}
+    assert pairs == {(1, 2), (2, 3), (5, 6), (1, 7), (9, 10)}
+    assert {tuple(r) for r in geometry.adjacency(rows).collect()} == pairs | {(b, a) for a, b in pairs}
+    assert geometry.adjacency(rows.where("false")).isEmpty()
+    for pushed in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert pushed not in geometry.contacts(rows)._jdf.queryExecution().executedPlan().toString()

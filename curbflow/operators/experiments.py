@@ -51,15 +51,17 @@ def week_index(day: Column) -> Column:
     return F.floor(F.datediff(day, F.to_date(F.lit(FIRST_MONDAY))) / 7).cast("int")
 
 
-def switchback(measures: DataFrame, zones: DataFrame) -> DataFrame:
-    """Zone x hour x week units that alternate on and off by week, with their trips.
+def switchback(measures: DataFrame, zones: DataFrame, **sums: str) -> DataFrame:
+    """Zone x hour x week units that alternate on and off by week, with their trips and named SQL sums of them.
 
     Units without trips are units too. Zones come from the lookup, weeks from
     the first to the last one with trips, so the grid has a known size.
     """
     week = week_index(c("trip_date")).alias("week_index")
     keys = ["pu_location_id", "hour_of_day", "week_index"]
-    trips = measures.groupBy("pu_location_id", "hour_of_day", week).agg(F.count(F.lit(1)).alias("trips"))
+    trips = measures.groupBy("pu_location_id", "hour_of_day", week).agg(
+        F.count(F.lit(1)).alias("trips"), *[F.sum(F.expr(x)).alias(k) for k, x in sums.items()]
+    )
     first, last = trips.agg(F.min("week_index"), F.max("week_index")).first()
     weeks = F.sequence(F.lit(first), F.lit(last)) if first is not None else F.array().cast("array<int>")
     grid = (
@@ -68,10 +70,41 @@ def switchback(measures: DataFrame, zones: DataFrame) -> DataFrame:
         .select("pu_location_id", "hour_of_day", F.explode(weeks).alias("week_index"))
     )
     on = F.pmod(c("week_index") + c("pu_location_id"), F.lit(2)) == 0
-    units = grid.join(trips, keys, "left").select(*keys, F.coalesce("trips", F.lit(0)).alias("trips"))
+    units = grid.join(trips, keys, "left").select(
+        *keys, *[F.coalesce(k, F.lit(0)).alias(k) for k in ("trips", *sums)]
+    )
     return units.withColumn("arm", F.when(on, "on").otherwise("off"))
 
 
+def ratio_effect(units: DataFrame, numerator: str, denominator: str) -> DataFrame:
+    """A ratio of sums per arm, its error over units, and the difference of "on" to "off".
+
+    Trips of a unit depend on each other, so the units are what varies: with e = y - R x per unit, the variance
+    of R = sum(y) / sum(x) is n / (n - 1) * sum(e^2) / sum(x)^2 (delta method). Whole-number sums of y, x and
+    their products are all that is taken from the units, in one aggregate; units without trips count.
+    """
+    y, x = (c(k).cast("decimal(18,0)") for k in (numerator, denominator))
+    sums = units.groupBy("arm").agg(
+        F.count(F.lit(1)).alias("units"), F.sum(y).alias("y"), F.sum(x).alias("x"),
+        F.sum(y * y).alias("yy"), F.sum(x * y).alias("xy"), F.sum(x * x).alias("xx"),
+    )
+    n, sy, sx, yy, xy, xx = (c(k).cast("double") for k in ("units", "y", "x", "yy", "xy", "xx"))
+    r = F.try_divide(sy, sx)
+    squares = F.greatest(yy - 2 * r * xy + r * r * xx, F.lit(0.0))
+    arms = sums.select(
+        "arm", "units", c("y").cast("bigint").alias(numerator), c("x").cast("bigint").alias(denominator),
+        r.alias("ratio"), F.sqrt(F.try_divide(n, n - 1) * F.try_divide(squares, sx * sx)).alias("error"),
+    )
+    both = Window.partitionBy(F.lit(0))  # a row per arm
+    off = {k: F.max(F.when(c("arm") == "off", c(k))).over(both) for k in ("ratio", "error")}
+    on = c("arm") == "on"
+    return arms.select(
+        "arm", "units", numerator, denominator, F.round("ratio", 6).alias("ratio"), F.round("error", 8).alias("standard_error"),
+        F.when(on, F.round(c("ratio") - off["ratio"], 6)).alias("difference"),
+        F.when(on, F.round(F.sqrt(c("error") * c("error") + off["error"] * off["error"]), 8)).alias("difference_error"),
+    )
+
+
 # ── arm summaries ────────────────────────────────────────────────────────────
 
 def user_totals(users: DataFrame, facts: DataFrame, user: str, fact_user: str,

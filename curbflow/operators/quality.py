@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from curbflow.contract import PARTITION
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import plain_number, ratio
+from curbflow.sources import clock
 
 c = F.col
 
-# Calendar of clock changes in the covered window, and thresholds.
-SPRING_FORWARD = ["2025-03-09", "2026-03-08"]
-FALL_BACK = ["2025-11-02"]
+# The covered window, and thresholds.
 WINDOW = ("2025-01-01", "2026-05-01")
 CBD_FEE_START = "2025-01-05"
 DURATION_TOLERANCE = 60
@@ -48,32 +47,26 @@ def _at(day: str, hours: int = 0) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00' + INTERVAL '{hours}' HOUR")
 
 
-def _within(ts: str, day: str, start: int, end: int) -> Column:
-    """``ts`` lies in [day + start hours, day + end hours)."""
-    return (c(ts) >= _at(day, start)) & (c(ts) < _at(day, end))
+def _on(days: tuple, ts: str, first_hour: int = 0, end_hour: int = 24) -> Column:
+    """``ts`` lies on one of the days, from one hour to before another."""
+    return F.to_date(ts).isin(*days) & F.hour(ts).between(first_hour, end_hour - 1)
 
 
-def _any(conds: list[Column]) -> Column:
-    out = conds[0]
-    for x in conds[1:]:
-        out = out | x
-    return out
-
-
-def dst_flags() -> dict[str, Column]:
-    """Clock-change artefacts of a trip, by name."""
+def dst_flags(changes: clock.Calendar | None = None) -> dict[str, Column]:
+    """Clock-change artefacts of a trip, by name; ``changes`` are those of the trips' time zone if not given."""
+    changes = changes or clock.calendar()
     diff = t.duration_diff()
-    crossed = _any([
-        _within("pickup_datetime", d, -24, 2) & _within("dropoff_datetime", d, 3, 24)
-        for d in SPRING_FORWARD
-    ])
-    fall_day = F.to_date("pickup_datetime").isin([F.to_date(F.lit(d)) for d in FALL_BACK])
+    forward, back = changes.forward, changes.back
+    # picked up the day before or before the gap, dropped off after it on the day itself
+    into = F.to_date("dropoff_datetime").isin(*forward) & (F.hour("dropoff_datetime") >= 3)
+    day_before = F.to_date("pickup_datetime") == F.date_sub(F.to_date("dropoff_datetime"), 1)
+    same_day = (F.to_date("pickup_datetime") == F.to_date("dropoff_datetime")) & (F.hour("pickup_datetime") < 2)
     return {
-        "spring_duration": crossed & (F.abs(diff + HOUR) <= DURATION_TOLERANCE),
-        "fall_duration": fall_day & (F.abs(diff - HOUR) <= DURATION_TOLERANCE),
-        "request_in_gap": _any([_within("request_datetime", d, 2, 3) for d in SPRING_FORWARD]),
-        "pickup_in_gap": _any([_within("pickup_datetime", d, 2, 3) for d in SPRING_FORWARD]),
-        "repeated_hour": fall_day & (F.hour("pickup_datetime") == 1),
+        "spring_duration": into & (day_before | same_day) & (F.abs(diff + HOUR) <= DURATION_TOLERANCE),
+        "fall_duration": _on(back, "pickup_datetime") & (F.abs(diff - HOUR) <= DURATION_TOLERANCE),
+        "request_in_gap": _on(forward, "request_datetime", 2, 3),
+        "pickup_in_gap": _on(forward, "pickup_datetime", 2, 3),
+        "repeated_hour": _on(back, "pickup_datetime", 1, 2),
     }
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, dollars, ratio
 from curbflow.functions.grouping import ROWS, fold, rows_where, tally, with_quantiles
+from curbflow.operators.experiments import week_index
 from curbflow.plans.marts import airport_ends
 from curbflow.plans.rollups import rounded_quantiles, waits_with_quantiles
 
@@ -187,6 +188,15 @@ def deficit_zones(
     return best.join(names, c("pu_location_id") == c("location_id"), "left").drop("location_id")
 
 
+def _tried(trials: DataFrame) -> DataFrame:
+    """Offers, responses, bonus and margin (hundredths of a cent) per zone, hour and tried rate."""
+    return trials.groupBy("pu_location_id", "hour_of_day", "rate_pct").agg(
+        F.count(F.lit(1)).alias("offers"), _count("responded").alias("responses"),
+        F.sum(F.expr("CASE WHEN responded THEN pay * rate_pct ELSE 0L END")).alias("bonus"),
+        F.sum(F.expr("CASE WHEN responded THEN margin * 100 ELSE 0L END")).alias("margin"),
+    )
+
+
 def bonus_rates(trials: DataFrame, target_pct: int) -> DataFrame:
     """The smallest tried bonus per zone and hour that drivers answer and that pays.
 
@@ -195,30 +205,96 @@ def bonus_rates(trials: DataFrame, target_pct: int) -> DataFrame:
     qualifies when the response reaches ``target_pct`` and the margin of the
     answered offers exceeds the bonus paid for them.
     """
-    tried = trials.groupBy("pu_location_id", "hour_of_day", "rate_pct").agg(
-        F.count(F.lit(1)).alias("offers"), _count("responded").alias("responses"),
-        F.sum(F.expr("CASE WHEN responded THEN pay * rate_pct ELSE 0L END")).alias("bonus"),
-        F.sum(F.expr("CASE WHEN responded THEN margin * 100 ELSE 0L END")).alias("margin"),
-    )
     fits = (c("responses") * 100 >= c("offers") * target_pct) & (c("margin") > c("bonus"))
     first = F.min_by(F.struct("rate_pct", "offers", "responses", "bonus", "margin"), c("rate_pct"))
-    return tried.where(fits).groupBy("pu_location_id", "hour_of_day").agg(first.alias("b")).select(
+    return _tried(trials).where(fits).groupBy("pu_location_id", "hour_of_day").agg(first.alias("b")).select(
         "pu_location_id", "hour_of_day", "b.rate_pct", "b.offers", "b.responses",
         ratio("b.bonus", "1", 2, unit=10000).alias("bonus_paid"),
         ratio("b.margin", "1", 2, unit=10000).alias("margin_earned"),
     )
 
 
-def bonus_trials(measures: DataFrame, rates: tuple[int, ...] = (2, 5, 8, 11, 14)) -> DataFrame:
-    """Offers derived from trips: the tried rate rotates, a short wait is an answer."""
-    tried = F.element_at(
-        F.array(*[F.lit(r).cast("bigint") for r in rates]),
-        (F.pmod(c("secs") + c("pu_location_id"), F.lit(len(rates))) + 1).cast("int"),
+def response_curves(trials: DataFrame, target_pct: int) -> DataFrame:
+    """Response over rate per zone and hour, fitted so that it never falls, and the rate it recommends.
+
+    Few offers at a rate make a raw response jump; what a higher bonus answers can't be less. The fit is the
+    least-squares one (pool adjacent violators): at each rate the greatest over lower ends of the least over upper
+    ends of the pooled response between. ``chosen`` is the smallest rate whose fitted response reaches
+    ``target_pct`` while its own margin exceeds its bonus. A zone and hour has a row per tried rate.
+    """
+    curve = _tried(trials).groupBy("pu_location_id", "hour_of_day").agg(
+        F.array_sort(F.collect_list(F.struct("rate_pct", "offers", "responses", "bonus", "margin"))).alias("at")
+    )  # as many as there are rates
+
+    def total(name: str, i: Column, k: Column) -> Column:
+        return F.aggregate(F.slice("at", i + 1, k - i + 1), F.lit(0).cast("bigint"), lambda a, x: a + x[name])
+
+    def pooled(i: Column, k: Column) -> Column:
+        return total("responses", i, k).cast("double") / total("offers", i, k).cast("double")
+
+    def fitted(at: Column) -> Column:
+        last = F.size("at") - 1
+        return F.array_max(F.transform(
+            F.sequence(F.lit(0), at), lambda i: F.array_min(F.transform(F.sequence(at, last), lambda k: pooled(i, k)))
+        ))
+
+    fit = curve.withColumn("fit", F.transform("at", lambda _, i: fitted(i)))
+    rows = fit.select("pu_location_id", "hour_of_day", F.posexplode("at").alias("i", "a"), "fit").select(
+        "pu_location_id", "hour_of_day", "a.*", F.get("fit", c("i")).alias("fit")
+    )
+    fits = (c("fit") * 100 >= target_pct) & (c("margin") > c("bonus"))
+    best = F.min(F.when(fits, c("rate_pct"))).over(Window.partitionBy("pu_location_id", "hour_of_day"))
+    return rows.select(
+        "pu_location_id", "hour_of_day", "rate_pct", "offers", "responses", F.round(c("fit") * 100, 4).alias("fitted_pct"),
+        F.coalesce(c("rate_pct") == best, F.lit(False)).alias("chosen"),
+    )
+
+
+def zone_weeks(measures: DataFrame) -> DataFrame:
+    """Trips with a wait and their mean wait per zone and week (weeks counted from a fixed Monday)."""
+    waiting = measures.where("wait IS NOT NULL")
+    return waiting.groupBy("pu_location_id", week_index(c("trip_date")).alias("week_index")).agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("wait").alias("sum_wait")
+    ).withColumn("mean_wait", ratio("sum_wait", "trips", 4))
+
+
+def lasting_waits(weeks: DataFrame, *, over_seconds: float, min_trips: int, min_weeks: int, spread: float = 3.0) -> DataFrame:
+    """Zones whose waits stay long for weeks in a row, and the zone of their borough that moves most like them.
+
+    ``weeks`` are :func:`zone_weeks` with ``borough``. A week counts if it has ``min_trips`` and is no outlier of its
+    zone: further from the zone's median than ``spread`` times the median deviation, scaled to a standard
+    deviation. Weeks in a row above ``over_seconds`` are an island; a week with too few trips, an outlier or a
+    shorter wait ends it. Zones with an island of ``min_weeks`` are returned with the longest (the first of equals).
+    ``like_zone_id`` has the least mean distance of weekly waits over at least ``min_weeks`` common weeks.
+    """
+    zone = Window.partitionBy("pu_location_id")  # as many rows as there are weeks
+    enough = weeks.where(c("trips") >= min_trips)
+    centred = enough.withColumn("median", F.median("mean_wait").over(zone)).withColumn("away", F.abs(c("mean_wait") - c("median")))
+    usual = c("away") <= spread * 1.4826 * c("mad")
+    known = centred.withColumn("mad", F.median("away").over(zone)).where(usual | (c("mad") == 0))
+    long = known.where(c("mean_wait") > over_seconds)
+    island = c("week_index") - F.row_number().over(zone.orderBy("week_index"))
+    runs = long.withColumn("island", island).groupBy("pu_location_id", "island").agg(
+        F.count(F.lit(1)).alias("weeks"), F.min("week_index").alias("first_week"), F.sum("trips").alias("trips"),
+        F.sum("sum_wait").alias("sum_wait"),
+    ).where(c("weeks") >= min_weeks)
+    best = F.max_by(F.struct("weeks", "first_week", "trips", "sum_wait"), F.struct("weeks", -c("first_week")))
+    lasting = runs.groupBy("pu_location_id").agg(best.alias("b")).select("pu_location_id", "b.*")
+    # zones of a borough meet week by week; pairs are zones by zones, whatever the trips
+    one = known.join(lasting.select("pu_location_id"), "pu_location_id", "left_semi").select(
+        "pu_location_id", "borough", "week_index", "mean_wait"
+    )
+    other = known.select(
+        c("pu_location_id").alias("like_zone_id"), "borough", "week_index", c("mean_wait").alias("like_wait")
     )
-    return measures.select(
-        "pu_location_id", "hour_of_day", tried.alias("rate_pct"),
-        (F.coalesce("wait", F.lit(0)) < 400 + tried * 40).alias("responded"),
-        "pay", (c("base") - c("pay")).alias("margin"),
+    near = one.join(other, ["borough", "week_index"]).where("pu_location_id <> like_zone_id").groupBy(
+        "pu_location_id", "like_zone_id"
+    ).agg(F.count(F.lit(1)).alias("common"), F.sum(F.abs(c("mean_wait") - c("like_wait")).cast("decimal(20,4)")).alias("d"))
+    near = near.where(c("common") >= min_weeks).withColumn("distance", F.round(c("d").cast("double") / c("common"), 4))
+    closest = near.groupBy("pu_location_id").agg(F.min(F.struct("distance", "like_zone_id")).alias("n"))
+    return lasting.join(closest, "pu_location_id", "left").select(
+        "pu_location_id", "weeks", "first_week", "trips", ratio("sum_wait", "trips", 1).alias("mean_wait"),
+        c("n.like_zone_id").alias("like_zone_id"), c("n.distance").alias("like_distance"),
     )
 
 

@@ -105,6 +105,14 @@ def dst(trips: DataFrame) -> DataFrame:
     return _outcomes(trips, **quality.dst_flags())
 
 
+def clock_changes(trips: DataFrame, transitions: DataFrame) -> DataFrame:
+    """Per clock change within the time covered: trips picked up that day, and the days to the next change."""
+    daily = trips.groupBy(F.to_date("pickup_datetime").alias("day")).agg(F.count(F.lit(1)).alias("trips"))
+    following = F.lead("day").over(Window.orderBy("day"))  # some two hundred rows
+    known = transitions.withColumn("days_to_next", F.datediff(following, "day"))
+    return known.join(daily, "day").select("day", c("shift_seconds").cast("bigint").alias("shift_seconds"), "days_to_next", "trips")
+
+
 def duration_diff(trips: DataFrame) -> DataFrame:
     return _outcomes(trips, duration_diff=t.duration_diff())
 

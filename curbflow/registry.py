@@ -13,7 +13,7 @@ from curbflow.functions.fixed import cents
 from curbflow.operators import contract_checks, experiments, geometry, profile, quality
 from curbflow.plans import baselines, expressions, invariants, marts, rollups
 from curbflow.sinks import bronze, csv_export, gold, service
-from curbflow.sources import derived, months
+from curbflow.sources import clock, derived, months
 from curbflow.sources import zones as zone_source
 from curbflow.streaming import ingest
 from curbflow.workspace import Workspace
@@ -76,10 +76,16 @@ _register(
 
 def _deficit(w: Workspace) -> DataFrame:
     return baselines.deficit_zones(
-        _rows(w), w.zones(), p90_over=t.VERY_LONG_WAIT_SECONDS, min_trips=1, min_months=2
+        _rows(w), w.zones(), p90_over=t.VERY_LONG_WAIT_SECONDS, min_trips=2, min_months=2
     )
 
 
+def _lasting(w: Workspace) -> DataFrame:
+    names = w.zones().select(F.col("location_id").alias("pu_location_id"), "borough")
+    weeks = baselines.zone_weeks(_rows(w)).join(names, "pu_location_id")
+    return baselines.lasting_waits(weeks, over_seconds=720, min_trips=2, min_weeks=3)
+
+
 def _features(w: Workspace) -> DataFrame:
     return derived.features(w.spark, w.sf_dir)
 
@@ -94,7 +100,9 @@ _register(
     scheduled_share=lambda w: baselines.scheduled_share(_rows(w)),
     zone_hour_wait=lambda w: baselines.zone_hour_wait(_rows(w)),
     deficit_window_select=_deficit,
-    bonus_rate_choice=lambda w: baselines.bonus_rates(baselines.bonus_trials(_rows(w)), 60),
+    bonus_rate_choice=lambda w: baselines.bonus_rates(w.offers(), 60),
+    bonus_response_curve=lambda w: baselines.response_curves(w.offers(), 60),
+    lasting_wait_zones=_lasting,
     evening_wait_speed=lambda w: baselines.wait_and_speed(_rows(w)),
     airport_share=lambda w: baselines.airport_share(_rows(w)),
     airport_fares=lambda w: baselines.airport_fares(_rows(w)),
@@ -147,6 +155,12 @@ def _zone_csv(w: Workspace) -> DataFrame:
 _register(
     ab_assign=_users,
     switchback_assign=lambda w: experiments.switchback(_rows(w), w.zones()),
+    switchback_effect=lambda w: experiments.ratio_effect(
+        experiments.switchback(
+            _rows(w), w.zones(), late=f"CAST(wait > {t.VERY_LONG_WAIT_SECONDS} AS BIGINT)", waited="CAST(wait IS NOT NULL AS BIGINT)"
+        ), "late", "waited",
+    ),
+    clock_changes=lambda w: expressions.clock_changes(w.trips(), clock.transitions(w.spark)),
     itt_summary=lambda w: experiments.itt_summary(_per_user(w)),
     sample_size=lambda w: experiments.sample_size(_rows(w)),
     balance_check=lambda w: experiments.balance(_assigned_orders(w), {

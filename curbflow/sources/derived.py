@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.contract import COLUMNS, to_bronze
+from curbflow.functions import trip as t
 
 WINDOW_START = "2025-01-01 00:00:00"
 
@@ -195,3 +196,21 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'),
                  geometry, F.lit("}")).alias("feature")
     )
+
+
+def offers(spark: SparkSession, sf_dir: str, rates: tuple[int, ...] = (2, 5, 8, 11, 14)) -> DataFrame:
+    """A table of bonus offers, one per trip that passes the quality filter: the tried rate rotates.
+
+    No offers were ever made in the data at hand, so whether one was answered is part of this stand-in table.
+    """
+    c = F.col
+    rows = t.measures(trips(spark, sf_dir))
+    tried = F.element_at(
+        F.array(*[F.lit(r).cast("bigint") for r in rates]),
+        (F.pmod(c("secs") + c("pu_location_id"), F.lit(len(rates))) + 1).cast("int"),
+    )
+    return rows.select(
+        "pu_location_id", "hour_of_day", tried.alias("rate_pct"),
+        (F.coalesce("wait", F.lit(0)) < 400 + tried * 40).alias("responded"),
+        "pay", (c("base") - c("pay")).alias("margin"),
+    )

@@ -55,6 +55,11 @@ class Workspace:
         )
         return self.spark.read.parquet(path)
 
+    def offers(self) -> DataFrame:
+        """Bonus offers, a stored table."""
+        path = self.once("offers", lambda p: derived.offers(self.spark, self.sf_dir).write.parquet(p))
+        return self.spark.read.parquet(path)
+
     def source(self) -> DataFrame:
         """Month-file rows with ``file_month``, not yet written anywhere."""
         rows = derived.source_trips(self.spark, self.sf_dir)

@@ -14,7 +14,7 @@ AP = "(1, 132, 138)"
 
 DEFICIT = f"""
         cells AS (SELECT pu, hour_of_day, month, count(*) AS n, {P90} FROM silver WHERE wait IS NOT NULL GROUP BY 1, 2, 3),
-        hours AS (SELECT pu, hour_of_day, sum(n) AS n FROM cells WHERE n >= 1 AND wait_p90 > 900
+        hours AS (SELECT pu, hour_of_day, sum(n) AS n FROM cells WHERE n >= 2 AND wait_p90 > 900
                   GROUP BY 1, 2 HAVING count(*) >= 2),
         scored AS (SELECT pu, count(*) AS deficit_hours, CAST(sum(n) AS BIGINT) AS trips FROM hours GROUP BY pu),
         ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY deficit_hours DESC, trips DESC, pu) AS INTEGER) AS zone_rank FROM scored)"""
@@ -74,6 +74,44 @@ SQL = {
           {rate('bonus', '10000', 2)} AS bonus_paid, {rate('margin', '10000', 2)} AS margin_earned
         FROM tried WHERE responses * 100 >= offers * 60 AND margin > bonus
         QUALIFY row_number() OVER (PARTITION BY pu, hour_of_day ORDER BY rate_pct) = 1"""),
+    "bonus_response_curve": on_silver("""
+        offers AS (SELECT *, [2::BIGINT, 5, 8, 11, 14][(secs + pu) % 5 + 1] AS rate_pct FROM silver),
+        trials AS (SELECT *, coalesce(wait, 0) < 400 + 40 * rate_pct AS responded FROM offers),
+        tried AS (SELECT pu, hour_of_day, rate_pct, count(*) AS offers, count(*) FILTER (WHERE responded) AS responses,
+            coalesce(sum(pay * rate_pct) FILTER (WHERE responded), 0) AS bonus,
+            coalesce(sum(100 * (base - pay)) FILTER (WHERE responded), 0) AS margin
+          FROM trials GROUP BY 1, 2, 3),
+        pooled AS (SELECT i.pu, i.hour_of_day, i.rate_pct AS lo, k.rate_pct AS hi,
+            sum(x.responses)::DOUBLE / sum(x.offers)::DOUBLE AS share
+          FROM tried i JOIN tried k ON i.pu = k.pu AND i.hour_of_day = k.hour_of_day AND i.rate_pct <= k.rate_pct
+          JOIN tried x ON x.pu = i.pu AND x.hour_of_day = i.hour_of_day AND x.rate_pct BETWEEN i.rate_pct AND k.rate_pct
+          GROUP BY ALL),
+        fits AS (SELECT pu, hour_of_day, rate_pct, max(low) AS fit FROM (
+            SELECT t.pu, t.hour_of_day, t.rate_pct, p.lo, min(p.share) AS low
+            FROM tried t JOIN pooled p ON p.pu = t.pu AND p.hour_of_day = t.hour_of_day AND p.lo <= t.rate_pct AND p.hi >= t.rate_pct
+            GROUP BY ALL) GROUP BY ALL)""", """
+        SELECT pu AS pu_location_id, hour_of_day, rate_pct, offers, responses, round(fit * 100, 4) AS fitted_pct,
+          coalesce(rate_pct = min(rate_pct) FILTER (fit * 100 >= 60 AND margin > bonus) OVER (PARTITION BY pu, hour_of_day), false) AS chosen
+        FROM tried JOIN fits USING (pu, hour_of_day, rate_pct)"""),
+    "lasting_wait_zones": on_silver_zones(f"""
+        weeks AS (SELECT pu, CAST(date_diff('day', DATE '2024-12-30', trip_date) // 7 AS INTEGER) AS week, count(*) AS trips,
+            CAST(sum(wait) AS BIGINT) AS sum_wait, {rate('sum(wait)', 'count(*)', 4)} AS mean_wait
+          FROM silver WHERE wait IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2),
+        medians AS (SELECT *, median(mean_wait) OVER (PARTITION BY pu) AS mid FROM weeks),
+        spreads AS (SELECT *, median(abs(mean_wait - mid)) OVER (PARTITION BY pu) AS mad FROM medians),
+        known AS (SELECT s.*, z.borough FROM spreads s JOIN zones z ON pu = location_id
+          WHERE abs(mean_wait - mid) <= 3.0::DOUBLE * 1.4826::DOUBLE * mad OR mad = 0),
+        runs AS (SELECT pu, count(*) AS weeks, min(week) AS first_week, sum(trips) AS trips, sum(sum_wait) AS sum_wait
+          FROM (SELECT *, week - row_number() OVER (PARTITION BY pu ORDER BY week) AS island FROM known WHERE mean_wait > 720)
+          GROUP BY pu, island HAVING count(*) >= 3),
+        best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY pu ORDER BY weeks DESC, first_week) = 1),
+        near AS (SELECT a.pu, b.pu AS other, round(sum(CAST(abs(a.mean_wait - b.mean_wait) AS DECIMAL(20,4)))::DOUBLE / count(*), 4) AS distance
+          FROM known a JOIN known b ON a.borough = b.borough AND a.week = b.week AND a.pu <> b.pu
+          WHERE a.pu IN (SELECT pu FROM best) GROUP BY 1, 2 HAVING count(*) >= 3
+          QUALIFY row_number() OVER (PARTITION BY a.pu ORDER BY distance, other) = 1)""", f"""
+        SELECT pu AS pu_location_id, weeks, CAST(first_week AS INTEGER) AS first_week, CAST(trips AS BIGINT) AS trips,
+          {rate('sum_wait', 'trips', 1)} AS mean_wait, other AS like_zone_id, distance AS like_distance
+        FROM best LEFT JOIN near USING (pu)"""),
     "evening_wait_speed": on_silver(f"""
         SELECT hour_of_day, hour_of_day IN (22, 23) AS evening, count(*) AS trips, {P90}, {GT15}, {MPH}
         FROM silver GROUP BY hour_of_day"""),

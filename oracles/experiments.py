@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.base import on_silver, over, rate
+from oracles.base import on_silver, on_trips, over, rate
 
 P = 2147483647
 
@@ -61,6 +61,27 @@ SQL = {
         FROM range(1, 266) z(pu) CROSS JOIN range(24) h(hour_of_day)
         CROSS JOIN (SELECT unnest(range(min(week), max(week) + 1)) AS week FROM k) w
         LEFT JOIN k ON k.pu = z.pu AND k.hour_of_day = h.hour_of_day AND k.week = w.week"""),
+    "switchback_effect": on_silver("""
+        k AS (SELECT pu, hour_of_day, CAST(date_diff('day', DATE '2024-12-30', trip_date) // 7 AS INTEGER) AS week,
+              count(*) FILTER (wait > 900) AS late, count(wait) AS waited FROM silver GROUP BY ALL),
+        units AS (SELECT CASE WHEN (w.week + z.pu) % 2 = 0 THEN 'on' ELSE 'off' END AS arm,
+              CAST(coalesce(late, 0) AS HUGEINT) AS y, CAST(coalesce(waited, 0) AS HUGEINT) AS x
+            FROM range(1, 266) z(pu) CROSS JOIN range(24) h(hour_of_day)
+            CROSS JOIN (SELECT unnest(range(min(week), max(week) + 1)) AS week FROM k) w
+            LEFT JOIN k ON k.pu = z.pu AND k.hour_of_day = h.hour_of_day AND k.week = w.week),
+        s AS (SELECT arm, count(*) AS n, sum(y)::DOUBLE AS y, sum(x)::DOUBLE AS x, sum(y * y)::DOUBLE AS yy, sum(x * y)::DOUBLE AS xy,
+              sum(x * x)::DOUBLE AS xx FROM units GROUP BY arm),
+        r AS (SELECT *, y / x AS ratio,
+              sqrt(n::DOUBLE / (n::DOUBLE - 1) * (greatest(yy - 2 * (y / x) * xy + (y / x) * (y / x) * xx, 0) / (x * x))) AS error FROM s)""", """
+        SELECT a.arm, a.n AS units, a.y::BIGINT AS late, a.x::BIGINT AS waited, round(a.ratio, 6) AS ratio, round(a.error, 8) AS standard_error,
+          CASE WHEN a.arm = 'on' THEN round(a.ratio - b.ratio, 6) END AS difference,
+          CASE WHEN a.arm = 'on' THEN round(sqrt(a.error * a.error + b.error * b.error), 8) END AS difference_error
+        FROM r a, r b WHERE b.arm = 'off'"""),
+    "clock_changes": on_trips("""
+        d(day, shift_seconds) AS (VALUES (DATE '2025-03-09', 3600), (DATE '2025-11-02', -3600), (DATE '2026-03-08', 3600), (DATE '2026-11-01', -3600)),
+        n AS (SELECT *, lead(day) OVER (ORDER BY day) - day AS days_to_next FROM d)""", """
+        SELECT day, shift_seconds::BIGINT AS shift_seconds, days_to_next::INTEGER AS days_to_next, count(*) AS trips
+        FROM n JOIN trips ON trip_date = day GROUP BY 1, 2, 3"""),
     "itt_summary": over(USERS, PER_USER, f"""
         m AS (SELECT arm, count(*) AS n, sum(CAST(value AS HUGEINT)) AS s1, sum(CAST(value AS HUGEINT) * value) AS s2 FROM per_user GROUP BY arm),
         v AS (SELECT arm, n, {rate('s1', 'n * 100', 4)} AS mean, {VARIANCE} / 10000 AS variance FROM m)""", """

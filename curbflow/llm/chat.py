@@ -111,15 +111,27 @@ def _turns(record: Column, layout: Layout, beside: Column) -> Column:
 
 
 def _known(records: DataFrame, layouts: list[Layout]) -> DataFrame:
-    """Records with their variant ``v``, ``layout`` or null, and text kept ``beside``."""
+    """``record`` with ``k (json, conv_id, layout, turns)``; layout and turns are null where none fits.
+
+    A record is parsed once and its layout looked up once; what follows reads the result.
+    """
     beside = F.col("long_text") if "long_text" in records.columns else F.lit(None).cast("string")
-    rows = records.select("record", beside.alias("beside"), F.try_parse_json("record").alias("v"))
-    rows = rows.withColumn("print", fingerprint(F.col("v"), layouts))
-    name = F.lit(None).cast("string")
-    for layout in layouts:
-        lists = F.try_variant_get("v", layout.turns, "array<variant>").isNotNull() if layout.turns else F.lit(True)
-        name = F.when(F.col("print").isin(*layout.fingerprints) & lists, layout.name).otherwise(name)
-    return rows.withColumn("layout", F.when(F.col("v").isNotNull(), name))
+
+    def read(v: Column, prints: Column) -> Column:
+        name, turns = F.lit(None).cast("string"), F.lit(None)
+        for layout in layouts:
+            here = prints.isin(*layout.fingerprints)
+            if layout.turns:
+                here = here & F.try_variant_get(v, layout.turns, "array<variant>").isNotNull()
+            name = F.when(here, layout.name).otherwise(name)
+            turns = F.when(here, _turns(v, layout, beside)).otherwise(turns)
+        return F.struct(
+            v.isNotNull().alias("json"), F.try_variant_get(v, "$.id", "long").alias("conv_id"),
+            F.when(v.isNotNull(), name).alias("layout"), F.when(v.isNotNull(), turns).alias("turns"),
+        )
+
+    found = let(F.try_parse_json("record"), lambda v: let(fingerprint(v, layouts), lambda prints: read(v, prints)))
+    return records.select("record", found.alias("k"))
 
 
 def canonical(records: DataFrame, layouts: list[Layout] = LAYOUTS) -> DataFrame:
@@ -131,18 +143,15 @@ def canonical(records: DataFrame, layouts: list[Layout] = LAYOUTS) -> DataFrame:
     null or missing text or role is empty. Repeated records give their turns
     again; no records give no rows.
     """
-    turns = F.lit(None)
-    for layout in layouts:
-        turns = F.when(F.col("layout") == layout.name, _turns(F.col("v"), layout, F.col("beside"))).otherwise(turns)
-    return _known(records, layouts).where("layout IS NOT NULL").select(
-        F.try_variant_get("v", "$.id", "long").alias("conv_id"), "layout", F.explode(turns).alias("t")
-    ).select("conv_id", "layout", "t.*")
+    # outer, and the others dropped behind: a filter on the turns would read every record again
+    rows = _known(records, layouts).select("k.conv_id", "k.layout", F.explode_outer("k.turns").alias("t"))
+    return rows.where("t IS NOT NULL").select("conv_id", "layout", "t.*")
 
 
 def rejected(records: DataFrame, layouts: list[Layout] = LAYOUTS) -> DataFrame:
     """``(record, reason)`` of the records that are no JSON, too long for it, or of no layout; null records too."""
-    reason = F.when(F.col("v").isNull(), "no JSON, or too long").otherwise("no layout")
-    return _known(records, layouts).where("layout IS NULL").select("record", reason.alias("reason"))
+    reason = F.when(F.col("k.json"), "no layout").otherwise("no JSON, or too long")
+    return _known(records, layouts).where("k.layout IS NULL").select("record", reason.alias("reason"))
 
 
 def escaped(text: Column) -> Column:

@@ -242,6 +242,10 @@ def _footers(w: Workspace) -> DataFrame:
     return profile.folder_counts(_source(w), w.month_files())
 
 
+def _flawed_counts(w: Workspace) -> DataFrame:
+    return profile.folder_counts(months.read(w.spark, w.flawed_files()), w.flawed_files())
+
+
 def _duplicates(w: Workspace) -> DataFrame:
     return profile.with_duplicates(_footers(w), _source(w), w.scratch("hashes"))
 
@@ -254,6 +258,12 @@ _register(
     val_duplicate_rows=lambda w: profile.duplicate_rows(_duplicates(w)),
     val_gate=lambda w: profile.gate(_counts(w)),
     val_month_membership=lambda w: bronze.foreign_rows(_source(w)),
+    val_null_profile_flawed=lambda w: profile.null_profile(_flawed_counts(w)),
+    val_gate_flawed=lambda w: profile.gate(profile.assessed(months.read(w.spark, w.flawed_files()), w.scratch("checks"), w.flawed_files())),
+    val_month_membership_flawed=lambda w: bronze.foreign_rows(months.read(w.spark, w.flawed_files())),
+    qc_partition_flawed=lambda w: quality.partition_anomalies(w.flawed_trips()),
+    ods_count_checks_flawed=lambda w: quality.count_checks(w.flawed_trips()).drop("note"),
+    ods_gate_flawed=lambda w: quality.verdict(quality.all_checks(w.flawed_trips())),
     qc_partition=lambda w: quality.partition_anomalies(w.trips()),
     ods_count_checks=lambda w: quality.count_checks(w.trips()).drop("note"),
     ods_max_checks=lambda w: quality.max_checks(w.trips()),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.contract import COLUMNS, to_bronze
+from curbflow.contract import COLUMNS, month_key, to_bronze
 from curbflow.functions import trip as t
 
 WINDOW_START = "2025-01-01 00:00:00"
@@ -198,6 +198,63 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _instead(column: str, cases: dict[int, Column]) -> Column:
+    """``column``, replaced in the rows of some flaw classes."""
+    out = F.col(column)
+    for k, value in cases.items():
+        out = F.when(F.col("k") == k, value).otherwise(out)
+    return out
+
+
+def flawed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips in bronze form with flaws by the class of their duration: every quality check finds some.
+
+    One class of 211 has a zone below the range, the next one above it, and so on: distances, times and
+    amounts below zero, times outside the window, in clock changes and in hours that did not exist, odd flags.
+    """
+    c = F.col
+
+    def at(text: str) -> Column:
+        return F.expr(f"TIMESTAMP_NTZ'{text}'")
+
+    def below(column: str, unit: int) -> Column:
+        return (-F.rint(c(column) * unit) - 1) / unit
+
+    cent = F.lit(-0.01)
+    rows = source_trips(spark, sf_dir).withColumn("k", c("trip_time") % 211)
+    yes, no = F.lit("Y"), F.lit("N")
+    flaws = {
+        "PULocationID": {0: F.lit(0)},
+        "DOLocationID": {1: F.lit(300)},
+        "trip_miles": {2: below("trip_miles", 1000), 17: F.lit(150.0)},
+        "trip_time": {3: -c("trip_time"), 15: F.lit(5), 16: F.lit(30000), 20: F.lit(1200), 21: F.lit(1200)},
+        "base_passenger_fare": {4: below("base_passenger_fare", 100)},
+        "driver_pay": {5: below("driver_pay", 100)},
+        "tips": {6: F.lit(-1.0)},
+        "tolls": {7: cent}, "bcf": {8: cent}, "sales_tax": {9: cent}, "congestion_surcharge": {10: cent}, "airport_fee": {11: cent},
+        "cbd_congestion_fee": {12: cent, 24: F.lit(1.5)},
+        "dropoff_datetime": {14: c("pickup_datetime"), 19: at("2026-05-02 00:00:00"), 20: at("2025-11-02 01:10:00"), 21: at("2025-03-09 03:10:00")},
+        "request_datetime": {18: at("2024-12-31 23:00:00"), 23: at("2025-03-09 02:10:00")},
+        "pickup_datetime": {13: c("pickup_datetime") - F.expr("INTERVAL 1000 DAY"), 20: at("2025-11-02 01:50:00"), 21: at("2025-03-09 01:50:00"),
+                            22: at("2025-03-09 02:30:00"), 24: at("2025-01-02 03:00:00")},
+        "access_a_ride_flag": {25: yes}, "wav_request_flag": {25: yes, 26: yes}, "wav_match_flag": {26: no},
+    }
+    return to_bronze(rows.select(*[_instead(x, flaws.get(x, {})).alias(x) for x in COLUMNS]))
+
+
+def flawed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-file rows with ``file_month`` and flaws a load must find: copies, NULLs, empty rows, rows of other months."""
+    c = F.col
+    rows = source_trips(spark, sf_dir).withColumn("file_month", month_key(c("pickup_datetime"))).withColumn("k", c("trip_time") % 211)
+    copies = F.when(c("k") == 30, 2).when(c("k") == 31, 3).otherwise(1)
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    later = c("pickup_datetime") + F.expr("INTERVAL 45 DAY")
+    flaws = {"tips": {32: F.lit(None)}, "pickup_datetime": {34: later}}
+    return rows.select(
+        *[F.when(c("k") != 33, _instead(x, flaws.get(x, {}))).alias(x) for x in COLUMNS], "file_month"
+    )
+
+
 def offers(spark: SparkSession, sf_dir: str, rates: tuple[int, ...] = (2, 5, 8, 11, 14)) -> DataFrame:
     """A table of bonus offers, one per trip that passes the quality filter: the tried rate rotates.
 

@@ -69,6 +69,15 @@ class Workspace:
         """Folder with one entry per month."""
         return self.once(f"months-{fmt}", lambda p: months.write(self.source(), p, fmt))
 
+    def flawed_trips(self) -> DataFrame:
+        """Bronze trips with flaws that every quality check finds."""
+        path = self.once("bronze-flawed", lambda p: bronze.write_months(derived.flawed_trips(self.spark, self.sf_dir), p, scattered=True))
+        return bronze.read(self.spark, path)
+
+    def flawed_files(self) -> str:
+        """Folder of month files with flaws that a load refuses."""
+        return self.once("months-flawed", lambda p: months.write(derived.flawed_source(self.spark, self.sf_dir), p))
+
     def scratch(self, name: str) -> str:
         """A folder of its own for a query that writes."""
         return f"{self.root}/{name}-{uuid.uuid4().hex[:10]}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracles.base import hits, on_silver, on_silver_zones, on_trips, rate, usd, wait_quantile
+from oracles.base import TRIPS, hits, on_silver, on_silver_zones, on_trips, rate, usd, wait_quantile
 from oracles.marts import AIRPORT_VIEW, BUCKET14, LABEL16, LABELS14, SEGMENT
 from oracles.marts import SQL as MART_SQL
 from oracles.reports import pct
@@ -149,6 +149,40 @@ HISTOGRAM_LINES = f"""
   UNION ALL SELECT '"month","operator","bucket_order","wait_bucket","trips_with_wait"'"""
 
 
+# the same flaws by class of duration as the stand-in tables have
+_LATEST = TRIPS[TRIPS.index("trips AS ("):].replace("trips AS (", "flawed AS (").replace("FROM h2", "FROM f2")
+FLAWED = f"""
+f1 AS (SELECT *, secs % 211 AS k FROM h2),
+f2 AS (
+  SELECT licence, dispatching, originating, scene, shr, shm,
+    CASE k WHEN 13 THEN ts - INTERVAL 1000 DAY WHEN 20 THEN TIMESTAMP '2025-11-02 01:50:00' WHEN 21 THEN TIMESTAMP '2025-03-09 01:50:00'
+      WHEN 22 THEN TIMESTAMP '2025-03-09 02:30:00' WHEN 24 THEN TIMESTAMP '2025-01-02 03:00:00' ELSE ts END AS ts,
+    CASE k WHEN 0 THEN 0 ELSE pu END AS pu, CASE k WHEN 1 THEN 300 ELSE dz END AS dz,
+    CASE k WHEN 3 THEN -secs WHEN 15 THEN 5 WHEN 16 THEN 30000 WHEN 20 THEN 1200 WHEN 21 THEN 1200 ELSE secs END AS secs,
+    CASE k WHEN 4 THEN -base - 1 ELSE base END AS base, CASE k WHEN 5 THEN -pay - 1 ELSE pay END AS pay,
+    CASE k WHEN 18 THEN TIMESTAMP '2024-12-31 23:00:00' WHEN 23 THEN TIMESTAMP '2025-03-09 02:10:00' ELSE req END AS req,
+    CASE k WHEN 14 THEN ts WHEN 19 THEN TIMESTAMP '2026-05-02 00:00:00' WHEN 20 THEN TIMESTAMP '2025-11-02 01:10:00'
+      WHEN 21 THEN TIMESTAMP '2025-03-09 03:10:00' ELSE drp END AS drp,
+    CASE k WHEN 2 THEN -milli - 1 WHEN 17 THEN 150000 ELSE milli END AS milli,
+    CASE k WHEN 6 THEN -100 ELSE tips END AS tips, CASE k WHEN 7 THEN -1 ELSE tolls END AS tolls, CASE k WHEN 8 THEN -1 ELSE bcf END AS bcf,
+    CASE k WHEN 9 THEN -1 ELSE tax END AS tax, CASE k WHEN 10 THEN -1 ELSE cong END AS cong, CASE k WHEN 11 THEN -1 ELSE apt END AS apt,
+    CASE k WHEN 12 THEN -1 WHEN 24 THEN 150 ELSE cbd END AS cbd,
+    aar OR k = 25 AS aar, wvr OR k IN (25, 26) AS wvr, wvm AND k <> 26 AS wvm
+  FROM f1),
+{_LATEST}"""
+FILES = """
+w AS (SELECT ym, k, originating, scene, CASE k WHEN 30 THEN 2 WHEN 31 THEN 3 ELSE 1 END AS copies FROM (SELECT *, secs % 211 AS k FROM trips)),
+n AS (SELECT ym, sum(copies)::BIGINT AS rows, count(*) FILTER (k = 33) AS empty, count(*) FILTER (k = 32) AS tips, count(*) FILTER (k IN (33, 34)) AS foreign_rows,
+    coalesce(sum(copies) FILTER (k = 33 OR originating IS NULL), 0)::BIGINT AS originating, coalesce(sum(copies) FILTER (k = 33 OR scene IS NULL), 0)::BIGINT AS scene,
+    (sum(copies - 1) + greatest(count(*) FILTER (k = 33) - 1, 0))::BIGINT AS copies FROM w GROUP BY ym)"""
+
+
+def flawed(sql: str) -> str:
+    """A query on trips, on the flawed ones."""
+    at = sql.index("counted AS (")
+    return sql[:at] + FLAWED.strip() + ",\n" + sql[at:].replace("FROM trips", "FROM flawed")
+
+
 def outcomes(**columns: str) -> str:
     names = ", ".join(f"{v} AS {k}" for k, v in columns.items())
     return on_trips(f"SELECT {names}, count(*) AS trips FROM trips GROUP BY ALL")
@@ -294,3 +328,17 @@ SQL = {
         UNION ALL SELECT ym, 'full duplicate rows', duplicate_rows, {pct('duplicate_rows', 'total')}, 'flagged' FROM repeats"""),
     "stream_month_ingest": on_trips("SELECT ym AS pickup_month, count(*) AS trips FROM trips GROUP BY ym"),
 }
+SQL |= {f"{name}_flawed": flawed(SQL[name]) for name in ("qc_partition", "ods_count_checks", "ods_gate")} | {
+    "val_null_profile_flawed": on_trips(FILES, f"""
+        SELECT ym AS file_month, column_name, c AS null_count, {pct('c', 'rows')} AS null_pct,
+          c = 0 OR column_name IN ('originating_base_num', 'on_scene_datetime') AS expected
+        FROM (SELECT ym, rows, column_name, CASE column_name WHEN 'originating_base_num' THEN originating
+                WHEN 'on_scene_datetime' THEN scene WHEN 'tips' THEN empty + tips ELSE empty END AS c FROM n CROSS JOIN {COLUMN_LIST})"""),
+    "val_gate_flawed": on_trips(FILES, """
+        SELECT ym AS file_month, check_name, affected AS rows_affected,
+          CASE WHEN affected = 0 THEN 'pass' WHEN check_name = 'duplicate_rows' THEN 'warn' ELSE 'fail' END AS verdict
+        FROM (SELECT ym, check_name, CASE check_name WHEN 'unexpected_nulls' THEN 23 * empty + tips WHEN 'empty_rows' THEN empty
+                ELSE copies END AS affected
+              FROM n CROSS JOIN (VALUES ('unexpected_nulls'), ('empty_rows'), ('duplicate_rows')) AS k(check_name))"""),
+    "val_month_membership_flawed": on_trips(FILES, "SELECT ym AS file_month, rows, foreign_rows FROM n"),
+}

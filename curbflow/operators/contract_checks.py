@@ -10,22 +10,22 @@ from curbflow.contract import SOURCE_SCHEMA, TRIP_SCHEMA, ContractError, compare
 from curbflow.sources import footers, months
 
 
-def month_schemas(spark: SparkSession, folder: str) -> list[tuple[int, list[tuple[str, str]], str]]:
-    """Distinct (month, columns with types) of the parquet parts of a folder, with one of their paths.
+def month_schemas(found: DataFrame) -> list[tuple[int, list[tuple[str, str]], str]]:
+    """Distinct (month, columns with types) of footers with ``month``, with one of their paths.
 
     The footers of all parts are read by a distributed job; only distinct states reach the driver.
     """
-    return file_schemas(months.chosen_parts(spark, folder).where("format = 'parquet'").select("path", "month"))
-
-
-def file_schemas(files: DataFrame) -> list[tuple[int, list[tuple[str, str]], str]]:
-    """Distinct (month, columns with types) of ``files (path, month)``, with one of their paths."""
     fields = F.array_sort(F.collect_list(F.struct("position", "column_name", "type")))
-    each = footers.footers(files).where("row_group = 0").groupBy("path").agg(fields.alias("fields"))
-    states = each.join(files, "path").groupBy("month", "fields").agg(F.min("path").alias("path")).collect()
+    each = found.where("row_group = 0").groupBy("path", "month").agg(fields.alias("fields"))
+    states = each.groupBy("month", "fields").agg(F.min("path").alias("path")).collect()
     return [(r.month, [(f.column_name, f.type) for f in r.fields], r.path) for r in states]
 
 
+def _folder_schemas(spark: SparkSession, folder: str) -> list[tuple[int, list[tuple[str, str]], str]]:
+    files = months.chosen_parts(spark, folder).where("format = 'parquet'").select("path")
+    return month_schemas(footers.footers(files).withColumn("month", months.month_of("path")))
+
+
 def month_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Column comparison of every month entry, over the footers of all its parts.
 
@@ -34,7 +34,7 @@ def month_columns(spark: SparkSession, folder: str) -> DataFrame:
     """
     rows = {
         (month, *state)
-        for month, fields, _ in month_schemas(spark, folder)
+        for month, fields, _ in _folder_schemas(spark, folder)
         for state in compare_columns([name for name, _ in fields])
     }
     return spark.createDataFrame(
@@ -49,15 +49,15 @@ def month_types(spark: SparkSession, folder: str) -> DataFrame:
     want = {f.name: f.dataType.simpleString() for f in SOURCE_SCHEMA.fields}
     rows = {
         (month, *state)
-        for month, fields, _ in month_schemas(spark, folder)
+        for month, fields, _ in _folder_schemas(spark, folder)
         for state in _states(dict(fields), want)
     }
     return spark.createDataFrame(sorted(rows, key=str), f"file_month INT, {_TYPE_STATE}")
 
 
-def require_parts(files: DataFrame) -> None:
-    """Raise unless every parquet file of ``files (path, month)`` has exactly the contract's columns."""
-    for _, fields, path in file_schemas(files):
+def require_parts(found: DataFrame) -> None:
+    """Raise unless every parquet file of ``found``, footers with ``month``, has exactly the contract's columns."""
+    for _, fields, path in month_schemas(found):
         require_columns([name for name, _ in fields], path)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from curbflow.contract import COLUMNS, MAY_BE_NULL, month_key
 from curbflow.functions.fixed import ratio
-from curbflow.sources import footers, months
+from curbflow.sources import months
 
 c = F.col
 EMPTY = "empty rows (все поля NULL)"
@@ -37,35 +37,33 @@ def null_counts(source: DataFrame) -> DataFrame:
     )
 
 
-def folder_counts(source: DataFrame, folder: str) -> DataFrame:
+def folder_counts(source: DataFrame, folder: months.Folder) -> DataFrame:
     """:func:`null_counts` of month files, from their footers where those decide.
 
     Footers give rows and NULLs. No row is empty where some column has no NULL at all, and none is of another
     month where the least and greatest pickup are not. Months that this leaves open, and months in CSV, are read.
     """
     spark = source.sparkSession
-    parts = months.chosen_parts(spark, folder)
-    files = parts.where("format = 'parquet'").select("path", c("month").alias("file_month"))
     month = lambda x: F.regexp_replace(F.substring(x, 1, 7), "-", "").cast("int")
     here = c("column_name") == "pickup_datetime"
-    at_home = month("low").eqNullSafe(c("file_month")) & month("high").eqNullSafe(c("file_month")) & (c("nulls") == 0)
-    found = footers.footers(files).join(files, "path").groupBy("file_month").agg(
+    at_home = month("low").eqNullSafe(c("month")) & month("high").eqNullSafe(c("month")) & (c("nulls") == 0)
+    found = folder.footers.groupBy(c("month").alias("file_month")).agg(
         F.sum(F.when(c("position") == 0, c("rows")).otherwise(0)).alias("rows"),
         *[F.sum(F.when(c("column_name") == x, c("nulls"))).alias(x) for x in COLUMNS],
         F.bool_and(c("nulls").isNotNull()).alias("told"),
         F.bool_and(~here | at_home | (c("rows") == 0)).alias("home"),
-    )
+    )
     full = reduce(or_, [c(x) == 0 for x in COLUMNS])
     sure = F.coalesce(c("told") & c("home") & full & reduce(and_, [c(x).isNotNull() for x in COLUMNS]), F.lit(False))
     zero = F.lit(0).cast("bigint")
-    table = spark.createDataFrame(found.withColumn("sure", sure).collect(), found.withColumn("sure", sure).schema)  # a row per month
+    table = found.withColumn("sure", sure)
+    table = spark.createDataFrame(table.collect(), table.schema)  # a row per month
     decided = table.where("sure").select("file_month", "rows", zero.alias("empty_rows"), zero.alias("foreign_rows"), *COLUMNS)
-    known = {r.file_month for r in decided.select("file_month").collect()}
-    rest = [r.month for r in parts.select("month").distinct().collect() if r.month not in known]
+    rest = [r.file_month for r in table.where("not sure").select("file_month").collect()] + list(folder.csv)
     return decided.union(null_counts(source.where(c("file_month").isin(rest)))) if rest else decided
 
 
-def counted(source: DataFrame, folder: str | None) -> DataFrame:
+def counted(source: DataFrame, folder: months.Folder | None) -> DataFrame:
     return folder_counts(source, folder) if folder else null_counts(source)
 
 
@@ -74,11 +72,11 @@ def with_duplicates(counts: DataFrame, source: DataFrame, scratch: str) -> DataF
     return counts.join(repeated_rows(source, scratch), "file_month", "left").fillna(0, ["duplicate_rows"])
 
 
-def assessed(source: DataFrame, scratch: str, folder: str | None = None) -> DataFrame:
+def assessed(source: DataFrame, scratch: str, folder: months.Folder | None = None) -> DataFrame:
     """All counts of every month, from footers or one pass and one duplicate job, stored under ``scratch``.
 
-    Profile, anomalies and verdict below read this table; a row per month. ``folder`` is where the
-    month files of ``source`` lie, if it was read from files.
+    Profile, anomalies and verdict below read this table; a row per month. ``folder`` is what
+    ``source`` was read from, if from files.
     """
     spark = source.sparkSession
     counted(source, folder).write.mode("overwrite").parquet(f"{scratch}/counts")

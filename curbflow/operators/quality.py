@@ -47,26 +47,36 @@ def _at(day: str, hours: int = 0) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00' + INTERVAL '{hours}' HOUR")
 
 
-def _on(days: tuple, ts: str, first_hour: int = 0, end_hour: int = 24) -> Column:
-    """``ts`` lies on one of the days, from one hour to before another."""
-    return F.to_date(ts).isin(*days) & F.hour(ts).between(first_hour, end_hour - 1)
+def clocked(trips: DataFrame) -> DataFrame:
+    """``trips`` with the clock change of the local days of pickup, dropoff and request, in seconds; mostly 0.
+
+    A join with the table of transitions, some two hundred rows.
+    """
+    days = clock.shifts(trips.sparkSession)
+    for name in SHIFTS:
+        on = days.select(c("day").alias(f"_{name}_day"), c("shift_seconds").alias(f"_{name}_shift"))
+        trips = trips.join(on, F.to_date(f"{name}_datetime") == c(f"_{name}_day"), "left").drop(f"_{name}_day")
+    return trips.fillna(0, [f"_{name}_shift" for name in SHIFTS])
+
+
+SHIFTS = ("pickup", "dropoff", "request")
 
 
-def dst_flags(changes: clock.Calendar | None = None) -> dict[str, Column]:
-    """Clock-change artefacts of a trip, by name; ``changes`` are those of the trips' time zone if not given."""
-    changes = changes or clock.calendar()
+def dst_flags() -> dict[str, Column]:
+    """Clock-change artefacts of a trip of :func:`clocked`, by name."""
     diff = t.duration_diff()
-    forward, back = changes.forward, changes.back
+    forward = {name: c(f"_{name}_shift") == HOUR for name in SHIFTS}
+    back = c("_pickup_shift") == -HOUR
     # picked up the day before or before the gap, dropped off after it on the day itself
-    into = F.to_date("dropoff_datetime").isin(*forward) & (F.hour("dropoff_datetime") >= 3)
+    into = forward["dropoff"] & (F.hour("dropoff_datetime") >= 3)
     day_before = F.to_date("pickup_datetime") == F.date_sub(F.to_date("dropoff_datetime"), 1)
-    same_day = (F.to_date("pickup_datetime") == F.to_date("dropoff_datetime")) & (F.hour("pickup_datetime") < 2)
+    same_day = forward["pickup"] & (F.to_date("pickup_datetime") == F.to_date("dropoff_datetime")) & (F.hour("pickup_datetime") < 2)
     return {
         "spring_duration": into & (day_before | same_day) & (F.abs(diff + HOUR) <= DURATION_TOLERANCE),
-        "fall_duration": _on(back, "pickup_datetime") & (F.abs(diff - HOUR) <= DURATION_TOLERANCE),
-        "request_in_gap": _on(forward, "request_datetime", 2, 3),
-        "pickup_in_gap": _on(forward, "pickup_datetime", 2, 3),
-        "repeated_hour": _on(back, "pickup_datetime", 1, 2),
+        "fall_duration": back & (F.abs(diff - HOUR) <= DURATION_TOLERANCE),
+        "request_in_gap": forward["request"] & (F.hour("request_datetime") == 2),
+        "pickup_in_gap": forward["pickup"] & (F.hour("pickup_datetime") == 2),
+        "repeated_hour": back & (F.hour("pickup_datetime") == 1),
     }
 
 
@@ -168,7 +178,7 @@ MAXIMA = [
 
 def _scan(trips: DataFrame) -> DataFrame:
     """The single aggregate behind all checks and maxima."""
-    return trips.agg(
+    return clocked(trips).agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(k.rows).alias(f"c{i}") for i, k in enumerate(checks())],
         *[F.max(m).alias(f"max_{m}") for m in MAXIMA],

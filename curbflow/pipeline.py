@@ -51,22 +51,23 @@ def load(
     months.csv_to_parquet(spark, files)
     source = months.read(spark, files)
 
+    checks = f"{warehouse}/_checks/{uuid.uuid4().hex[:10]}"
+    seen = months.inspect(spark, files, f"{checks}/footers")
     # only months that will be written need profiling
     plan = bronze.load_plan(
-        bronze.folder_counts(spark, files), bronze.month_counts(spark, table), force or rebuild
+        bronze.folder_counts(spark, seen), bronze.month_counts(spark, table), force or rebuild
     )
     todo = [r.file_month for r in plan.where("status <> 'skipped'").collect()]
     counts = None
     if todo:
         pending = source.where(c("file_month").isin(todo))
-        checks = f"{warehouse}/_checks/{uuid.uuid4().hex[:10]}"
-        counts = profile.assessed(pending, checks, files).where(c("file_month").isin(todo))
+        counts = profile.assessed(pending, checks, seen).where(c("file_month").isin(todo))
         _replace(spark, warehouse, "etl_column_profile",
                  _stamped(profile.null_profile(counts)), ["file_month", "column_name"])
         found = profile.source_anomalies(counts).withColumnRenamed("file_month", "partition_id")
         _replace(spark, warehouse, "etl_anomalies", _stamped(found), ["partition_id", "metric_name"])
 
-    result = bronze.load(spark, source, table, force, rebuild, counts, files)
+    result = bronze.load(spark, source, table, force, rebuild, counts, seen)
     service.append_log(service.log_entries(result), f"{warehouse}/etl_load_log")
     trips = bronze.read(spark, table)
     if todo:

@@ -102,7 +102,7 @@ def mile_bins(trips: DataFrame) -> DataFrame:
 
 
 def dst(trips: DataFrame) -> DataFrame:
-    return _outcomes(trips, **quality.dst_flags())
+    return _outcomes(quality.clocked(trips), **quality.dst_flags())
 
 
 def clock_changes(trips: DataFrame, transitions: DataFrame) -> DataFrame:

@@ -235,15 +235,15 @@ def _drifted_months(w: Workspace) -> str:
 
 
 def _counts(w: Workspace) -> DataFrame:
-    return profile.assessed(_source(w), w.scratch("checks"), w.month_files())
+    return profile.assessed(_source(w), w.scratch("checks"), w.inspected(w.month_files()))
 
 
 def _footers(w: Workspace) -> DataFrame:
-    return profile.folder_counts(_source(w), w.month_files())
+    return profile.folder_counts(_source(w), w.inspected(w.month_files()))
 
 
 def _flawed_counts(w: Workspace) -> DataFrame:
-    return profile.folder_counts(months.read(w.spark, w.flawed_files()), w.flawed_files())
+    return profile.folder_counts(months.read(w.spark, w.flawed_files()), w.inspected(w.flawed_files()))
 
 
 def _duplicates(w: Workspace) -> DataFrame:
@@ -259,7 +259,7 @@ _register(
     val_gate=lambda w: profile.gate(_counts(w)),
     val_month_membership=lambda w: bronze.foreign_rows(_source(w)),
     val_null_profile_flawed=lambda w: profile.null_profile(_flawed_counts(w)),
-    val_gate_flawed=lambda w: profile.gate(profile.assessed(months.read(w.spark, w.flawed_files()), w.scratch("checks"), w.flawed_files())),
+    val_gate_flawed=lambda w: profile.gate(profile.assessed(months.read(w.spark, w.flawed_files()), w.scratch("checks"), w.inspected(w.flawed_files()))),
     val_month_membership_flawed=lambda w: bronze.foreign_rows(months.read(w.spark, w.flawed_files())),
     qc_partition_flawed=lambda w: quality.partition_anomalies(w.flawed_trips()),
     ods_count_checks_flawed=lambda w: quality.count_checks(w.flawed_trips()).drop("note"),
@@ -310,7 +310,7 @@ def _loaded(w: Workspace) -> DataFrame:
     state = F.col("file_month") % 3
     kept = w.source().where((state == 0) | ((state == 1) & (F.col("PULocationID") > 100)))
     bronze.write_months(to_bronze(kept), table, scattered=True)
-    return bronze.load(w.spark, _source(w), table, folder=w.month_files()).drop("seconds")
+    return bronze.load(w.spark, _source(w), table, folder=w.inspected(w.month_files())).drop("seconds")
 
 
 def _published(w: Workspace) -> DataFrame:
@@ -333,7 +333,7 @@ def _logged(w: Workspace) -> DataFrame:
     """The log of a first load and of a repeated one that finds nothing to do."""
     table, log = w.scratch("load"), w.scratch("log")
     for _ in range(2):
-        service.append_log(service.log_entries(bronze.load(w.spark, _source(w), table, folder=w.month_files())), log)
+        service.append_log(service.log_entries(bronze.load(w.spark, _source(w), table, folder=w.inspected(w.month_files()))), log)
     return service.read_log(w.spark, log).drop("loaded_at", "load_duration_sec")
 
 

@@ -74,15 +74,11 @@ def file_counts(source: DataFrame) -> DataFrame:
     return source.groupBy("file_month").agg(F.count(F.lit(1)).alias("expected"))
 
 
-def folder_counts(spark: SparkSession, folder: str) -> DataFrame:
+def folder_counts(spark: SparkSession, folder: months.Folder) -> DataFrame:
     """Rows per month of a folder of month files: from footers, and by reading where the month is CSV."""
-    chosen = months.chosen_parts(spark, folder)
-    parquet = chosen.where("format = 'parquet'").select("path", F.col("month").alias("file_month"))
-    found = footers.footers(parquet).join(parquet, "path")
-    counts = footers.row_counts(found, "file_month").withColumnRenamed("rows", "expected")
-    others = [r.month for r in chosen.where("format = 'csv'").select("month").distinct().collect()]
-    if others:
-        counts = counts.union(file_counts(months.read(spark, folder).where(c("file_month").isin(others))))
+    counts = footers.row_counts(folder.footers, "month").toDF("file_month", "expected")
+    if folder.csv:
+        counts = counts.union(file_counts(months.read(spark, folder.path).where(c("file_month").isin(*folder.csv))))
     return counts
 
 
@@ -111,20 +107,21 @@ def foreign_rows(source: DataFrame) -> DataFrame:
 
 
 def validate(
-    spark: SparkSession, pending: DataFrame, todo: list[int], counts: DataFrame | None = None, folder: str | None = None
+    spark: SparkSession, pending: DataFrame, todo: list[int], counts: DataFrame | None = None, folder: months.Folder | None = None
 ) -> list[str]:
     """Refuse months that break the contract; returns the warnings of the gate.
 
     Every part file must have the contract's columns, no row may belong to
     another month and none may miss a required value. ``counts`` are those of
-    ``profile.assessed`` if the caller has them; ``folder`` is where the month files are, if they are files.
+    ``profile.assessed`` if the caller has them; ``folder`` is what they were read from, if they are files.
     """
     if folder:
-        files = months.chosen_parts(spark, folder).where(c("format") == "parquet").select("path", "month")
+        found = folder.footers
     else:  # the rows' own files, if they come from month files
         paths = spark.createDataFrame([(f,) for f in pending.inputFiles()], "path STRING")
-        files = paths.where(c("path").rlike(months.ENTRY) & c("path").endswith(".parquet")).select("path", months.month_of("path").alias("month"))
-    contract_checks.require_parts(files.where(c("month").isin(todo)))
+        files = paths.where(c("path").rlike(months.ENTRY) & c("path").endswith(".parquet"))
+        found = footers.footers(files).withColumn("month", months.month_of("path"))
+    contract_checks.require_parts(found.where(c("month").isin(todo)))
     if counts is None:
         counts = profile.assessed(pending, work_folder(spark, "checks", uuid.uuid4().hex[:10]), folder)
         counts = counts.where(c("file_month").isin(todo))
@@ -136,12 +133,12 @@ def validate(
 
 def load(
     spark: SparkSession, source: DataFrame, path: str, force: bool = False, rebuild: bool = False,
-    counts: DataFrame | None = None, folder: str | None = None, only: list[int] | None = None,
+    counts: DataFrame | None = None, folder: months.Folder | None = None, only: list[int] | None = None,
 ) -> DataFrame:
     """Bring the bronze table in line with the month files; safe to repeat.
 
-    ``force`` reloads complete months too, ``rebuild`` drops whatever is stored. ``folder`` is where ``source``
-    was read from: counts and contract then come from the footers of its files. ``only`` names the months to look at.
+    ``force`` reloads complete months too, ``rebuild`` drops whatever is stored. ``folder`` is what ``source``
+    was read from: counts and contract then come from its footers. ``only`` names the months to look at.
 
     Returns (file_month, expected, existing, status, rows, seconds); ``seconds`` from the start of the load
     until the month's last file was closed. Batch and stream

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +9,7 @@ from pyspark.sql import functions as F
 ZONE = "America/New_York"
 FIRST, LAST = "2000-01-01", "2099-12-31"
 
-_known: dict[tuple[str, str], Calendar] = {}
-
-
-@dataclass(frozen=True)
-class Calendar:
-    """Local dates on which clocks go forward, and back, by an hour."""
-
-    forward: tuple[dt.date, ...]
-    back: tuple[dt.date, ...]
+_known: dict[tuple[str, str], list] = {}
 
 
 def transitions(spark: SparkSession, zone: str = ZONE, first: str = FIRST, last: str = LAST) -> DataFrame:
@@ -40,13 +29,9 @@ def transitions(spark: SparkSession, zone: str = ZONE, first: str = FIRST, last:
     return days.select("day", shift.alias("shift_seconds")).where("shift_seconds <> 0")
 
 
-def calendar(spark: SparkSession | None = None, zone: str = ZONE) -> Calendar:
-    """The transitions as two lists, some two hundred dates, read once an application."""
-    spark = spark or SparkSession.active()
+def shifts(spark: SparkSession, zone: str = ZONE) -> DataFrame:
+    """The transitions as a table of known size, some two hundred rows, worked out once an application."""
     key = (spark.sparkContext.applicationId, zone)
     if key not in _known:
-        rows = transitions(spark, zone).orderBy("day").collect()
-        _known[key] = Calendar(
-            tuple(r.day for r in rows if r.shift_seconds == 3600), tuple(r.day for r in rows if r.shift_seconds == -3600)
-        )
-    return _known[key]
+        _known[key] = [tuple(r) for r in transitions(spark, zone).orderBy("day").collect()]
+    return spark.createDataFrame(_known[key], "day DATE, shift_seconds BIGINT")

@@ -17,8 +17,6 @@ FOOTER = (
     "path STRING, row_group INT, rows BIGINT, position INT, column_name STRING, type STRING, "
     "nulls BIGINT, low STRING, high STRING"
 )
-#: Files whose footers one task reads.
-FILES_PER_TASK = 64
 
 
 def _reader(by_content: bool):
@@ -73,26 +71,30 @@ def _reader(by_content: bool):
     return read
 
 
-def footers(files: DataFrame) -> DataFrame:
+def footers(files: DataFrame, like: str | None = None) -> DataFrame:
     """A row per file, row group and column of ``files (path)``: rows, position, type, NULLs, least and greatest value.
 
     ``nulls``, ``low`` and ``high`` are null where a file does not tell. A file without rows has one row group of
-    none; repeated paths are read again; no paths give no rows.
+    none; repeated paths are read again; no paths give no rows. ``like`` is a path in the same store, if the
+    caller knows one. Paths are read where they are listed, so a listing's tasks share the work.
     """
     paths = files.select("path")
-    tasks = paths.agg(F.count("*")).first()[0] // FILES_PER_TASK + 1
-    first = paths.limit(1).collect()
-    if first and not _reachable(first[0]["path"]):
+    if like is None:
+        first = paths.limit(1).collect()
+        like = first[0]["path"] if first else None
+    if like is not None and not _reachable(like):
         spark = files.sparkSession
         whole = spark.read.format("binaryFile").load([r["path"] for r in paths.collect()]).select("path", "content")
         return whole.mapInPandas(_reader(True), FOOTER)
-    return paths.repartition(tasks).mapInPandas(_reader(False), FOOTER)
+    return paths.mapInPandas(_reader(False), FOOTER)
 
 
 def _reachable(path: str) -> bool:
     import pyarrow as pa
     import pyarrow.fs
 
+    if "://" not in path and ":" not in path.split("/")[0]:
+        return path.startswith("/")
     try:
         pyarrow.fs.FileSystem.from_uri(path.replace(" ", "%20"))
         return True

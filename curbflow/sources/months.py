@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from curbflow.contract import SOURCE_SCHEMA, ContractError, require_columns
 from curbflow.session import exists
+from curbflow.sources import footers
 
 # Fixed value: naming of the published month files.
 STEM = "fhvhv_tripdata_"
@@ -95,6 +97,30 @@ def chosen_parts(spark: SparkSession, folder: str) -> DataFrame:
     return parts(spark, folder).join(chosen, "entry", "left_semi")
 
 
+@dataclass(frozen=True)
+class Folder:
+    """A folder of month files, and what the footers of its parquet files say, read once.
+
+    ``footers`` has the columns of ``footers.FOOTER`` with ``month``; ``csv`` names the months that are CSV.
+    """
+
+    path: str
+    footers: DataFrame
+    csv: tuple[int, ...]
+
+
+def inspect(spark: SparkSession, path: str, scratch: str) -> Folder:
+    """Read the footers of a folder's months into ``scratch``."""
+    chosen = [(r.path, r.month, r.format) for r in inventory(spark, path).select("month", "format", c("entry").alias("path")).collect()]
+    files = parts(spark, path).join(
+        spark.createDataFrame(chosen, "entry STRING, _month INT, _format STRING").select("entry"), "entry", "left_semi"
+    )
+    parquet = files.where("format = 'parquet'").select("path", "month")
+    found = footers.footers(parquet, like=path).withColumn("month", month_of("path"))
+    found.write.mode("overwrite").parquet(scratch)
+    return Folder(path, spark.read.parquet(scratch), tuple(m for _, m, f in chosen if f == "csv"))
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Source rows of the chosen entry of every month, with ``file_month``.
 

@@ -7,9 +7,12 @@ arrives in several batches, or a batch that runs twice, ends up complete.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbflow.session import folder as shared_folder
 from curbflow.sinks import bronze
 from curbflow.sources import months
 
@@ -38,7 +41,8 @@ def ingest(spark: SparkSession, folder: str, table: str, checkpoint: str) -> int
         if touched:
             session = batch.sparkSession
             source = months.read(session, folder).where(F.col("file_month").isin(touched))
-            bronze.load(session, source, table, folder=folder, only=touched)
+            seen = months.inspect(session, folder, shared_folder(session, "checks", uuid.uuid4().hex[:10]))
+            bronze.load(session, source, table, folder=seen, only=touched)
         ran.append(batch_id)
 
     query = (

@@ -78,6 +78,10 @@ class Workspace:
         """Folder of month files with flaws that a load refuses."""
         return self.once("months-flawed", lambda p: months.write(derived.flawed_source(self.spark, self.sf_dir), p))
 
+    def inspected(self, folder: str) -> months.Folder:
+        """A folder of month files with its footers."""
+        return months.inspect(self.spark, folder, self.scratch("footers"))
+
     def scratch(self, name: str) -> str:
         """A folder of its own for a query that writes."""
         return f"{self.root}/{name}-{uuid.uuid4().hex[:10]}"

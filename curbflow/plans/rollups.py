@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import CENTS, MILLI, cents, dollars, ratio
 from curbflow.functions.grouping import ROWS, fold, rows_where, with_quantiles
-from curbflow.plans.marts import COHORTS, WAIT_QUANTILES
+from curbflow.plans.marts import COHORTS, WAIT_QUANTILES, airport_ends
 
 c = F.col
 
@@ -133,20 +133,40 @@ def merged_quantiles(daily_counts: DataFrame) -> DataFrame:
     return rounded_quantiles(monthly, ["month", "operator"], F.sum(ROWS).alias("trips_with_wait"))
 
 
-def daily_wait_sketches(measures: DataFrame) -> DataFrame:
-    """Small mergeable sketches of the daily waits, for values without a bound."""
-    return measures.where(c("wait").isNotNull()).groupBy("trip_date", "operator").agg(
+def wait_states(measures: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group the trips with a wait and a small mergeable sketch of their waits, from one shuffle."""
+    return measures.where(c("wait").isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trips_with_wait"),
         F.expr("kll_sketch_agg_bigint(wait)").alias("sketch"),
     )
 
 
-def merged_sketches(daily: DataFrame) -> DataFrame:
-    """Approximate monthly quantiles from merged daily sketches."""
-    return daily.groupBy(_month(), "operator").agg(
+#: States that gold keeps beside its marts: the mart, its keys, and the rows they group.
+STATES = {
+    "mart_overview_daily": (["trip_date", "operator"], lambda rows: rows),
+    "mart_pickup_zones": (["trip_date", "pu_location_id", "operator"], lambda rows: rows),
+    "mart_airports": (["month", "airport", "direction", "operator"], airport_ends),
+}
+
+
+def mart_state(name: str, measures: DataFrame) -> DataFrame:
+    """The mergeable state of a mart's waiting times: any coarser report is a merge of its rows."""
+    keys, rows = STATES[name]
+    return wait_states(rows(measures), keys)
+
+
+def daily_wait_sketches(measures: DataFrame) -> DataFrame:
+    """Small mergeable sketches of the daily waits, for values without a bound."""
+    return wait_states(measures, ["trip_date", "operator"])
+
+
+def merged_sketches(states: DataFrame, keys: tuple[str, ...] = ("month", "operator")) -> DataFrame:
+    """Approximate quantiles of coarser groups from merged states; months come from dates where there is none."""
+    rows = states.withColumn("month", _month()) if "month" in keys and "month" not in states.columns else states
+    return rows.groupBy(*keys).agg(
         _sum("trips_with_wait"), F.expr("kll_merge_agg_bigint(sketch)").alias("sketch")
     ).select(
-        "month", "operator", "trips_with_wait",
+        *keys, "trips_with_wait",
         *[F.expr(f"kll_sketch_get_quantile_bigint(sketch, {q}D)").alias(n)
           for n, q in WAIT_QUANTILES.items()],
     )
@@ -159,9 +179,12 @@ RANK_ERROR = 0.03
 
 def sketch_ranks(sketched: DataFrame, daily_counts: DataFrame) -> DataFrame:
     """Whether each sketched quantile's exact rank lies within ``RANK_ERROR`` of what was asked for."""
-    keys = ["month", "operator"]
-    exact = daily_counts.groupBy(_month(), "operator", "wait").agg(_sum(ROWS))
-    both = exact.join(sketched.drop("trips_with_wait"), keys)  # a sketch row per month and operator
+    return ranks_of(sketched, daily_counts.groupBy(_month(), "operator", "wait").agg(_sum(ROWS)), ["month", "operator"])
+
+
+def ranks_of(sketched: DataFrame, exact: DataFrame, keys: list[str]) -> DataFrame:
+    """The same for any groups, against their exact counts per wait."""
+    both = exact.join(sketched.drop("trips_with_wait"), keys)  # a sketch row per group
     below = [
         F.sum(F.when(c("wait") < c(n), c(ROWS)).otherwise(0)).alias(f"{n}_below") for n in WAIT_QUANTILES
     ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from curbflow.contract import PARTITION, to_bronze
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import cents
+from curbflow.functions.grouping import fold
 from curbflow.operators import contract_checks, experiments, geometry, profile, quality
 from curbflow.plans import baselines, expressions, invariants, marts, rollups
 from curbflow.sinks import bronze, csv_export, gold, service
@@ -74,6 +75,28 @@ _register(
 )
 
 
+def _stored_state(w: Workspace, name: str) -> DataFrame:
+    """The waiting state of a mart as gold keeps it."""
+    root = w.scratch("gold")
+    gold.publish_state(name, w.trips(), root)
+    return gold.state(w.spark, root, name)
+
+
+def _airport_ranks(w: Workspace) -> DataFrame:
+    """Waits per airport over all time, from the stored state of the airport mart."""
+    merged = rollups.merged_sketches(_stored_state(w, "mart_airports"), ("airport",))
+    ends = marts.airport_ends(_rows(w)).where("wait IS NOT NULL")
+    return rollups.ranks_of(merged, fold(ends, ["airport"], {}, "wait"), ["airport"])
+
+
+_register(
+    reagg_quantile_stored=lambda w: rollups.sketch_ranks(
+        rollups.merged_sketches(_stored_state(w, "mart_pickup_zones")), rollups.daily_wait_counts(_rows(w))
+    ),
+    reagg_airport_wait=_airport_ranks,
+)
+
+
 def _deficit(w: Workspace) -> DataFrame:
     return baselines.deficit_zones(
         _rows(w), w.zones(), p90_over=t.VERY_LONG_WAIT_SECONDS, min_trips=2, min_months=2

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.contract import PARTITION, month_key
-from curbflow.plans import marts
+from curbflow.functions import trip as t
+from curbflow.plans import marts, rollups
 from curbflow.sinks import bronze, snapshots
 
 MARKER = "_SUCCESS"
@@ -96,9 +97,26 @@ def build_all(
     for name in marts.MARTS:
         if name not in built:
             put(marts.build(name, trips, zones), name)
+    for name in _states():
+        publish_state(name, trips, root, months)
     return built
 
 
+def _states() -> list[str]:
+    return [n for n in rollups.STATES if n in marts.MARTS]
+
+
+def publish_state(name: str, trips: DataFrame, root: str, months: list[int] | None = None) -> int:
+    """Keep the mergeable waiting state of a mart beside it, by the same months."""
+    key = rollups.STATES[name][0][0]
+    return publish(rollups.mart_state(name, t.measures(trips)), root, f"_state_{name}", key, by_month=key, months=months)
+
+
+def state(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The stored waiting state of a mart."""
+    return current(spark, root, f"_state_{name}")
+
+
 def ledger(spark: SparkSession, table: str) -> dict[str, str]:
     """The folder of every month of a bronze table."""
     now = snapshots.current(spark, table)
@@ -111,6 +129,8 @@ def changed_months(spark: SparkSession, table: str, root: str, zones: str) -> li
     ``zones`` names the zone lookup's content: with another one, names and segments of every month are old.
     """
     now = ledger(spark, table)
+    if any(snapshots.current(spark, f"{root}/_state_{name}") is None for name in _states()):
+        return None
     stale: set[str] = set()
     for name in marts.MARTS:
         mart = snapshots.current(spark, f"{root}/{name}")
@@ -134,7 +154,7 @@ def refresh(spark: SparkSession, table: str, zones: DataFrame, root: str) -> dic
 
 def expire(spark: SparkSession, root: str, keep: int = 1, grace_seconds: float = 86_400) -> None:
     """Remove all but the newest versions of every mart."""
-    for name in marts.MARTS:
+    for name in [*marts.MARTS, *(f"_state_{n}" for n in _states())]:
         snapshots.expire(spark, f"{root}/{name}", keep, grace_seconds)
 
 

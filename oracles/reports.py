@@ -74,6 +74,12 @@ SQL = {
     "reagg_quantile_sketch": on_silver("""
         SELECT month, operator, count(*) AS trips_with_wait, true AS wait_p50_within_bound, true AS wait_p90_within_bound
         FROM silver WHERE wait IS NOT NULL GROUP BY month, operator"""),
+    "reagg_quantile_stored": on_silver("""
+        SELECT month, operator, count(*) AS trips_with_wait, true AS wait_p50_within_bound, true AS wait_p90_within_bound
+        FROM silver WHERE wait IS NOT NULL GROUP BY month, operator"""),
+    "reagg_airport_wait": on_silver(AIRPORT_VIEW, """
+        SELECT airport, count(*) AS trips_with_wait, true AS wait_p50_within_bound, true AS wait_p90_within_bound
+        FROM airport_trips WHERE wait IS NOT NULL GROUP BY airport"""),
     "market_share_monthly": on_silver(f"""
         SELECT month, operator, trips, CAST(sum(trips) OVER (PARTITION BY month) AS BIGINT) AS month_trips,
           {pct('trips', 'sum(trips) OVER (PARTITION BY month)')} AS share_pct

@@ -6,6 +6,7 @@ aggregate per table, then the counters are turned into rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -47,35 +48,29 @@ def _at(day: str, hours: int = 0) -> Column:
     return F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00' + INTERVAL '{hours}' HOUR")
 
 
-def clocked(trips: DataFrame) -> DataFrame:
-    """``trips`` with the clock change of the local days of pickup, dropoff and request, in seconds; mostly 0.
+def dst_flags(window: tuple[str, str] = WINDOW) -> dict[str, Column]:
+    """Clock-change artefacts of a trip, by name, for the changes within the covered window.
 
-    A join with the table of transitions, some two hundred rows.
+    Trips outside of it are errors of their own. The days come from time zone data, so another window needs no other
+    dates; they are few, and stand in the compiled code: as a join of three dates they took twice as long.
     """
-    days = clock.shifts(trips.sparkSession)
-    for name in SHIFTS:
-        on = days.select(c("day").alias(f"_{name}_day"), c("shift_seconds").alias(f"_{name}_shift"))
-        trips = trips.join(on, F.to_date(f"{name}_datetime") == c(f"_{name}_day"), "left").drop(f"_{name}_day")
-    return trips.fillna(0, [f"_{name}_shift" for name in SHIFTS])
-
-
-SHIFTS = ("pickup", "dropoff", "request")
+    first, last = (dt.date.fromisoformat(x) for x in window)
+    changes = {s: [d for d in days if first <= d <= last] for s, days in clock.days().items()}
+    diff = t.duration_diff()
 
+    def on(shift: int, name: str) -> Column:
+        return F.to_date(f"{name}_datetime").isin(*changes[shift])
 
-def dst_flags() -> dict[str, Column]:
-    """Clock-change artefacts of a trip of :func:`clocked`, by name."""
-    diff = t.duration_diff()
-    forward = {name: c(f"_{name}_shift") == HOUR for name in SHIFTS}
-    back = c("_pickup_shift") == -HOUR
+    back = on(-HOUR, "pickup")
     # picked up the day before or before the gap, dropped off after it on the day itself
-    into = forward["dropoff"] & (F.hour("dropoff_datetime") >= 3)
+    into = on(HOUR, "dropoff") & (F.hour("dropoff_datetime") >= 3)
     day_before = F.to_date("pickup_datetime") == F.date_sub(F.to_date("dropoff_datetime"), 1)
-    same_day = forward["pickup"] & (F.to_date("pickup_datetime") == F.to_date("dropoff_datetime")) & (F.hour("pickup_datetime") < 2)
+    same_day = (F.to_date("pickup_datetime") == F.to_date("dropoff_datetime")) & (F.hour("pickup_datetime") < 2)
     return {
         "spring_duration": into & (day_before | same_day) & (F.abs(diff + HOUR) <= DURATION_TOLERANCE),
         "fall_duration": back & (F.abs(diff - HOUR) <= DURATION_TOLERANCE),
-        "request_in_gap": forward["request"] & (F.hour("request_datetime") == 2),
-        "pickup_in_gap": forward["pickup"] & (F.hour("pickup_datetime") == 2),
+        "request_in_gap": on(HOUR, "request") & (F.hour("request_datetime") == 2),
+        "pickup_in_gap": on(HOUR, "pickup") & (F.hour("pickup_datetime") == 2),
         "repeated_hour": back & (F.hour("pickup_datetime") == 1),
     }
 
@@ -178,7 +173,7 @@ MAXIMA = [
 
 def _scan(trips: DataFrame) -> DataFrame:
     """The single aggregate behind all checks and maxima."""
-    return clocked(trips).agg(
+    return trips.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(k.rows).alias(f"c{i}") for i, k in enumerate(checks())],
         *[F.max(m).alias(f"max_{m}") for m in MAXIMA],

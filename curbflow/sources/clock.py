@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 ZONE = "America/New_York"
 FIRST, LAST = "2000-01-01", "2099-12-31"
 
-_known: dict[tuple[str, str], list] = {}
+_known: dict[tuple[str, str], dict] = {}
 
 
 def transitions(spark: SparkSession, zone: str = ZONE, first: str = FIRST, last: str = LAST) -> DataFrame:
@@ -29,9 +31,13 @@ def transitions(spark: SparkSession, zone: str = ZONE, first: str = FIRST, last:
     return days.select("day", shift.alias("shift_seconds")).where("shift_seconds <> 0")
 
 
-def shifts(spark: SparkSession, zone: str = ZONE) -> DataFrame:
-    """The transitions as a table of known size, some two hundred rows, worked out once an application."""
+def days(spark: SparkSession | None = None, zone: str = ZONE) -> dict[int, list[dt.date]]:
+    """The local dates of change by their shift in seconds, some two hundred, worked out once an application."""
+    spark = spark or SparkSession.active()
     key = (spark.sparkContext.applicationId, zone)
     if key not in _known:
-        _known[key] = [tuple(r) for r in transitions(spark, zone).orderBy("day").collect()]
-    return spark.createDataFrame(_known[key], "day DATE, shift_seconds BIGINT")
+        found: dict[int, list[dt.date]] = {3600: [], -3600: []}
+        for r in transitions(spark, zone).orderBy("day").collect():
+            found.setdefault(r.shift_seconds, []).append(r.day)
+        _known[key] = found
+    return _known[key]

@@ -8,6 +8,7 @@ from rows import PLAIN, at, bronze, source, trip
 
 from curbflow.contract import COLUMNS, SOURCE_SCHEMA, TRIP_SCHEMA, month_key
 from curbflow.operators import contract_checks, profile, quality
+from curbflow.sources import clock
 
 
 def files(spark, rows):
@@ -140,3 +141,21 @@ def test_partition_anomalies_of_an_all_clean_month(spark):
     assert len(got) == 9
     assert got["negative fare"] == (1, 50.0, "flagged") == got["fare <= 0"]
     assert got["on_scene is null"] == (0, 0.0, "retained")
+
+
+def test_clock_changes_of_other_years_need_no_dates(spark):
+    """Changes come from time zone data: those of 2028 are found once the window covers them."""
+    rows = [
+        trip(pickup_datetime=at("2028-03-12 01:50:00"), dropoff_datetime=at("2028-03-12 03:10:00"), trip_time=1200),
+        trip(pickup_datetime=at("2028-11-05 01:50:00"), dropoff_datetime=at("2028-11-05 01:10:00"), trip_time=1200),
+        trip(pickup_datetime=at("2028-03-12 02:30:00"), request_datetime=at("2028-03-12 02:20:00"), dropoff_datetime=at("2028-03-12 03:00:00")),
+        trip(pickup_datetime=at("2028-03-19 02:30:00"), request_datetime=at("2028-03-19 02:20:00"), dropoff_datetime=at("2028-03-19 03:00:00")),
+    ]
+    found = bronze(spark, rows).agg(*[F.count_if(c).alias(k) for k, c in quality.dst_flags(("2028-01-01", "2029-01-01")).items()]).first()
+    assert found.asDict() == {"spring_duration": 1, "fall_duration": 1, "request_in_gap": 1, "pickup_in_gap": 1, "repeated_hour": 1}
+    none = bronze(spark, rows).agg(*[F.count_if(c).alias(k) for k, c in quality.dst_flags().items()]).first()
+    assert set(none.asDict().values()) == {0}
+    shifts = {r.day.isoformat(): r.shift_seconds for r in clock.transitions(spark, first="2025-01-01", last="2026-12-31").collect()}
+    assert shifts == {"2025-03-09": 3600, "2025-11-02": -3600, "2026-03-08": 3600, "2026-11-01": -3600}
+    assert clock.transitions(spark, "Europe/Berlin", "2025-01-01", "2025-12-31").count() == 2
+    assert clock.transitions(spark, "UTC").isEmpty()

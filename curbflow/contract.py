@@ -71,8 +71,8 @@ def month_key(ts: Column) -> Column:
     return F.year(ts) * 100 + F.month(ts)
 
 
-def to_bronze(source: DataFrame) -> DataFrame:
-    """Contract columns in contract order, flags as booleans.
+def to_bronze(source: DataFrame, *beside: str) -> DataFrame:
+    """Contract columns in contract order, flags as booleans, and the columns ``beside`` as they are.
 
     Columns are taken by name, so the order in the file does not matter. A
     NULL flag stays NULL here; the null gate decides about it before loading.
@@ -82,7 +82,8 @@ def to_bronze(source: DataFrame) -> DataFrame:
             (F.col(c) == FLAG_TRUE).alias(c) if c in FLAGS
             else F.col(c).cast(SOURCE_SCHEMA[c].dataType).alias(c)
             for c in COLUMNS
-        ]
+        ],
+        *beside,
     )
 
 

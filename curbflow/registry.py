@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.contract import PARTITION, to_bronze
+from curbflow.contract import PARTITION
 from curbflow.functions import trip as t
 from curbflow.functions.fixed import cents
 from curbflow.functions.grouping import fold
@@ -331,8 +331,8 @@ def _loaded(w: Workspace) -> DataFrame:
     """A load over a table that is complete, short or empty, month by month."""
     table = w.scratch("load")
     state = F.col("file_month") % 3
-    kept = w.source().where((state == 0) | ((state == 1) & (F.col("PULocationID") > 100)))
-    bronze.write_months(to_bronze(kept), table, scattered=True)
+    kept = w.seeds().where((state == 0) | ((state == 1) & (F.col("PULocationID") > 100)))
+    bronze.write_months(kept, table, scattered=True, made=derived.bronze)
     return bronze.load(w.spark, _source(w), table, folder=w.inspected(w.month_files())).drop("seconds")
 
 

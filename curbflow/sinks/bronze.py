@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,9 @@ FILE_ROWS = 4_000_000
 
 
 def write_months(
-    trips: DataFrame, path: str, *, rebuild: bool = False, scattered: bool = False, file_rows: int = FILE_ROWS
-) -> None:
+    trips: DataFrame, path: str, *, rebuild: bool = False, scattered: bool = False, file_rows: int = FILE_ROWS,
+    made: Callable[..., DataFrame] | None = None,
+) -> None:
     """Replace exactly the months that occur in ``trips``; all of them on ``rebuild``.
 
     All months become visible in one commit, or none; a month that another load replaced meanwhile
@@ -32,14 +34,19 @@ def write_months(
     order are ``scattered``; they are first range-partitioned by (month, zone,
     time), at quantiles of a sample, which keeps files few and splits a month or zone that dominates. No
     file gets more than ``file_rows``, and each file's range of zones and times is kept beside it.
+
+    With ``made``, ``trips`` are narrower rows that have a trip's zone and time and what its other columns follow
+    from: they are moved and sorted, and ``made(rows, PARTITION)`` turns them into trips, that column beside, where they are written.
     """
     spark, base = trips.sparkSession, snapshots.current(trips.sparkSession, path)
     layout = [PARTITION, "PULocationID", "pickup_datetime"]
     rows = trips.withColumn(PARTITION, month_key(c("pickup_datetime")))
     if scattered:
         rows = rows.repartitionByRange(*layout)
-    parts = snapshots.stage(rows.sortWithinPartitions(*layout), path, PARTITION, layout[1:], file_rows)
-    snapshots.commit(spark, path, base, parts, trips.schema, PARTITION, everything=rebuild)
+    rows = rows.sortWithinPartitions(*layout)
+    rows = made(rows, PARTITION) if made else rows
+    parts = snapshots.stage(rows, path, PARTITION, layout[1:], file_rows)
+    snapshots.commit(spark, path, base, parts, rows.drop(PARTITION).schema, PARTITION, everything=rebuild)
 
 
 def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

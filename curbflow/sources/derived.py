@@ -28,12 +28,13 @@ def _yes(cond: Column) -> Column:
     return F.when(cond, "Y").otherwise("N")
 
 
-def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of ``lineitem`` as trips in month-file form (flags 'Y'/'N')."""
+def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of ``lineitem`` with what their trips are made from: a few plain columns, and where a trip belongs.
+
+    Whatever has to bring rows into an order moves these; :func:`made` turns them into trips where they lie then.
+    """
     c = F.col
     h = c("h")
-    start = F.expr(f"TIMESTAMP_NTZ'{WINDOW_START}'")
-
     seeded = table(spark, sf_dir, "lineitem").withColumns(
         {
             "h": c("l_orderkey") * 7919 + c("l_partkey") * 104729
@@ -41,19 +42,47 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             "price": F.floor("l_extendedprice").cast("bigint"),
         }
     )
-    core = seeded.withColumns(
+    return seeded.select(
+        "h", "l_suppkey", "l_discount", "l_tax", (c("l_returnflag") == "R").alias("returned"),
+        F.when(c("l_linenumber") > 5, _dollars(c("l_quantity").cast("bigint") * 20)).otherwise(0.0).alias("tips"),
+        F.when(h % 3001 == 0, F.lit(0).cast("bigint")).otherwise(300 + c("price") % 9000).alias("base_cents"),
+        (1 + (c("l_suppkey") * 37 + c("l_orderkey")) % 265).cast("int").alias("PULocationID"),
+        _pickup().alias("pickup_datetime"),
+    )
+
+
+def _dollars(cents: Column) -> Column:
+    return cents.cast("double") / 100.0
+
+
+def _pickup() -> Column:
+    return _later(F.expr(f"TIMESTAMP_NTZ'{WINDOW_START}'"), F.col("h") % 41904000)
+
+
+def _trip_time() -> Column:
+    return 20 + (F.col("h") * 17) % 9000
+
+
+def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of ``lineitem`` as trips in month-file form (flags 'Y'/'N')."""
+    return made(seeds(spark, sf_dir))
+
+
+def made(seeds: DataFrame, *beside: str) -> DataFrame:
+    """The trips of :func:`seeds` in month-file form, row by row, with the columns ``beside`` of the seeds."""
+    c = F.col
+    h = c("h")
+    start = F.expr(f"TIMESTAMP_NTZ'{WINDOW_START}'")
+
+    core = seeds.withColumns(
         {
-            "pickup_datetime": _later(start, h % 41904000),
-            "trip_time": 20 + (h * 17) % 9000,
+            "trip_time": _trip_time(),
             "w": F.when(h % 83 == 0, -1 - h % 900)
             .when(h % 997 == 0, 7201 + h % 5000)
             .otherwise((h * 31) % 1499),
             "hvfhs_license_num": F.when(h % 10007 == 0, "HV0004")
-            .when(c("l_returnflag") == "R", "HV0005")
+            .when(c("returned"), "HV0005")
             .otherwise("HV0003"),
-            "base_cents": F.when(h % 3001 == 0, F.lit(0).cast("bigint"))
-            .otherwise(300 + c("price") % 9000),
-            "PULocationID": (1 + (c("l_suppkey") * 37 + c("l_orderkey")) % 265).cast("int"),
             "DOLocationID": (1 + (h * 7) % 265).cast("int"),
         }
     )
@@ -66,9 +95,6 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cbd_start = _later(start, F.lit(345600))
 
-    def dollars(cents: Column) -> Column:
-        return cents.cast("double") / 100.0
-
     def whole(x: Column) -> Column:
         # non-negative quotients far below 2^53, so floor of the double is exact
         return F.floor(x)
@@ -89,15 +115,14 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "DOLocationID",
         (milli.cast("double") / 1000.0).alias("trip_miles"),
         "trip_time",
-        dollars(base).alias("base_passenger_fare"),
+        _dollars(base).alias("base_passenger_fare"),
         F.when(h % 9 == 0, 6.94).otherwise(0.0).alias("tolls"),
-        dollars(whole(base * 245 / 10000)).alias("bcf"),
-        dollars(whole(base * F.rint(c("l_tax") * 100) / 100)).alias("sales_tax"),
+        _dollars(whole(base * 245 / 10000)).alias("bcf"),
+        _dollars(whole(base * F.rint(c("l_tax") * 100) / 100)).alias("sales_tax"),
         F.when(h % 2 == 0, 2.75).otherwise(0.0).alias("congestion_surcharge"),
         F.when(c("PULocationID").isin(1, 132, 138), 2.5).otherwise(0.0).alias("airport_fee"),
-        F.when(c("l_linenumber") > 5, dollars(c("l_quantity").cast("bigint") * 20))
-        .otherwise(0.0).alias("tips"),
-        dollars(whole(base * (70 + F.rint(c("l_discount") * 100)) / 100)).alias("driver_pay"),
+        "tips",
+        _dollars(whole(base * (70 + F.rint(c("l_discount") * 100)) / 100)).alias("driver_pay"),
         _yes(uber & (h % 40 == 0)).alias("shared_request_flag"),
         _yes((uber & (h % 80 == 0)) | (h % 1009 == 0)).alias("shared_match_flag"),
         _yes(h % 300 == 7).alias("access_a_ride_flag"),
@@ -105,13 +130,19 @@ def source_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         _yes(((h % 350 == 7) & (h % 11 != 0)) | (h % 12 == 5)).alias("wav_match_flag"),
         F.when((h % 3 == 0) & (c("pickup_datetime") >= cbd_start), 1.5)
         .otherwise(0.0).alias("cbd_congestion_fee"),
+        *beside,
     )
-    return trips.select(*COLUMNS)
+    return trips.select(*COLUMNS, *beside)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows in bronze form (flags as booleans)."""
-    return to_bronze(source_trips(spark, sf_dir))
+    return bronze(seeds(spark, sf_dir))
+
+
+def bronze(seeds: DataFrame, *beside: str) -> DataFrame:
+    """:func:`made` in bronze form."""
+    return to_bronze(made(seeds, *beside), *beside)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,25 +237,40 @@ def _instead(column: str, cases: dict[int, Column]) -> Column:
     return out
 
 
-def flawed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trips in bronze form with flaws by the class of their duration: every quality check finds some.
+def _at(text: str) -> Column:
+    return F.expr(f"TIMESTAMP_NTZ'{text}'")
+
+
+def flawed_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`seeds` whose pickup zone and time have the flaws of :func:`flawed_bronze`; ``zone`` is the one without."""
+    c = F.col
+    times = {
+        13: c("pickup_datetime") - F.expr("INTERVAL 1000 DAY"), 20: _at("2025-11-02 01:50:00"), 21: _at("2025-03-09 01:50:00"),
+        22: _at("2025-03-09 02:30:00"), 24: _at("2025-01-02 03:00:00"),
+    }
+    rows = seeds(spark, sf_dir).withColumn("k", _trip_time() % 211)
+    return rows.withColumns(
+        {"zone": c("PULocationID"), "PULocationID": _instead("PULocationID", {0: F.lit(0)}), "pickup_datetime": _instead("pickup_datetime", times)}
+    ).drop("k")
+
+
+def flawed_bronze(seeds: DataFrame, *beside: str) -> DataFrame:
+    """The trips of :func:`flawed_seeds` in bronze form with flaws by the class of their duration: every quality check finds some.
 
     One class of 211 has a zone below the range, the next one above it, and so on: distances, times and
     amounts below zero, times outside the window, in clock changes and in hours that did not exist, odd flags.
     """
     c = F.col
 
-    def at(text: str) -> Column:
-        return F.expr(f"TIMESTAMP_NTZ'{text}'")
-
     def below(column: str, unit: int) -> Column:
         return (-F.rint(c(column) * unit) - 1) / unit
 
     cent = F.lit(-0.01)
-    rows = source_trips(spark, sf_dir).withColumn("k", c("trip_time") % 211)
+    kept = {"PULocationID": "flawed_zone", "pickup_datetime": "flawed_time"}  # as they lie: nothing is computed of them again
+    plain = seeds.withColumns({flawed: c(x) for x, flawed in kept.items()}).withColumns({"PULocationID": c("zone"), "pickup_datetime": _pickup()})
+    rows = made(plain, *kept.values(), *beside).withColumn("k", c("trip_time") % 211)
     yes, no = F.lit("Y"), F.lit("N")
     flaws = {
-        "PULocationID": {0: F.lit(0)},
         "DOLocationID": {1: F.lit(300)},
         "trip_miles": {2: below("trip_miles", 1000), 17: F.lit(150.0)},
         "trip_time": {3: -c("trip_time"), 15: F.lit(5), 16: F.lit(30000), 20: F.lit(1200), 21: F.lit(1200)},
@@ -233,21 +279,37 @@ def flawed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tips": {6: F.lit(-1.0)},
         "tolls": {7: cent}, "bcf": {8: cent}, "sales_tax": {9: cent}, "congestion_surcharge": {10: cent}, "airport_fee": {11: cent},
         "cbd_congestion_fee": {12: cent, 24: F.lit(1.5)},
-        "dropoff_datetime": {14: c("pickup_datetime"), 19: at("2026-05-02 00:00:00"), 20: at("2025-11-02 01:10:00"), 21: at("2025-03-09 03:10:00")},
-        "request_datetime": {18: at("2024-12-31 23:00:00"), 23: at("2025-03-09 02:10:00")},
-        "pickup_datetime": {13: c("pickup_datetime") - F.expr("INTERVAL 1000 DAY"), 20: at("2025-11-02 01:50:00"), 21: at("2025-03-09 01:50:00"),
-                            22: at("2025-03-09 02:30:00"), 24: at("2025-01-02 03:00:00")},
+        "dropoff_datetime": {14: c("pickup_datetime"), 19: _at("2026-05-02 00:00:00"), 20: _at("2025-11-02 01:10:00"), 21: _at("2025-03-09 03:10:00")},
+        "request_datetime": {18: _at("2024-12-31 23:00:00"), 23: _at("2025-03-09 02:10:00")},
         "access_a_ride_flag": {25: yes}, "wav_request_flag": {25: yes, 26: yes}, "wav_match_flag": {26: no},
     }
-    return to_bronze(rows.select(*[_instead(x, flaws.get(x, {})).alias(x) for x in COLUMNS]))
+    columns = [c(kept[x]).alias(x) if x in kept else _instead(x, flaws.get(x, {})).alias(x) for x in COLUMNS]
+    return to_bronze(rows.select(*columns, *beside), *beside)
+
+
+def flawed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All flawed trips in bronze form."""
+    return flawed_bronze(flawed_seeds(spark, sf_dir))
+
+
+def with_month(seeds: DataFrame) -> DataFrame:
+    """Seeds with the ``file_month`` that their trips are published in."""
+    return seeds.withColumn("file_month", month_key(F.col("pickup_datetime")))
+
+
+def month_rows(seeds: DataFrame) -> DataFrame:
+    """Month-file rows with ``file_month``, in each task month by month: the few columns are sorted, not the trips."""
+    rows = seeds.drop("pickup_datetime").sortWithinPartitions("file_month")
+    return made(rows.withColumn("pickup_datetime", _pickup()), "file_month")
 
 
 def flawed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month-file rows with ``file_month`` and flaws a load must find: copies, NULLs, empty rows, rows of other months."""
     c = F.col
-    rows = source_trips(spark, sf_dir).withColumn("file_month", month_key(c("pickup_datetime"))).withColumn("k", c("trip_time") % 211)
-    copies = F.when(c("k") == 30, 2).when(c("k") == 31, 3).otherwise(1)
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    k = _trip_time() % 211
+    copies = F.when(k == 30, 2).when(k == 31, 3).otherwise(1)
+    copied = with_month(seeds(spark, sf_dir)).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    rows = month_rows(copied).withColumn("k", c("trip_time") % 211)
     later = c("pickup_datetime") + F.expr("INTERVAL 45 DAY")
     flaws = {"tips": {32: F.lit(None)}, "pickup_datetime": {34: later}}
     return rows.select(

@@ -10,9 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from curbflow.contract import month_key
 from curbflow.session import digest, exists, folder
 from curbflow.sinks import bronze
 from curbflow.sources import derived, months
@@ -47,7 +45,7 @@ class Workspace:
         return self.once("bronze", self._write_bronze)
 
     def _write_bronze(self, path: str) -> None:
-        bronze.write_months(derived.trips(self.spark, self.sf_dir), path, scattered=True)
+        bronze.write_months(derived.seeds(self.spark, self.sf_dir), path, scattered=True, made=derived.bronze)
 
     def zones(self) -> DataFrame:
         path = self.once(
@@ -62,8 +60,11 @@ class Workspace:
 
     def source(self) -> DataFrame:
         """Month-file rows with ``file_month``, not yet written anywhere."""
-        rows = derived.source_trips(self.spark, self.sf_dir)
-        return rows.withColumn("file_month", month_key(F.col("pickup_datetime")))
+        return derived.month_rows(self.seeds())
+
+    def seeds(self) -> DataFrame:
+        """What those rows are made from, with ``file_month``."""
+        return derived.with_month(derived.seeds(self.spark, self.sf_dir))
 
     def month_files(self, fmt: str = "parquet") -> str:
         """Folder with one entry per month."""
@@ -71,9 +72,12 @@ class Workspace:
 
     def flawed_trips(self) -> DataFrame:
         """Bronze trips with flaws that every quality check finds."""
-        path = self.once("bronze-flawed", lambda p: bronze.write_months(derived.flawed_trips(self.spark, self.sf_dir), p, scattered=True))
+        path = self.once("bronze-flawed", self._write_flawed)
         return bronze.read(self.spark, path)
 
+    def _write_flawed(self, path: str) -> None:
+        bronze.write_months(derived.flawed_seeds(self.spark, self.sf_dir), path, scattered=True, made=derived.flawed_bronze)
+
     def flawed_files(self) -> str:
         """Folder of month files with flaws that a load refuses."""
         return self.once("months-flawed", lambda p: months.write(derived.flawed_source(self.spark, self.sf_dir), p))
@@ -86,5 +90,11 @@ class Workspace:
         """A folder of its own for a query that writes."""
         return f"{self.root}/{name}-{uuid.uuid4().hex[:10]}"
 
+    def stored(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows that a query uses more than once, written to a folder of its own and read back."""
+        path = self.scratch(name)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def table(self, name: str) -> DataFrame:
         return derived.table(self.spark, self.sf_dir, name)

@@ -176,18 +176,28 @@ def write(rows: DataFrame, folder: str, fmt: str = "parquet") -> None:
 def _aside(rows: DataFrame, folder: str, fmt: str) -> str:
     """Month entries in a folder of their own below ``folder`` that readers pass over."""
     path = f"{folder}/_incoming-{uuid.uuid4().hex[:10]}"
-    month = c("file_month").cast("string")
-    name = F.concat(
-        F.lit(STEM), month.substr(1, 4), F.lit("-"), month.substr(5, 2), F.lit(f".{fmt}")
-    )
-    writer = rows.withColumn("file", name).drop("file_month").write.partitionBy("file")
+    # by the number and not by the name: rows that come month by month are written as they come
+    writer = rows.write.partitionBy("file_month")
     if fmt == "csv":
         writer.options(**CSV_OPTIONS).csv(path)
     else:
         writer.option("compression", "zstd").parquet(path)
+    _name_months(rows.sparkSession, path, fmt)
     return path
 
 
+def _name_months(spark: SparkSession, aside: str, fmt: str) -> None:
+    """Folders by month number get the names of the month files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(aside).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for month in fs.listStatus(path(aside)):
+        key = month.getPath().getName().partition("=")[2]
+        if month.isDirectory() and key:
+            name = f"{STEM}{key[:4]}-{key[4:6]}.{fmt}" if key.isdigit() else key
+            if not fs.rename(month.getPath(), path(aside, f"file={name}")):
+                raise OSError(f"{month.getPath().toString()} could not be renamed to {name}")
+
+
 def _publish(spark: SparkSession, aside: str, folder: str, replace: bool = False) -> None:
     """Mark the finished months and move each into place by one rename."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -159,14 +159,19 @@ def _cells(level: Column) -> Column:
     return F.flatten(F.transform(span("x1", "x2"), lambda x: F.transform(span("y1", "y2"), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
 
 
-def contacts(features: DataFrame) -> DataFrame:
+def contacts(features: DataFrame, scratch: str | None = None) -> DataFrame:
     """(zone_id, neighbour_id) with zone_id the lesser: zones whose outlines run along each other for some length.
 
     Vertices need not be shared: a side may be cut at other points, or begin elsewhere. Every segment lies in
     a grid as coarse as it is long, so it has four cells there at most. It looks for others in its own grid and in
     those of longer segments; pairs of a cell are on one line if their cross products vanish, exactly.
+    The segments, which are used three times, are kept in the folder ``scratch`` if one is given: the features
+    are parsed once then.
     """
     sides = _segments(features)
+    if scratch:
+        sides.write.parquet(scratch)
+        sides = features.sparkSession.read.schema(sides.schema).parquet(scratch)
     # bits of the longer extent: a box of 2^level covers the segment
     level = F.ceil(F.log2(F.greatest(F.abs(c("x2") - c("x1")), F.abs(c("y2") - c("y1"))).cast("double") + 1)).cast("int")
     sides = sides.withColumn("level", level)
@@ -191,7 +196,7 @@ def contacts(features: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def adjacency(features: DataFrame) -> DataFrame:
-    """(zone_id, neighbour_id), both ways, of zones whose outlines touch along a line."""
-    pairs = contacts(features)
-    return pairs.union(pairs.select(c("neighbour_id"), c("zone_id")))
+def adjacency(features: DataFrame, scratch: str | None = None) -> DataFrame:
+    """(zone_id, neighbour_id), both ways, of zones whose outlines touch along a line; ``scratch`` as for :func:`contacts`."""
+    there, back = F.struct("zone_id", "neighbour_id"), F.struct(c("neighbour_id").alias("zone_id"), c("zone_id").alias("neighbour_id"))
+    return contacts(features, scratch).select(F.explode(F.array(there, back)).alias("p")).select("p.*")

@@ -103,6 +103,12 @@ def _deficit(w: Workspace) -> DataFrame:
     )
 
 
+def _spill(w: Workspace) -> DataFrame:
+    """Trips beside the deficit zones, which are used twice and found once."""
+    treated = w.stored("treated", _deficit(w).selectExpr("pu_location_id AS zone_id"))
+    return baselines.neighbour_trips(_rows(w), geometry.adjacency(_features(w), w.scratch("segments")), treated)
+
+
 def _lasting(w: Workspace) -> DataFrame:
     names = w.zones().select(F.col("location_id").alias("pu_location_id"), "borough")
     weeks = baselines.zone_weeks(_rows(w)).join(names, "pu_location_id")
@@ -130,10 +136,7 @@ _register(
     airport_share=lambda w: baselines.airport_share(_rows(w)),
     airport_fares=lambda w: baselines.airport_fares(_rows(w)),
     airport_trip_time=lambda w: baselines.airport_trip_time(_rows(w)),
-    neighbour_spill=lambda w: baselines.neighbour_trips(
-        _rows(w), geometry.adjacency(_features(w)),
-        _deficit(w).selectExpr("pu_location_id AS zone_id"),
-    ),
+    neighbour_spill=_spill,
 )
 
 SALT = 17

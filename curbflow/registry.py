@@ -365,7 +365,7 @@ def _logged(w: Workspace) -> DataFrame:
 
 def _anomalies(w: Workspace) -> DataFrame:
     """The anomaly table after a repeated check: own metrics replaced, others kept."""
-    fresh = quality.partition_anomalies(w.trips())
+    fresh = w.stored("anomalies", quality.partition_anomalies(w.trips()))  # used three times
     stale = fresh.withColumn("rows_affected", F.lit(-1).cast("bigint"))
     kept = profile.source_anomalies(_counts(w)).withColumnRenamed(
         "file_month", "partition_id"

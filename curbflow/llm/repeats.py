@@ -6,7 +6,8 @@ among its first ``WINDOW`` words. Equal beginnings have equal prefixes, so a sub
 needs another group's suffixes; and neighbouring suffixes share their anchor, so a group gets
 them as one segment, some three words a suffix in place of ``WINDOW``. A group is a set of
 anchors that fits a task's memory. Where an anchor is too common for that, the prefixes
-of its suffixes are extended to the whole window.
+of its suffixes are extended to the whole window. Groups travel in bundles, a row a bundle
+from several batches of texts, so that rows and their bytes grow little with the number of groups.
 
 A group's subtree is its sorted suffixes with the lengths that neighbours have in
 common. Nodes of depth ``WINDOW`` or more are the repeats: in each, all occurrences but the first
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +38,14 @@ from curbflow.llm.pieces import word_lists
 WINDOW, PHRASE = 20, 5
 #: Bytes of a batch of texts, suffixes a group aims at, suffixes it may hold.
 BATCH, GROUP, MOST = 1 << 22, 1 << 18, 1 << 21
+#: Groups of a bundle, batches that leave together, segments at which they leave before.
+BUNDLE, BATCHES, SEGMENTS = 2, 4, 1 << 20
+#: Windows or spans of a frame.
+FRAME = 1 << 15
 #: Bytes of a word with its gap, to choose the number of groups.
 WORD_BYTES = 6
 
-_SHIPPED = "slot long, windows long, segments long, meta binary, words binary"
+_SHIPPED = "bundle long, meta binary, words binary"
 _SPAN = "numbered boolean, id long, digest long, start long, n long"
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
@@ -98,18 +104,16 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _chained(hashes: np.ndarray, *lengths: int) -> list[np.ndarray]:
     """Per place a hash of the next words, for each length; the last places have none."""
-    powers = {1: hashes}
-    while 2 * max(powers) <= max(lengths):
-        n = max(powers)
-        powers[2 * n] = _pair(powers[n][: len(powers[n]) - n], powers[n][n:])
-    out = []
-    for length in lengths:
-        at, got = 0, None
-        for n in sorted(powers, reverse=True):
-            if length & n:
-                part = powers[n][at : at + max(0, len(hashes) - length + 1)]
-                got, at = part if got is None else _pair(got, part), at + n
-        out.append(got)
+    power, inverse = _powers()
+    out = [np.zeros(max(0, len(hashes) - length + 1), np.uint64) for length in lengths]
+    step = _REACH - max(lengths)
+    for at in range(0, len(hashes), step):
+        part = hashes[at : at + _REACH]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * power[: len(part)], out=sums[1:])
+        for length, got in zip(lengths, out):
+            n = max(0, min(step, len(part) - length + 1))
+            got[at : at + n] = (sums[length : length + n] - sums[:n]) * inverse[:n]
     return out
 
 
@@ -141,8 +145,8 @@ class _Batch:
         self.pieces.append((key, data))
         self.size += len(data)
 
-    def taken(self, slots: int) -> Iterator[dict]:
-        """The batch's rows: segments by slot, and what repeats within the batch as segments without words."""
+    def taken(self) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The batch's text, its segments: first and last byte, anchor, span, and spans of what repeats within the batch."""
         pieces = sorted(self.pieces, key=lambda p: p[0])  # in document order
         self.__init__()
         sizes = np.array([len(p[1]) + 1 for p in pieces], np.int64)
@@ -154,28 +158,67 @@ class _Batch:
         count = np.bincount(owner, minlength=len(sizes))
         begins = np.cumsum(count) - count
         if len(starts) < WINDOW:
-            return
+            none = np.zeros(0, np.int64)
+            return b"", none, none, none.astype(np.uint64), none.reshape(5, 0), none.reshape(5, 0)
         whole, phrase = _chained(_hashes(data, starts, ends), WINDOW, PHRASE)
         anchor = _least(phrase, WINDOW - PHRASE + 1)
         at = np.flatnonzero(owner[: len(whole)] == owner[WINDOW - 1 :])
         repeats = at[_repeated(data, starts, ends, at, whole[at], owner[at], keys, begins)]
         shipped = np.setdiff1d(at, repeats, assume_unique=True)
-        for places, local in ((shipped, False), (np.sort(repeats), True)):
-            first, n = _runs(places, *((owner[places],) if local else (owner[places], anchor[places])))
-            start = places[first]
+
+        def spans(start: np.ndarray, n: np.ndarray) -> np.ndarray:
             piece = owner[start]
-            slot = (_pair(anchor[start], np.full(len(start), _B)) % np.uint64(slots)).astype(np.int64)
-            order = np.argsort(slot, kind="stable")
-            bounds = np.append(_changes(slot[order]), len(order))
-            low, high = starts[start], ends[start + n + WINDOW - 2]
-            meta = np.stack([*(k[piece] for k in keys[:3]), keys[3][piece] + start - begins[piece], n]).astype(np.int64)
-            for a, b in zip(bounds, bounds[1:]):
-                own = order[a:b]
-                words = None if local else _packed(b" ".join([data[i:j] for i, j in zip(low[own].tolist(), high[own].tolist())]))
-                yield {
-                    "slot": int(slot[own[0]]), "windows": int(n[own].sum()), "segments": len(own),
-                    "meta": _packed(meta[:, own].tobytes()), "words": words,
-                }
+            return np.stack([*(k[piece] for k in keys[:3]), keys[3][piece] + start - begins[piece], n]).astype(np.int64)
+
+        repeats = np.sort(repeats)
+        first, n = _runs(repeats, owner[repeats])
+        local = spans(repeats[first], n)
+        first, n = _runs(shipped, owner[shipped], anchor[shipped])
+        start = shipped[first]
+        return data, starts[start], ends[start + n + WINDOW - 2], anchor[start], spans(start, n), local
+
+
+class _Bundles:
+    """Segments of several batches by bundle, which is a set of groups."""
+
+    def __init__(self, slots: int, bundles: int) -> None:
+        self.slots, self.bundles = slots, bundles
+        self.held, self.local, self.size, self.segments = [], [], 0, 0
+
+    def add(self, data: bytes, low: np.ndarray, high: np.ndarray, anchor: np.ndarray, meta: np.ndarray, local: np.ndarray) -> None:
+        slot = (_pair(anchor, np.full(len(anchor), _B)) % np.uint64(self.slots)).astype(np.int64)
+        self.held.append((data, low + self.size, high + self.size, slot, meta))
+        self.local.append(local)
+        self.size += len(data)
+        self.segments += len(low)
+
+    def taken(self) -> Iterator[dict]:
+        """A row a bundle, its groups one after another, and the spans that need no group."""
+        if not self.held:
+            return
+        texts, *columns = zip(*self.held)
+        low, high, slot = (np.concatenate(c) for c in columns[:3])
+        meta, local, data = np.concatenate(columns[3], axis=1), np.concatenate(self.local, axis=1), b"".join(texts)
+        self.__init__(self.slots, self.bundles)
+        del texts, columns
+        bundle = slot % self.bundles
+        order = np.lexsort([slot, bundle])
+        low, high, slot, bundle, meta = low[order], high[order], slot[order], bundle[order], meta[:, order]
+        place = np.concatenate([[0], np.cumsum(high - low + 1)])
+        group, cut = _changes(slot), _changes(bundle)
+        inside = np.append(np.searchsorted(group, cut), len(group))
+        edge = np.append(group, len(slot))
+        head = np.stack([slot[group], np.diff(edge), np.diff(place[edge])])
+        for k, (a, b) in enumerate(zip(cut.tolist(), [*cut[1:].tolist(), len(slot)])):
+            own = head[:, inside[k] : inside[k + 1]]
+            yield {
+                "bundle": int(bundle[a]),
+                "meta": _packed(np.concatenate([[own.shape[1]], own.ravel(), meta[:, a:b].ravel()]).tobytes()),
+                "words": _packed(b" ".join([data[i:j] for i, j in zip(low[a:b].tolist(), high[a:b].tolist())])),
+            }
+        for a in range(0, local.shape[1], FRAME):
+            some = local[:, a : a + FRAME]
+            yield {"bundle": (int(some[2, 0]) + int(some[3, 0])) % self.bundles, "meta": _packed(some.tobytes()), "words": None}
 
 
 def _changes(values: np.ndarray) -> np.ndarray:
@@ -183,12 +226,26 @@ def _changes(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
 
+@functools.cache
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=2), zstandard.ZstdDecompressor()
+
+
 def _packed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return _zstd()[0].compress(data)
 
 
 def _unpacked(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _zstd()[1].decompress(data)
+
+
+def _twins(hashes: np.ndarray) -> np.ndarray:
+    """Indices, sorted, of the hashes that are not alone, by all bits but the few that give way to the index."""
+    low = np.uint64((1 << len(hashes).bit_length()) - 1)
+    both = np.sort((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64))
+    twin = (both[1:] & ~low) == (both[:-1] & ~low)
+    near = np.concatenate([[False], twin]) | np.concatenate([twin, [False]]) if len(both) else twin
+    return np.sort((both[near] & low).astype(np.int64))
 
 
 def _ranks(data: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -199,45 +256,59 @@ def _ranks(data: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) ->
     change = np.zeros(len(starts) + 1, np.int32)
     change[at] += 1
     change[at + WINDOW] -= 1
-    covered = np.cumsum(change) > 0
-    place = np.flatnonzero(covered)
+    place = np.flatnonzero(np.cumsum(change) > 0)
+    own = np.searchsorted(place, at)
     words = [data[i:j] for i, j in zip(starts[place].tolist(), ends[place].tolist())]
-    rank = np.zeros(len(covered), np.uint64)
-    rank[place] = np.fromiter(map(_Numbers().__getitem__, words), np.uint64, len(words))
+    rank = np.fromiter(map(_Numbers().__getitem__, words), np.uint64, len(words))
     done, got, n = 0, None, 1
     powers = []
     while True:
         powers.append((n, rank))
         if 2 * n > WINDOW:
             break
-        place = place[covered[np.minimum(place + n, len(starts))] & (place + n < len(starts))]
-        both = (rank[place] << np.uint64(32)) | rank[place + n]
-        rank = np.zeros(len(covered), np.uint64)
-        rank[place] = np.unique(both, return_inverse=True)[1]
+        whole = np.flatnonzero(place[2 * n - 1 :] - place[: 1 - 2 * n] == 2 * n - 1)
+        both = (rank[whole] << np.uint64(32)) | rank[whole + n]
+        rank = np.zeros(len(place), np.uint64)
+        rank[whole] = np.unique(both, return_inverse=True)[1]
         n *= 2
     for n, rank in reversed(powers):
         if WINDOW & n:
-            part = rank[at + done]
+            part = rank[own + done]
             got = part if got is None else np.unique((got << np.uint64(32)) | part, return_inverse=True)[1].astype(np.uint64)
             done += n
     return got
 
 
+def _copies(data: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether the windows at words ``at`` (sorted) have the same bytes, gaps too, as those at ``other``, by runs of both."""
+    first, n = _runs(at, at - other)
+    low, high = starts[at[first]].tolist(), ends[at[first] + n + WINDOW - 2].tolist()
+    low_other, high_other = starts[other[first]].tolist(), ends[other[first] + n + WINDOW - 2].tolist()
+    same = [data[i:j] == data[k:m] for i, j, k, m in zip(low, high, low_other, high_other)]
+    return np.repeat(np.array(same, bool), n)
+
+
 def _repeated(
     data: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, hashes: np.ndarray,
     owner: np.ndarray, keys: list[np.ndarray], begins: np.ndarray,
 ) -> np.ndarray:
     """Indices of the suffixes ``at`` whose window stands earlier: all of each deep node but its first.
 
-    Suffixes whose window's hash is alone hang from above the depth asked for, as leaves; the others are sorted
-    by their words, exactly. ``owner`` has each suffix's row in ``keys``, ``begins`` the first word of that row.
+    Suffixes whose window's hash is alone hang from above the depth asked for, as leaves; of the others, byte for byte
+    copies of the first with their hash share its node, and the rest are sorted by their words, exactly. ``owner`` has
+    each suffix's row in ``keys``, ``begins`` the first word of that row.
     """
-    by = np.argsort(hashes, kind="stable")
-    twin = hashes[by][1:] == hashes[by][:-1]
-    near = np.sort(by[np.concatenate([[False], twin]) | np.concatenate([twin, [False]])]) if len(by) else by
+    near = _twins(hashes)
     if not len(near):
         return near
-    node = _ranks(data, starts, ends, at[near])
+    _, first, which = np.unique(hashes[near], return_index=True, return_inverse=True)
+    leader = first[which]
+    rest = leader == np.arange(len(near))
+    copy = np.flatnonzero(~rest)
+    rest[copy] = ~_copies(data, starts, ends, at[near[copy]], at[near[leader[copy]]])
+    node = np.zeros(len(near), np.uint64)
+    node[rest] = _ranks(data, starts, ends, at[near[rest]])
+    node[~rest] = node[leader[~rest]]
     own = owner[near]
     place = [keys[k][own] for k in range(3)] + [keys[3][own] + at[near] - begins[own]]
     order = np.lexsort([*reversed(place), node])
@@ -267,9 +338,9 @@ def _slices(text: bytes, size: int) -> Iterator[tuple[int, bytes]]:
         at, first = at + int(starts[kept]), first + kept
 
 
-def _segments(slots: int, size: int):
+def _segments(slots: int, bundles: int, size: int):
     def shipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch = _Batch()
+        batch, bundled = _Batch(), _Bundles(slots, bundles)
 
         def rows() -> Iterator[dict]:
             for frame in batches:
@@ -277,8 +348,12 @@ def _segments(slots: int, size: int):
                     for start, data in _slices(text, size):
                         batch.add((*key, start), data)
                         if batch.size >= size:
-                            yield from batch.taken(slots)
-            yield from batch.taken(slots)
+                            bundled.add(*batch.taken())
+                        if bundled.size >= BATCHES * size or bundled.segments >= SEGMENTS:
+                            yield from bundled.taken()
+            if batch.size:
+                bundled.add(*batch.taken())
+            yield from bundled.taken()
 
         out, held = [], 0
         for row in rows():
@@ -300,7 +375,7 @@ def _spans(meta: np.ndarray) -> dict:
 
 def _subtree(blobs: list[tuple[np.ndarray, bytes]]) -> np.ndarray:
     """Spans of repeated windows of one group: rows of document key, start and number of windows."""
-    data = b" ".join(_unpacked(words) for _, words in blobs)
+    data = b" ".join(words for _, words in blobs)
     meta = np.concatenate([m for m, _ in blobs], axis=1)
     starts, ends = _tokens(data)
     n = meta[4]
@@ -314,44 +389,73 @@ def _subtree(blobs: list[tuple[np.ndarray, bytes]]) -> np.ndarray:
     return np.stack([*(meta[k][own] for k in range(3)), meta[3][own] + at[repeats[first]] - begins[own], length])
 
 
+def _sections(meta: bytes, words: bytes) -> Iterator[tuple[int, np.ndarray, bytes]]:
+    """The groups of a bundle's row: slot, spans and words of each."""
+    numbers, data = np.frombuffer(_unpacked(meta), np.int64), _unpacked(words)
+    k = int(numbers[0])
+    head, spans = numbers[1 : 1 + 3 * k].reshape(3, k), numbers[1 + 3 * k :].reshape(5, -1)
+    at, place = 0, 0
+    for slot, segments, size in head.T.tolist():
+        yield slot, spans[:, at : at + segments], data[place : place + size]
+        at, place = at + segments, place + size
+
+
+def _passed(meta: np.ndarray, words: bytes) -> Iterator[pd.DataFrame]:
+    """A window a row, its words whole."""
+    each = np.repeat(meta, meta[4], axis=1)
+    inside = np.arange(each.shape[1]) - np.repeat(np.cumsum(meta[4]) - meta[4], meta[4])
+    each[3] += inside
+    each[4] = 1
+    at = np.repeat(np.cumsum(meta[4] + WINDOW - 1) - (meta[4] + WINDOW - 1), meta[4]) + inside
+    every = words.split()
+    for a in range(0, each.shape[1], FRAME):
+        windows = [b" ".join(every[i : i + WINDOW]) for i in at[a : a + FRAME].tolist()]
+        yield pd.DataFrame(_spans(each[:, a : a + FRAME]) | {"words": windows})
+
+
 def _groups(most: int):
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Subtrees of the groups, which arrive one after another; those too large pass through."""
-        now, held, windows = None, [], 0
+        """Subtrees of the groups of each bundle, which arrive one after another; those too large pass through."""
+        now, held, count, large = None, defaultdict(list), Counter(), set()
+        out, size = [], 0
+
+        def spans(meta: np.ndarray, least: int = FRAME) -> Iterator[pd.DataFrame]:
+            nonlocal out, size
+            out.append(meta)
+            size += meta.shape[1]
+            if size >= least:
+                yield pd.DataFrame(_spans(np.concatenate(out, axis=1)) | {"words": None})
+                out, size = [], 0
 
         def closed() -> Iterator[pd.DataFrame]:
-            if held:
-                got = _subtree(held)
-                if got.shape[1]:
-                    yield pd.DataFrame(_spans(got) | {"words": None})
-
-        def passed(meta: np.ndarray, words: bytes) -> pd.DataFrame:
-            """A window a row, its words whole."""
-            every, at, out = _unpacked(words).split(), 0, []
-            for n in meta[4].tolist():
-                out += [b" ".join(every[at + i : at + i + WINDOW]) for i in range(n)]
-                at += n + WINDOW - 1
-            each = np.repeat(meta, meta[4], axis=1)
-            each[3] += np.arange(each.shape[1]) - np.repeat(np.cumsum(meta[4]) - meta[4], meta[4])
-            each[4] = 1
-            return pd.DataFrame(_spans(each) | {"words": out})
+            while held:
+                yield from spans(_subtree(held.popitem()[1]))
+            count.clear()
+            large.clear()
 
         for frame in batches:
-            for row in frame.itertuples():
-                meta = np.frombuffer(_unpacked(row.meta), np.int64).reshape(5, -1)
-                if row.words is None:
-                    yield pd.DataFrame(_spans(meta) | {"words": None})
+            for bundle, meta, words in zip(frame["bundle"], frame["meta"], frame["words"]):
+                if words is None:
+                    yield from spans(np.frombuffer(_unpacked(meta), np.int64).reshape(5, -1))
                     continue
-                if row.slot != now:
+                if bundle != now:
                     yield from closed()
-                    now, held, windows = row.slot, [], 0
-                windows += row.windows
-                held.append((meta, row.words))
-                if windows > most:
-                    for blob in held:
-                        yield passed(*blob)
-                    held = []
+                    now = bundle
+                for slot, own, text in _sections(meta, words):
+                    if slot in large:
+                        yield from _passed(own, text)
+                        continue
+                    held[slot].append((own, text))
+                    count[slot] += int(own[4].sum())
+                    while count and (max(count.values()) > most or count.total() > 2 * most):
+                        slot = max(count, key=count.get)
+                        large.add(slot)
+                        del count[slot]
+                        for blob in held.pop(slot):
+                            yield from _passed(*blob)
         yield from closed()
+        if size:
+            yield from spans(np.zeros((5, 0), np.int64), 0)
 
     return found
 
@@ -360,8 +464,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", most: int = MOST, batc
     """Runs of windows that stand earlier: ``numbered, id, digest, start, n`` with ``n`` windows from word ``start``.
 
     ``docs`` needs ``doc_id`` and a text; see :func:`deduplicated` for how rows are told apart.
-    ``most`` bounds the suffixes that a group holds in memory, ``batch`` the bytes of text that a task does. The number of groups grows with the
-    input; a group beyond the bound is found by an aggregate on whole windows, so none is left out.
+    ``most`` bounds the suffixes that a group holds in memory, and twice as many those of a bundle; ``batch`` is the bytes of text that a task
+    does. The number of groups grows with the input; a group beyond the bound is found by an aggregate on whole windows, so none is left out.
     """
     number, digest = _identity(docs, text)
     rows = docs.select(
@@ -370,7 +474,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", most: int = MOST, batc
     )
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     slots = max(64, size // (WORD_BYTES * GROUP))
-    shipped = rows.mapInPandas(_segments(slots, batch), _SHIPPED).repartition("slot").sortWithinPartitions("slot")
+    bundles = max(64, slots // BUNDLE)
+    shipped = rows.mapInPandas(_segments(slots, bundles, batch), _SHIPPED).repartition("bundle").sortWithinPartitions("bundle")
     found = stored(shipped.mapInPandas(_groups(most), f"{_SPAN}, words binary"), "windows")
     spans, single = found.where("words IS NULL").drop("words"), found.where("words IS NOT NULL")
     if not single.take(1):

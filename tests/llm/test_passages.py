@@ -62,6 +62,56 @@ def test_repeats_by_every_way(spark, most, batch):
         assert tuple(r["left"]) == want[(r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "")]
 
 
+@pytest.mark.parametrize("most, batch", [(repeats.MOST, repeats.BATCH), (60, 700), (400, 5000)])
+def test_repeats_across_gaps(spark, most, batch):
+    rows = []
+    for i in range(50):
+        gaps = itertools.cycle([" ", "\n", " \t", " "][: 1 + i % 4])
+        rows.append((i, "".join(w + next(gaps) for w in [f"o{i}", *(f"c{k // 2}" for k in range(i % 7, 90)), f"o{i}"] * 2)))
+    got = repeats.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "left", most=most, batch=batch)
+    want = removed(rows)
+    assert {r["doc_id"]: tuple(r["left"]) for r in got.collect()} == {i: want[True, i, t] for i, t in rows}
+
+
+def test_rows_shipped_do_not_follow_groups(spark, monkeypatch):
+    """Batches of texts times groups would be rows that grow with the square of the input."""
+    rows = [(i, " ".join(f"w{i * 1000 + k if k % 90 > 40 else k}" for k in range(1500))) for i in range(60)]
+    shipped, made = spark.sparkContext.accumulator(0), repeats._segments
+
+    def counted(*args):
+        found = made(*args)
+
+        def frames(batches):
+            for frame in found(batches):
+                shipped.add(len(frame))
+                yield frame
+
+        return frames
+
+    monkeypatch.setattr(repeats, "_segments", counted)
+    monkeypatch.setattr(repeats, "GROUP", 450)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: tuple(r["left"]) for r in repeats.deduplicated(docs, "left", batch=20_000).collect()}
+    want = removed(rows)
+    assert got == {i: want[True, i, t] for i, t in rows}
+    size = sum(len(t) for _, t in rows)
+    groups, batches = size // (repeats.WORD_BYTES * 450), size // 20_000
+    assert 0 < shipped.value < groups * batches // 6
+
+
+def test_window_hashes_of_long_texts():
+    import numpy as np
+
+    words = [b"w%d" % (k % 1000) for k in range(repeats._REACH + 5000)]
+    data = b" ".join(words)
+    whole, phrase = repeats._chained(repeats._hashes(data, *repeats._tokens(data)), 20, 5)
+    assert len(whole) == len(words) - 19 and len(phrase) == len(words) - 4
+    assert (whole[1000:] == whole[:-1000]).all() and (phrase[1000:] == phrase[:-1000]).all()
+    assert len(set(whole[:1000].tolist())) == len(set(phrase[:1000].tolist())) == 1000
+    assert repeats._twins(np.array([7 << 40, 3 << 40, 7 << 40, 1 << 40], np.uint64)).tolist() == [0, 2]
+    assert repeats._twins(np.zeros(0, np.uint64)).tolist() == []
+
+
 def test_repeats_of_odd_rows(odd, none):
     got = repeats.deduplicated(odd, "left")
     assert got.columns == [*odd.columns, "left"] and got.count() == odd.count()
